@@ -87,5 +87,5 @@ def box_stats(df: DataFrame, cols: list[str], key: str, accuracy: int | None = N
         .agg(F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
              F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
              F.sum(F.when(inside, F.lit(0)).otherwise(F.col("n"))).alias("n_outliers"))
-        .withColumns({c: F.round(c, 4) for c in ("q25", "q50", "q75")})
+        .withColumns({c: F.round(c, 6) for c in ("q25", "q50", "q75")})
     )

@@ -104,7 +104,7 @@ def describe_numeric(df: DataFrame, cols: list[str], accuracy: int | None = None
         stats = stats.join(exact, "feature", "left")
     return stats.select(
         "feature", "n", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"), "min",
-        *[F.round(F.get("q", F.lit(i)), 4).alias(name) for i, name in enumerate(("q25", "q50", "q75"))], "max",
+        *[F.round(F.get("q", F.lit(i)), 6).alias(name) for i, name in enumerate(("q25", "q50", "q75"))], "max",
     )
 
 

@@ -74,8 +74,8 @@ def duplicate_count(spark, sf):
 
 def _describe(col: str, source: str) -> str:
     return f"""select '{col}' as feature, count({col}) as n, round(avg({col}), 4) as mean, round(stddev_samp({col}), 4) as std,
-  cast(min({col}) as double) as min, round(quantile_cont({col}, 0.25), 4) as q25, round(quantile_cont({col}, 0.5), 4) as q50,
-  round(quantile_cont({col}, 0.75), 4) as q75, cast(max({col}) as double) as max from {source}"""
+  cast(min({col}) as double) as min, round(quantile_cont({col}, 0.25), 6) as q25, round(quantile_cont({col}, 0.5), 6) as q50,
+  round(quantile_cont({col}, 0.75), 6) as q75, cast(max({col}) as double) as max from {source}"""
 
 
 @query("describe_numeric", RAW + _describe("rating", "raw") + " union all "
@@ -130,7 +130,7 @@ def gap_kde(spark, sf):
     f"select label, '{c}' as feature, {c} as v from features" for c in STABLE_COLS) + f"""),
 q as (select label, feature, quantile_cont(v, 0.25) as q1, quantile_cont(v, 0.5) as q2, quantile_cont(v, 0.75) as q3 from long group by label, feature),
 f as (select long.*, q1, q2, q3, v between q1 - {D.WHISKER}::double * (q3 - q1) and q3 + {D.WHISKER}::double * (q3 - q1) as inside from long join q using (label, feature))
-select label, feature, round(q1, 4) as q25, round(q2, 4) as q50, round(q3, 4) as q75, min(v) filter (inside) as whisker_low,
+select label, feature, round(q1, 6) as q25, round(q2, 6) as q50, round(q3, 6) as q75, min(v) filter (inside) as whisker_low,
   max(v) filter (inside) as whisker_high, count(*) filter (not inside) as n_outliers from f group by label, feature, q1, q2, q3""")
 def box_stats(spark, sf):
     return D.box_stats(I.labelled_features(spark, sf), STABLE_COLS, "label")

@@ -63,13 +63,15 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 
 def small(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for a lookup table, but only after checking its size.
+    """Broadcast a lookup table, but only after checking its size.
 
-    Beyond the bound the table is returned without a hint: Spark then plans a
-    shuffled join, which AQE splits where a token is hot.
+    A table within the bound is fetched once, so several joins with it do not
+    compute it again. Beyond the bound it is returned as it is: Spark then plans
+    a shuffled join, which AQE splits where a token is hot.
     """
-    if lookup.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(lookup)
+    rows = lookup.limit(max_rows + 1).toArrow()
+    if rows.num_rows <= max_rows:
+        return F.broadcast(lookup.sparkSession.createDataFrame(rows, lookup.schema))
     return lookup
 
 

@@ -21,7 +21,10 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
         for c, kind in df.dtypes
     ]
     # An empty text is quoted, a missing one is not: both survive the way back.
-    df.select(*flat).write.mode(mode).options(header=True, escape='"', quote='"', emptyValue='""').csv(path)
+    # Blanks at the edges of a value belong to it.
+    df.select(*flat).write.mode(mode).options(
+        header=True, escape='"', quote='"', emptyValue='""',
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def append_table(df: DataFrame, path: str) -> None:
