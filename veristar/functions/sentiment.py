@@ -15,24 +15,19 @@ def gap(left: Column, right: Column) -> Column:
     return F.round(F.abs(left - right), 4)
 
 
-def softmax3(neg: Column, neu: Column, pos: Column) -> tuple[Column, Column, Column]:
-    """Softmax of three logits, shifted by their maximum."""
-    top = F.greatest(neg, neu, pos)
-    parts = [F.exp(logit - top) for logit in (neg, neu, pos)]
-    total = parts[0] + parts[1] + parts[2]
-    return tuple(part / total for part in parts)
+def softmax3(neg: Column, neu: Column, pos: Column) -> Column:
+    """Softmax of three logits, shifted by their maximum, as an array."""
+    logits = F.array(neg, neu, pos)
+    weights = F.transform(logits, lambda z: F.exp(z - F.greatest(neg, neu, pos)))
+    total = F.aggregate(weights, F.lit(0.0), lambda sum_, w: sum_ + w)
+    return F.transform(weights, lambda w: w / total)
 
 
 def model_sentiment_columns(neg: Column, neu: Column, pos: Column, blank: Column) -> dict[str, Column]:
     """Rounded class shares and ``pos - neg``; blank text is neutral."""
-    p_neg, p_neu, p_pos = softmax3(neg, neu, pos)
-
-    def unless_blank(value: Column, fallback: float) -> Column:
-        return F.when(blank, F.lit(fallback)).otherwise(F.round(value, 4))
-
+    shares = F.when(blank, F.array(F.lit(0.0), F.lit(1.0), F.lit(0.0))).otherwise(softmax3(neg, neu, pos))
+    p_neg, p_neu, p_pos = (F.get(shares, F.lit(i)) for i in range(3))
     return {
-        "model_sentiment": unless_blank(p_pos - p_neg, 0.0),
-        "model_neg": unless_blank(p_neg, 0.0),
-        "model_neu": unless_blank(p_neu, 1.0),
-        "model_pos": unless_blank(p_pos, 0.0),
+        "model_sentiment": F.round(p_pos - p_neg, 4), "model_neg": F.round(p_neg, 4),
+        "model_neu": F.round(p_neu, 4), "model_pos": F.round(p_pos, 4),
     }

@@ -12,6 +12,10 @@ SPACE_CHARS = (
     r"\x09\x0a\x0b\x0c\x0d\x1c\x1d\x1e\x1f\x20\x85\xa0"
     r"[\x{1680}-\x{3000}&&[\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]]"
 )
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 PUNCTUATION_MARK = r"\p{Punct}"
 SENTENCE_MARKS = ".!?"
@@ -19,17 +23,16 @@ SENTENCE_MARKS = ".!?"
 # One match per piece between sentence marks that holds more than whitespace.
 SENTENCE_PIECE = f"[^{SENTENCE_MARKS}{SPACE_CHARS}][^{SENTENCE_MARKS}]*+"
 
-# Syllables: vowel groups, less a silent final e, at least one per word.
+# Syllables: vowel groups without a silent final e (after a consonant other than
+# l), at least one per word. One match per syllable: either a whole word that has
+# no counted vowel group, or a vowel group that is not a silent e.
 _VOWELS = "aeiouy"
 _NOT_VOWEL = f"[{WORD_CHARS}&&[^{_VOWELS}]]"
 _BEFORE_SILENT = f"[{WORD_CHARS}&&[^{_VOWELS}l]]"
-VOWEL_GROUP = f"[{_VOWELS}]+"
-SILENT_E = f"{_BEFORE_SILENT}e(?![{WORD_CHARS}])"
-# Whole words whose count would be zero: no vowel, or the silent e is the only one.
-ZERO_SYLLABLE_WORD = (
-    f"(?<![{WORD_CHARS}])(?:{_NOT_VOWEL}*+(?:(?<={_BEFORE_SILENT})e)?)"
-    f"(?<=[{WORD_CHARS}])(?![{WORD_CHARS}])"
-)
+_WORD_END = f"(?![{WORD_CHARS}])"
+_BARE_WORD = f"(?<![{WORD_CHARS}]){_NOT_VOWEL}*+(?:(?<={_BEFORE_SILENT})e)?(?<=[{WORD_CHARS}]){_WORD_END}"
+_GROUP_FROM_E = f"e(?:[{_VOWELS}]++|(?=[{WORD_CHARS}])|(?<!{_BEFORE_SILENT}e))"
+SYLLABLE = f"[aiouy][{_VOWELS}]*+|{_GROUP_FROM_E}|{_BARE_WORD}"
 
 
 def text_or_empty(text: Column) -> Column:
@@ -96,12 +99,7 @@ def avg_sentence_length(text: Column) -> Column:
 
 
 def syllable_count(text: Column) -> Column:
-    low = F.lower(text)
-    return (
-        F.regexp_count(low, F.lit(VOWEL_GROUP))
-        - F.regexp_count(low, F.lit(SILENT_E))
-        + F.regexp_count(low, F.lit(ZERO_SYLLABLE_WORD))
-    )
+    return F.regexp_count(F.lower(text), F.lit(SYLLABLE))
 
 
 def reading_ease_of(n_words: Column, n_sentences: Column, n_syllables: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.verdict import two_decimals
+from ..session import IN_ROW_TOKENS, one_of, quoted, small
 
 # Weight bands and the markup of each.
 STRONG, MILD = 0.30, 0.05
@@ -16,8 +17,9 @@ SPANS = {
     "strong_authentic": "<span style='background-color:#064E3B; color:#6EE7B7; padding:2px 6px; border-radius:4px; font-weight:600;' title='Authentic Weight: {w}'>{t}</span>",
     "mild_authentic": "<span style='background-color:#065F46; color:#A7F3D0; padding:2px 4px; border-radius:4px;' title='Authentic Weight: {w}'>{t}</span>",
 }
-# Tokens with the whitespace that follows them.
-CHUNK = f"[^{T.SPACE_CHARS}]+[{T.SPACE_CHARS}]*|[{T.SPACE_CHARS}]+"
+# Between a blank and a token: cuts a text into tokens with the whitespace that follows them.
+CHUNK_START = f"(?<=[{T.SPACE_CHARS}])(?![{T.SPACE_CHARS}])"
+BUCKETS = 256
 
 
 def word_weights(coefficients: DataFrame) -> DataFrame:
@@ -36,11 +38,10 @@ def band(weight: Column) -> Column:
 
 
 def _weighted_tokens(reviews: DataFrame, coefficients: DataFrame, text_col: str) -> DataFrame:
-    chunks = F.regexp_extract_all(T.text_or_empty(F.col(text_col)), F.lit(CHUNK), F.lit(0))
-    rows = reviews.select("review_id", F.posexplode_outer(chunks).alias("pos", "chunk"))
+    chunks = F.split(T.text_or_empty(F.col(text_col)), CHUNK_START)
+    rows = reviews.select("review_id", F.posexplode(chunks).alias("pos", "chunk"))
     rows = rows.withColumn("token", F.regexp_replace("chunk", f"[{T.SPACE_CHARS}]+$", ""))
-    # A model has a few thousand coefficients at most.
-    weights = F.broadcast(word_weights(coefficients))
+    weights = small(word_weights(coefficients))
     return rows.join(weights, T.token_key(F.col("token")) == weights["key"], "left").withColumn(
         "band", band(F.coalesce("weight", F.lit(0.0))))
 
@@ -54,21 +55,64 @@ def word_attribution(reviews: DataFrame, coefficients: DataFrame, text_col: str
 def explain_words(reviews: DataFrame, coefficients: DataFrame, text_col: str = "review_text") -> DataFrame:
     """``review_id, explained_html``: the escaped text with coloured spans.
 
-    Without any coefficient the whole text is escaped. One group is one review.
+    Without any coefficient the whole text is escaped. A model of bounded size is
+    looked up inside the row, so that texts are neither exploded nor shuffled.
+    """
+    weights = word_weights(coefficients).limit(IN_ROW_TOKENS + 1)
+    rows = weights.select(F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).alias("b"), "key", "weight").toArrow().to_pylist()
+    if not rows:
+        return reviews.select("review_id", T.html_escape(T.text_or_empty(F.col(text_col))).alias("explained_html"))
+    if len(rows) > IN_ROW_TOKENS:
+        return explain_by_join(reviews, coefficients, text_col)
+    return explain_in_row(reviews, rows, text_col)
+
+
+def explain_in_row(reviews: DataFrame, weights: list[dict], text_col: str = "review_text") -> DataFrame:
+    """One projection. Escaping adds no whitespace, so raw and escaped chunks line up.
+
+    The weights sit in small maps by hash bucket, because a map is searched
+    key by key; the set test before spares most words even that.
     """
     text = T.text_or_empty(F.col(text_col))
-    if coefficients.isEmpty():
-        return reviews.select("review_id", T.html_escape(text).alias("explained_html"))
-    rows = _weighted_tokens(reviews, coefficients, text_col)
-    shown, weight = T.html_escape(F.col("token")), two_decimals(F.round("weight", 4))
-    span = F.lit(None).cast("string")
-    for name, markup in SPANS.items():
+    maps: list[list[str]] = [[] for _ in range(BUCKETS)]
+    for r in weights:
+        maps[r["b"]].append(f"{quoted(r['key'])}, {r['weight']!r}D")
+    table = "array(" + ", ".join(f"map({', '.join(m)})" if m else "cast(map() as map<string,double>)" for m in maps) + ")"
+    known = one_of([r["key"] for r in weights])
+    return (
+        reviews.select("review_id", F.split(text, CHUNK_START).alias("raw"),
+                       F.split(T.html_escape(text), CHUNK_START).alias("shown"))
+        .withColumn("keys", F.transform("raw", T.token_key))
+        .withColumn("weights", F.expr(
+            f"transform(keys, k -> if({known('k')}, get({table}, cast(pmod(xxhash64(k), {BUCKETS}) as int))[k], null))"))
+        .select("review_id", F.array_join(F.zip_with("shown", "weights", _decorate), "").alias("explained_html"))
+    )
+
+
+def _decorate(chunk: Column, weight: Column) -> Column:
+    """A chunk with its span; the whitespace behind the token stays outside."""
+    token = F.rtrim(chunk, F.lit(T.SPACES))
+    space = F.substring(chunk, F.length(token) + 1, F.length(chunk))
+    return F.when(F.coalesce(F.abs(weight) > MILD, F.lit(False)), F.concat(_span(band(weight), token, weight), space)) \
+        .otherwise(chunk)
+
+
+def _span(name: Column, shown: Column, weight: Column) -> Column:
+    span = shown
+    for key, markup in SPANS.items():
         start, rest = markup.split("{w}")
         middle, end = rest.split("{t}")
-        span = F.when(F.col("band") == name, F.concat(
-            F.lit(start), weight, F.lit(middle), shown, F.lit(end))).otherwise(span)
-    space = F.substring("chunk", F.length("token") + 1, F.length("chunk") - F.length("token"))
-    rows = rows.select("review_id", "pos", F.coalesce(F.concat(F.coalesce(span, shown), space), F.lit("")).alias("html"))
-    parts = F.array_sort(F.collect_list(F.struct("pos", "html")))
+        span = F.when(name == key, F.concat(
+            F.lit(start), two_decimals(F.round(weight, 4)), F.lit(middle), shown, F.lit(end))).otherwise(span)
+    return span
+
+
+def explain_by_join(reviews: DataFrame, coefficients: DataFrame, text_col: str = "review_text") -> DataFrame:
+    """The same for a model of any size. One group is one review."""
+    rows = _weighted_tokens(reviews, coefficients, text_col)
+    shown = T.html_escape(F.col("token"))
+    space = F.substring("chunk", F.length("token") + 1, F.length("chunk"))
+    html = F.concat(_span(F.col("band"), shown, F.col("weight")), space)
+    parts = F.array_sort(F.collect_list(F.struct("pos", html.alias("html"))))
     return rows.groupBy("review_id").agg(parts.alias("parts")).select(
         "review_id", F.array_join(F.col("parts.html"), "").alias("explained_html"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .profiling import QUARTILES, quantiles, value_frequencies
@@ -21,21 +21,18 @@ def _frequencies(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
 def histogram(df: DataFrame, value: str, bins: int, keys: list[str] | None = None) -> DataFrame:
     """Equal bins over the whole range, the last one closed; empty bins are left out.
 
-    Rows are first reduced to value frequencies. The common range comes from a
-    window over those, so the table is read once.
+    Rows are first reduced to value frequencies; the common range is a scalar
+    subquery over those, which reuses their shuffle.
     """
     keys = keys or []
     freq = _frequencies(df, value, keys)
-    span = freq.agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    width = (F.col("hi") - F.col("lo")) / bins
-    slot = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
-        F.least(F.floor((F.col("value") - F.col("lo")) * bins / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))),
-                F.lit(bins - 1)).cast("int"))
-    # One-row side: the join key is a constant, the broadcast is a single row.
-    one = F.lit(1)
-    placed = freq.withColumn("k", one).join(F.broadcast(span.withColumn("k", one)), "k")
+    span = freq.agg(F.struct(F.min("value").alias("lo"), F.max("value").alias("hi")).alias("span")).scalar()
+    placed = freq.withColumn("span", span).select(*keys, "value", "n", "span.*")
+    width = F.col("hi") - F.col("lo")
+    slot = F.when(width == 0, F.lit(0)).otherwise(
+        F.least(F.floor((F.col("value") - F.col("lo")) * bins / F.nullif(width, F.lit(0.0))), F.lit(bins - 1)).cast("int"))
     return (
-        placed.groupBy(*keys, slot.alias("bin"), F.round(F.col("lo") + width * slot, 4).alias("bin_start"))
+        placed.groupBy(*keys, slot.alias("bin"), F.round(F.col("lo") + width / bins * slot, 4).alias("bin_start"))
         .agg(F.sum("n").alias("n_rows"))
     )
 

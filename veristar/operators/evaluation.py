@@ -6,6 +6,8 @@ from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 # Metric names, in report order.
 METRICS = ["accuracy", "precision", "recall", "f1_score", "roc_auc"]
 
@@ -51,6 +53,8 @@ def roc_auc(scores: DataFrame, score: str = "probability", target: str = "target
         F.count_if(F.col(target) == 1).cast("double").alias("pos"),
         F.count_if(F.col(target) == 0).cast("double").alias("neg"),
     )
+    # Used by the cut and by both passes below.
+    grouped = materialize(grouped, "scores")
     cutter = QuantileDiscretizer(numBuckets=buckets, inputCol="score", outputCol="range", relativeError=0.0005)
     ranged = cutter.fit(grouped).transform(grouped)
     inside = Window.partitionBy("range").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)

@@ -8,19 +8,20 @@ is shuffled: the partial sums already cover the whole review.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.sentiment import model_sentiment_columns
-from ..session import small
+from ..session import small, token_test
 from ..sources import params as P
 
 
-@dataclass(frozen=True)
+@dataclass
 class SentimentTables:
-    """Lookup tables of the two sentiment scores."""
+    """Lookup tables of the two sentiment scores; the derived ones are built once."""
 
     lexicon: DataFrame            # token, valence
     boosters: DataFrame           # token, scalar
@@ -29,45 +30,46 @@ class SentimentTables:
     bias: tuple[float, float, float] = (0.0, 0.0, 0.0)
     contrast: str = P.CONTRAST_WORD
 
+    @cached_property
+    def facts(self) -> DataFrame:
+        """One row per known token: valence (boosters carry none) and head weights."""
+        nothing = F.lit(None).cast("double")
+        weights = ("w_neg", "w_neu", "w_pos")
+        parts = self.lexicon.join(self.boosters.select("token"), "token", "left_anti").select(
+            "token", "valence", *[nothing.alias(w) for w in weights])
+        if self.head is not None:
+            parts = parts.unionByName(self.head.select("token", nothing.alias("valence"), *weights))
+        merged = parts.groupBy(F.col("token").alias("hit")).agg(*[F.max(c).alias(c) for c in ("valence", *weights)])
+        return small(merged)
+
+    @cached_property
+    def modifiers(self) -> DataFrame:
+        """Boosters and negations; a word with its own valence never modifies another."""
+        parts = self.boosters.select("token", "scalar", F.lit(False).alias("negates")).unionByName(
+            self.negations.select("token", F.lit(0.0).alias("scalar"), F.lit(True).alias("negates")))
+        merged = parts.groupBy("token").agg(F.max_by("scalar", F.abs("scalar")).alias("scalar"),
+                                            F.bool_or("negates").alias("negates"))
+        return small(merged.join(self.lexicon.select("token"), "token", "left_anti"))
+
+    @cached_property
+    def known(self):
+        """In-row test for known tokens, or ``None`` where there are too many."""
+        return token_test(self.facts, "hit")
+
 
 def default_tables(spark) -> SentimentTables:
     return SentimentTables(P.sample_lexicon(spark), P.default_boosters(spark), P.default_negations(spark))
 
 
-def trimmed(token: Column) -> Column:
-    """Drop edge punctuation, but keep marks-only tokens such as emoticons whole."""
-    core = F.btrim(token, F.lit(T.PUNCTUATION))
-    return F.when(F.length(core) <= 2, token).otherwise(core)
-
-
 def is_upper(token: Column) -> Column:
     return (token == F.upper(token)) & (token != F.lower(token))
 
 
 def sentiment_tokens(text: Column) -> Column:
-    return F.transform(T.spaced_tokens(text), trimmed)
-
-
-def _word_facts(tables: SentimentTables) -> DataFrame:
-    """One lookup per token: valence (boosters carry none) and head weights."""
-    facts = tables.lexicon.join(tables.boosters.select("token"), "token", "left_anti")
-    if tables.head is None:
-        zero = F.lit(0.0)
-        facts = facts.withColumns({"w_neg": zero, "w_neu": zero, "w_pos": zero})
-    else:
-        facts = facts.join(tables.head, "token", "full_outer")
-    return facts.select(F.col("token").alias("hit"), "valence", "w_neg", "w_neu", "w_pos")
-
-
-def _modifiers(tables: SentimentTables) -> DataFrame:
-    """Boosters and negations; a word with its own valence never modifies another."""
-    negations = tables.negations.select("token", F.lit(True).alias("negates"))
-    return (
-        tables.boosters.join(negations, "token", "full_outer")
-        .join(tables.lexicon.select("token"), "token", "left_anti")
-        .select("token", F.coalesce("scalar", F.lit(0.0)).alias("scalar"),
-                F.coalesce("negates", F.lit(False)).alias("negates"))
-    )
+    """Tokens without edge punctuation; very short ones, such as emoticons, stay whole."""
+    raw = T.spaced_tokens(text)
+    cores = F.transform(raw, lambda t: F.btrim(t, F.lit(T.PUNCTUATION)))
+    return F.zip_with(raw, cores, lambda t, core: F.when(F.length(core) <= 2, t).otherwise(core))
 
 
 def _emphasis(text: Column) -> Column:
@@ -94,33 +96,23 @@ def sentiment_scores(reviews: DataFrame, tables: SentimentTables, carry: dict[st
     per_review = (
         reviews.select(F.col(id_col), *[c.alias(n) for n, c in carry.items()],
                        _emphasis(text).alias("emphasis"), sentiment_tokens(text).alias("toks"))
-        .withColumn("n_toks", F.size("toks"))
-        .withColumn("n_caps", F.size(F.filter("toks", is_upper)))
-        .withColumn("contrast_at", F.array_position(F.transform("toks", F.lower), tables.contrast))
-        .withColumn("mixed_case", (F.col("n_caps") > 0) & (F.col("n_caps") < F.col("n_toks")))
+        .withColumns({"n_toks": F.size("toks"), "n_caps": F.size(F.filter("toks", is_upper)),
+                      "keys": F.transform("toks", F.lower)})
+        .withColumns({"contrast_at": F.array_position("keys", tables.contrast) - 1,
+                      "mixed_case": (F.col("n_caps") > 0) & (F.col("n_caps") < F.col("n_toks"))})
     )
-    # Position 0 is an empty token that stands for the review itself, so that
-    # reviews without any known word keep their row.
-    pad = F.array(F.lit(""))
-    here = F.concat(pad, F.col("toks"))
-    shifted = [
-        F.concat(F.array_repeat(F.lit(""), k + 1), F.slice("toks", 1, F.greatest(F.col("n_toks") - k, F.lit(0))))
-        for k in (1, 2, 3)
-    ]
-    kept = list(carry)
+    places = "case when n_toks > 0 then sequence(0, n_toks - 1) else cast(array() as array<int>) end"
+    if tables.known:
+        places = f"filter({places}, i -> {tables.known('get(keys, i)')})"
+    # A review without any known word keeps one row, with an empty token.
     rows = per_review.select(
-        id_col, *kept, "emphasis", "n_toks", "contrast_at", "mixed_case",
-        F.posexplode(F.arrays_zip(here.alias("t"), *[c.alias(f"p{k}") for k, c in enumerate(shifted, 1)]))
-        .alias("pos", "tok"),
-    ).select(
-        id_col, *kept, "emphasis", "n_toks", "contrast_at", "mixed_case", "pos",
-        F.col("tok.t").alias("t"), *[F.col(f"tok.p{k}").alias(f"p{k}") for k in (1, 2, 3)],
-    )
-    facts = small(_word_facts(tables))
-    hits = (
-        rows.join(facts, F.lower(F.col("t")) == F.col("hit"), "left")
-        .where((F.col("pos") == 0) | F.col("hit").isNotNull())
-    )
+        id_col, *carry, "emphasis", "n_toks", "contrast_at", "mixed_case",
+        F.explode_outer(F.expr(
+            f"transform({places}, i -> struct(i as pos, get(toks, i) as t, "
+            "get(toks, i - 1) as p1, get(toks, i - 2) as p2, get(toks, i - 3) as p3))")).alias("tok"),
+    ).select(id_col, *carry, "emphasis", "n_toks", "contrast_at", "mixed_case", "tok.*")
+    hits = rows.join(tables.facts, F.lower(F.col("t")) == F.col("hit"), "left")
+    kept = list(carry)
     hits = _with_valence(hits, tables)
 
     weights = [F.sum(w).alias(w) for w in ("w_neg", "w_neu", "w_pos")]
@@ -128,47 +120,38 @@ def sentiment_scores(reviews: DataFrame, tables: SentimentTables, carry: dict[st
         *[F.any_value(c).alias(c) for c in (*kept, "emphasis", "n_toks")],
         F.sum("v").alias("s"), *weights,
     )
-    s = F.coalesce(F.col("s"), F.lit(0.0))
-    total = s + F.signum(s) * F.col("emphasis")
-    score = F.round(total / F.sqrt(total * total + P.NORMALIZER), 4)
-    blank = F.col("n_toks") == 0
-    logits = [
-        F.lit(float(b)) + F.coalesce(F.col(w), F.lit(0.0)) / F.greatest(F.col("n_toks"), F.lit(1))
-        for b, w in zip(tables.bias, ("w_neg", "w_neu", "w_pos"))
-    ]
-    return sums.select(
-        id_col, *kept, score.alias("sentiment_score"),
-        *[c.alias(n) for n, c in model_sentiment_columns(*logits, blank).items()],
-    )
+    logits = {
+        z: f"{float(b)}D + coalesce({w}, 0.0D) / greatest(n_toks, 1) as {z}"
+        for z, b, w in zip(("z_neg", "z_neu", "z_pos"), tables.bias, ("w_neg", "w_neu", "w_pos"))
+    }
+    totals = sums.selectExpr(
+        id_col, *kept, "n_toks = 0 as blank",
+        "coalesce(s, 0.0D) + signum(coalesce(s, 0.0D)) * emphasis as total", *logits.values())
+    parts = model_sentiment_columns(F.col("z_neg"), F.col("z_neu"), F.col("z_pos"), F.col("blank"))
+    score = F.expr(f"round(total / sqrt(total * total + {P.NORMALIZER}D), 4)")
+    return totals.select(id_col, *kept, score.alias("sentiment_score"), *[c.alias(n) for n, c in parts.items()])
+
+
+def _upper(token: str) -> str:
+    return f"({token} = upper({token}) and {token} <> lower({token}))"
 
 
 def _with_valence(hits: DataFrame, tables: SentimentTables) -> DataFrame:
     """Apply capitals, boosters, negations and the contrast word to each valence."""
-    modifiers = small(_modifiers(tables))
-    scored = F.col("valence").isNotNull()
-    shout = F.col("mixed_case") & is_upper(F.col("t"))
-    out = hits.withColumn(
-        "v", F.col("valence") + F.when(shout, F.signum("valence") * P.CAPS_EMPHASIS).otherwise(0.0)
-    )
+    out = hits.selectExpr(
+        "*", f"valence + if(mixed_case and {_upper('t')}, signum(valence) * {P.CAPS_EMPHASIS}D, 0.0D) as v0")
     for k, damping in enumerate(P.DAMPING, 1):
-        near = modifiers.select(F.col("token").alias(f"m{k}"), F.col("scalar").alias(f"s{k}"),
-                                F.col("negates").alias(f"n{k}"))
+        near = tables.modifiers.selectExpr(f"token as m{k}", f"scalar as s{k}", f"negates as n{k}")
         # A null key finds nothing, so words without valence cost no lookup.
-        key = F.when(scored, F.lower(F.col(f"p{k}")))
-        out = out.join(near, key == F.col(f"m{k}"), "left")
-        side = F.when(F.col("v") < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
-        loud = F.when(F.col("mixed_case") & is_upper(F.col(f"p{k}")), F.lit(P.CAPS_EMPHASIS)).otherwise(F.lit(0.0))
-        push = F.when(F.coalesce(F.col(f"s{k}"), F.lit(0.0)) != 0,
-                      side * (F.col(f"s{k}") + loud) * damping).otherwise(F.lit(0.0))
-        flip = F.when(F.coalesce(F.col(f"n{k}"), F.lit(False)), F.lit(P.NEGATION_FACTOR)).otherwise(F.lit(1.0))
-        out = out.withColumn("v", (F.col("v") + push) * flip)
-    place = (
-        F.when(F.col("contrast_at") == 0, F.lit(1.0))
-        .when(F.col("pos") < F.col("contrast_at"), F.lit(P.BEFORE_CONTRAST))
-        .when(F.col("pos") > F.col("contrast_at"), F.lit(P.AFTER_CONTRAST))
-        .otherwise(F.lit(1.0))
-    )
-    return out.withColumn("v", F.col("v") * place)
+        key = F.expr(f"case when valence is not null then lower(p{k}) end")
+        before = f"v{k - 1}"
+        loud = f"if(mixed_case and {_upper(f'p{k}')}, {P.CAPS_EMPHASIS}D, 0.0D)"
+        push = (f"if(coalesce(s{k}, 0.0D) <> 0, if({before} < 0, -1.0D, 1.0D) * (s{k} + {loud}) * {damping}D, 0.0D)")
+        flip = f"if(coalesce(n{k}, false), {P.NEGATION_FACTOR}D, 1.0D)"
+        out = out.join(near, key == F.col(f"m{k}"), "left").selectExpr("*", f"({before} + {push}) * {flip} as v{k}")
+    return out.selectExpr(
+        "*", f"""v{len(P.DAMPING)} * case when contrast_at < 0 or pos = contrast_at then 1.0D
+                 when pos < contrast_at then {P.BEFORE_CONTRAST}D else {P.AFTER_CONTRAST}D end as v""")
 
 
 def lexicon_sentiment(reviews: DataFrame, tables: SentimentTables, **names) -> DataFrame:

@@ -33,11 +33,8 @@ def value_counts(df: DataFrame, col: str, by_key: bool = False) -> DataFrame:
 
 def value_share(df: DataFrame, col: str) -> DataFrame:
     """Percent of the rows per value, one decimal."""
-    from pyspark.sql import Window
-
     counts = value_counts(df, col)
-    # The window sees one row per distinct value, not the table.
-    total = F.sum("n_rows").over(Window.partitionBy())
+    total = counts.agg(F.sum("n_rows")).scalar()
     return counts.withColumn("pct", F.round(F.col("n_rows") * 100.0 / total, 1))
 
 

@@ -23,7 +23,7 @@ def text_scores(reviews: DataFrame, coefficients: DataFrame, stop_words: list[st
     division by the vector length is done once, after both sums.
     """
     known = F.broadcast(coefficients.where("kind = 'text'").select("feature", "weight", "idf"))
-    rows = term_rows(reviews, stop_words)
+    rows = term_rows(reviews, stop_words, known, "feature")
     counted = (
         rows.join(known, rows["term"] == known["feature"])
         .groupBy("review_id", "term", "weight", "idf").agg(F.count(F.lit(1)).alias("tf"))

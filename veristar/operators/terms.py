@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..session import local_table, small
+from ..session import local_table, token_test
 
 # Vocabulary size and shortest token of the text features.
 MAX_TERMS = 2000
@@ -25,24 +25,31 @@ def tokens(text: Column, stop_words: list[str]) -> Column:
     return F.filter(T.words(text), keep)
 
 
-def bigrams(token_array: Column) -> Column:
-    """Neighbouring tokens joined by a blank."""
-    heads = F.slice(token_array, F.lit(1), F.greatest(F.size(token_array) - 1, F.lit(0)))
-    tails = F.slice(token_array, F.lit(2), F.greatest(F.size(token_array) - 1, F.lit(0)))
-    return F.zip_with(heads, tails, lambda a, b: F.concat_ws(" ", a, b))
+# Neighbouring tokens joined by a blank.
+_NEIGHBOURS = "case when size(toks) > 1 then sequence(0, size(toks) - 2) else cast(array() as array<int>) end"
+_PAIR = "concat(get(toks, i), ' ', get(toks, i + 1))"
+BIGRAMS = f"transform({_NEIGHBOURS}, i -> {_PAIR})"
+ALL_TERMS = f"concat(toks, {BIGRAMS})"
 
 
 def token_arrays(reviews: DataFrame, stop_words: list[str], text_col: str = "review_text",
-                 id_col: str = "review_id") -> DataFrame:
+                 id_col: str = "review_id", keep: tuple[str, ...] = ()) -> DataFrame:
     text = T.text_or_empty(F.col(text_col))
-    return reviews.select(id_col, tokens(text, stop_words).alias("toks"))
+    return reviews.select(id_col, *keep, tokens(text, stop_words).alias("toks"))
 
 
-def term_rows(reviews: DataFrame, stop_words: list[str], text_col: str = "review_text",
-              id_col: str = "review_id") -> DataFrame:
-    """One row per unigram and bigram occurrence."""
-    arrays = token_arrays(reviews, stop_words, text_col, id_col)
-    return arrays.select(id_col, F.explode(F.concat("toks", bigrams(F.col("toks")))).alias("term"))
+def known_only(terms: str, lookup: DataFrame | None, col: str) -> str:
+    """Thin out a term array to the terms of a small lookup, inside the row."""
+    test = token_test(lookup, col) if lookup is not None else None
+    return f"filter({terms}, x -> {test('x')})" if test else terms
+
+
+def term_rows(reviews: DataFrame, stop_words: list[str], lookup: DataFrame | None = None, col: str = "term",
+              **names) -> DataFrame:
+    """One row per unigram and bigram occurrence; with ``lookup``, of its terms."""
+    id_col = names.get("id_col", "review_id")
+    arrays = token_arrays(reviews, stop_words, **names)
+    return arrays.select(id_col, F.explode(F.expr(known_only(ALL_TERMS, lookup, col))).alias("term"))
 
 
 def term_counts(reviews: DataFrame, stop_words: list[str], **names) -> DataFrame:
@@ -73,21 +80,21 @@ def top_terms(reviews: DataFrame, stop_words: list[str], max_terms: int = MAX_TE
     long tail of bigrams is never shuffled, and the result is still exact.
     """
     arrays = token_arrays(reviews, stop_words, **names)
-    singles = (
-        arrays.select(F.explode("toks").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("total"))
-        .persist()
-    )
+    singles = arrays.select(F.explode("toks").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("total"))
+    singles = singles.persist()
     # At most ``max_terms`` counts; the smallest is the bar for bigrams.
     bar = _top(singles, max_terms).agg(F.min("total").alias("bar"), F.count(F.lit(1)).alias("k")).first()
     floor = bar["bar"] if bar["k"] == max_terms else 1
-    pairs = arrays.select(F.explode(bigrams(F.col("toks"))).alias("term"))
-    if floor > 1:
-        frequent = small(singles.where(F.col("total") >= floor).select(F.col("term").alias("word")))
-        for part in (0, 1):
-            word = F.get(F.split("term", " "), F.lit(part))
-            pairs = pairs.join(frequent, word == F.col("word"), "left_semi")
-    doubles = pairs.groupBy("term").agg(F.count(F.lit(1)).alias("total")).where(F.col("total") >= floor)
-    return _top(singles.where(F.col("total") >= floor).unionByName(doubles), max_terms)
+    singles = singles.where(F.col("total") >= floor)
+    # Many words can tie at a low bar; then all bigrams are counted.
+    frequent = token_test(singles, "term") if floor > 1 else None
+    pairs = BIGRAMS
+    if frequent:
+        both = f"{frequent('get(toks, i)')} and {frequent('get(toks, i + 1)')}"
+        pairs = f"transform(filter({_NEIGHBOURS}, i -> {both}), i -> {_PAIR})"
+    doubles = arrays.select(F.explode(F.expr(pairs)).alias("term")).groupBy("term").agg(
+        F.count(F.lit(1)).alias("total"))
+    return _top(singles.unionByName(doubles.where(F.col("total") >= floor)), max_terms)
 
 
 def fit_vocabulary(reviews: DataFrame, stop_words: list[str], max_terms: int = MAX_TERMS, **names) -> Vocabulary:
@@ -97,27 +104,25 @@ def fit_vocabulary(reviews: DataFrame, stop_words: list[str], max_terms: int = M
     like any other fitted model.
     """
     spark = reviews.sparkSession
-    chosen = top_terms(reviews, stop_words, max_terms, **names).collect()
-    ordered = sorted(chosen, key=lambda r: r["term"])
-    base = local_table(spark, {
-        "term": (pa.string(), [r["term"] for r in ordered]),
-        "idx": (pa.int64(), list(range(len(ordered)))),
-        "total": (pa.int64(), [r["total"] for r in ordered]),
-    })
+    chosen = sorted((r["term"], r["total"]) for r in top_terms(reviews, stop_words, max_terms, **names).collect())
+    columns = {
+        "term": (pa.string(), [t for t, _ in chosen]),
+        "idx": (pa.int64(), list(range(len(chosen)))),
+        "total": (pa.int64(), [n for _, n in chosen]),
+    }
+    base = local_table(spark, columns)
     arrays = token_arrays(reviews, stop_words, **names)
-    present = F.array_distinct(F.concat("toks", bigrams(F.col("toks"))))
-    found = (
-        arrays.select(F.explode(present).alias("term")).join(F.broadcast(base), "term")
-        .groupBy("term", "idx", "total").agg(F.count(F.lit(1)).alias("df"))
-    )
-    n = reviews.count()
-    rows = found.orderBy("idx").collect()
-    table = local_table(spark, {
-        "term": (pa.string(), [r["term"] for r in rows]),
-        "idx": (pa.int64(), [r["idx"] for r in rows]),
-        "total": (pa.int64(), [r["total"] for r in rows]),
-        "df": (pa.int64(), [r["df"] for r in rows]),
-    }).withColumn("idf", smooth_idf(F.lit(n), F.col("df")))
+    present = F.expr(f"array_distinct({known_only(ALL_TERMS, base, 'term')})")
+    # The count of all reviews rides along as the count of a null term.
+    found = arrays.select(F.explode(F.concat(present, F.array(F.lit(None).cast("string")))).alias("term")) \
+        .groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    if token_test(base, "term") is None:
+        wanted = base.select("term").unionByName(spark.range(1).select(F.lit(None).cast("string").alias("term")))
+        found = found.join(wanted, found["term"].eqNullSafe(wanted["term"]), "left_semi")
+    counts = {r["term"]: r["df"] for r in found.collect()}
+    n = counts.pop(None, 0)
+    columns["df"] = (pa.int64(), [counts[t] for t, _ in chosen])
+    table = local_table(spark, columns).withColumn("idf", smooth_idf(F.lit(n), F.col("df")))
     return Vocabulary(table, n, stop_words)
 
 
@@ -134,7 +139,7 @@ def raw_weights(reviews: DataFrame, vocabulary: Vocabulary, **names) -> DataFram
     id_col = names.get("id_col", "review_id")
     known = F.broadcast(vocabulary.table.select("term", "idx", "idf"))
     counted = (
-        term_rows(reviews, vocabulary.stop_words, **names).join(known, "term")
+        term_rows(reviews, vocabulary.stop_words, vocabulary.table, **names).join(known, "term")
         .groupBy(id_col, "idx", "term", "idf").agg(F.count(F.lit(1)).alias("tf"))
     )
     return counted.select(id_col, "idx", "term", (sublinear_tf(F.col("tf")) * F.col("idf")).alias("w"))

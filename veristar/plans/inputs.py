@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,6 +76,13 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sentiment_tables(spark: SparkSession) -> SentimentTables:
+    """Loaded once per application, as a service would do."""
+    return _tables(spark.sparkContext.applicationId)
+
+
+@lru_cache(maxsize=1)
+def _tables(application: str) -> SentimentTables:
+    spark = SparkSession.getActiveSession()
     return SentimentTables(
         P.lexicon_table(spark, LEXICON), P.booster_table(spark, BOOSTERS), P.token_table(spark, NEGATIONS),
         P.head_table(spark, HEAD), BIAS, CONTRAST)

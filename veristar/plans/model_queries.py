@@ -13,7 +13,7 @@ from ..operators import training as TR
 from ..operators.features import FEATURE_COLS, extract_features
 from ..operators.keys import stratified_split
 from ..operators.scaling import fit_scaler, scaled_values
-from ..session import shared_dir
+from ..session import materialize, shared_dir
 from ..sources import columns, readers, writers
 from . import inputs as I
 from . import sql as S
@@ -77,9 +77,7 @@ s as (select feature, avg(v) as m, stddev_pop(v) as d from long group by feature
 select review_id, feature, round((v - m) / case when d = 0 then 1.0 else d end, 6) as value from long join s using (feature)""")
 def scale_features(spark, sf):
     # Read by the fit and by the transform: written once.
-    path = shared_dir(spark, "features")
-    I.features(spark, sf).na.fill(0.0).write.parquet(path)
-    rows = spark.read.parquet(path)
+    rows = materialize(I.features(spark, sf).na.fill(0.0), "features")
     scaled = scaled_values(rows, fit_scaler(rows, FEATURE_COLS), FEATURE_COLS)
     return scaled.select("review_id", "feature", F.round("value", 6).alias("value"))
 
@@ -233,10 +231,8 @@ def roc_auc(spark, sf):
 
 def _rule_report(spark, sf):
     """Five one-feature classifiers as models: each flags reviews above a mean."""
-    path = shared_dir(spark, "rules")
     labelled = I.labelled_features(spark, sf).select(V.target_of(F.col("label")).alias("target"), *RULES)
-    labelled.write.parquet(path)
-    rows = spark.read.parquet(path)
+    rows = materialize(labelled, "rules")
     means = rows.agg(*[F.avg(c).alias(f"m_{c}") for c in RULES]).first()
     flagged = rows.select("target", F.inline(F.array(*[
         F.struct(F.lit(i).alias("position"), F.lit(c).alias("model"),
@@ -282,9 +278,10 @@ select feature, weight, side, case when weight > 0 then '#EF4444' else '#10B981'
 def coef_ranking(spark, sf):
     reviews = I.reviews(spark, sf)
     vocabulary = TM.fit_vocabulary(reviews, I.STOP_WORDS)
+    labelled = reviews.withColumn("target", V.target_of(F.col("label")))
+    present = F.expr(f"array_distinct({TM.known_only(TM.ALL_TERMS, vocabulary.table, 'term')})")
     found = (
-        reviews.select(V.target_of(F.col("label")).alias("target"), TM.tokens(F.col("review_text"), I.STOP_WORDS).alias("toks"))
-        .select("target", F.explode(F.array_distinct(F.concat("toks", TM.bigrams(F.col("toks"))))).alias("term"))
+        TM.token_arrays(labelled, I.STOP_WORDS, keep=("target",)).select("target", F.explode(present).alias("term"))
         .join(F.broadcast(vocabulary.table.select("term", "idx")), "term").groupBy("term", "idx")
         .agg(F.count_if(F.col("target") == 1).alias("n1"), F.count_if(F.col("target") == 0).alias("n0"))
     )
@@ -294,11 +291,9 @@ def coef_ranking(spark, sf):
 
 
 def _prepared(spark, sf):
-    path = shared_dir(spark, "training")
-    kept = I.cleaned(spark, sf)
+    kept = materialize(I.cleaned(spark, sf), "cleaned")
     found = extract_features(kept, I.sentiment_tables(spark))
-    TR.training_set(found, kept).write.parquet(path)
-    return TR.prepare(spark.read.parquet(path), I.STOP_WORDS)
+    return TR.prepare(materialize(TR.training_set(found, kept), "training"), I.STOP_WORDS)
 
 
 @query("train_models")
