@@ -71,8 +71,9 @@ def _top(counts: DataFrame, k: int) -> DataFrame:
     return counts.orderBy(F.desc("total"), "term").limit(k)
 
 
-def top_terms(reviews: DataFrame, stop_words: list[str], max_terms: int = MAX_TERMS, **names) -> DataFrame:
-    """The most frequent terms over the corpus, ties by term.
+def top_terms(reviews: DataFrame, stop_words: list[str], max_terms: int = MAX_TERMS,
+              **names) -> list[tuple[str, int]]:
+    """The most frequent terms over the corpus with their counts, ties by term.
 
     Every occurrence of a bigram uses up one occurrence of each of its words.
     So once ``max_terms`` words reach a count, no bigram with a rarer word can
@@ -81,20 +82,22 @@ def top_terms(reviews: DataFrame, stop_words: list[str], max_terms: int = MAX_TE
     """
     arrays = token_arrays(reviews, stop_words, **names)
     singles = arrays.select(F.explode("toks").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("total"))
-    singles = singles.persist()
+    singles.persist()
     # At most ``max_terms`` counts; the smallest is the bar for bigrams.
     bar = _top(singles, max_terms).agg(F.min("total").alias("bar"), F.count(F.lit(1)).alias("k")).first()
     floor = bar["bar"] if bar["k"] == max_terms else 1
-    singles = singles.where(F.col("total") >= floor)
+    able = singles.where(F.col("total") >= floor)
     # Many words can tie at a low bar; then all bigrams are counted.
-    frequent = token_test(singles, "term") if floor > 1 else None
+    frequent = token_test(able, "term") if floor > 1 else None
     pairs = BIGRAMS
     if frequent:
         both = f"{frequent('get(toks, i)')} and {frequent('get(toks, i + 1)')}"
         pairs = f"transform(filter({_NEIGHBOURS}, i -> {both}), i -> {_PAIR})"
     doubles = arrays.select(F.explode(F.expr(pairs)).alias("term")).groupBy("term").agg(
         F.count(F.lit(1)).alias("total"))
-    return _top(singles.unionByName(doubles.where(F.col("total") >= floor)), max_terms)
+    chosen = _top(able.unionByName(doubles.where(F.col("total") >= floor)), max_terms).collect()
+    singles.unpersist()
+    return [(r["term"], r["total"]) for r in chosen]
 
 
 def fit_vocabulary(reviews: DataFrame, stop_words: list[str], max_terms: int = MAX_TERMS, **names) -> Vocabulary:
@@ -104,7 +107,7 @@ def fit_vocabulary(reviews: DataFrame, stop_words: list[str], max_terms: int = M
     like any other fitted model.
     """
     spark = reviews.sparkSession
-    chosen = sorted((r["term"], r["total"]) for r in top_terms(reviews, stop_words, max_terms, **names).collect())
+    chosen = sorted(top_terms(reviews, stop_words, max_terms, **names))
     columns = {
         "term": (pa.string(), [t for t, _ in chosen]),
         "idx": (pa.int64(), list(range(len(chosen)))),

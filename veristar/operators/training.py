@@ -29,7 +29,8 @@ LOGISTIC_C = 2.0
 SGD_ALPHA = 1e-4
 MAX_ITER = 1000
 FOREST_TREES, FOREST_DEPTH = 100, 18
-CLASS_CUT = 0.5
+# Fewer rows per task than this cost more in scheduling than in arithmetic.
+ROWS_PER_TASK = 2000
 
 MODEL_CLASSES = {
     "LogisticRegression": LogisticRegressionModel,
@@ -70,6 +71,8 @@ def prepare(data: DataFrame, stop_words: list[str], max_terms: int = MAX_TERMS,
     vocabulary = fit_vocabulary(train, stop_words, max_terms)
     vectors = materialize_vectors(vectorize(marked, scaler, vocabulary, max_terms, ("target", "is_test")))
     n_train = vectors.where(~F.col("is_test")).count()
+    # Only ever merges the few rows of a small table; large tables keep their splits.
+    vectors = vectors.coalesce(max(1, min(vectors.rdd.getNumPartitions(), -(-n_train // ROWS_PER_TASK))))
     return Prepared(vocabulary, scaler, n_train, vectors.where(~F.col("is_test")), vectors.where("is_test"))
 
 

@@ -291,9 +291,9 @@ def coef_ranking(spark, sf):
 
 
 def _prepared(spark, sf):
-    kept = materialize(I.cleaned(spark, sf), "cleaned")
+    kept = materialize(I.cleaned(spark, sf), "cleaned", "review_id")
     found = extract_features(kept, I.sentiment_tables(spark))
-    return TR.prepare(materialize(TR.training_set(found, kept), "training"), I.STOP_WORDS)
+    return TR.prepare(materialize(TR.training_set(found, kept), "training", "review_id"), I.STOP_WORDS)
 
 
 @query("train_models")

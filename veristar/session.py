@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -45,14 +46,16 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(
-                "set spark.checkpoint.dir to a folder that all executors share"
-            )
-        root = tempfile.mkdtemp(prefix="veristar-")
-        spark.conf.set("spark.checkpoint.dir", root)
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = _local_dir()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="veristar-")
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Give a *scan* enough tasks for the text work that follows.
 
@@ -102,12 +105,16 @@ def one_of(tokens: list[str]) -> Callable[[str], str]:
     return lambda token: f"{token} in ({listed})"
 
 
-def materialize(df: DataFrame, purpose: str) -> DataFrame:
+def materialize(df: DataFrame, purpose: str, key: str | None = None) -> DataFrame:
     """Write once to the shared folder and read back: cuts the lineage of a
-    result that is used several times, and survives the loss of executors."""
+    result that is used several times, and survives the loss of executors.
+
+    ``key`` as in ``spread``, for text work on the result.
+    """
     path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    written = df.sparkSession.read.parquet(path)
+    return spread(written, key) if key else written
 
 
 def local_table(spark: SparkSession, columns: dict[str, tuple[pa.DataType, list]]) -> DataFrame:
