@@ -16,6 +16,7 @@ from veristar.operators import keys as K
 from veristar.operators import lexicon as L
 from veristar.operators import model_sentiment as M
 from veristar.operators import profiling as G
+from veristar.operators import scoring as SC
 from veristar.operators import terms as TM
 from veristar.operators.features import FEATURE_COLS, MODEL_COLS, STABLE_COLS, extract_features, unprocessed_reviews
 from veristar.sources import params as P
@@ -83,17 +84,30 @@ def test_lexicon_rules(spark):
 
 def test_large_lexicon_takes_the_join(spark, monkeypatch):
     """Beyond the in-row and broadcast bounds the result is the same."""
-    import veristar.session as session
+    import veristar.operators.lookup as lookups
 
     df = spark.createDataFrame([(1, "very good but not BAD thing!"), (2, "plain"), (3, "")], "review_id long, review_text string")
     want = L.lexicon_sentiment(df, L.default_tables(spark)).orderBy("review_id").collect()
     tables = L.default_tables(spark)
-    monkeypatch.setattr(L, "small", lambda lookup: session.small(lookup, 1))
-    monkeypatch.setattr(L, "token_test", lambda lookup, col: session.token_test(lookup, col, 1))
+    monkeypatch.setattr(L, "small", lambda lookup: lookups.small(lookup, 1))
+    monkeypatch.setattr(L, "token_test", lambda lookup, col: lookups.token_test(lookup, col, 1))
     assert tables.known is None
     assert L.lexicon_sentiment(df, tables).orderBy("review_id").collect() == want
 
 
+def test_large_model_takes_the_join(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "red car red car bus"), (2, "bus stop"), (3, "")], "review_id long, review_text string")
+    table = P.coefficient_table(spark, [
+        (i, "text", k, w, None, None, 1.0 + i) for i, (k, w) in enumerate({"red": 0.5, "red car": -0.4, "bus": 0.3}.items())])
+    want = {r["review_id"]: r["text_z"] for r in SC.with_text_score(df, table, ["stop"]).collect()}
+    parts = [((1 + math.log(2)) * 1, 0.5), ((1 + math.log(2)) * 2, -0.4), (3, 0.3)]
+    assert want[1] == pytest.approx(sum(w * c for w, c in parts) / math.sqrt(sum(w * w for w, _ in parts)))
+    assert want[2] == pytest.approx(0.3) and want[3] is None
+    monkeypatch.setattr(SC, "in_row_map", lambda *args: None)
+    joined = {r["review_id"]: r["text_z"] for r in SC.with_text_score(df, table, ["stop"]).collect()}
+    assert joined == {k: v if v is None else pytest.approx(v) for k, v in want.items()}
+
+
 def test_odd_tokens_in_lookup(spark):
     tables = L.SentimentTables(
         P.lexicon_table(spark, {":')": 2.0, "\\o/": 1.0, "good": 1.5}), P.default_boosters(spark), P.default_negations(spark))

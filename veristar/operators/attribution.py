@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.verdict import two_decimals
-from ..session import IN_ROW_TOKENS, one_of, quoted, small
+from .lookup import in_row_map, small
 
 # Weight bands and the markup of each.
 STRONG, MILD = 0.30, 0.05
@@ -19,7 +19,6 @@ SPANS = {
 }
 # Between a blank and a token: cuts a text into tokens with the whitespace that follows them.
 CHUNK_START = f"(?<=[{T.SPACE_CHARS}])(?![{T.SPACE_CHARS}])"
-BUCKETS = 256
 
 
 def word_weights(coefficients: DataFrame) -> DataFrame:
@@ -58,33 +57,19 @@ def explain_words(reviews: DataFrame, coefficients: DataFrame, text_col: str = "
     Without any coefficient the whole text is escaped. A model of bounded size is
     looked up inside the row, so that texts are neither exploded nor shuffled.
     """
-    weights = word_weights(coefficients).limit(IN_ROW_TOKENS + 1)
-    rows = weights.select(F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).alias("b"), "key", "weight").toArrow().to_pylist()
-    if not rows:
+    if coefficients.isEmpty():
         return reviews.select("review_id", T.html_escape(T.text_or_empty(F.col(text_col))).alias("explained_html"))
-    if len(rows) > IN_ROW_TOKENS:
+    weights = in_row_map(word_weights(coefficients), "key", ["weight"])
+    if weights is None:
         return explain_by_join(reviews, coefficients, text_col)
-    return explain_in_row(reviews, rows, text_col)
-
-
-def explain_in_row(reviews: DataFrame, weights: list[dict], text_col: str = "review_text") -> DataFrame:
-    """One projection. Escaping adds no whitespace, so raw and escaped chunks line up.
-
-    The weights sit in small maps by hash bucket, because a map is searched
-    key by key; the set test before spares most words even that.
-    """
     text = T.text_or_empty(F.col(text_col))
-    maps: list[list[str]] = [[] for _ in range(BUCKETS)]
-    for r in weights:
-        maps[r["b"]].append(f"{quoted(r['key'])}, {r['weight']!r}D")
-    table = "array(" + ", ".join(f"map({', '.join(m)})" if m else "cast(map() as map<string,double>)" for m in maps) + ")"
-    known = one_of([r["key"] for r in weights])
+    # Escaping adds no whitespace, so raw and escaped chunks line up.
     return (
         reviews.select("review_id", F.split(text, CHUNK_START).alias("raw"),
                        F.split(T.html_escape(text), CHUNK_START).alias("shown"))
         .withColumn("keys", F.transform("raw", T.token_key))
         .withColumn("weights", F.expr(
-            f"transform(keys, k -> if({known('k')}, get({table}, cast(pmod(xxhash64(k), {BUCKETS}) as int))[k], null))"))
+            f"transform(keys, k -> if({weights.known('k')}, {weights.value('k')}.weight, null))"))
         .select("review_id", F.array_join(F.zip_with("shown", "weights", _decorate), "").alias("explained_html"))
     )
 

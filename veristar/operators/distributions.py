@@ -41,7 +41,8 @@ def density(df: DataFrame, value: str, key: str, points: int = DENSITY_POINTS) -
     """Gaussian kernel density per key on an even grid, Scott bandwidth.
 
     Equal values share one kernel, so the sum runs over value frequencies.
-    The grid spans each group's own range.
+    The grid spans each group's own range. The statistics of the groups are left
+    to AQE, which broadcasts them where they turn out small.
     """
     freq = _frequencies(df, value, [key])
     stats = freq.groupBy(key).agg(
@@ -49,7 +50,7 @@ def density(df: DataFrame, value: str, key: str, points: int = DENSITY_POINTS) -
         F.sum(F.col("value") * F.col("n")).alias("s1"),
     )
     spread = (
-        freq.join(F.broadcast(stats), key)
+        freq.join(stats, key)
         .groupBy(key, "n_all", "lo", "hi")
         .agg(F.sum(F.col("n") * F.pow(F.col("value") - F.col("s1") / F.col("n_all"), 2)).alias("ss"))
         .where((F.col("n_all") > 1) & (F.col("ss") > 0))
@@ -58,7 +59,7 @@ def density(df: DataFrame, value: str, key: str, points: int = DENSITY_POINTS) -
     step = (F.col("hi") - F.col("lo")) / (points - 1)
     kernel = F.exp(-F.pow((F.col("x") - F.col("value")) / F.col("bandwidth"), 2) / 2)
     return (
-        freq.join(F.broadcast(spread), key)
+        freq.join(spread, key)
         .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
         .withColumn("x", F.col("lo") + step * F.col("point"))
         .groupBy(key, "point", "x", "n_all", "bandwidth").agg(F.sum(F.col("n") * kernel).alias("k"))
@@ -78,8 +79,7 @@ def box_stats(df: DataFrame, cols: list[str], key: str, accuracy: int | None = N
                          (q[0] - reach).alias("low_fence"), (q[2] + reach).alias("high_fence"))
     inside = F.col("value").between(F.col("low_fence"), F.col("high_fence"))
     return (
-        # One row per (key, feature): a handful of label codes times the features.
-        freq.join(F.broadcast(fences), [key, "feature"])
+        freq.join(fences, [key, "feature"])
         .groupBy(key, "feature", "q25", "q50", "q75")
         .agg(F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
              F.max(F.when(inside, F.col("value"))).alias("whisker_high"),

@@ -12,11 +12,12 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions import text as T
 from ..functions.sentiment import model_sentiment_columns
-from ..session import small, token_test
 from ..sources import params as P
+from .lookup import small, token_test
 
 
 @dataclass
@@ -88,6 +89,8 @@ def sentiment_scores(reviews: DataFrame, tables: SentimentTables, carry: dict[st
                      text_col: str = "review_text", id_col: str = "review_id") -> DataFrame:
     """Add up both scores per review; ``carry`` columns travel along unchanged.
 
+    Carried columns are repeated per known token: carry narrow values, never texts.
+
     Result: id, carried columns, ``sentiment_score``, ``model_sentiment`` and the
     three class shares ``model_neg``, ``model_neu``, ``model_pos``.
     """
@@ -116,8 +119,11 @@ def sentiment_scores(reviews: DataFrame, tables: SentimentTables, carry: dict[st
     hits = _with_valence(hits, tables)
 
     weights = [F.sum(w).alias(w) for w in ("w_neg", "w_neu", "w_pos")]
-    sums = hits.groupBy(id_col).agg(
-        *[F.any_value(c).alias(c) for c in (*kept, "emphasis", "n_toks")],
+    # Strings go with the key: in an aggregation buffer they would force a sort.
+    strings = [f.name for f in per_review.schema if f.name in kept and isinstance(f.dataType, StringType)]
+    numbers = [c for c in kept if c not in strings]
+    sums = hits.groupBy(id_col, *strings).agg(
+        *[F.any_value(c).alias(c) for c in (*numbers, "emphasis", "n_toks")],
         F.sum("v").alias("s"), *weights,
     )
     logits = {

@@ -19,6 +19,7 @@ from ..functions import text as T
 from ..functions.sentiment import model_sentiment_columns
 from ..session import local_table
 from .lexicon import sentiment_tokens
+from .lookup import small
 from .vectors import materialize_vectors, sparse_structs
 
 CLASSES = ("w_neg", "w_neu", "w_pos")
@@ -90,8 +91,6 @@ def pos_density(reviews: DataFrame, pos_lexicon: DataFrame, text_col: str = "rev
 
     ``pos`` is ``VERB``, ``ADJ`` or ``NOUN``; words not in the table count nowhere.
     """
-    from ..session import small
-
     rows = reviews.select("review_id", F.explode_outer(T.words(T.text_or_empty(F.col(text_col)))).alias("token"))
     tagged = rows.join(small(pos_lexicon.where(F.col("pos").isin("VERB", "ADJ", "NOUN"))), "token", "left")
     counts = tagged.groupBy("review_id").agg(

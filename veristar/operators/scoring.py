@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from ..functions import verdict as V
 from .features import FEATURE_COLS, extract_features
 from .lexicon import SentimentTables
-from .terms import sublinear_tf, term_rows
+from .lookup import in_row_map, small
+from .terms import ALL_TERMS, sublinear_tf, term_rows, tokens
 
 RESULT_COLS = [
     "deceptive_probability_pct", "classification", "risk_factors", "lexicon_sentiment", "model_sentiment",
@@ -16,16 +18,34 @@ RESULT_COLS = [
 ]
 
 
-def text_scores(reviews: DataFrame, coefficients: DataFrame, stop_words: list[str]) -> DataFrame:
-    """``review_id, text_z``: the text part of the linear score.
+def with_text_score(reviews: DataFrame, coefficients: DataFrame, stop_words: list[str]) -> DataFrame:
+    """Add ``text_z``, the text part of the linear score; missing without a known term.
 
-    Terms meet the (at most few thousand) coefficients before any shuffle. The
-    division by the vector length is done once, after both sums.
+    Within the size bound of a model this stays inside the row: known terms,
+    their counts and the vector length are computed from the token array.
     """
-    known = F.broadcast(coefficients.where("kind = 'text'").select("feature", "weight", "idf"))
-    rows = term_rows(reviews, stop_words, known, "feature")
+    model = coefficients.where("kind = 'text'").select("feature", "weight", "idf")
+    lookup = in_row_map(model, "feature", ["weight", "idf"])
+    if lookup is None:
+        return reviews.join(text_scores_by_join(reviews, model, stop_words), "review_id", "left")
+    count = "size(known) - size(array_remove(known, t))"
+    entry = lookup.value("t")
+    return (
+        reviews.withColumn("toks", tokens(T.text_or_empty(F.col("review_text")), stop_words))
+        .withColumn("known", F.expr(f"filter({ALL_TERMS}, t -> {lookup.known('t')})"))
+        .withColumn("parts", F.expr(
+            f"transform(array_distinct(known), t -> struct((ln({count}) + 1) * {entry}.idf as w, {entry}.weight as c))"))
+        .withColumn("text_z", F.expr(
+            "aggregate(parts, 0D, (z, p) -> z + p.w * p.c) / nullif(sqrt(aggregate(parts, 0D, (z, p) -> z + p.w * p.w)), 0D)"))
+        .drop("toks", "known", "parts")
+    )
+
+
+def text_scores_by_join(reviews: DataFrame, model: DataFrame, stop_words: list[str]) -> DataFrame:
+    """``review_id, text_z`` for a model of any size."""
+    rows = term_rows(reviews, stop_words)
     counted = (
-        rows.join(known, rows["term"] == known["feature"])
+        rows.join(small(model), rows["term"] == F.col("feature"))
         .groupBy("review_id", "term", "weight", "idf").agg(F.count(F.lit(1)).alias("tf"))
         .select("review_id", "weight", (sublinear_tf(F.col("tf")) * F.col("idf")).alias("w"))
     )
@@ -47,14 +67,27 @@ def number_part(coefficients: DataFrame):
     return z
 
 
-def score_linear(features: DataFrame, reviews: DataFrame, coefficients: DataFrame,
-                 stop_words: list[str]) -> DataFrame:
-    """Add the unrounded ``probability``; reviews without a known term keep their number part."""
-    scored = features.join(text_scores(reviews, coefficients, stop_words), "review_id", "left")
+def with_probability(scored: DataFrame, coefficients: DataFrame) -> DataFrame:
+    """Features and ``text_z`` -> the unrounded ``probability``."""
     z = number_part(coefficients) + F.coalesce("text_z", F.lit(0.0))
     return scored.withColumn("probability", 1 / (1 + F.exp(-z))).drop("text_z")
 
 
+def score_linear(features: DataFrame, reviews: DataFrame, coefficients: DataFrame,
+                 stop_words: list[str]) -> DataFrame:
+    """Score a stored feature table; reviews without a known term keep their number part."""
+    texts = with_text_score(reviews.select("review_id", "review_text"), coefficients, stop_words)
+    return with_probability(features.join(texts.drop("review_text"), "review_id", "left"), coefficients)
+
+
+def extract_and_score(reviews: DataFrame, tables: SentimentTables, coefficients: DataFrame, stop_words: list[str],
+                      keep: tuple[str, ...] = ()) -> DataFrame:
+    """Features and probability in one pass over the texts: the text score
+    travels with the style features, so nothing is joined."""
+    scored = with_text_score(reviews, coefficients, stop_words)
+    return with_probability(extract_features(scored, tables, (*keep, "text_z")), coefficients)
+
+
 def classify(scored: DataFrame, probability: str = "probability") -> DataFrame:
     p = F.col(probability)
     return scored.withColumns({
@@ -76,12 +109,10 @@ def scan(reviews: DataFrame, tables: SentimentTables, coefficients: DataFrame, s
          keep: tuple[str, ...] = ("rating",)) -> DataFrame:
     """Score every review: kept input columns plus the eight result columns.
 
-    Both score parts are summed per ``review_id`` and are already partitioned on
-    it, so their join adds no shuffle. Name the text in ``keep`` only if the
-    result must repeat it.
+    One pass over the texts and one shuffle of narrow rows. ``keep`` is for
+    narrow columns; join the result on ``review_id`` where texts must be repeated.
     """
-    features = extract_features(reviews, tables, keep)
-    scored = risk_flags(score_linear(features, reviews, coefficients, stop_words))
+    scored = risk_flags(extract_and_score(reviews, tables, coefficients, stop_words, keep))
     p = F.col("probability")
     return scored.select(
         "review_id", *keep,
@@ -112,8 +143,8 @@ def scan_summary(scanned: DataFrame) -> DataFrame:
 def analyze(reviews: DataFrame, tables: SentimentTables, coefficients: DataFrame,
             stop_words: list[str]) -> DataFrame:
     """The detailed result per review: probability, class, nested features, list of flags."""
-    features = extract_features(reviews, tables, ("rating", "review_text"))
-    scored = classify(risk_flags(score_linear(features, reviews, coefficients, stop_words)))
-    return scored.select(
-        "review_id", "review_text", "rating", "deceptive_probability", "deceptive_percentage", "is_deceptive",
-        "classification", F.struct(*FEATURE_COLS).alias("features"), "risk_factors")
+    scored = classify(risk_flags(extract_and_score(reviews, tables, coefficients, stop_words, ("rating",))))
+    results = scored.select(
+        "review_id", "rating", "deceptive_probability", "deceptive_percentage", "is_deceptive", "classification",
+        F.struct(*FEATURE_COLS).alias("features"), "risk_factors")
+    return reviews.select("review_id", "review_text").join(results, "review_id")

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..session import local_table, token_test
+from ..session import local_table
+from .lookup import token_test
 
 # Vocabulary size and shortest token of the text features.
 MAX_TERMS = 2000

@@ -92,7 +92,7 @@ def score_linear(spark, sf):
   p >= 0.5 as is_deceptive, case when p >= 0.5 then 'Computer-Generated / Deceptive' else 'Original / Authentic' end as classification,
   case when p >= 0.5 then 'DECEPTIVE' else 'GENUINE' end as class_code from scored""")
 def classify(spark, sf):
-    scored = SC.score_linear(I.features(spark, sf), I.reviews(spark, sf), I.coefficients(spark), I.STOP_WORDS)
+    scored = SC.extract_and_score(I.reviews(spark, sf), I.sentiment_tables(spark), I.coefficients(spark), I.STOP_WORDS)
     return SC.classify(scored).select(
         "review_id", "deceptive_probability", "deceptive_percentage", "is_deceptive", "classification", "class_code")
 
@@ -195,8 +195,7 @@ counts as (select count(*) filter (target = 0 and prediction = 0) as tn, count(*
 def _predicted(spark, sf):
     """Scores of all reviews with their target; the label travels along."""
     rows = I.reviews(spark, sf)
-    found = extract_features(rows, I.sentiment_tables(spark), ("label",))
-    scored = SC.score_linear(found, rows, I.coefficients(spark), I.STOP_WORDS)
+    scored = SC.extract_and_score(rows, I.sentiment_tables(spark), I.coefficients(spark), I.STOP_WORDS, ("label",))
     return scored.select(V.target_of(F.col("label")).alias("target"), "probability",
                          V.is_deceptive(F.col("probability")).cast("int").alias("prediction"))
 

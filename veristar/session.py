@@ -1,21 +1,13 @@
-"""Session helpers: tuning, shared scratch folder, size-checked broadcast."""
+"""Session helpers: tuning, shared folder, written intermediate tables."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
 from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Row bound up to which a lookup side may be broadcast. Rows of the lookup
-# tables are a token and a few numbers, so this stays far below 100 MB.
-BROADCAST_ROWS = 200_000
-# Up to this many tokens, a known-token test is put into the expression itself.
-IN_ROW_TOKENS = 20_000
 
 
 def build_session(master: str | None = None, app: str = "veristar",
@@ -68,43 +60,6 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(cores, key)
 
 
-def small(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a lookup table, but only after checking its size.
-
-    A table within the bound is fetched once, so several joins with it do not
-    compute it again. Beyond the bound it is returned as it is: Spark then plans
-    a shuffled join, which AQE splits where a token is hot.
-    """
-    rows = lookup.limit(max_rows + 1).toArrow()
-    if rows.num_rows <= max_rows:
-        return F.broadcast(lookup.sparkSession.createDataFrame(rows, lookup.schema))
-    return lookup
-
-
-def token_test(lookup: DataFrame, col: str, max_tokens: int = IN_ROW_TOKENS) -> Callable[[str], str] | None:
-    """SQL test "is this token in the lookup", as a hash set inside the expression.
-
-    Used to thin out token arrays before they are exploded and joined. ``None``
-    where the lookup is larger than the bound: the join alone then decides.
-    """
-    rows = lookup.select(col).limit(max_tokens + 1).toArrow()
-    if rows.num_rows > max_tokens:
-        return None
-    tokens = [t for t in rows.column(0).to_pylist() if t is not None]
-    return one_of(tokens)
-
-
-def quoted(token: str) -> str:
-    return "'" + token.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def one_of(tokens: list[str]) -> Callable[[str], str]:
-    if not tokens:
-        return lambda token: "false"
-    listed = ", ".join(map(quoted, tokens))
-    return lambda token: f"{token} in ({listed})"
-
-
 def materialize(df: DataFrame, purpose: str, key: str | None = None) -> DataFrame:
     """Write once to the shared folder and read back: cuts the lineage of a
     result that is used several times, and survives the loss of executors.
