@@ -20,6 +20,7 @@ from veristar.operators import scoring as SC
 from veristar.operators import terms as TM
 from veristar.operators.features import FEATURE_COLS, MODEL_COLS, STABLE_COLS, extract_features, unprocessed_reviews
 from veristar.sources import params as P
+from veristar.sources import schemas
 
 
 # --- cleaning ---------------------------------------------------------------
@@ -159,6 +160,8 @@ def test_schema_growth(spark):
     old = feature_rows(spark, [(1, 1.0, 2.0)]).drop(*MODEL_COLS)
     grown = FT.evolve_schema(old)
     assert grown.columns == ["review_id", *FEATURE_COLS] and grown.first()["model_sentiment"] is None
+    foreign = grown.withColumnsRenamed({v: k for k, v in schemas.FEATURE_ALIASES.items()})
+    assert schemas.rename_features(foreign).columns == grown.columns
 
 
 # --- keys and split ---------------------------------------------------------

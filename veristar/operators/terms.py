@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..session import local_table
-from .lookup import token_test
+from .lookup import one_of, token_test
 
 # Vocabulary size and shortest token of the text features.
 MAX_TERMS = 2000
@@ -68,8 +68,10 @@ class Vocabulary:
     stop_words: list[str]
 
 
-def _top(counts: DataFrame, k: int) -> DataFrame:
-    return counts.orderBy(F.desc("total"), "term").limit(k)
+def _top_counts(terms: DataFrame, k: int) -> list[tuple[str, int]]:
+    """The ``k`` most frequent values of ``term``, ties by term."""
+    counts = terms.groupBy("term").agg(F.count(F.lit(1)).alias("total"))
+    return [(r["term"], r["total"]) for r in counts.orderBy(F.desc("total"), "term").limit(k).collect()]
 
 
 def top_terms(reviews: DataFrame, stop_words: list[str], max_terms: int = MAX_TERMS,
@@ -82,23 +84,18 @@ def top_terms(reviews: DataFrame, stop_words: list[str], max_terms: int = MAX_TE
     long tail of bigrams is never shuffled, and the result is still exact.
     """
     arrays = token_arrays(reviews, stop_words, **names)
-    singles = arrays.select(F.explode("toks").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("total"))
-    singles.persist()
-    # At most ``max_terms`` counts; the smallest is the bar for bigrams.
-    bar = _top(singles, max_terms).agg(F.min("total").alias("bar"), F.count(F.lit(1)).alias("k")).first()
-    floor = bar["bar"] if bar["k"] == max_terms else 1
-    able = singles.where(F.col("total") >= floor)
-    # Many words can tie at a low bar; then all bigrams are counted.
-    frequent = token_test(able, "term") if floor > 1 else None
+    words = _top_counts(arrays.select(F.explode("toks").alias("term")), 2 * max_terms)
+    floor = words[max_terms - 1][1] if len(words) >= max_terms else 1
+    # All words at or above the bar are known unless very many tie at it; then
+    # every bigram is counted.
+    complete = len(words) < 2 * max_terms or words[-1][1] < floor
     pairs = BIGRAMS
-    if frequent:
+    if floor > 1 and complete:
+        frequent = one_of([word for word, n in words if n >= floor])
         both = f"{frequent('get(toks, i)')} and {frequent('get(toks, i + 1)')}"
         pairs = f"transform(filter({_NEIGHBOURS}, i -> {both}), i -> {_PAIR})"
-    doubles = arrays.select(F.explode(F.expr(pairs)).alias("term")).groupBy("term").agg(
-        F.count(F.lit(1)).alias("total"))
-    chosen = _top(able.unionByName(doubles.where(F.col("total") >= floor)), max_terms).collect()
-    singles.unpersist()
-    return [(r["term"], r["total"]) for r in chosen]
+    doubles = _top_counts(arrays.select(F.explode(F.expr(pairs)).alias("term")), max_terms)
+    return sorted(words + doubles, key=lambda r: (-r[1], r[0]))[:max_terms]
 
 
 def fit_vocabulary(reviews: DataFrame, stop_words: list[str], max_terms: int = MAX_TERMS, **names) -> Vocabulary:

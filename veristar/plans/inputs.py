@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,17 +73,18 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_reviews(raw_reviews(spark, sf_dir)).withColumnRenamed("text_", "review_text")
 
 
-def sentiment_tables(spark: SparkSession) -> SentimentTables:
-    """Loaded once per application, as a service would do."""
-    return _tables(spark.sparkContext.applicationId)
+_TABLES: dict[str, SentimentTables] = {}
 
 
-@lru_cache(maxsize=1)
-def _tables(application: str) -> SentimentTables:
-    spark = SparkSession.getActiveSession()
-    return SentimentTables(
-        P.lexicon_table(spark, LEXICON), P.booster_table(spark, BOOSTERS), P.token_table(spark, NEGATIONS),
-        P.head_table(spark, HEAD), BIAS, CONTRAST)
+def sentiment_tables(spark: SparkSession) -> SentimentTables:
+    """Loaded once per application, as a service would do."""
+    application = spark.sparkContext.applicationId
+    if application not in _TABLES:
+        _TABLES.clear()
+        _TABLES[application] = SentimentTables(
+            P.lexicon_table(spark, LEXICON), P.booster_table(spark, BOOSTERS), P.token_table(spark, NEGATIONS),
+            P.head_table(spark, HEAD), BIAS, CONTRAST)
+    return _TABLES[application]
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,8 +23,8 @@ TARGET = f"case when upper(regexp_replace(label, '^[{S.SPACE}]+|[{S.SPACE}]+$',
 TERMS = f"with {S.RAW},\n{S.STORED},\n{S.term_ctes('stored', I.STOP_WORDS)}"
 SCORED = (S.ALL_FEATURES.rstrip() + ",\n" + S.term_ctes("stored", I.STOP_WORDS) + ",\n"
           + S.coefficient_cte() + ",\n" + S.score_ctes() + "\n")
-# Feature table as it is stored: model columns missing for every fifth review.
-HOLES = ", ".join(f"case when review_id % 5 <> 0 then {c} else 0.0 end as {c}" for c in
+# Feature table as it is stored: model columns missing for the reviews of one source.
+HOLES = ", ".join(f"case when category = 'src2' then 0.0 else coalesce({c}, 0.0) end as {c}" for c in
                   ("model_sentiment", "model_rating_gap", "sentiment_dissonance"))
 
 
@@ -47,13 +47,14 @@ def tfidf(spark, sf):
 
 
 def _stored_features(spark, sf):
-    holes = {c: F.when(F.col("review_id") % 5 != 0, F.col(c)) for c in TR.MODEL_COLS}
-    return I.features(spark, sf).withColumns(holes)
+    found = extract_features(I.reviews(spark, sf), I.sentiment_tables(spark), ("category",))
+    holes = {c: F.when(F.col("category") != "src2", F.col(c)) for c in TR.MODEL_COLS}
+    return found.withColumns(holes).drop("category")
 
 
 @query("training_set", S.ALL_FEATURES + f"""select review_id, review_text, label,
   punctuation_freq, vocab_diversity, readability_score, avg_sentence_length, sentiment_score, rating_sentiment_gap,
-  {HOLES.replace("else 0.0 end", "else 0.0 end").replace("then model_rating_gap", "then coalesce(model_rating_gap, 0.0)")},
+  {HOLES},
   {TARGET} as target from features""")
 def training_set(spark, sf):
     return TR.training_set(_stored_features(spark, sf), I.reviews(spark, sf))

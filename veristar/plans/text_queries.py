@@ -95,10 +95,10 @@ def head_sentiment(spark, sf):
     return L.sentiment_scores(_texts(spark, sf), I.sentiment_tables(spark)).drop("sentiment_score")
 
 
-# Logits out of the first components of the given vectors.
+# Logits out of the first components of the given vectors; one class stands for blank texts.
 @query("softmax_compound", """with z as (
   select vec_id, cast(embedding[1] as double) * 8 as z_neg, cast(embedding[2] as double) * 8 as z_neu,
-    cast(embedding[3] as double) * 8 as z_pos, vec_id % 11 = 0 as blank from embeddings),
+    cast(embedding[3] as double) * 8 as z_pos, label = 0 as blank from embeddings),
 e as (select *, exp(z_neg - greatest(z_neg, z_neu, z_pos)) as e1, exp(z_neu - greatest(z_neg, z_neu, z_pos)) as e2,
   exp(z_pos - greatest(z_neg, z_neu, z_pos)) as e3 from z)
 select vec_id, case when blank then 0.0 else round(e3 / (e1 + e2 + e3) - e1 / (e1 + e2 + e3), 4) end as model_sentiment,
@@ -108,7 +108,7 @@ select vec_id, case when blank then 0.0 else round(e3 / (e1 + e2 + e3) - e1 / (e
 def softmax_compound(spark, sf):
     logits = [F.get("embedding", F.lit(i)).cast("double") * 8 for i in range(3)]
     return read_table(spark, sf, "embeddings").select(
-        "vec_id", *[c.alias(n) for n, c in N.model_sentiment_columns(*logits, F.col("vec_id") % 11 == 0).items()])
+        "vec_id", *[c.alias(n) for n, c in N.model_sentiment_columns(*logits, F.col("label") == 0).items()])
 
 
 @query("sentiment_gaps", S.ALL_FEATURES + """select review_id, sentiment_score, model_sentiment, rating_sentiment_gap,
@@ -146,22 +146,22 @@ def stream_features(spark, sf):
     return incremental.current_features(spark, f"{base}/deltas")
 
 
-# A stored feature table with gaps: every third review is absent, every fifth
-# lacks its model columns, some belong to no review.
+# A stored feature table with gaps: only labelled reviews are in it, one label
+# lacks its model columns, and the rows of two sources belong to no review.
 STORED_SQL = f"""partial as (
-  select review_id + case when review_id % 7 = 6 then 1000000000 else 0 end as review_id,
+  select review_id + case when category in ('src1', 'src7') then 1000000000 else 0 end as review_id,
     {", ".join(f"cast(length(text_) as double) + {i} as {c}" for i, c in enumerate(STABLE_COLS))},
-    {", ".join(f"case when review_id % 5 <> 0 then cast(review_id as double) + {i} end as {c}" for i, c in enumerate(MODEL_COLS))}
-  from raw where review_id % 3 <> 0)"""
+    {", ".join(f"case when label = 'or' then cast(review_id as double) + {i} end as {c}" for i, c in enumerate(MODEL_COLS))}
+  from raw where label is not null)"""
 
 
 def _partial(spark, sf):
-    raw = I.raw_reviews(spark, sf)
     rid = F.col("review_id")
-    return raw.where(rid % 3 != 0).select(
-        (rid + F.when(rid % 7 == 6, F.lit(1_000_000_000)).otherwise(F.lit(0))).alias("review_id"),
+    orphan = F.when(F.col("category").isin("src1", "src7"), F.lit(1_000_000_000)).otherwise(F.lit(0))
+    return I.raw_reviews(spark, sf).where(F.col("label").isNotNull()).select(
+        (rid + orphan).alias("review_id"),
         *[(F.length("text_").cast("double") + i).alias(c) for i, c in enumerate(STABLE_COLS)],
-        *[F.when(rid % 5 != 0, rid.cast("double") + i).alias(c) for i, c in enumerate(MODEL_COLS)])
+        *[F.when(F.col("label") == "or", rid.cast("double") + i).alias(c) for i, c in enumerate(MODEL_COLS)])
 
 
 @query("unprocessed_reviews", f"""with {S.RAW}, {STORED_SQL}

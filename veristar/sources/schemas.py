@@ -45,6 +45,11 @@ FEATURE_ALIASES = {
 MAX_CATEGORY, MAX_LABEL, MAX_STAGE = 100, 10, 100
 
 
+def rename_features(features: DataFrame) -> DataFrame:
+    """A feature table of another installation under the names used here."""
+    return features.withColumnsRenamed({k: v for k, v in FEATURE_ALIASES.items() if k in features.columns})
+
+
 def empty_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame([], TABLES[name])
 
