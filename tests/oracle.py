@@ -54,15 +54,28 @@ def difference(spark_frame: pd.DataFrame, sql_frame: pd.DataFrame) -> str | None
     return None
 
 
+KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+         "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP"}
+
+
+def type_difference(df, relation) -> str | None:
+    """Columns whose types do not correspond."""
+    sql = dict(zip(relation.columns, map(str, relation.types)))
+    odd = {c: (kind, sql.get(c)) for c, kind in df.dtypes if KINDS.get(kind) != sql.get(c)}
+    return f"types {odd}" if odd else None
+
+
 def check(spark, con, name: str, sf_dir: str, queries, oracles) -> tuple[str, float, float]:
     start = time.time()
-    got = queries[name](spark, sf_dir).toPandas()
+    df = queries[name](spark, sf_dir)
+    got = df.toPandas()
     spent = time.time() - start
     if name not in oracles:
         return ("rows only: %d" % len(got) if len(got) else "EMPTY"), spent, 0.0
     start = time.time()
-    want = con.sql(oracles[name]).df()
-    return difference(got, want) or f"ok {len(got)}", spent, time.time() - start
+    relation = con.sql(oracles[name])
+    verdict = difference(got, relation.df()) or type_difference(df, relation) or f"ok {len(got)}"
+    return verdict, spent, time.time() - start
 
 
 def main() -> None:

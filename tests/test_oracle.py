@@ -17,8 +17,10 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, con, name):
-    got = QUERIES[name](spark, SF_DIR).toPandas()
-    assert oracle.difference(got, con.sql(ORACLES[name]).df()) is None
+    df = QUERIES[name](spark, SF_DIR)
+    got, want = df.toPandas(), con.sql(ORACLES[name])
+    assert oracle.type_difference(df, want) is None
+    assert oracle.difference(got, want.df()) is None
     assert len(got) > 0
 
 

@@ -58,7 +58,7 @@ def append_table(spark, sf):
         F.count(F.lit(1)).alias("n_rows"), F.sum("rating").alias("stars"))
 
 
-@query("seed_if_empty", RAW + """select category, rating, label, count(*) as n_rows, sum(length(text_)) as n_chars
+@query("seed_if_empty", RAW + """select category, rating, label, count(*) as n_rows, cast(sum(length(text_)) as bigint) as n_chars
 from raw group by category, rating, label""")
 def seed_if_empty(spark, sf):
     """Seed from CSV, then again: the second call must leave the table alone."""

@@ -98,7 +98,7 @@ def classify(spark, sf):
         "review_id", "deceptive_probability", "deceptive_percentage", "is_deceptive", "classification", "class_code")
 
 
-@query("risk_flags", S.ALL_FEATURES + f"""select review_id, len(f) as n_flags,
+@query("risk_flags", S.ALL_FEATURES + f"""select review_id, cast(len(f) as int) as n_flags,
   case when len(f) = 0 then 'None' else array_to_string(f, ', ') end as risk_factors
 from (select review_id, {S.flag_list()} as f from features)""")
 def risk_flags(spark, sf):
@@ -138,7 +138,7 @@ def scan_summary(spark, sf):
     return SC.scan_summary(_scan(spark, sf))
 
 
-@query("analyze", SCORED + f"""select review_id, length(review_text) as n_chars, rating, round(p, 4) as deceptive_probability,
+@query("analyze", SCORED + f"""select review_id, cast(length(review_text) as int) as n_chars, rating, round(p, 4) as deceptive_probability,
   round(p * 100, 2) as deceptive_percentage, p >= 0.5 as is_deceptive,
   case when p >= 0.5 then 'Computer-Generated / Deceptive' else 'Original / Authentic' end as classification,
   punctuation_freq, sentiment_dissonance, array_to_string({S.flag_list()}, '; ') as flags from scored""")
@@ -174,7 +174,7 @@ def _span(name: str) -> str:
     return f"when '{name}' then {S.text(start)} || {w} || {S.text(middle)} || {ESCAPED} || {S.text(end)}"
 
 
-@query("word_attribution", CHUNKS + "select review_id, pos, tok as token, weight, band from hit where weight is not null")
+@query("word_attribution", CHUNKS + "select review_id, cast(pos as int) as pos, tok as token, weight, band from hit where weight is not null")
 def word_attribution(spark, sf):
     return A.word_attribution(I.reviews(spark, sf), I.coefficients(spark))
 
@@ -316,7 +316,7 @@ def score_batch(spark, sf):
     return SC.scan(I.reviews(spark, sf), I.sentiment_tables(spark), bundle.coefficients, bundle.stop_words)
 
 
-@query("report_roundtrip", RULE_SQL + "select position, model, accuracy, precision, recall, f1_score from report")
+@query("report_roundtrip", RULE_SQL + "select cast(position as bigint) as position, model, accuracy, precision, recall, f1_score from report")
 def report_roundtrip(spark, sf):
     """Write the report as one JSON document and read it back."""
     path = shared_dir(spark, "report")

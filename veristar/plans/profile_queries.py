@@ -85,7 +85,7 @@ def describe_numeric(spark, sf):
     return G.describe_numeric(raw, ["rating", "text_length"])
 
 
-@query("text_length", CLEAN + "select review_id, length(review_text) as text_length from cleaned")
+@query("text_length", CLEAN + "select review_id, cast(length(review_text) as int) as text_length from cleaned")
 def text_length(spark, sf):
     return I.cleaned(spark, sf).select("review_id", F.length("review_text").alias("text_length"))
 

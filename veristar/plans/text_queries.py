@@ -52,8 +52,8 @@ def fk_grade(spark, sf):
     return _texts(spark, sf).select("review_id", T.flesch_kincaid_grade(F.col("review_text")).alias("fk_grade"))
 
 
-@query("text_counts", STYLE + """select review_id, length(review_text) as n_chars, n_words, n_sent as n_sentences, n_syll as n_syllables,
-  length(review_text) - length(replace(review_text, '!', '')) as n_exclamations from style""")
+@query("text_counts", STYLE + """select review_id, cast(length(review_text) as int) as n_chars, cast(n_words as int) as n_words, cast(n_sent as int) as n_sentences,
+  cast(n_syll as int) as n_syllables, cast(length(review_text) - length(replace(review_text, '!', '')) as int) as n_exclamations from style""")
 def text_counts(spark, sf):
     return _texts(spark, sf).select(
         "review_id", F.length(F.col("review_text")).alias("n_chars"), T.word_count(F.col("review_text")).alias("n_words"),
