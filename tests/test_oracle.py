@@ -28,7 +28,8 @@ def test_contract():
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"model_sentiment", "train_models", "score_batch"}
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(QUERIES) - set(ORACLES) == {"model_sentiment", "train_models", "score_batch"}
 
 
 def test_entry(spark):

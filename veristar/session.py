@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -30,22 +28,29 @@ def build_session(master: str | None = None, app: str = "veristar",
     return builder.getOrCreate()
 
 
-def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the folder the cluster names in ``spark.checkpoint.dir``.
+#: Used only with a local master and no ``spark.checkpoint.dir``, as in tests.
+LOCAL_SHARED = "/tmp/checkpoints"
 
-    Only a local master may fall back to a temporary folder of this machine.
-    """
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = _local_dir()
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+        root = LOCAL_SHARED
+    return root.rstrip("/")
+
+
+def shared_dir(spark: SparkSession, purpose: str) -> str:
+    """A fresh path below the shared folder."""
+    return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-@cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="veristar-")
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a written intermediate table from the shared folder."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
