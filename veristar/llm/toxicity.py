@@ -3,9 +3,10 @@
 Model. Words (lower-case letter runs) of a bounded, documented sample of labelled rows,
 at most about ``SAMPLE_PER_CLASS`` documents of each class, are counted by document in
 ``BUCKETS`` hash buckets, and so are their first letters (``PREFIX``). A word's log-odds
-come from its counts with a Dirichlet prior, are drawn towards zero by their standard error
-and lowered by a constant drift, so that ordinary text scores below zero. A word that
-was never counted has the log-odds of its first letters.
+come from its counts with a Dirichlet prior whose mean is the share of its first letters, are
+drawn towards zero by their standard error and lowered by a constant drift, so that
+ordinary text scores below zero. A word that was never counted has the log-odds of its
+first letters; a word that repeats the one before has the drift alone.
 
 Search. One linear scan finds every maximal scoring segment of a text. For the lengths and scores of
 clean text, segment scores follow an extreme-value law: with lambda from the score distribution
@@ -25,6 +26,7 @@ id the highest counts; repeated documents are scored each.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -42,7 +44,7 @@ SAMPLE_PER_CLASS = 20_000
 PREFIX = 4
 PRIOR = 2.0
 DRIFT = 0.5
-LIMIT = 6.0
+LIMIT = 8.0
 SIGNIFICANT = 0.05
 THRESHOLD = 0.7
 KEPT_WORDS = 300_000
@@ -60,8 +62,9 @@ def prefix_bucket(word: str) -> int:
 
 @dataclass
 class Model:
-    weight: np.ndarray  # log-odds of a word's bucket, where the word was counted
-    counted: np.ndarray  # whether it was
+    clean: np.ndarray  # documents of each class by word bucket
+    toxic: np.ndarray
+    even: tuple[float, float]  # makes the two classes weigh the same
     prefix_weight: np.ndarray
     rate: float  # lambda
     log_k: float
@@ -69,11 +72,19 @@ class Model:
     offset: float = -30.0
 
     def key(self) -> str:
-        return hashlib.sha256(self.weight.tobytes() + np.array([self.rate, self.log_k]).tobytes()).hexdigest()
+        return hashlib.sha256(self.toxic.tobytes() + self.clean.tobytes() + np.array([self.rate]).tobytes()).hexdigest()
 
     def token_score(self, word: str) -> float:
+        prefix = float(self.prefix_weight[prefix_bucket(word)])
         i = word_bucket(word)
-        return float(self.weight[i] if self.counted[i] else self.prefix_weight[prefix_bucket(word)]) - DRIFT
+        n0, n1 = float(self.clean[i]), float(self.toxic[i])
+        if n0 + n1 == 0:
+            return prefix - DRIFT
+        mean = 1 / (1 + math.exp(-prefix))
+        a1, a0 = PRIOR * mean, PRIOR * (1 - mean)
+        odds = math.log((n1 * self.even[1] + a1) / (n0 * self.even[0] + a0))
+        odds = math.copysign(max(abs(odds) - math.sqrt(1 / max(n1 + a1, 0.5) + 1 / max(n0 + a0, 0.5)), 0.0), odds)
+        return min(max(odds, -LIMIT), LIMIT) - DRIFT
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -163,7 +174,7 @@ def log_odds(n0: np.ndarray, n1: np.ndarray, docs: np.ndarray, mean: np.ndarray)
     even = docs.mean() / np.maximum(docs, 1)
     a1, a0 = PRIOR * mean, PRIOR * (1 - mean)
     odds = np.log((n1 * even[1] + a1) / (n0 * even[0] + a0))
-    error = np.sqrt(1 / (n1 + a1) + 1 / (n0 + a0))
+    error = np.sqrt(1 / np.maximum(n1 + a1, 0.5) + 1 / np.maximum(n0 + a0, 0.5))
     return np.clip(np.sign(odds) * np.maximum(np.abs(odds) - error, 0), -LIMIT, LIMIT), (n1 + n0) > 0
 
 
@@ -173,6 +184,7 @@ def fit_words(table: np.ndarray, docs: np.ndarray) -> Model | None:
     half = np.full(BUCKETS, 0.5)
     prefix_weight, _ = log_odds(table[2], table[3], docs, half)
     even = docs.mean() / docs
+    # The score distribution of clean text, for lambda, is taken with the plain prior.
     weight, counted = log_odds(table[0], table[1], docs, half)
     scores = weight[counted] - DRIFT
     chance = table[0][counted] + PRIOR * 0.5 * (table[1][counted] > 0) / max(1.0, even[1])
@@ -188,7 +200,8 @@ def fit_words(table: np.ndarray, docs: np.ndarray) -> Model | None:
         rate = low
     else:
         rate = 1.0
-    return Model(weight.astype(np.float32), counted, prefix_weight.astype(np.float32), rate, 0.0)
+    return Model(table[0].astype(np.float32), table[1].astype(np.float32), (float(even[0]), float(even[1])),
+                 prefix_weight.astype(np.float32), rate, 0.0)
 
 
 def _scorer(model: Model):
@@ -197,8 +210,12 @@ def _scorer(model: Model):
 
     def scores(text: str | None) -> np.ndarray:
         words = WORDS.findall((text or "").lower())
-        out = []
+        out, last = [], None
         for w in words:
+            if w == last:  # a word said again says nothing new
+                out.append(-DRIFT)
+                continue
+            last = w
             s = known.get(w)
             if s is None:
                 s = model.token_score(w)
