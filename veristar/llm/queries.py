@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, kdtree, langid, mixing, neardup, secrets, toxicity, warc
+import corpus_pipeline
+
+from . import bpe, chat, fingerprints, kdtree, langid, mixing, neardup, secrets, toxicity, warc
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +148,21 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     docs = table(spark, sf_dir, "documents")
     return secrets.scan(docs, secrets.fitted(docs))
+
+
+@_query
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn of every conversation, repaired and rendered."""
+    found = chat.repaired(table(spark, sf_dir, "conversations"))
+    return found.select("conv_id", "position", "turn", "role", "new_role", "action",
+                        F.array_join("inserted", ",").alias("inserted"), "rendered")
+
+
+@_query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, one after another."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
