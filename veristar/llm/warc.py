@@ -8,6 +8,9 @@ revisits without a payload. The choice is made on digests alone; a payload is sh
 once, by page, never by its digest, so a payload that a third of all pages share is no
 hot group. Archives hold about ``ARCHIVE_BYTES`` each.
 
+They are packed with gzip, a member a file; records are read one by one all the same, and a member
+that breaks gives up the records before the break.
+
 Reading. An archive (plain, or gzip members one after another) is checked record by
 record: version line, header, length, block digest, closing blank line. After a failed
 check the reader looks for the next gzip magic bytes that open a valid member, or the
@@ -48,13 +51,14 @@ _SCHEMA = pa.schema([
 
 
 def with_record_types(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
-                      min_bytes: int = MIN_REVISIT) -> DataFrame:
-    """page_id, payload (string), payload_bytes, payload_digest, refers_to (null: a response)."""
+                      min_bytes: int = MIN_REVISIT, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
+    """page_id, page (id as text), payload (string), payload_bytes, payload_digest, refers_to (null: a response)."""
     payload = F.coalesce(F.col(html_col), F.lit(""))
     base = pages.select(
-        F.col(id_col).cast("long").alias("page_id"), payload.alias("payload"),
+        F.col(id_col).cast("long").alias("page_id"),
+        F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit("")).alias("page"), payload.alias("payload"),
         F.octet_length(payload).cast("long").alias("payload_bytes"), F.sha2(payload, 256).alias("payload_digest"))
-    narrow = base.filter(F.col("payload_bytes") >= min_bytes).select("page_id", "payload_digest")
+    narrow = base.filter(F.col("payload_bytes") >= min_bytes).select("page_id", "page", "payload_digest")
     firsts = (
         narrow.groupBy("payload_digest")
         .agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).filter("n > 1 and refers_to is not null")
@@ -62,18 +66,20 @@ def with_record_types(pages: DataFrame, id_col: str = "page_id", html_col: str =
     # Only digests and ids meet here; a hot digest is a skewed join of narrow rows.
     revisits = (
         narrow.join(firsts.select("payload_digest", "refers_to"), "payload_digest")
-        .filter(F.col("page_id").isNull() | (F.col("page_id") > F.col("refers_to"))).distinct()
-        .select(F.col("page_id").alias("of"), F.col("payload_digest").alias("digest"), "refers_to")
+        .filter(F.col("page_id").isNull() | (F.col("page_id") > F.col("refers_to")))
+        .select("page", "payload_digest", "refers_to").distinct()
     )
-    same = F.col("page_id").eqNullSafe(F.col("of")) & (F.col("payload_digest") == F.col("digest"))
-    return base.join(revisits, same, "left").drop("of", "digest")
+    # Dealt by page and payload: even, the same again if a task is repeated, and as the archives are written.
+    total = base.agg(F.sum("payload_bytes")).first()[0] or 0
+    files = max(1, -(-total // archive_bytes))
+    return base.repartition(files, "page", "payload_digest").join(revisits, ["page", "payload_digest"], "left")
 
 
 def record_text(rows: DataFrame) -> DataFrame:
     """One string a record, without the blank line that ends it."""
     revisit = F.col("refers_to").isNotNull()
     block = F.when(revisit, F.lit("")).otherwise(F.col("payload"))
-    page = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
+    page = F.col("page")
     header = F.concat_ws(
         CRLF, F.lit("WARC/1.1"),
         F.concat(F.lit("WARC-Type: "), F.when(revisit, "revisit").otherwise("response")),
@@ -91,12 +97,9 @@ def record_text(rows: DataFrame) -> DataFrame:
     return rows.select(F.concat(header, F.lit(BLANK), block).alias("value"))
 
 
-def write_archives(rows: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) -> str:
-    """Write what ``with_record_types`` gives. Each record ends with a blank line."""
-    total = rows.select("payload_bytes").agg(F.sum("payload_bytes")).first()[0] or 0
-    files = max(1, -(-total // archive_bytes))
-    # Dealt by page and payload: even, and the same again if a task is repeated.
-    record_text(rows.repartition(files, "page_id", "payload_digest")).write.option("lineSep", BLANK).text(path)
+def write_archives(rows: DataFrame, path: str) -> str:
+    """Write what ``with_record_types`` gives, a file for each of its parts. Each record ends with a blank line."""
+    record_text(rows).write.option("lineSep", BLANK).option("compression", "gzip").text(path)
     return path
 
 
@@ -158,15 +161,18 @@ def salvage_records(data: bytes) -> Iterator[tuple[int, dict[str, str] | str, by
         at = end
 
 
-def _member(data: bytes, at: int) -> tuple[bytes | None, int]:
-    """A whole gzip member at ``at`` (its checksum holds) and its end."""
-    unpack = zlib.decompressobj(wbits=31)
+def _member(data: bytes, at: int) -> tuple[bytes, int | None]:
+    """What a gzip member at ``at`` unpacks to, and its end; no end if it breaks off or its checksum fails."""
+    unpack, out, size = zlib.decompressobj(wbits=31), [], 1 << 16
+    view = memoryview(data)
     try:
-        out = unpack.decompress(memoryview(data)[at:])
-        out += unpack.flush()
+        for start in range(at, len(data), size):
+            out.append(unpack.decompress(view[start:start + size]))
+            if unpack.eof:
+                return b"".join(out), min(start + size, len(data)) - len(unpack.unused_data)
     except zlib.error:
-        return None, at
-    return (out, len(data) - len(unpack.unused_data)) if unpack.eof else (None, at)
+        pass
+    return b"".join(out), None
 
 
 def salvage(data: bytes) -> Iterator[tuple[int, int, dict[str, str] | str, bytes | int]]:
@@ -177,17 +183,19 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, dict[str, str] | str, bytes
         return
     at = 0
     while at < len(data):
-        out, end = _member(data, at) if data.startswith(_MAGIC, at) else (None, at)
-        if out is None:
+        out, end = _member(data, at) if data.startswith(_MAGIC, at) else (b"", None)
+        # Records in front of the place where a member breaks have their own digests and count.
+        for offset, header, block in salvage_records(out):
+            if end is not None or not isinstance(header, str):
+                yield at, offset, header, block
+        if end is None:
             gap, at = at, data.find(_MAGIC, at + 1)
-            while at >= 0 and _member(data, at)[0] is None:
+            while at >= 0 and _member(data, at)[1] is None:
                 at = data.find(_MAGIC, at + 1)
             at = len(data) if at < 0 else at
             yield gap, 0, "no valid member", at - gap
-            continue
-        for offset, header, block in salvage_records(out):
-            yield at, offset, header, block
-        at = end
+        else:
+            at = end
 
 
 _URN = re.compile(r"<?urn:page:([^>]*)>?")
