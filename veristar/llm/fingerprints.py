@@ -137,8 +137,8 @@ def edited_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Texts are dealt by id once; of the next document only the needed beginning and its sketch are sent.
     """
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID))
-    base = docs.select(key.alias("key"), F.col(id_col).cast("long").alias("doc_id"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # Both joins use the same columns of it, so that they share one exchange; the id comes back from the key.
+    base = docs.select(key.alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     lengths = base.groupBy("key").agg(F.max(F.char_length("text")).alias("longest"))
     ids = lengths.select(F.col("key").alias("id"))
     wanted = (following_ids(ids).join(lengths, F.col("id") == F.col("key"))
@@ -150,7 +150,7 @@ def edited_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
              .select(F.col("before").alias("key"), F.substring("text", F.lit(1), F.col("want")).alias("head"),
                      F.col("sketch").alias("next_sketch"))
              .groupBy("key").agg(F.min(F.struct("head", "next_sketch")).alias("n")))
-    rows = sketched.join(nexts, "key").select("doc_id", "text", "sketch", "n.head", "n.next_sketch")
+    rows = sketched.join(nexts, "key").select(F.nullif("key", F.lit(_NULL_ID)).alias("doc_id"), "text", "sketch", "n.head", "n.next_sketch")
     n = F.char_length("text")
     cut = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), (n - cut).cast("int")), F.substring("head", F.lit(1), cut))
