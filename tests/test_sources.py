@@ -159,6 +159,21 @@ def test_bundle_scores_like_the_model(spark, trained, tmp_path):
     assert set(detail["features"].asDict()) == set(FEATURE_COLS)
 
 
+def test_forest_bundle_scores_with_the_forest(spark, trained, tmp_path):
+    reviews, _, prepared, comparison = trained
+    path, before = str(tmp_path / "forest"), comparison.best
+    comparison.best = "RandomForest"
+    writers.save_bundle(path, comparison, prepared)
+    comparison.best = before
+    bundle = writers.load_bundle(spark, path)
+    with pytest.raises(ValueError):
+        SC.scan(reviews, L.default_tables(spark), bundle.coefficients, bundle.stop_words)
+    want = {r["review_id"]: r["probability"] for r in TR.predict(bundle.model, prepared.test).collect()}
+    got = {r["review_id"]: r["deceptive_probability_pct"]
+           for r in SC.scan_bundle(reviews, L.default_tables(spark), bundle).collect()}
+    assert len(got) == 240 and all(got[i] == pytest.approx(100 * p, abs=0.006) for i, p in want.items())
+
+
 def test_empty_scan(spark, trained):
     reviews, _, prepared, comparison = trained
     table = TR.coefficients(comparison.models["LogisticRegression"], prepared)

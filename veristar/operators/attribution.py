@@ -88,7 +88,7 @@ def _span(name: Column, shown: Column, weight: Column) -> Column:
         start, rest = markup.split("{w}")
         middle, end = rest.split("{t}")
         span = F.when(name == key, F.concat(
-            F.lit(start), two_decimals(F.round(weight, 4)), F.lit(middle), shown, F.lit(end))).otherwise(span)
+            F.lit(start), weight.cast("decimal(18,2)").cast("string"), F.lit(middle), shown, F.lit(end))).otherwise(span)
     return span
 
 

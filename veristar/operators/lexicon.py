@@ -153,7 +153,7 @@ def _with_valence(hits: DataFrame, tables: SentimentTables) -> DataFrame:
         before = f"v{k - 1}"
         loud = f"if(mixed_case and {_upper(f'p{k}')}, {P.CAPS_EMPHASIS}D, 0.0D)"
         push = (f"if(coalesce(s{k}, 0.0D) <> 0, if({before} < 0, -1.0D, 1.0D) * (s{k} + {loud}) * {damping}D, 0.0D)")
-        flip = f"if(coalesce(n{k}, false), {P.NEGATION_FACTOR}D, 1.0D)"
+        flip = f"if(coalesce(n{k}, false) or coalesce(contains(lower(p{k}), \"n't\"), false), {P.NEGATION_FACTOR}D, 1.0D)"
         out = out.join(near, key == F.col(f"m{k}"), "left").selectExpr("*", f"({before} + {push}) * {flip} as v{k}")
     return out.selectExpr(
         "*", f"""v{len(P.DAMPING)} * case when contrast_at < 0 or pos = contrast_at then 1.0D

@@ -58,8 +58,10 @@ def number_part(coefficients: DataFrame):
 
     A model has nine such rows, so they are read into the expression.
     """
-    z = F.lit(0.0)
-    for r in coefficients.where("kind <> 'text'").orderBy("idx").collect():
+    z, rows = F.lit(0.0), coefficients.where("kind <> 'text'").orderBy("idx").collect()
+    if not rows:
+        raise ValueError("no coefficients: the model is not linear, score with the model itself (scan_bundle)")
+    for r in rows:
         if r["kind"] == "intercept":
             z = z + F.lit(r["weight"])
         else:
@@ -112,7 +114,30 @@ def scan(reviews: DataFrame, tables: SentimentTables, coefficients: DataFrame, s
     One pass over the texts and one shuffle of narrow rows. ``keep`` is for
     narrow columns; join the result on ``review_id`` where texts must be repeated.
     """
-    scored = risk_flags(extract_and_score(reviews, tables, coefficients, stop_words, keep))
+    return scan_columns(extract_and_score(reviews, tables, coefficients, stop_words, keep), keep)
+
+
+def scan_bundle(reviews: DataFrame, tables: SentimentTables, bundle, keep: tuple[str, ...] = ("rating",)) -> DataFrame:
+    """``scan`` with whatever model was saved: coefficients for a linear one, else the model on vectors."""
+    if not bundle.coefficients.isEmpty():
+        return scan(reviews, tables, bundle.coefficients, bundle.stop_words, keep)
+    from .terms import Vocabulary
+    from .training import materialize_vectors, model_probability, vectorize
+
+    if not bundle.model.hasParam("probabilityCol"):
+        raise ValueError(f"{bundle.model_name} gives no probability")
+    vocabulary = Vocabulary(bundle.vocabulary, bundle.n_reviews, bundle.stop_words)
+    found = extract_features(reviews, tables, keep)
+    data = reviews.select("review_id", F.coalesce("review_text", F.lit("")).alias("review_text")).join(
+        found.select("review_id", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in FEATURE_COLS]), "review_id")
+    vectors = materialize_vectors(vectorize(data, bundle.scaler, vocabulary, bundle.model.numFeatures - len(FEATURE_COLS)))
+    scored = model_probability(bundle.model, vectors)
+    return scan_columns(found.join(scored, "review_id"), keep)
+
+
+def scan_columns(scored: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """Features and probability -> kept input columns and the eight results."""
+    scored = risk_flags(scored)
     p = F.col("probability")
     return scored.select(
         "review_id", *keep,

@@ -122,7 +122,7 @@ mods as (
 step0 as (
   select review_id, pos, contrast_at, mixed, p1, p2, p3,
     m1.scalar as s1, m2.scalar as s2, m3.scalar as s3,
-    coalesce(m1.negates, false) as n1, coalesce(m2.negates, false) as n2, coalesce(m3.negates, false) as n3,
+    (coalesce(m1.negates, false) or coalesce(contains(lower(p1), 'n''t'), false)) as n1, (coalesce(m2.negates, false) or coalesce(contains(lower(p2), 'n''t'), false)) as n2, (coalesce(m3.negates, false) or coalesce(contains(lower(p3), 'n''t'), false)) as n3,
     valence + case when mixed and t = upper(t) and t <> lower(t) then sign(valence) * {P.CAPS_EMPHASIS} else 0.0 end as v0
   from ctx join lex on lex.token = lower(t)
 {side_joins}

@@ -41,14 +41,9 @@ def read_raw_file(spark: SparkSession, path) -> DataFrame:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Asked of the file system that owns the path, by listing it through Spark."""
-    try:
-        return not spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path) \
-            .select("path").isEmpty()
-    except Exception as error:  # missing path
-        if "PATH_NOT_FOUND" in str(error):
-            return False
-        raise
+    """Asked of the file system that owns the path."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(str(path))
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
 
 
 def first_existing(spark: SparkSession, paths: list[str]) -> str | None:

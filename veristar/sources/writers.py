@@ -96,6 +96,7 @@ class Bundle:
     vocabulary: DataFrame
     scaler: DataFrame
     model: object
+    n_reviews: int = 0
 
 
 def save_bundle(path: str, comparison, prepared) -> None:
@@ -138,4 +139,5 @@ def load_bundle(spark: SparkSession, path: str) -> Bundle:
         vocabulary=spark.read.parquet(f"{path}/vocabulary"),
         scaler=spark.read.parquet(f"{path}/scaler"),
         model=MODEL_CLASSES[meta["model_name"]].load(f"{path}/model"),
+        n_reviews=meta.get("n_reviews") or 0,
     )
