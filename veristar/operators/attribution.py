@@ -51,26 +51,28 @@ def word_attribution(reviews: DataFrame, coefficients: DataFrame, text_col: str
     return rows.where(F.col("weight").isNotNull()).select("review_id", "pos", "token", "weight", "band")
 
 
-def explain_words(reviews: DataFrame, coefficients: DataFrame, text_col: str = "review_text") -> DataFrame:
-    """``review_id, explained_html``: the escaped text with coloured spans.
+def explain_words(reviews: DataFrame, coefficients: DataFrame, text_col: str = "review_text",
+                  keep: tuple[str, ...] = ()) -> DataFrame:
+    """``review_id``, kept columns, ``explained_html``: the escaped text with coloured spans.
 
     Without any coefficient the whole text is escaped. A model of bounded size is
     looked up inside the row, so that texts are neither exploded nor shuffled.
     """
     if coefficients.isEmpty():
-        return reviews.select("review_id", T.html_escape(T.text_or_empty(F.col(text_col))).alias("explained_html"))
+        return reviews.select("review_id", *keep, T.html_escape(T.text_or_empty(F.col(text_col))).alias("explained_html"))
     weights = in_row_map(word_weights(coefficients), "key", ["weight"])
     if weights is None:
-        return explain_by_join(reviews, coefficients, text_col)
+        explained = explain_by_join(reviews, coefficients, text_col)
+        return reviews.select("review_id", *keep).join(explained, "review_id") if keep else explained
     text = T.text_or_empty(F.col(text_col))
     # Escaping adds no whitespace, so raw and escaped chunks line up.
     return (
-        reviews.select("review_id", F.split(text, CHUNK_START).alias("raw"),
+        reviews.select("review_id", *keep, F.split(text, CHUNK_START).alias("raw"),
                        F.split(T.html_escape(text), CHUNK_START).alias("shown"))
         .withColumn("keys", F.transform("raw", T.token_key))
         .withColumn("weights", F.expr(
             f"transform(keys, k -> if({weights.known('k')}, {weights.value('k')}.weight, null))"))
-        .select("review_id", F.array_join(F.zip_with("shown", "weights", _decorate), "").alias("explained_html"))
+        .select("review_id", *keep, F.array_join(F.zip_with("shown", "weights", _decorate), "").alias("explained_html"))
     )
 
 

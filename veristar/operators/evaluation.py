@@ -42,6 +42,12 @@ def classification_metrics(counts: DataFrame) -> DataFrame:
     })
 
 
+def rule_auc(counts: DataFrame) -> DataFrame:
+    """Add ``roc_auc`` of a yes/no rule: its curve has one corner, at (FPR, TPR). Missing without both classes."""
+    tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
+    return counts.withColumn("roc_auc", (tp / F.nullif(tp + fn, F.lit(0)) + tn / F.nullif(tn + fp, F.lit(0))) / 2)
+
+
 def roc_auc(scores: DataFrame, score: str = "probability", target: str = "target", buckets: int = 1000) -> DataFrame:
     """Exact area under the ROC curve; ties count half.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import verdict as V
+from .attribution import explain_words
 from .features import FEATURE_COLS, extract_features
 from .lexicon import SentimentTables
 from .lookup import in_row_map, small
@@ -167,9 +168,9 @@ def scan_summary(scanned: DataFrame) -> DataFrame:
 
 def analyze(reviews: DataFrame, tables: SentimentTables, coefficients: DataFrame,
             stop_words: list[str]) -> DataFrame:
-    """The detailed result per review: probability, class, nested features, list of flags."""
+    """The detailed result per review: text, probability, class, nested features, list of flags, explained text."""
     scored = classify(risk_flags(extract_and_score(reviews, tables, coefficients, stop_words, ("rating",))))
     results = scored.select(
         "review_id", "rating", "deceptive_probability", "deceptive_percentage", "is_deceptive", "classification",
         F.struct(*FEATURE_COLS).alias("features"), "risk_factors")
-    return reviews.select("review_id", "review_text").join(results, "review_id")
+    return explain_words(reviews, coefficients, keep=("review_text",)).join(results, "review_id")

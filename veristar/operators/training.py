@@ -64,8 +64,7 @@ class Prepared:
 def prepare(data: DataFrame, stop_words: list[str], max_terms: int = MAX_TERMS,
             test_share: float = TEST_SHARE, seed: int = SEED) -> Prepared:
     """Split, fit scaler and vocabulary on the train part only, write all vectors once."""
-    marks = stratified_split(data.select("review_id", "target"), "review_id", "target", test_share, seed)
-    marked = data.join(marks.drop("target"), "review_id")
+    marked = stratified_split(data, "review_id", "target", test_share, seed)
     train = marked.where(~F.col("is_test"))
     scaler = fit_scaler(train, FEATURE_COLS)
     vocabulary = fit_vocabulary(train, stop_words, max_terms)

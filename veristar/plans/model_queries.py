@@ -138,18 +138,6 @@ def scan_summary(spark, sf):
     return SC.scan_summary(_scan(spark, sf))
 
 
-@query("analyze", SCORED + f"""select review_id, cast(length(review_text) as int) as n_chars, rating, round(p, 4) as deceptive_probability,
-  round(p * 100, 2) as deceptive_percentage, p >= 0.5 as is_deceptive,
-  case when p >= 0.5 then 'Computer-Generated / Deceptive' else 'Original / Authentic' end as classification,
-  punctuation_freq, sentiment_dissonance, array_to_string({S.flag_list()}, '; ') as flags from scored""")
-def analyze(spark, sf):
-    found = SC.analyze(I.reviews(spark, sf), I.sentiment_tables(spark), I.coefficients(spark), I.STOP_WORDS)
-    return found.select(
-        "review_id", F.length("review_text").alias("n_chars"), "rating", "deceptive_probability",
-        "deceptive_percentage", "is_deceptive", "classification", "features.punctuation_freq",
-        "features.sentiment_dissonance", F.array_join("risk_factors", "; ").alias("flags"))
-
-
 def _key(token: str) -> str:
     return f"lower(regexp_replace({token}, '[^\\p{{L}}\\p{{N}}_]', '', 'g'))"
 
@@ -157,14 +145,15 @@ def _key(token: str) -> str:
 ESCAPED = ("replace(replace(replace(replace(replace(tok, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), "
            "'''', '&#x27;')")
 NAMED = S.values([(f, w) for f, w, *_ in I.NUMBER_WEIGHTS] + [(f, w) for f, w, _ in I.TEXT_WEIGHTS], "key, weight")
-CHUNKS = f"""with {S.RAW}, weights as (select * from {NAMED}),
+CHUNK_CTES = f"""word_weights as (select * from {NAMED}),
 chunk as (select review_id, unnest(c) as chunk, generate_subscripts(c, 1) - 1 as pos from (
   select review_id, regexp_extract_all(text_, '[^{S.SPACE}]+[{S.SPACE}]*|[{S.SPACE}]+') as c from raw)),
-tok as (select *, regexp_replace(chunk, '[{S.SPACE}]+$', '') as tok from chunk),
+piece as (select *, regexp_replace(chunk, '[{S.SPACE}]+$', '') as tok from chunk),
 hit as (select review_id, pos, chunk, tok, weight, case when weight > 0.3 then 'strong_deceptive' when weight > 0.05 then 'mild_deceptive'
   when weight < -0.3 then 'strong_authentic' when weight < -0.05 then 'mild_authentic' else 'neutral' end as band
-  from tok left join weights on weights.key = {_key('tok')})
+  from piece left join word_weights on word_weights.key = {_key('tok')})
 """
+CHUNKS = f"with {S.RAW}, {CHUNK_CTES}"
 
 
 def _span(name: str) -> str:
@@ -179,13 +168,28 @@ def word_attribution(spark, sf):
     return A.word_attribution(I.reviews(spark, sf), I.coefficients(spark))
 
 
-@query("explain_words", CHUNKS + f""", html as (
-  select review_id, pos, case band {" ".join(map(_span, A.SPANS))} else {ESCAPED} end || substr(chunk, length(tok) + 1) as h from hit)
-select review_id, coalesce(string_agg(h, '' order by pos), '') as explained_html from raw left join html using (review_id) group by review_id""")
+HTML_CTE = f"""html as (
+  select review_id, string_agg(case band {" ".join(map(_span, A.SPANS))} else {ESCAPED} end || substr(chunk, length(tok) + 1), '' order by pos) as h
+  from hit group by review_id)"""
+
+
+@query("explain_words", CHUNKS + f", {HTML_CTE} select review_id, coalesce(h, '') as explained_html from raw left join html using (review_id)")
 def explain_words(spark, sf):
     return A.explain_words(I.reviews(spark, sf), I.coefficients(spark))
 
 
+@query("analyze", f"""{SCORED.rstrip()}, {CHUNK_CTES}, {HTML_CTE} select review_id, review_text, rating, round(p, 4) as deceptive_probability,
+  round(p * 100, 2) as deceptive_percentage, p >= 0.5 as is_deceptive,
+  case when p >= 0.5 then 'Computer-Generated / Deceptive' else 'Original / Authentic' end as classification,
+  {", ".join(FEATURE_COLS)}, array_to_string({S.flag_list()}, '; ') as flags, coalesce(h, '') as explained_html
+  from scored left join html using (review_id)""")
+def analyze(spark, sf):
+    found = SC.analyze(I.reviews(spark, sf), I.sentiment_tables(spark), I.coefficients(spark), I.STOP_WORDS)
+    return found.select(
+        "review_id", "review_text", "rating", "deceptive_probability", "deceptive_percentage", "is_deceptive",
+        "classification", "features.*", F.array_join("risk_factors", "; ").alias("flags"), "explained_html")
+
+
 PREDICTED = SCORED.rstrip() + f""", predicted as (
   select {TARGET} as target, p, case when p >= 0.5 then 1 else 0 end as prediction from scored),
 counts as (select count(*) filter (target = 0 and prediction = 0) as tn, count(*) filter (target = 0 and prediction = 1) as fp,
@@ -237,7 +241,7 @@ def _rule_report(spark, sf):
     flagged = rows.select("target", F.inline(F.array(*[
         F.struct(F.lit(i).alias("position"), F.lit(c).alias("model"),
                  (F.col(c) > means[f"m_{c}"]).cast("int").alias("prediction")) for i, c in enumerate(RULES)])))
-    return E.classification_metrics(E.confusion_counts(flagged, ["position", "model"]))
+    return E.rule_auc(E.classification_metrics(E.confusion_counts(flagged, ["position", "model"])))
 
 
 RULES = ["punctuation_freq", "vocab_diversity", "readability_score", "avg_sentence_length", "sentiment_score"]
@@ -246,25 +250,26 @@ RULE_SQL = S.CLEAN_FEATURES.rstrip() + ", long as (" + " union all ".join(
     for i, c in enumerate(RULES)) + """),
 cells as (select position, model, count(*) filter (target = 0 and prediction = 0) as tn, count(*) filter (target = 0 and prediction = 1) as fp,
   count(*) filter (target = 1 and prediction = 0) as fn, count(*) filter (target = 1 and prediction = 1) as tp from long group by position, model),
-report as (select position, model, round(cast(tp + tn as double) / (tp + tn + fp + fn), 6) as accuracy,
+report as (select position, model, tn, fp, fn, tp, round(cast(tp + tn as double) / (tp + tn + fp + fn), 6) as accuracy,
   case when tp + fp = 0 then 0.0 else round(cast(tp as double) / (tp + fp), 6) end as precision,
   case when tp + fn = 0 then 0.0 else round(cast(tp as double) / (tp + fn), 6) end as recall,
-  case when 2 * tp + fp + fn = 0 then 0.0 else round(cast(2 * tp as double) / (2 * tp + fp + fn), 6) end as f1_score from cells)
+  case when 2 * tp + fp + fn = 0 then 0.0 else round(cast(2 * tp as double) / (2 * tp + fp + fn), 6) end as f1_score,
+  round((cast(tp as double) / nullif(tp + fn, 0) + cast(tn as double) / nullif(tn + fp, 0)) / 2, 6) as roc_auc from cells)
 """
 
 
 @query("model_leaderboard", RULE_SQL.rstrip() + ", l as (" + " union all ".join(
-    f"select model, '{m}' as metric, {m} as value from report" for m in E.METRICS[:4]) + """)
+    f"select model, '{m}' as metric, {m} as value from report" for m in E.METRICS) + """)
 select model, metric, value, value = max(value) over (partition by metric) as is_best from l""")
 def model_leaderboard(spark, sf):
-    rounded = _rule_report(spark, sf).select("model", *[F.round(m, 6).alias(m) for m in E.METRICS[:4]])
-    return E.leaderboard(rounded, E.METRICS[:4])
+    rounded = _rule_report(spark, sf).select("model", *[F.round(m, 6).alias(m) for m in E.METRICS])
+    return E.leaderboard(rounded)
 
 
-@query("best_model", RULE_SQL + "select model, roc_auc from (select model, accuracy as roc_auc, position from report) order by roc_auc desc, position limit 1")
+@query("best_model", RULE_SQL + "select model, roc_auc from report order by roc_auc desc, position limit 1")
 def best_model(spark, sf):
-    """Chosen by accuracy here: a yes/no rule has no score to rank by."""
-    report = _rule_report(spark, sf).select("position", "model", F.round("accuracy", 6).alias("roc_auc"))
+    """The rule of the largest area under its curve."""
+    report = _rule_report(spark, sf).select("position", "model", F.round("roc_auc", 6).alias("roc_auc"))
     return E.best_model(report).select("model", "roc_auc")
 
 
@@ -316,13 +321,14 @@ def score_batch(spark, sf):
     return SC.scan_bundle(I.reviews(spark, sf), I.sentiment_tables(spark), bundle)
 
 
-@query("report_roundtrip", RULE_SQL + "select cast(position as bigint) as position, model, accuracy, precision, recall, f1_score from report")
+@query("report_roundtrip", RULE_SQL + "select cast(position as bigint) as position, model, accuracy, precision, recall, f1_score, roc_auc, tn, fp, fn, tp from report")
 def report_roundtrip(spark, sf):
     """Write the report as one JSON document and read it back."""
     path = shared_dir(spark, "report")
     report = _rule_report(spark, sf).withColumns({
-        "roc_auc": F.lit(None).cast("double"),
         "confusion_matrix": F.array(F.array("tn", "fp"), F.array("fn", "tp")), **{
-            m: F.round(m, 6) for m in E.METRICS[:4]}})
+            m: F.round(m, 6) for m in E.METRICS}})
     writers.write_report(report, path)
-    return readers.read_report(spark, path).select("position", "model", *E.METRICS[:4])
+    cells = {"tn": (0, 0), "fp": (0, 1), "fn": (1, 0), "tp": (1, 1)}
+    return readers.read_report(spark, path).select(
+        "position", "model", *E.METRICS, *[F.col("confusion_matrix")[i][j].alias(c) for c, (i, j) in cells.items()])
