@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -56,8 +57,14 @@ def lower_ascii(column: Column) -> Column:
 
 
 def kept_in_worker(key: str, make: Callable[[], object]) -> object:
-    """A value that a Python worker makes once and keeps for its later tasks."""
+    """A value that a Python worker makes once and keeps for its later tasks, until one asks for another key.
+
+    A worker outlives stages and jobs: with one value at a time, what earlier operators kept takes no memory.
+    """
     store = sys.modules.setdefault("_veristar_worker", types.ModuleType("_veristar_worker"))
-    if not hasattr(store, key):
-        setattr(store, key, make())
-    return getattr(store, key)
+    if getattr(store, "key", None) != key:
+        store.key = store.value = None
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        store.value, store.key = make(), key
+    return store.value

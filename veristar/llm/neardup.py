@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, written
+from .common import kept_in_worker, slices, written
 
 TREES = 16
 DEPTH = 8
@@ -133,7 +133,7 @@ class Hasher:
 def sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, digest (of the set), signature, for each row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        h = Hasher()
+        h: Hasher = kept_in_worker("neardup-hasher", Hasher)
         for batch in slices(batches):
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -215,7 +215,7 @@ def set_table(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) ->
     bits = bitmap(nodes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        h = Hasher()
+        h: Hasher = kept_in_worker("neardup-hasher", Hasher)
         for batch in slices(batches):
             node, at = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             text = batch.column(1)
