@@ -210,12 +210,12 @@ def assign_ids(spark, sf):
 
 
 @query("extract_conversations", f"""with turns as (
-  select conv_id * 1000 + turn as review_id, cast(1 + turn % 5 as double) as rating, text as review_text, role from conversations),
+  select struct_pack(conv_id := conv_id, turn := turn) as review_id, cast(1 + turn % 5 as double) as rating, text as review_text, role from conversations),
 {S.features('turns')}
-select review_id, {COLS} from features""")
+select review_id.conv_id as conv_id, review_id.turn as turn, {COLS} from features""")
 def extract_conversations(spark, sf):
-    """The same features over a second text source."""
+    """The same features over a second text source, whose key has two parts."""
     turns = read_table(spark, sf, "conversations").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("review_id"), F.col("text").alias("review_text"),
+        F.struct("conv_id", "turn").alias("review_id"), F.col("text").alias("review_text"),
         (F.col("turn") % 5 + 1).cast("double").alias("rating"))
-    return extract_features(turns, I.sentiment_tables(spark))
+    return extract_features(turns, I.sentiment_tables(spark)).select("review_id.*", *FEATURE_COLS)
