@@ -349,3 +349,18 @@ def test_pos_density(spark):
     df = spark.createDataFrame([(1, "Red car runs"), (2, "nothing"), (3, "")], "review_id long, review_text string")
     got = {r["review_id"]: r["pos_density"] for r in M.pos_density(df, lexicon).collect()}
     assert got == {1: 2.0, 2: 0.0, 3: 0.0}
+
+
+def test_head_takes_every_token_and_every_rated_review(spark):
+    texts = [("awful rareword", 1.0), ("fine", 3.0), ("great", 5.0), ("", 5.0), (None, 1.0), ("unrated", None)] * 4
+    df = spark.createDataFrame([(i, t, r) for i, (t, r) in enumerate(texts)],
+                               "review_id long, review_text string, rating double")
+    head, bias = M.fit_head(df)
+    rows = {r["token"]: r for r in head.collect()}
+    assert set(rows) == {"awful", "rareword", "fine", "great"}
+    # A token that is one review's only one in a class pulls towards that class.
+    assert rows["great"]["w_pos"] > rows["great"]["w_neg"] and rows["rareword"]["w_neg"] > rows["rareword"]["w_pos"]
+    # Two ratings of three are at the ends, through reviews without any token as well: they show in the biases.
+    assert len(bias) == 3 and bias[0] > bias[1] and bias[2] > bias[1]
+    none = df.where("rating is null")
+    assert M.fit_head(df.where("rating = 5"))[1][0] <= 0.0 and none.count() == 4

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from veristar.operators import lexicon as L
 from veristar.operators import scoring as SC
 from veristar.operators import training as TR
-from veristar.operators.features import FEATURE_COLS, extract_features
+from veristar.operators.features import FEATURE_COLS, MODEL_COLS, STABLE_COLS, extract_features
 from veristar.sources import columns, params, readers, schemas, writers
 from veristar.streaming import incremental
 
@@ -190,7 +190,7 @@ def test_stream_equals_batch(spark, tmp_path):
     for part in (first, second):
         part.coalesce(1).write.mode("append").parquet(source)
         stream = incremental.read_review_stream(spark, source, first.schema, files_per_batch=1)
-        incremental.start_extraction(stream, tables, deltas, checkpoint).awaitTermination()
+        incremental.start_extraction(stream, tables, deltas, checkpoint, ["review_id"]).awaitTermination()
     got = incremental.current_features(spark, deltas)
     want = extract_features(first.unionByName(second).distinct(), tables)
     assert sorted(got.select(want.columns).collect()) == sorted(want.collect())
@@ -204,7 +204,36 @@ def test_late_copies_are_dropped(spark, tmp_path):
     df = spark.createDataFrame(rows, "review_id long, review_text string, rating double, ingested_at timestamp")
     df.coalesce(1).write.parquet(str(tmp_path / "in"))
     stream = incremental.without_late_copies(incremental.read_review_stream(spark, str(tmp_path / "in"), df.schema))
-    run = incremental.start_extraction(stream, L.default_tables(spark), str(tmp_path / "deltas"), str(tmp_path / "cp"))
+    run = incremental.start_extraction(stream, L.default_tables(spark), str(tmp_path / "deltas"), str(tmp_path / "cp"),
+                                       ["ingested_at"])
     run.awaitTermination()
     raw = spark.read.parquet(str(tmp_path / "deltas"))
     assert sorted(r["review_id"] for r in raw.collect()) == [1, 2]
+
+
+@pytest.mark.parametrize("per_file", [1, 4])
+def test_first_delivery_keeps_stable_columns_and_latest_sets_model_columns(spark, tmp_path, per_file):
+    """The same result whether the deliveries come in one micro-batch or in four."""
+    schema = "review_id long, review_text string, rating double, arrived int"
+    rows = [(1, "zebra good. Fine!", 5.0, 1), (1, "middle words here", 3.0, 2), (1, "a bad bad thing", 1.0, 3),
+            (2, None, 2.0, 1), (2, None, 2.0, 1), (3, "good", None, 2), (3, "very good!", 4.0, 2)]
+    # Files in order of arrival; within one file the order is the other way round.
+    parts = [[r for r in rows if r[3] == k] for k in (1, 2, 3)] if per_file == 1 else [rows[::-1]]
+    source = str(tmp_path / "in")
+    tables = L.default_tables(spark)
+    for part in parts:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = incremental.read_review_stream(spark, source, spark.createDataFrame(rows, schema).schema)
+        incremental.start_extraction(stream, tables, str(tmp_path / "deltas"), str(tmp_path / "cp"),
+                                     ["arrived"]).awaitTermination()
+    got = {r["review_id"]: r for r in incremental.current_features(spark, str(tmp_path / "deltas")).collect()}
+
+    def alone(text, rating):
+        df = spark.createDataFrame([(0, text, rating)], "review_id long, review_text string, rating double")
+        return extract_features(df, tables).first()
+
+    # Equal arrival: a missing rating sorts before a known one.
+    for key, first, last in ((1, rows[0], rows[2]), (2, rows[3], rows[3]), (3, rows[5], rows[6])):
+        stable, model = alone(*first[1:3]), alone(*last[1:3])
+        assert [got[key][c] for c in STABLE_COLS] == [stable[c] for c in STABLE_COLS]
+        assert [got[key][c] for c in MODEL_COLS] == [model[c] for c in MODEL_COLS]

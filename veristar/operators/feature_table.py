@@ -35,11 +35,24 @@ def resolve_deltas(deltas: DataFrame, order_col: str = "batch_id") -> DataFrame:
     )
 
 
-def latest_per_review(batch: DataFrame, order_cols: list[str]) -> DataFrame:
-    """One row per review out of duplicate deliveries: the last by ``order_cols``."""
-    others = [c for c in batch.columns if c != "review_id"]
-    newest = F.max_by(F.struct(*others), F.struct(*order_cols)).alias("row")
-    return batch.groupBy("review_id").agg(newest).select("review_id", "row.*")
+def deliveries(batch: DataFrame, order_cols: list[str]) -> DataFrame:
+    """Repeated deliveries of reviews, each distinct one once and under a key of its own.
+
+    ``review_id`` becomes a struct of the id and its place in the order of arrival, where rating and a
+    digest of the text settle ties. Equal deliveries would add up under one key, so copies go.
+    """
+    digest = F.md5(F.coalesce("review_text", F.lit("")))
+    place = F.struct(*order_cols, F.col("rating").alias("__rating"), digest.alias("__digest"))
+    return (
+        batch.select(F.struct("review_id", place.alias("place")).alias("review_id"), "review_text", "rating")
+        .dropDuplicates(["review_id"])
+    )
+
+
+def resolve_deliveries(features: DataFrame) -> DataFrame:
+    """Features of ``deliveries`` -> one row per review, by the rule of ``resolve_deltas``."""
+    rest = [c for c in features.columns if c != "review_id"]
+    return resolve_deltas(features.select("review_id.review_id", "review_id.place", *rest), "place")
 
 
 def cascade_features(features: DataFrame, reviews: DataFrame) -> DataFrame:

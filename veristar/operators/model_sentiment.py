@@ -10,19 +10,21 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import HashingTF, Normalizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.sentiment import model_sentiment_columns
-from ..session import local_table
+from ..session import materialize
 from .lexicon import sentiment_tokens
 from .lookup import small
-from .vectors import materialize_vectors, sparse_structs
 
 CLASSES = ("w_neg", "w_neu", "w_pos")
+# Places of the hashed tokens; the fitted head has three numbers for each.
+HEAD_WIDTH = 1 << 16
 
 
 def weak_label(rating: Column) -> Column:
@@ -30,40 +32,31 @@ def weak_label(rating: Column) -> Column:
     return F.when(rating <= 2, F.lit(0)).when(rating < 4, F.lit(1)).otherwise(F.lit(2))
 
 
-def fit_head(reviews: DataFrame, max_tokens: int = 2000, reg: float = 1e-3,
+def fit_head(reviews: DataFrame, width: int = HEAD_WIDTH, reg: float = 1e-3,
              max_iter: int = 50) -> tuple[DataFrame, tuple[float, float, float]]:
-    """Fit token weights and biases on rated reviews.
+    """Fit token weights and biases on all rated reviews.
 
-    The inputs are token shares per review, so the score of a review is a plain
-    sum over its tokens. The head has at most ``max_tokens`` rows.
+    The inputs are token shares per review, hashed into ``width`` places within the row, so the score of
+    a review is a plain sum over its tokens. Every token of the rated reviews gets the weights of its place;
+    a review without tokens is an empty vector.
     """
-    spark = reviews.sparkSession
     rated = reviews.where(F.col("rating").isNotNull()).select(
-        "review_id", weak_label(F.col("rating")).alias("target"),
+        weak_label(F.col("rating")).alias("target"),
         F.transform(sentiment_tokens(T.text_or_empty(F.col("review_text"))), F.lower).alias("toks"))
-    chosen = (
-        rated.select(F.explode("toks").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), "token").limit(max_tokens).collect()
-    )
-    names = sorted(r["token"] for r in chosen)
-    vocabulary = local_table(spark, {"token": (pa.string(), names), "idx": (pa.int64(), list(range(len(names))))})
-    rows = rated.select("review_id", F.size("toks").alias("n_toks"), F.explode("toks").alias("token"))
-    entries = (
-        rows.join(F.broadcast(vocabulary), "token").groupBy("review_id", "idx", "n_toks")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("review_id", "idx", (F.col("n") / F.col("n_toks")).alias("value"))
-    )
-    vectors = materialize_vectors(
-        rated.select("review_id", "target").join(sparse_structs(entries, len(names)), "review_id"))
-    model = LogisticRegression(featuresCol="features", labelCol="target", family="multinomial",
-                               regParam=reg, maxIter=max_iter, standardization=False).fit(vectors)
-    matrix, bias = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
-    head = local_table(spark, {
-        "token": (pa.string(), names),
-        **{c: (pa.float64(), matrix[k].tolist() if k < len(matrix) else [0.0] * len(names))
-           for k, c in enumerate(CLASSES)},
-    })
-    return head, tuple(float(b) for b in bias)
+    hashed = HashingTF(numFeatures=width, inputCol="toks", outputCol="counts")
+    shares = Normalizer(p=1.0, inputCol="counts", outputCol="features")
+    model = LogisticRegression(featuresCol="features", labelCol="target", family="multinomial", regParam=reg,
+                               maxIter=max_iter, standardization=False).fit(shares.transform(hashed.transform(rated)))
+    bias = [float(b) for b in model.interceptVector.toArray()]
+    bias += [0.0] * (len(CLASSES) - len(bias))
+    # A token alone is a vector of its one place: its margins less the biases are its weights.
+    tokens = rated.select(F.explode("toks").alias("token")).distinct()
+    margins = model.transform(hashed.transform(tokens.withColumn("toks", F.array("token")))
+                              .withColumnRenamed("counts", "features")).select(
+        "token", vector_to_array("rawPrediction").alias("margin"))
+    weights = [F.coalesce(F.get("margin", F.lit(k)) - b, F.lit(0.0)).alias(c)
+               for k, (c, b) in enumerate(zip(CLASSES, bias))]
+    return materialize(margins.select("token", *weights), "head"), tuple(bias)
 
 
 def score_with(reviews: DataFrame, load_model: Callable[[], Callable[[list[str]], "pd.DataFrame"]],

@@ -141,7 +141,9 @@ def stream_features(spark, sf):
     docs = incremental.read_review_stream(spark, sf, schema, "documents.parquet")
     rating = F.when(F.col("doc_id") % 17 != 0, (F.col("doc_id") % 5 + 1).cast("double"))
     arriving = docs.select(F.col("doc_id").alias("review_id"), F.col("text").alias("review_text"), rating.alias("rating"))
-    run = incremental.start_extraction(arriving, I.sentiment_tables(spark), f"{base}/deltas", f"{base}/checkpoint")
+    # The table has a row per document and no arrival time: any order will do.
+    run = incremental.start_extraction(arriving, I.sentiment_tables(spark), f"{base}/deltas", f"{base}/checkpoint",
+                                       ["review_id"])
     run.awaitTermination()
     return incremental.current_features(spark, f"{base}/deltas")
 

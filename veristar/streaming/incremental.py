@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as t
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.feature_table import latest_per_review, resolve_deltas
+from ..operators.feature_table import deliveries, resolve_deliveries, resolve_deltas
 from ..operators.features import extract_features
 from ..operators.lexicon import SentimentTables
 
@@ -32,11 +32,15 @@ def without_late_copies(stream: DataFrame, delay: str = "1 day") -> DataFrame:
 
 
 def start_extraction(reviews: DataFrame, tables: SentimentTables, deltas: str, checkpoint: str,
-                     order_cols: list[str] | None = None, trigger: dict | None = None) -> StreamingQuery:
-    """Start ``review_id, review_text, rating`` -> features; by default until the input is used up."""
+                     order_cols: list[str], trigger: dict | None = None) -> StreamingQuery:
+    """Start ``review_id, review_text, rating`` and arrival -> features; by default until the input is used up.
+
+    ``order_cols`` give the order of arrival. Within a micro-batch as across them, the first delivery
+    of a review keeps the stable columns and the latest one sets the model columns.
+    """
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = latest_per_review(batch, order_cols or ["review_text"])
-        extract_features(rows, tables).write.mode("overwrite").parquet(f"{deltas}/batch_id={batch_id}")
+        found = extract_features(deliveries(batch, order_cols), tables)
+        resolve_deliveries(found).write.mode("overwrite").parquet(f"{deltas}/batch_id={batch_id}")
 
     return (
         reviews.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
