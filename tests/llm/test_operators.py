@@ -147,6 +147,42 @@ def test_near_copies(spark, docs):
     assert neardup.linked_components(df.limit(0)).count() == 0
 
 
+def test_few_links_in_a_large_family(spark):
+    import random
+    r = random.Random(11)
+    words = [f"w{i}" for i in range(3000)]
+    origin = [r.choice(words) for _ in range(150)]
+
+    def edited(text, n):
+        text = list(text)
+        for at in r.sample(range(150), n):
+            text[at] = r.choice(words)
+        return text
+
+    texts = {i: " ".join(edited(origin, 6)) for i in range(800)}
+    for i in range(0, 80, 2):  # pairs a little nearer to each other than the others are
+        of_pair = edited(origin, 4)
+        texts[2000 + i], texts[2001 + i] = (" ".join(edited(of_pair, 4)) for _ in range(2))
+    got = neardup.linked_components(spark.createDataFrame([*texts.items()], "doc_id long, text string")).collect()
+    want = _brute_components(texts)
+    assert sum(i != c for i, c in want.items()) > 10
+    assert {g.doc_id: g.component_id for g in got} == want
+
+
+def test_prefix_holds_the_first_shared_shingle():
+    import numpy as np
+    r = np.random.default_rng(4)
+    for n in range(1, 60):
+        for m in range(1, 60):
+            # As many shared as a link needs, all at the end of both orders.
+            k = next((k for k in range(1, min(n, m) + 1) if 100 * k >= 80 * (n + m - k)), None)
+            if k is not None:
+                assert n - k < neardup.prefix_size(n) and m - k < neardup.prefix_size(m)
+                assert 180 * k >= 80 * (n + m)
+    s = np.unique(r.integers(0, 1 << 60, 50).astype(np.uint64))
+    assert list(neardup.rare_first(s, s[:2], np.array([3, 2]))) == [*s[2:], s[1], s[0]]
+
+
 def test_top_k(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(i, [float((i * 7) % 5 - 2), float(i % 3) / 2, 0.1]) for i in range(120)]

@@ -20,8 +20,12 @@ Candidates grow with the number of documents, not of pairs:
    pivot that most of its regions name.
 2. Documents not yet joined are compared with the other pivots of their regions and with the
    ``NEIGHBOURS`` next documents in each order (longest common prefix).
-3. Documents still apart from a component that they met are compared with its ``CENTRES`` most central
-   documents, those that agree best with its most frequent minima.
+3. An exact pass finds every link that the forest left: a prefix-filter join between components. The shingles of each
+   set are put in one order of all shingles, those that are common in a sample last. At the first shingle that two linked
+   sets share, at places p and q, the rest of both holds the overlap that a link needs:
+   ``(100 + SHARED) * min(n - p, m - q) >= SHARED * (n + m)``. Places that can meet this with no partner are not written, shingles
+   that stay within one component are dropped, and the others are joined under that condition. The order decides
+   only how many pairs are tried, not which links are found.
 
 Every link is confirmed on the full sets.
 
@@ -47,9 +51,9 @@ DEPTH = 8
 SHORTEST = 3
 REGION = 512
 NEIGHBOURS = 3
-CENTRES = 8
-CENTRES_FROM = 8
 SHARED = 80
+COMMON_DOCS = 1 << 14
+COMMON = 1 << 19
 BITMAP_BITS = 1 << 23
 
 _U = np.uint64
@@ -294,19 +298,108 @@ def neighbours(placed: DataFrame, regions: DataFrame) -> DataFrame:
             .select("p.a", "p.b").filter("a is not null").distinct())
 
 
-def centres(labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """label, centre: the documents of a component that agree best with its most frequent minima."""
-    sizes = labels.groupBy("label").agg(F.count("*").alias("n")).filter(F.col("n") >= CENTRES_FROM)
-    members = labels.join(sizes.select("label"), "label").join(classes.select("node", "signature"), "node")
-    values = members.select("label", "node", F.explode(F.sequence(F.lit(0), F.lit(TREES * DEPTH - 1))).alias("at"),
-                            "signature").select(
-        "label", "node", "at", F.substring("signature", F.col("at") * 4 + 1, F.lit(4)).alias("value"))
-    counts = values.groupBy("label", "at", "value").agg(F.count("*").alias("n"))
-    modes = counts.groupBy("label", "at").agg(F.max_by("value", F.struct("n", "value")).alias("value"))
-    agree = values.join(modes, ["label", "at", "value"]).groupBy("label", "node").agg(F.count("*").alias("agree"))
-    best = Window.partitionBy("label").orderBy(F.col("agree").desc(), "node")
-    return (agree.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= CENTRES)
-            .select("label", F.col("node").alias("centre")))
+def common_shingles(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles (sorted) that more than one of about ``COMMON_DOCS`` classes has, and their counts: ``COMMON`` at most."""
+    share = min(1.0, COMMON_DOCS / max(1, classes.count()))
+    drawn = classes.filter(F.pmod(F.xxhash64(F.lit(3), "node"), F.lit(1 << 30)) < int(share * (1 << 30))).select("node")
+    table = set_table(docs, drawn, id_col, text_col).join(drawn, "node", "left_semi").select("shingles")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            for i in range(batch.num_rows):
+                values = np.frombuffer(batch.column(0)[i].as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(values)], names=["shingle"])
+
+    counts = table.mapInArrow(run, "shingle long").groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1")
+    found = counts.orderBy(F.col("n").desc(), "shingle").limit(COMMON).toArrow()
+    shingles = found.column(0).to_numpy().view(_U)
+    order = np.argsort(shingles)
+    return shingles[order], found.column(1).to_numpy()[order]
+
+
+def rare_first(shingles: np.ndarray, common: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A set in the order of all shingles: by count (0 if not common), then by hash."""
+    if not len(common):
+        return shingles
+    at = np.searchsorted(common, shingles)
+    at[at == len(common)] = 0
+    return shingles[np.lexsort((shingles, np.where(common[at] == shingles, counts[at], 0)))]
+
+
+def prefix_size(n: int, shared: int = SHARED) -> int:
+    """The places of a set of ``n`` at which the first shared shingle of a link may stand."""
+    least = (n + (shared * n + 99) // 100) * shared  # with the smallest partner
+    return n - -(-least // (100 + shared)) + 1 if n else 0
+
+
+def sketch(shingles: np.ndarray) -> bytes:
+    """A bitmap of at least 2 bits a shingle: each flips its bit."""
+    bits = max(256, 1 << (2 * len(shingles) - 1).bit_length())
+    flips = np.bincount((shingles % _U(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(flips.astype(np.uint8)).tobytes()
+
+
+def may_link(n: int, x: np.ndarray, m: int, y: np.ndarray, shared: int = SHARED) -> bool:
+    """Whether sketches of sets of ``n`` and ``m`` allow a link: sets differ in at least as many shingles as sketches in bits."""
+    while len(x) > len(y):  # a smaller sketch is the larger one folded
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    while len(y) > len(x):
+        y = y[:len(y) // 2] ^ y[len(y) // 2:]
+    overlap = -(-shared * (n + m) // (100 + shared))
+    return int(np.bitwise_count(x ^ y).sum()) <= n + m - 2 * overlap
+
+
+def allowed(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs whose sketches allow a link."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m, x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4), batch.column(5)
+            good = [may_link(n[i], np.frombuffer(x[i].as_buffer(), _U), m[i], np.frombuffer(y[i].as_buffer(), _U))
+                    for i in range(batch.num_rows)]
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    one = sketches.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("of_a"))
+    two = sketches.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("of_b"))
+    rows = pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "of_a", "of_b")
+    return rows.mapInArrow(run, "a long, b long").distinct()
+
+
+def prefixes(docs: DataFrame, common: np.ndarray, counts: np.ndarray, id_col: str, text_col: str) -> DataFrame:
+    """node, digest, n, sketch, rare: the shingles of each set's prefix, in order."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        h: Hasher = kept_in_worker("neardup-hasher", Hasher)
+        for batch in slices(batches):
+            rows = []
+            for node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                s = h.shingles(text)
+                rare = rare_first(s, common, counts)[:prefix_size(len(s))]
+                rows.append((node, hashlib.blake2b(s.tobytes(), digest_size=16).digest(), len(s), sketch(s),
+                             rare.view(np.int64)))
+            types = [pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
+                                             names=["node", "digest", "n", "sketch", "rare"])
+
+    rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("node"),
+                                                         F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, "node long, digest binary, n long, sketch binary, rare array<long>").filter("n > 0")
+
+
+def across(prefix: DataFrame, labels: DataFrame) -> DataFrame:
+    """a, b: all pairs of different components whose prefixes and sketches allow a link (prefix: node, n, sketch, rare)."""
+    known = written(prefix.join(labels, "node", "left").select(
+        "node", F.coalesce("label", "node").alias("label"), "n", "sketch", "rare"), "neardup-prefixes")
+    rows = known.select("node", "label", "n", F.posexplode("rare").alias("pos", "shingle"))
+    # A shingle of one component alone, most of all one of one set alone, makes no pair.
+    spread = (rows.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+              .filter("low < high").select("shingle"))
+    rows = written(rows.join(spread, "shingle").select("shingle", "node", "label", "n", (F.col("n") - F.col("pos")).alias("rest")),
+                   "neardup-postings")
+    one, two = (rows.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "label", "n", "rest")])
+                for side in "ab")
+    enough = (100 + SHARED) * F.least("rest_a", "rest_b") >= SHARED * (F.col("n_a") + F.col("n_b"))
+    pairs = one.join(two, "shingle").filter((F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & enough)
+    pairs = written(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "neardup-pairs")
+    return allowed(pairs, known.select("node", "n", "sketch"))
 
 
 def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -350,13 +443,12 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     edges = tried.filter("linked").select("a", "b")
     labels = components(edges, "neardup-second")
 
-    apart = written(_apart(tried.filter("not linked").select("a", "b"), labels), "neardup-apart")
-    core = written(centres(labels, classes), "neardup-centres")
-    visits = (apart.select(F.col("a").alias("node"), F.col("label_b").alias("label"))
-              .unionByName(apart.select(F.col("b").alias("node"), F.col("label_a").alias("label"))).distinct()
-              .join(core, "label"))
-    visits = visits.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-    third = confirmed(visits.join(tried.select("a", "b"), ["a", "b"], "left_anti"), table, "neardup-third")
+    common, counts = common_shingles(docs, classes, id_col, text_col)
+    prefix = prefixes(docs, common, counts, id_col, text_col).join(of_class.select("digest", "node"), ["digest", "node"])
+    left = written(across(prefix, labels).join(tried.select("a", "b"), ["a", "b"], "left_anti"), "neardup-left")
+    ends = left.select(F.col("a").alias("node")).union(left.select("b"))
+    rest = set_table(docs, ends, id_col, text_col).join(ends.distinct(), "node", "left_semi")
+    third = confirmed(left, rest, "neardup-third")
     labels = components(edges.unionByName(third.filter("linked").select("a", "b")), "neardup-third")
 
     # From classes back to documents: only digests of classes that hold more than one document, or are linked.
