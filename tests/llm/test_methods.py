@@ -179,6 +179,24 @@ def test_salvage_after_damage(packed):
     assert list(warc.salvage(b"noise"))[0][3] == 5
 
 
+def test_salvage_decides_by_place():
+    body = gzip.compress(b"a packed body of some length")
+    plain = _warc([body, b"second", b"third"])
+    assert [h["warc-target-uri"][-1] for _, _, h, _ in warc.salvage(b"".join(plain))] == ["0", "1", "2"]
+    # A packed body of a broken record is no place to go on; plain records and members may follow each other.
+    broken = plain[0][:-6] + b"#" + plain[0][-5:]
+    found = list(warc.salvage(broken + plain[1] + gzip.compress(plain[2])))
+    assert [(m, o, h if isinstance(h, str) else h["warc-target-uri"][-1]) for m, o, h, _ in found] == [
+        (0, 0, "block digest differs"), (0, len(broken), "1"), (len(broken) + len(plain[1]), 0, "2")]
+    assert found[0][3] == len(broken)
+
+
+def test_packed_members_end_with_a_zero():
+    for record in (b"", b"abc", b"x" * (1 << 24), b"y" * ((1 << 24) + 5)):
+        member = warc.packed(record)
+        assert member[-1] == 0 and gzip.decompress(member) == record
+
+
 def test_tree_equals_brute_force():
     r = np.random.default_rng(1)
     points = r.integers(-9, 9, (700, 5))

@@ -79,6 +79,20 @@ def test_warc(spark):
     assert warc.archived_pages(pages.limit(0)).count() == 0
 
 
+def test_warc_loses_one_record_to_a_broken_byte(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "u", f"<p>{i}" + "é" * 300) for i in range(20)], "page_id long, url string, html string")
+    path = str(tmp_path / "archives")
+    warc.write_archives(warc.with_record_types(pages), path)
+    (file,) = [f for f in (tmp_path / "archives").iterdir() if f.name.startswith("part-")]
+    data = bytearray(file.read_bytes())
+    data[len(data) // 2] ^= 0xFF
+    (tmp_path / "named").mkdir()
+    (tmp_path / "named" / "CC-2026.warc.gz").write_bytes(data)
+    found = warc.read_archives(spark, str(tmp_path / "named")).collect()
+    assert sum(r.kind == "response" for r in found) == 19 and sum(r.kind == "gap" for r in found) == 1
+    assert warc.read_archives(spark, path).filter("kind = 'response'").count() == 20
+
+
 def test_toxicity(spark):
     rows, labels = [], []
     for i in range(400):

@@ -8,15 +8,16 @@ revisits without a payload. The choice is made on digests alone; a payload is sh
 once, by page, never by its digest, so a payload that a third of all pages share is no
 hot group. Archives hold about ``ARCHIVE_BYTES`` each.
 
-They are packed with gzip, a member a file; records are read one by one all the same, and a member
-that breaks gives up the records before the break.
+They are packed with gzip, a member a record, so that a broken byte loses one record. A member is text to Spark's writer: all
+but its last byte, a zero, which is the line separator.
 
 Reading. An archive (plain, or gzip members one after another) is checked record by
-record: version line, header, length, block digest, closing blank line. After a failed
-check the reader looks for the next gzip magic bytes that open a valid member, or the
-next version line at the start of a line, goes on there, and logs the bytes between
-as quarantined: path, offset, length, reason. Offsets are those of the file for plain
-archives and of the unpacked member otherwise (member start in ``member_offset``).
+record: version line, header, length, block digest, closing blank line. What stands at each place decides how it is
+read: a version line opens a plain record, gzip magic bytes a member. After a failed check the reader goes on at the next
+sound record, be it plain at the start of a line or in a valid member, and logs the bytes between
+as quarantined: path, offset, length, reason. A member without a sound record, such as a packed body of a broken
+response, is no place to go on. Offsets are those of the file for plain
+records and of the unpacked member otherwise (member start in ``member_offset``).
 
 Defined results: a null html is an empty payload; a null page id counts as larger than all;
 rows that repeat a page id and a payload are equal records (all responses, or all
@@ -25,6 +26,7 @@ revisits); an empty table gives an empty result; further columns stay out.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 import zlib
@@ -36,6 +38,8 @@ from pyspark.sql import functions as F
 
 from veristar.session import shared_dir
 
+from .common import slices
+
 MIN_REVISIT = 100
 ARCHIVE_BYTES = 16 << 20
 CRLF = "\r\n"
@@ -97,9 +101,22 @@ def record_text(rows: DataFrame) -> DataFrame:
     return rows.select(F.concat(header, F.lit(BLANK), block).alias("value"))
 
 
+def packed(record: bytes) -> bytes:
+    """A gzip member that ends with a zero byte."""
+    member = gzip.compress(record, 6, mtime=0)
+    # It ends with the highest byte of its length; from 16 MB on an empty member follows.
+    return member if member[-1] == 0 else member + gzip.compress(b"", 6, mtime=0)
+
+
 def write_archives(rows: DataFrame, path: str) -> str:
     """Write what ``with_record_types`` gives, a file for each of its parts. Each record ends with a blank line."""
-    record_text(rows).write.option("lineSep", BLANK).option("compression", "gzip").text(path)
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            values = [packed(v.as_py().encode("utf-8", "surrogatepass") + b"\r\n\r\n")[:-1] for v in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(values, pa.binary())], names=["value"])
+
+    members = record_text(rows).mapInArrow(pack, "value binary").select(F.col("value").cast("string"))
+    members.write.option("lineSep", "\0").option("compression", "none").text(path)
     return path
 
 
@@ -175,26 +192,44 @@ def _member(data: bytes, at: int) -> tuple[bytes, int | None]:
     return b"".join(out), None
 
 
+def _next_sound(data: bytes, at: int) -> int:
+    """The next place from ``at`` on with a sound plain record, or a valid member that holds one; or the end."""
+    version, magic = _next_version(data, at), data.find(_MAGIC, at)
+    while version < len(data) or magic >= 0:
+        if magic < 0 or version < magic:
+            if not isinstance(_record(data, version)[0], str):
+                return version
+            version = _next_version(data, version + 1)
+        else:
+            out, end = _member(data, magic)
+            if end is not None and any(isinstance(header, dict) for _, header, _ in salvage_records(out)):
+                return magic
+            magic = data.find(_MAGIC, magic + 1)
+    return len(data)
+
+
 def salvage(data: bytes) -> Iterator[tuple[int, int, dict[str, str] | str, bytes | int]]:
     """(member offset, offset, header or reason, block or length of the gap)."""
-    if _MAGIC not in data[:4096] and (_VERSION.search(data) or _MAGIC not in data):
-        for offset, header, block in salvage_records(data):
-            yield 0, offset, header, block
-        return
     at = 0
     while at < len(data):
-        out, end = _member(data, at) if data.startswith(_MAGIC, at) else (b"", None)
-        # Records in front of the place where a member breaks have their own digests and count.
-        for offset, header, block in salvage_records(out):
-            if end is not None or not isinstance(header, str):
-                yield at, offset, header, block
-        if end is None:
-            gap, at = at, data.find(_MAGIC, at + 1)
-            while at >= 0 and _member(data, at)[1] is None:
-                at = data.find(_MAGIC, at + 1)
-            at = len(data) if at < 0 else at
-            yield gap, 0, "no valid member", at - gap
+        if data.startswith(_MAGIC, at):
+            out, end = _member(data, at)
+            # Records in front of the place where a member breaks have their own digests and count.
+            for offset, header, block in salvage_records(out):
+                if end is not None or not isinstance(header, str):
+                    yield at, offset, header, block
+            if end is None:
+                gap, at = at, _next_sound(data, at + 1)
+                yield gap, 0, "no valid member", at - gap
+            else:
+                at = end
+            continue
+        header, block, end = _record(data, at)
+        if isinstance(header, str):
+            gap, at = at, _next_sound(data, at + 1)
+            yield 0, gap, header, at - gap
         else:
+            yield 0, at, header, block
             at = end
 
 
@@ -237,7 +272,7 @@ def read_archives(spark, path: str, payloads: bool = True) -> DataFrame:
                 if rows:
                     yield _batch(rows)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return files.select("path", "content").mapInArrow(read, RECORDS)
 
 
