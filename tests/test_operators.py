@@ -83,6 +83,17 @@ def test_lexicon_rules(spark):
         assert got[i] == pytest.approx(compound(s), abs=1.01e-4), text
 
 
+def test_two_reviews_under_one_id_are_scored_each(spark):
+    rows = [(1, "good good", 5.0, "a"), (1, "bad", 1.0, "a"), (1, "bad", 1.0, "b"), (2, "", 3.0, "a")]
+    df = spark.createDataFrame(rows, "review_id long, review_text string, rating double, category string")
+    alone = {r["review_id"]: r for r in extract_features(
+        df.withColumn("review_id", F.monotonically_increasing_id()), L.default_tables(spark), ("rating", "category")).collect()}
+    got = extract_features(df, L.default_tables(spark), ("rating", "category")).collect()
+    assert len(got) == 4 and sorted(r["review_id"] for r in got) == [1, 1, 1, 2]
+    assert sorted(map(str, (r[1:] for r in got))) == sorted(map(str, (r[1:] for r in alone.values())))
+    assert {(r["rating"], r["sentiment_score"] > 0) for r in got if r["review_id"] == 1} == {(5.0, True), (1.0, False)}
+
+
 def test_large_lexicon_takes_the_join(spark, monkeypatch):
     """Beyond the in-row and broadcast bounds the result is the same."""
     import veristar.operators.lookup as lookups

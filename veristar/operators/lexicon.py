@@ -90,14 +90,18 @@ def sentiment_scores(reviews: DataFrame, tables: SentimentTables, carry: dict[st
     """Add up both scores per review; ``carry`` columns travel along unchanged.
 
     Carried columns are repeated per known token: carry narrow values, never texts.
+    Sums go by a key of the row's own, so rows that repeat an id are scored each.
 
     Result: id, carried columns, ``sentiment_score``, ``model_sentiment`` and the
     three class shares ``model_neg``, ``model_neu``, ``model_pos``.
     """
     carry = carry or {}
     text = T.text_or_empty(F.col(text_col))
+    row = "_row"
+    while row.lower() in {c.lower() for c in (id_col, *carry)}:
+        row = f"_{row}"
     per_review = (
-        reviews.select(F.col(id_col), *[c.alias(n) for n, c in carry.items()],
+        reviews.select(F.monotonically_increasing_id().alias(row), F.col(id_col), *[c.alias(n) for n, c in carry.items()],
                        _emphasis(text).alias("emphasis"), sentiment_tokens(text).alias("toks"))
         .withColumns({"n_toks": F.size("toks"), "n_caps": F.size(F.filter("toks", is_upper)),
                       "keys": F.transform("toks", F.lower)})
@@ -109,11 +113,11 @@ def sentiment_scores(reviews: DataFrame, tables: SentimentTables, carry: dict[st
         places = f"filter({places}, i -> {tables.known('get(keys, i)')})"
     # A review without any known word keeps one row, with an empty token.
     rows = per_review.select(
-        id_col, *carry, "emphasis", "n_toks", "contrast_at", "mixed_case",
+        row, id_col, *carry, "emphasis", "n_toks", "contrast_at", "mixed_case",
         F.explode_outer(F.expr(
             f"transform({places}, i -> struct(i as pos, get(toks, i) as t, "
             "get(toks, i - 1) as p1, get(toks, i - 2) as p2, get(toks, i - 3) as p3))")).alias("tok"),
-    ).select(id_col, *carry, "emphasis", "n_toks", "contrast_at", "mixed_case", "tok.*")
+    ).select(row, id_col, *carry, "emphasis", "n_toks", "contrast_at", "mixed_case", "tok.*")
     hits = rows.join(tables.facts, F.lower(F.col("t")) == F.col("hit"), "left")
     kept = list(carry)
     hits = _with_valence(hits, tables)
@@ -122,7 +126,7 @@ def sentiment_scores(reviews: DataFrame, tables: SentimentTables, carry: dict[st
     # Strings go with the key: in an aggregation buffer they would force a sort.
     strings = [f.name for f in per_review.schema if f.name in kept and isinstance(f.dataType, StringType)]
     numbers = [c for c in kept if c not in strings]
-    sums = hits.groupBy(id_col, *strings).agg(
+    sums = hits.groupBy(row, id_col, *strings).agg(
         *[F.any_value(c).alias(c) for c in (*numbers, "emphasis", "n_toks")],
         F.sum("v").alias("s"), *weights,
     )
