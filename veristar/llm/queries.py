@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import bpe, chat, fingerprints, kdtree, langid, mixing, neardup, secrets, toxicity, warc
+from . import bpe, chat, filteraudit, fingerprints, kdtree, langid, mixing, neardup, secrets, tokencount, toxicity, warc
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,6 +158,60 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_join("inserted", ",").alias("inserted"), "rendered")
 
 
+@_query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all 120 orders, step by step, for every language."""
+    return filteraudit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op12_filter_audit"] = r"""
+with recursive w as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws,
+         min(doc_id) over (partition by coalesce(text, '')) as first_id
+  from documents
+), k as (
+  select doc_id, max(coalesce(quality = 1, false)::int) as good, max(coalesce(toxic = 1, false)::int) as bad
+  from labels group by 1
+), d as (
+  select part, coalesce(good, 0) as good, coalesce(bad, 0) as bad, [x for x in [
+           case when len(ws) < 100 then 'A' end, case when 100 * len(list_distinct(ws)) < 80 * len(ws) then 'B' end,
+           case when 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) then 'C' end,
+           case when regexp_matches(t, '[#$%&*|]') then 'D' end, case when w.doc_id > first_id then 'E' end]
+           if x is not null] as fails
+  from w left join k on k.doc_id = w.doc_id
+), g as (
+  select part, fails, count(*) as n, sum(good) as good, sum(bad) as bad from d group by all
+), o(filter_order) as (
+  select '' union all
+  select filter_order || f from o, (select unnest(['A', 'B', 'C', 'D', 'E']) as f)
+  where not contains(filter_order, f)
+), s as (
+  select filter_order, step::integer as step, filter_order[step] as f,
+         string_split(filter_order[1:step - 1], '') as earlier
+  from o, (select unnest(range(1, 6)) as step) where length(filter_order) = 5
+), r as (
+  select part, filter_order, step, f,
+         sum(n * (not list_has_any(fails, earlier) and not list_contains(fails, f))::int)::bigint as kept,
+         sum(n * (not list_has_any(fails, earlier) and list_contains(fails, f))::int)::bigint as removed,
+         sum(n * (list_has_any(fails, earlier) and list_contains(fails, f))::int)::bigint as redundant,
+         sum(n * (fails = [f])::int)::bigint as unique_fails,
+         sum(good * (not list_has_any(fails, earlier) and list_contains(fails, f))::int)::bigint as good_lost,
+         sum(bad * (not list_has_any(fails, earlier) and list_contains(fails, f))::int)::bigint as toxic_lost
+  from g, s group by all
+)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) over (partition by part, f))::bigint as shapley
+from r
+"""
+
+
+@_query
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, and whether they exceed the window."""
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"), tokencount.vocabulary(), keep=(F.col("doc_id"),))
+
+
 @_query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, one after another."""
