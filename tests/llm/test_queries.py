@@ -19,7 +19,7 @@ def test_matches_sql(spark, name):
 
 
 def test_names():
-    assert {n.split("_")[0] for n in QUERIES} == {"pipeline", *(f"op{i}" for i in [*range(1, 11), 12, 13])}
+    assert {n.split("_")[0] for n in QUERIES} == {"pipeline", *(f"op{i}" for i in range(1, 14))}
 
 
 def test_pipeline_stages(spark):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import bpe, chat, filteraudit, fingerprints, kdtree, langid, mixing, neardup, secrets, tokencount, toxicity, warc
+from . import bpe, chat, filteraudit, fingerprints, kdtree, langid, mixing, neardup, prefixtrie, secrets, tokencount, toxicity, warc
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,6 +158,54 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_join("inserted", ",").alias("inserted"), "rendered")
 
 
+@_query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct opening of the rebuilt conversations, with its subtree's leaves and savings."""
+    return prefixtrie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op11_prefix_trie"] = """
+with recursive t as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+         row_number() over (partition by conv_id order by turn nulls first,
+           sha256(strlen(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, ''))) as pos
+  from conversations where conv_id is not null
+), crc(conv_id, s, c, i) as (
+  select distinct conv_id, conv_id::varchar, 4294967295::bigint, 0 from t
+  union all
+  select conv_id, s, xor(c >> 8, list_reduce([xor(c, ord(s[i + 1])) & 255, 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda a, b: xor(a >> 1, 3988292384 * (a & 1)))), i + 1
+  from crc where i < length(s)
+), l as (
+  select conv_id, conv_id - conv_id % 5 as base, xor(c, 4294967295) % 9 as h from crc where i = length(s)
+), seq as (
+  select conv_id, list({'role': role, 'text': text} order by pos) as turns from t group by 1
+), r as (
+  select l.conv_id, coalesce(b.turns[1:h], []) || o.turns[h + 1:] as turns
+  from l join seq o on o.conv_id = l.conv_id left join seq b on b.conv_id = l.base
+), p as (
+  select conv_id, d, turns[1:d] as node, d = len(turns) as ends
+  from (select conv_id, turns, unnest(range(len(turns) + 1)) as d from r)
+), n as (
+  select node, d, min(conv_id) as conv_id, count(*) as n_convs,
+         case when d = 0 then 0 else (count(*) - 1) * strlen(any_value(node[d].text)) end as saved,
+         coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where ends), '') as ends
+  from p group by node, d
+), c as (
+  select node[1:d - 1] as node, count(*) as n_children from n where d > 0 group by 1
+), m as (
+  select n.*, coalesce(n_children, 0) as n_children from n left join c using (node)
+), s as (
+  select node, sum((n_children = 0)::int) as n_leaves, sum(saved) as saved_tokens
+  from (select node[1:k] as node, n_children, saved from (select *, unnest(range(d + 1)) as k from m)) group by 1
+)
+select m.conv_id, m.d::bigint as depth, up.conv_id as parent_conv_id, m.n_convs::bigint as n_convs,
+       m.n_children::bigint as n_children, s.n_leaves::bigint as n_leaves, s.saved_tokens::bigint as saved_tokens,
+       sha256(m.ends) as ends_sha256
+from m join s using (node) left join n up on m.d > 0 and up.node = m.node[1:m.d - 1]
+"""
+
+
 @_query
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five filters in all 120 orders, step by step, for every language."""
