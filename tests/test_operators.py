@@ -107,17 +107,19 @@ def test_large_lexicon_takes_the_join(spark, monkeypatch):
     assert L.lexicon_sentiment(df, tables).orderBy("review_id").collect() == want
 
 
-def test_large_model_takes_the_join(spark, monkeypatch):
-    df = spark.createDataFrame([(1, "red car red car bus"), (2, "bus stop"), (3, "")], "review_id long, review_text string")
-    table = P.coefficient_table(spark, [
-        (i, "text", k, w, None, None, 1.0 + i) for i, (k, w) in enumerate({"red": 0.5, "red car": -0.4, "bus": 0.3}.items())])
-    want = {r["review_id"]: r["text_z"] for r in SC.with_text_score(df, table, ["stop"]).collect()}
+def test_text_score_of_repeated_ids_and_repeated_terms(spark):
+    df = spark.createDataFrame([(1, "red car red car bus"), (1, "bus stop"), (2, ""), (None, "bus bus")], "review_id long, review_text string")
+    rows = [("red", 0.5), ("red car", -0.4), ("bus", 0.3)]
+    table = P.coefficient_table(spark, [(i, "text", k, w, None, None, 1.0 + i) for i, (k, w) in enumerate(rows)])
     parts = [((1 + math.log(2)) * 1, 0.5), ((1 + math.log(2)) * 2, -0.4), (3, 0.3)]
-    assert want[1] == pytest.approx(sum(w * c for w, c in parts) / math.sqrt(sum(w * w for w, _ in parts)))
-    assert want[2] == pytest.approx(0.3) and want[3] is None
-    monkeypatch.setattr(SC, "in_row_map", lambda *args: None)
-    joined = {r["review_id"]: r["text_z"] for r in SC.with_text_score(df, table, ["stop"]).collect()}
-    assert joined == {k: v if v is None else pytest.approx(v) for k, v in want.items()}
+    first = sum(w * c for w, c in parts) / math.sqrt(sum(w * w for w, _ in parts))
+    scored = SC.with_text_score(df, table, ["stop"])
+    assert "Exchange" not in scored._jdf.queryExecution().executedPlan().toString()
+    assert [r["text_z"] for r in scored.collect()] == [pytest.approx(first), pytest.approx(0.3), None, pytest.approx(0.3)]
+    # A term that a model holds twice is two terms of the sum.
+    twice = table.unionByName(P.coefficient_table(spark, [(3, "text", "bus", -0.1, None, None, 2.0)]))
+    got = SC.with_text_score(df, twice, ["stop"]).where("review_text = 'bus stop'").first()["text_z"]
+    assert got == pytest.approx((3 * 0.3 - 2 * 0.1) / math.sqrt(9 + 4))
 
 
 def test_odd_tokens_in_lookup(spark):
@@ -258,8 +260,7 @@ def test_explanations(spark):
     table = coefficient_rows(spark, weights)
     want = {i: python_html(t, weights) for i, t in enumerate(texts)}
     in_row = {r[0]: r[1] for r in A.explain_words(df, table).collect()}
-    joined = {r[0]: r[1] for r in A.explain_by_join(df, table).collect()}
-    assert in_row == want and joined == want
+    assert in_row == want
     plain = {i: html.unescape(re.sub(r"</?span[^>]*>", "", h)) for i, h in in_row.items()}
     assert plain == dict(enumerate(texts))
     no_model = {r[0]: r[1] for r in A.explain_words(df, coefficient_rows(spark, {})).collect()}

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.verdict import two_decimals
-from .lookup import in_row_map, small
+from .lookup import one_of, small
+from .rowterms import binary_order, number_array, with_counts
 
 # Weight bands and the markup of each.
 STRONG, MILD = 0.30, 0.05
@@ -55,25 +56,27 @@ def explain_words(reviews: DataFrame, coefficients: DataFrame, text_col: str = "
                   keep: tuple[str, ...] = ()) -> DataFrame:
     """``review_id``, kept columns, ``explained_html``: the escaped text with coloured spans.
 
-    Without any coefficient the whole text is escaped. A model of bounded size is
-    looked up inside the row, so that texts are neither exploded nor shuffled.
+    A row for each row of ``reviews``, in one way for models of every size: a row's known words are counted in the row,
+    in the order of the model's words. Its own words, sorted, meet these counts one by one, and go back to their places.
     """
-    if coefficients.isEmpty():
-        return reviews.select("review_id", *keep, T.html_escape(T.text_or_empty(F.col(text_col))).alias("explained_html"))
-    weights = in_row_map(word_weights(coefficients), "key", ["weight"])
-    if weights is None:
-        explained = explain_by_join(reviews, coefficients, text_col)
-        return reviews.select("review_id", *keep).join(explained, "review_id") if keep else explained
+    # As many rows as the model has words.
+    weights = {r["key"]: r["weight"] for r in word_weights(coefficients).collect() if r["key"] is not None}
     text = T.text_or_empty(F.col(text_col))
+    if not weights:
+        return reviews.select("review_id", *keep, T.html_escape(text).alias("explained_html"))
+    words = binary_order(weights)
+    known, number = one_of(words), number_array([weights[w] for w in words])
     # Escaping adds no whitespace, so raw and escaped chunks line up.
-    return (
-        reviews.select("review_id", *keep, F.split(text, CHUNK_START).alias("raw"),
-                       F.split(T.html_escape(text), CHUNK_START).alias("shown"))
-        .withColumn("keys", F.transform("raw", T.token_key))
-        .withColumn("weights", F.expr(
-            f"transform(keys, k -> if({weights.known('k')}, {weights.value('k')}.weight, null))"))
-        .select("review_id", *keep, F.array_join(F.zip_with("shown", "weights", _decorate), "").alias("explained_html"))
-    )
+    rows = reviews.select("review_id", *keep, F.split(text, CHUNK_START).alias("_raw"),
+                          F.split(T.html_escape(text), CHUNK_START).alias("_shown"))
+    rows = with_counts(rows.withColumn("_keys", F.transform("_raw", T.token_key)), F.col("_keys"), words, "_known")
+    places = "transform(_keys, (k, i) -> struct(k, i))"
+    sorted_known = f"array_sort(filter({places}, p -> {known('p.k')}))"
+    in_order = (f"flatten(zip_with(_known.indices, _known.values, (i, n) -> array_repeat(get({number}, i), cast(n as int))))")
+    found = f"zip_with({sorted_known}, {in_order}, (p, w) -> struct(p.i as i, w as w))"
+    others = f"transform(filter({places}, p -> not {known('p.k')}), p -> struct(p.i as i, cast(null as double) as w))"
+    return rows.withColumn("_weights", F.expr(f"array_sort(concat({found}, {others})).w")).select(
+        "review_id", *keep, F.array_join(F.zip_with("_shown", "_weights", _decorate), "").alias("explained_html"))
 
 
 def _decorate(chunk: Column, weight: Column) -> Column:
@@ -92,14 +95,3 @@ def _span(name: Column, shown: Column, weight: Column) -> Column:
         span = F.when(name == key, F.concat(
             F.lit(start), weight.cast("decimal(18,2)").cast("string"), F.lit(middle), shown, F.lit(end))).otherwise(span)
     return span
-
-
-def explain_by_join(reviews: DataFrame, coefficients: DataFrame, text_col: str = "review_text") -> DataFrame:
-    """The same for a model of any size. One group is one review."""
-    rows = _weighted_tokens(reviews, coefficients, text_col)
-    shown = T.html_escape(F.col("token"))
-    space = F.substring("chunk", F.length("token") + 1, F.length("chunk"))
-    html = F.concat(_span(F.col("band"), shown, F.col("weight")), space)
-    parts = F.array_sort(F.collect_list(F.struct("pos", html.alias("html"))))
-    return rows.groupBy("review_id").agg(parts.alias("parts")).select(
-        "review_id", F.array_join(F.col("parts.html"), "").alias("explained_html"))

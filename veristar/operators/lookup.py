@@ -1,8 +1,9 @@
-"""Size-checked lookups: broadcast joins, and tests and maps inside an expression.
+"""Size-checked lookups: broadcast joins, and membership tests inside an expression.
 
-A hash set or small maps in the expression let a token array be thinned out or
-scored within its row, so that texts are neither exploded nor shuffled. Both are
-used up to a bound only; every caller has a join for larger lookups.
+A hash set in the expression lets a token array be thinned out within its row before
+anything is exploded. It is used up to a bound only and never decides a result: beyond
+the bound the join drops the same tokens. Numbers of known terms are looked up by
+``rowterms``, in one way at every size.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 # Up to this many tokens, a lookup is put into the expression itself.
 IN_ROW_TOKENS = 20_000
-BUCKETS = 256
 
 
 def small(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -51,31 +51,3 @@ def token_test(lookup: DataFrame, col: str, max_tokens: int = IN_ROW_TOKENS) ->
     if rows.num_rows > max_tokens:
         return None
     return one_of([t for t in rows.column(0).to_pylist() if t is not None])
-
-
-class InRowMap:
-    """A lookup of numbers by token as SQL text: ``known(token)`` and ``value(token)``.
-
-    The entries sit in small maps by hash bucket, because Spark searches a map
-    key by key; ``known`` spares most tokens even that.
-    """
-
-    def __init__(self, rows: list[dict], key: str, values: list[str]):
-        maps: list[list[str]] = [[] for _ in range(BUCKETS)]
-        for r in rows:
-            numbers = ", ".join(f"'{v}', {r[v]!r}D" for v in values)
-            maps[r["bucket"]].append(f"{quoted(r[key])}, named_struct({numbers})")
-        fields = ", ".join(f"{v}: double" for v in values)
-        empty = f"cast(map() as map<string, struct<{fields}>>)"
-        self._table = "array(" + ", ".join(f"map({', '.join(m)})" if m else empty for m in maps) + ")"
-        self.known = one_of([r[key] for r in rows])
-
-    def value(self, token: str) -> str:
-        return f"get({self._table}, cast(pmod(xxhash64({token}), {BUCKETS}) as int))[{token}]"
-
-
-def in_row_map(lookup: DataFrame, key: str, values: list[str], max_tokens: int = IN_ROW_TOKENS) -> InRowMap | None:
-    """The lookup as an ``InRowMap``; ``None`` where it is larger than the bound."""
-    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).alias("bucket")
-    rows = lookup.select(bucket, key, *values).limit(max_tokens + 1).toArrow()
-    return InRowMap(rows.to_pylist(), key, values) if rows.num_rows <= max_tokens else None

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -10,8 +10,8 @@ from ..functions import verdict as V
 from .attribution import explain_words
 from .features import FEATURE_COLS, extract_features
 from .lexicon import SentimentTables
-from .lookup import in_row_map, small
-from .terms import ALL_TERMS, sublinear_tf, term_rows, tokens
+from .rowterms import binary_order, free_name, number_array, with_counts
+from .terms import ALL_TERMS, tokens
 
 RESULT_COLS = [
     "deceptive_probability_pct", "classification", "risk_factors", "lexicon_sentiment", "model_sentiment",
@@ -22,36 +22,23 @@ RESULT_COLS = [
 def with_text_score(reviews: DataFrame, coefficients: DataFrame, stop_words: list[str]) -> DataFrame:
     """Add ``text_z``, the text part of the linear score; missing without a known term.
 
-    Within the size bound of a model this stays inside the row: known terms,
-    their counts and the vector length are computed from the token array.
+    One program for models of every size: the terms of a row are counted in the row, so every row, also one that
+    repeats an id, has its own score. Entries of a model that repeat a term add up, each as a term of its own.
     """
-    model = coefficients.where("kind = 'text'").select("feature", "weight", "idf")
-    lookup = in_row_map(model, "feature", ["weight", "idf"])
-    if lookup is None:
-        return reviews.join(text_scores_by_join(reviews, model, stop_words), "review_id", "left")
-    count = "size(known) - size(array_remove(known, t))"
-    entry = lookup.value("t")
-    return (
-        reviews.withColumn("toks", tokens(T.text_or_empty(F.col("review_text")), stop_words))
-        .withColumn("known", F.expr(f"filter({ALL_TERMS}, t -> {lookup.known('t')})"))
-        .withColumn("parts", F.expr(
-            f"transform(array_distinct(known), t -> struct((ln({count}) + 1) * {entry}.idf as w, {entry}.weight as c))"))
-        .withColumn("text_z", F.expr(
-            "aggregate(parts, 0D, (z, p) -> z + p.w * p.c) / nullif(sqrt(aggregate(parts, 0D, (z, p) -> z + p.w * p.w)), 0D)"))
-        .drop("toks", "known", "parts")
-    )
-
-
-def text_scores_by_join(reviews: DataFrame, model: DataFrame, stop_words: list[str]) -> DataFrame:
-    """``review_id, text_z`` for a model of any size."""
-    rows = term_rows(reviews, stop_words)
-    counted = (
-        rows.join(small(model), rows["term"] == F.col("feature"))
-        .groupBy("review_id", "term", "weight", "idf").agg(F.count(F.lit(1)).alias("tf"))
-        .select("review_id", "weight", (sublinear_tf(F.col("tf")) * F.col("idf")).alias("w"))
-    )
-    return counted.groupBy("review_id").agg(
-        (F.sum(F.col("w") * F.col("weight")) / F.sqrt(F.sum(F.col("w") * F.col("w")))).alias("text_z"))
+    fitted = coefficients.where("kind = 'text'").groupBy("feature").agg(
+        F.sum(F.col("idf") * F.col("weight")).alias("push"), F.sum(F.col("idf") * F.col("idf")).alias("square"))
+    # As many rows as the model has terms.
+    model = {r["feature"]: r for r in fitted.collect() if r["feature"] is not None}
+    terms = binary_order(model)
+    push, square = (number_array([model[t][c] for t in terms]) for c in ("push", "square"))
+    toks, known = free_name(reviews, "toks"), free_name(reviews, "known")
+    # Terms are named after the token column they are made of.
+    arrays = reviews.withColumn(toks, tokens(T.text_or_empty(F.col("review_text")), stop_words))
+    counted = with_counts(arrays, F.expr(ALL_TERMS.replace("toks", f"`{toks}`")), terms, known)
+    tf = f"transform(`{known}`.values, c -> ln(c) + 1)"
+    z = f"aggregate(zip_with(`{known}`.indices, {tf}, (i, f) -> f * get({push}, i)), 0D, (x, y) -> x + y)"
+    norm = f"aggregate(zip_with(`{known}`.indices, {tf}, (i, f) -> f * f * get({square}, i)), 0D, (x, y) -> x + y)"
+    return counted.withColumn("text_z", F.expr(f"{z} / nullif(sqrt({norm}), 0D)")).drop(toks, known)
 
 
 def number_part(coefficients: DataFrame):
@@ -78,7 +65,10 @@ def with_probability(scored: DataFrame, coefficients: DataFrame) -> DataFrame:
 
 def score_linear(features: DataFrame, reviews: DataFrame, coefficients: DataFrame,
                  stop_words: list[str]) -> DataFrame:
-    """Score a stored feature table; reviews without a known term keep their number part."""
+    """Score a stored feature table, which has a row for each id; reviews without a known term keep their number part.
+
+    Reviews that repeat an id are scored each, with the features stored for it.
+    """
     texts = with_text_score(reviews.select("review_id", "review_text"), coefficients, stop_words)
     return with_probability(features.join(texts.drop("review_text"), "review_id", "left"), coefficients)
 
@@ -128,12 +118,28 @@ def scan_bundle(reviews: DataFrame, tables: SentimentTables, bundle, keep: tuple
     if not bundle.model.hasParam("probabilityCol"):
         raise ValueError(f"{bundle.model_name} gives no probability")
     vocabulary = Vocabulary(bundle.vocabulary, bundle.n_reviews, bundle.stop_words)
-    found = extract_features(reviews, tables, keep)
-    data = reviews.select("review_id", F.coalesce("review_text", F.lit("")).alias("review_text")).join(
-        found.select("review_id", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in FEATURE_COLS]), "review_id")
-    vectors = materialize_vectors(vectorize(data, bundle.scaler, vocabulary, bundle.model.numFeatures - len(FEATURE_COLS)))
-    scored = model_probability(bundle.model, vectors)
-    return scan_columns(found.join(scored, "review_id"), keep)
+    keyed = reviews.withColumns(row_key())
+    found = extract_features(keyed, tables, (*keep, *ROW_KEY)).dropDuplicates(list(ROW_KEY))
+    data = keyed.select(*ROW_KEY, "review_text").join(found, list(ROW_KEY))
+    filled = data.withColumns({"_review_text": F.coalesce("review_text", F.lit("")), **{
+        f"_{c}": F.coalesce(c, F.lit(0.0)) for c in FEATURE_COLS}})
+    numbers = filled.select("review_id", *keep, F.struct(*FEATURE_COLS).alias("found"), F.col("_review_text").alias("review_text"),
+                            *[F.col(f"_{c}").alias(c) for c in FEATURE_COLS])
+    vectors = materialize_vectors(vectorize(
+        numbers, bundle.scaler, vocabulary, bundle.model.numFeatures - len(FEATURE_COLS), (*keep, "found")))
+    scored = model_probability(bundle.model, vectors, (*keep, "found"))
+    return scan_columns(scored.select("review_id", *keep, "probability", "found.*"), keep)
+
+
+#: Names of the key below; they travel with the extraction.
+ROW_KEY = ("_key1", "_key2")
+
+
+def row_key() -> dict[str, Column]:
+    """A 128-bit key of what a review's results depend on: rows that share it have the same results."""
+    parts = [F.col(c) for c in ("review_id", "rating", "review_text")]
+    present = [p.isNull().cast("int") for p in parts]
+    return {name: F.xxhash64(F.lit(i), *present, *parts) for i, name in enumerate(ROW_KEY)}
 
 
 def scan_columns(scored: DataFrame, keep: tuple[str, ...]) -> DataFrame:
@@ -168,9 +174,15 @@ def scan_summary(scanned: DataFrame) -> DataFrame:
 
 def analyze(reviews: DataFrame, tables: SentimentTables, coefficients: DataFrame,
             stop_words: list[str]) -> DataFrame:
-    """The detailed result per review: text, probability, class, nested features, list of flags, explained text."""
-    scored = classify(risk_flags(extract_and_score(reviews, tables, coefficients, stop_words, ("rating",))))
+    """The detailed result per review: text, probability, class, nested features, list of flags, explained text.
+
+    A row for each row of ``reviews``, also where ids repeat.
+    """
+    keyed = reviews.withColumns(row_key())
+    scored = classify(risk_flags(extract_and_score(keyed, tables, coefficients, stop_words, ("rating", *ROW_KEY))))
     results = scored.select(
         "review_id", "rating", "deceptive_probability", "deceptive_percentage", "is_deceptive", "classification",
-        F.struct(*FEATURE_COLS).alias("features"), "risk_factors")
-    return explain_words(reviews, coefficients, keep=("review_text",)).join(results, "review_id")
+        F.struct(*FEATURE_COLS).alias("features"), "risk_factors", *ROW_KEY).dropDuplicates(list(ROW_KEY))
+    explained = explain_words(keyed, coefficients, keep=("review_text", *ROW_KEY)).drop("review_id")
+    return explained.join(results, list(ROW_KEY)).select(
+        "review_id", "review_text", "explained_html", *[c for c in results.columns if c not in ("review_id", *ROW_KEY)])

@@ -18,9 +18,10 @@ from ..session import local_table
 from . import evaluation as E
 from .features import FEATURE_COLS, MODEL_COLS
 from .keys import stratified_split
-from .scaling import fit_scaler, scaled_values
-from .terms import MAX_TERMS, Vocabulary, fit_vocabulary, tfidf
-from .vectors import materialize_vectors, sparse_structs
+from .rowterms import number_array, with_counts
+from .scaling import fit_scaler
+from .terms import ALL_TERMS, MAX_TERMS, Vocabulary, fit_vocabulary, tokens
+from .vectors import materialize_vectors
 
 # Hyper-parameters of the compared models.
 TEST_SHARE = 0.20
@@ -77,12 +78,28 @@ def prepare(data: DataFrame, stop_words: list[str], max_terms: int = MAX_TERMS,
 
 def vectorize(data: DataFrame, scaler: DataFrame, vocabulary: Vocabulary, max_terms: int = MAX_TERMS,
               keep: tuple[str, ...] = ()) -> DataFrame:
-    """Scaled numbers first, then the text terms, as one sparse row per review."""
-    width = len(FEATURE_COLS)
-    numbers = scaled_values(data, scaler, FEATURE_COLS).select("review_id", "idx", "value")
-    terms = tfidf(data, vocabulary).select("review_id", (F.col("idx") + width).alias("idx"), F.col("weight").alias("value"))
-    rows = sparse_structs(numbers.unionByName(terms), width + max_terms)
-    return data.select("review_id", *keep).join(rows, "review_id")
+    """Scaled numbers first, then the text terms of unit length: ``review_id``, kept columns and one sparse vector.
+
+    The vector is put together inside the row: terms are counted against the vocabulary in one pass, weighed and
+    normalised as arrays, and follow the numbers. No term leaves its row, so there is no shuffle, and
+    rows that repeat an id have each their own vector. ``features`` has the stored layout of a sparse vector.
+    """
+    # A row for each number, and for each term of the vocabulary.
+    numbers = sorted(scaler.collect(), key=lambda r: r["idx"])
+    terms = sorted(vocabulary.table.select("term", "idx", "idf").collect(), key=lambda r: r["idx"])
+    width = len(numbers)
+    toks = tokens(F.coalesce("review_text", F.lit("")), vocabulary.stop_words)
+    rows = data.withColumn("toks", toks)
+    rows = with_counts(rows, F.expr(ALL_TERMS), [r["term"] for r in terms], "_known")
+    idf = number_array([r["idf"] for r in terms])
+    weights = f"zip_with(_known.indices, _known.values, (i, n) -> (ln(n) + 1) * get({idf}, i))"
+    length = "sqrt(aggregate(_weights, 0D, (x, w) -> x + w * w))"
+    scaled = [(F.col(r["feature"]).cast("double") - F.lit(r["mean"])) / F.lit(r["std"]) for r in numbers]
+    return rows.withColumn("_weights", F.expr(weights)).withColumn("_length", F.expr(length)).select(
+        "review_id", *keep, F.struct(
+            F.lit(0).cast("byte").alias("type"), F.lit(width + max_terms).alias("size"),
+            F.concat(F.array(*[F.lit(i) for i in range(width)]), F.expr(f"transform(_known.indices, i -> i + {width})")).alias("indices"),
+            F.concat(F.array(*scaled), F.expr("transform(_weights, w -> w / _length)")).alias("values")).alias("features"))
 
 
 def estimators(n_train: int, forest_trees: int = FOREST_TREES, forest_depth: int = FOREST_DEPTH,
@@ -112,9 +129,9 @@ def predict(model, vectors: DataFrame) -> DataFrame:
                       F.col("prediction").cast("int").alias("prediction"))
 
 
-def model_probability(model, vectors: DataFrame) -> DataFrame:
-    """``review_id, probability`` of any model that gives one."""
-    return model.transform(vectors).select("review_id", vector_to_array("probability")[1].alias("probability"))
+def model_probability(model, vectors: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``review_id``, kept columns and ``probability`` of any model that gives one."""
+    return model.transform(vectors).select("review_id", *keep, vector_to_array("probability")[1].alias("probability"))
 
 
 @dataclass

@@ -1,28 +1,14 @@
-"""Sparse ML vectors from long tables, without Python per row."""
+"""Written tables of ML vectors, without Python per row."""
 
 from __future__ import annotations
 
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as t
 
 from ..session import shared_dir
 
 
-def sparse_structs(entries: DataFrame, size: int, id_col: str = "review_id") -> DataFrame:
-    """``id, features`` where features has the stored layout of a sparse vector.
-
-    ``entries`` is ``id, idx, value``; one review's entries are bounded by ``size``.
-    """
-    pairs = F.array_sort(F.collect_list(F.struct(F.col("idx").cast("int").alias("i"), F.col("value").alias("v"))))
-    return entries.groupBy(id_col).agg(pairs.alias("e")).select(
-        id_col,
-        F.struct(F.lit(0).cast("byte").alias("type"), F.lit(size).alias("size"),
-                 F.col("e.i").alias("indices"), F.col("e.v").alias("values")).alias("features"),
-    )
-
-
 def materialize_vectors(rows: DataFrame, features: str = "features", path: str | None = None) -> DataFrame:
     """Write rows once and read ``features`` back as ML vectors.
 

@@ -273,16 +273,23 @@ def best_model(spark, sf):
     return E.best_model(report).select("model", "roc_auc")
 
 
-# Coefficients derived from the reviews: log-odds of each vocabulary term.
+# Coefficients fitted on the reviews: log-odds of each vocabulary term.
+ODDS = f"""odds as (select v.term as feature, round(ln((count(*) filter (t.target = 1) + 1.0::double) / (count(*) filter (t.target = 0) + 1.0::double)), 6) as weight
+  from vocab v join terms x on x.term = v.term join (select review_id, {TARGET} as target from stored) t on t.review_id = x.review_id group by v.term)"""
+
+
 @query("coef_ranking", TERMS + f""",\n{S.vocabulary_ctes()},
-odds as (select v.term as feature, round(ln((count(*) filter (t.target = 1) + 1.0::double) / (count(*) filter (t.target = 0) + 1.0::double)), 6) as weight
-  from vocab v join terms x on x.term = v.term join (select review_id, {TARGET} as target from stored) t on t.review_id = x.review_id group by v.term),
+{ODDS},
 low as (select *, 'negative' as side from odds order by weight, feature limit 15),
 high as (select *, 'positive' as side from odds order by weight desc, feature desc limit 15)
 select feature, weight, side, case when weight > 0 then '#EF4444' else '#10B981' end as color from (select * from low union all select * from high)""")
 def coef_ranking(spark, sf):
     reviews = I.reviews(spark, sf)
-    vocabulary = TM.fit_vocabulary(reviews, I.STOP_WORDS)
+    return TR.coef_ranking(term_odds(reviews, TM.fit_vocabulary(reviews, I.STOP_WORDS)))
+
+
+def term_odds(reviews, vocabulary):
+    """``idx, kind, feature, weight``: log-odds of each term of the vocabulary."""
     labelled = reviews.withColumn("target", V.target_of(F.col("label")))
     present = F.expr(f"array_distinct({TM.known_only(TM.ALL_TERMS, vocabulary.table, 'term')})")
     found = (
@@ -290,9 +297,8 @@ def coef_ranking(spark, sf):
         .join(F.broadcast(vocabulary.table.select("term", "idx")), "term").groupBy("term", "idx")
         .agg(F.count_if(F.col("target") == 1).alias("n1"), F.count_if(F.col("target") == 0).alias("n0"))
     )
-    odds = found.select("idx", F.lit("text").alias("kind"), F.col("term").alias("feature"),
+    return found.select("idx", F.lit("text").alias("kind"), F.col("term").alias("feature"),
                         F.round(F.log((F.col("n1") + 1.0) / (F.col("n0") + 1.0)), 6).alias("weight"))
-    return TR.coef_ranking(odds)
 
 
 def _prepared(spark, sf):
@@ -301,6 +307,51 @@ def _prepared(spark, sf):
     return TR.prepare(materialize(TR.training_set(found, kept), "training", "review_id"), I.STOP_WORDS)
 
 
+SPLIT = """c as (select target, count(*) as n_c, sum(count(*)) over () as n from t group by target),
+x as (select *, n - cast(ceil(0.2::double * n) as bigint) as n_train from c),
+q as (select *, floor(n_train * n_c / n::double) as base, n_train * n_c / n::double - floor(n_train * n_c / n::double) as frac from x),
+k as (select *, base + case when row_number() over (order by frac desc, target) <= n_train - sum(base) over () then 1 else 0 end as quota from q),
+r as (select review_id, target, row_number() over (partition by target order by md5('42-' || cast(review_id as varchar)), review_id) as place from t),
+train as (select r.review_id from r join k using (target) where place > n_c - quota)"""
+
+
+@query("feature_union", S.CLEAN_FEATURES.rstrip() + f""",
+t as (select *, {TARGET} as target from features),
+{SPLIT},
+long as (""" + " union all ".join(
+    f"select review_id, {i} as idx, coalesce({c}, 0.0) as v from t" for i, c in enumerate(FEATURE_COLS)) + f"""),
+s as (select idx, avg(v) as m, stddev_pop(v) as d from long where review_id in (select review_id from train) group by idx),
+{S.term_ctes("t", I.STOP_WORDS)},
+vocab as (select *, row_number() over (order by term) - 1 as idx from (
+  select term, count(*) as df, sum(tf) as total from terms where review_id in (select review_id from train)
+  group by term order by total desc, term limit 2000)),
+w as (select review_id, idx, (1 + ln(tf)) * (ln(cast(1 + (select count(*) from train) as double) / (1 + df)) + 1) as w
+  from terms join vocab using (term))
+select review_id, cast(idx as int) as idx, round((v - m) / case when d = 0 then 1.0 else d end, 6) as value from long join s using (idx)
+union all
+select review_id, cast(idx + {len(FEATURE_COLS)} as int), round(w / sqrt(sum(w * w) over (partition by review_id)), 6) from w""")
+def feature_union(spark, sf):
+    """The hybrid features of every cleaned review, fitted on the train part: scaled numbers, then TF-IDF terms."""
+    prepared = _prepared(spark, sf)
+    vectors = prepared.train.unionByName(prepared.test).select("review_id", F.unwrap_udt("features").alias("f"))
+    entries = vectors.select("review_id", F.inline(F.arrays_zip(F.col("f.indices").alias("idx"), F.col("f.values").alias("value"))))
+    return entries.select("review_id", "idx", F.round("value", 6).alias("value"))
+
+
+@query("score_fitted_terms", TERMS + f""",\n{S.vocabulary_ctes()},
+{ODDS},
+idf as (select term, ln(cast(1 + (select count(*) from tokens) as double) / (1 + df)) + 1 as idf from vocab),
+z as (select review_id, sum((1 + ln(tf)) * idf * weight) / sqrt(sum(((1 + ln(tf)) * idf) * ((1 + ln(tf)) * idf))) as text_z
+  from terms join idf on idf.term = terms.term join odds on odds.feature = terms.term group by review_id)
+select stored.review_id, round(text_z, 6) as text_z from stored left join z using (review_id)""")
+def score_fitted_terms(spark, sf):
+    """The text part of the score by a fitted model of 2,000 terms (their log-odds)."""
+    reviews = I.reviews(spark, sf)
+    vocabulary = TM.fit_vocabulary(reviews, I.STOP_WORDS)
+    model = term_odds(reviews, vocabulary).join(vocabulary.table.select("idx", "idf"), "idx")
+    return SC.with_text_score(reviews, model, I.STOP_WORDS).select("review_id", F.round("text_z", 6).alias("text_z"))
+
+
 @query("train_models")
 def train_models(spark, sf):
     """All four estimators on the cleaned reviews, at the reference's settings."""
