@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .profiling import QUARTILES, quantiles, value_frequencies
 
 # Bin counts, density grid and whisker length of the reports.
@@ -71,8 +72,9 @@ def density(df: DataFrame, value: str, key: str, points: int = DENSITY_POINTS) -
 
 def box_stats(df: DataFrame, cols: list[str], key: str, accuracy: int | None = None) -> DataFrame:
     """Quartiles, whisker ends (furthest value within 1.5 IQR) and outlier count."""
-    freq = value_frequencies(df, cols, [key])
-    cuts = freq.groupBy(key, "feature").agg(quantiles("value", "n", QUARTILES, accuracy).alias("q"))
+    # Read by every round of the selection and for the whiskers: written once.
+    freq = materialize(value_frequencies(df, cols, [key]), "frequencies")
+    cuts = quantiles(freq, [key, "feature"], QUARTILES, accuracy)
     q = [F.get("q", F.lit(i)) for i in range(3)]
     reach = F.lit(WHISKER) * (q[2] - q[0])
     fences = cuts.select(key, "feature", *[c.alias(n) for c, n in zip(q, ("q25", "q50", "q75"))],

@@ -7,7 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .cleaning import text_digest
+from .selection import exact_quantiles
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -77,18 +79,18 @@ def value_frequencies(df: DataFrame, cols: list[str], keys: list[str] | None = N
     )
 
 
-def quantiles(col: str, count: str, probs: list[float], accuracy: int | None) -> Column:
-    """Exact over value frequencies, or approximate for columns of unbounded precision."""
+def quantiles(freq: DataFrame, keys: list[str], probs: list[float], accuracy: int | None) -> DataFrame:
+    """``keys, q``: exact by selection, or approximate from a sketch of the *different* values' rows."""
     if accuracy:
-        return F.percentile_approx(col, probs, accuracy)
-    return F.percentile(col, F.array(*[F.lit(p) for p in probs]), F.col(count))
+        return freq.groupBy(*keys).agg(F.percentile_approx("value", probs, accuracy).alias("q"))
+    return exact_quantiles(freq, keys, probs)
 
 
 def describe_numeric(df: DataFrame, cols: list[str], accuracy: int | None = None) -> DataFrame:
     """count, mean, sample deviation, extremes and quartiles per column.
 
-    Quartiles are exact on value frequencies; with ``accuracy`` they come from
-    a mergeable sketch over the rows instead, for columns of distinct doubles.
+    Quartiles are exact, by selection over value frequencies; with ``accuracy`` they come from
+    a mergeable sketch over the rows instead.
     """
     stats = unpivot(df, cols).groupBy("feature").agg(
         F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
@@ -96,8 +98,7 @@ def describe_numeric(df: DataFrame, cols: list[str], accuracy: int | None = None
         *([F.percentile_approx("value", QUARTILES, accuracy).alias("q")] if accuracy else []),
     )
     if not accuracy:
-        exact = value_frequencies(df, cols).groupBy("feature").agg(
-            quantiles("value", "n", QUARTILES, None).alias("q"))
+        exact = exact_quantiles(materialize(value_frequencies(df, cols), "frequencies"), ["feature"], QUARTILES)
         stats = stats.join(exact, "feature", "left")
     return stats.select(
         "feature", "n", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"), "min",
