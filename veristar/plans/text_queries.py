@@ -14,7 +14,7 @@ from ..operators.features import FEATURE_COLS, MODEL_COLS, STABLE_COLS, extract_
 from ..session import shared_dir
 from ..sources import params as P
 from ..sources.readers import read_table
-from ..streaming import incremental
+from ..streaming import incremental, keyed
 from . import inputs as I
 from . import sql as S
 from .registry import query
@@ -148,6 +148,38 @@ def stream_features(spark, sf):
     return incremental.current_features(spark, f"{base}/deltas")
 
 
+# Deliveries of every document: all of them, later a changed text of some, and last a text of some that was delivered before all
+# others but arrives behind them, with copies of first deliveries.
+DELIVERIES = """deliveries as (
+  select review_id * 4 as review_id, review_id as doc, 2 as hours, rating, text_ as review_text from raw
+  union all select review_id * 4 + 1, review_id, 3, 6 - rating, text_ || ' was best!' from raw where review_id % 3 = 0
+  union all select review_id * 4 + 2, review_id, 1, rating, 'No ' || text_ from raw where review_id % 5 = 0)"""
+
+
+@query("stream_keyed_features", f"with {S.RAW},\n{DELIVERIES},\n{S.features('deliveries')}\nselect doc as review_id, " + ", ".join(
+    [f"arg_min_null({c}, hours) as {c}" for c in STABLE_COLS] + [f"arg_max_null({c}, hours) as {c}" for c in MODEL_COLS]) + " from features group by doc")
+def stream_keyed_features(spark, sf):
+    """The feature table of a stream of repeated and late deliveries, in three rounds that restart from the checkpoints."""
+    base = shared_dir(spark, "keyed")
+    reviews = I.reviews(spark, sf).select("review_id", "rating", "review_text")
+    rid, text, rating = F.col("review_id"), F.col("review_text"), F.col("rating")
+
+    def at(hour: int):
+        return F.timestamp_seconds(F.lit(1_700_000_000 + 3600 * hour))
+
+    first = reviews.withColumn("delivered_at", at(2))
+    changed = reviews.where(rid % 3 == 0).select(
+        rid, (6 - rating).alias("rating"), F.concat(text, F.lit(" was best!")).alias("review_text"), at(3).alias("delivered_at"))
+    late = reviews.where(rid % 5 == 0).select(
+        rid, rating, F.concat(F.lit("No "), text).alias("review_text"), at(1).alias("delivered_at"))
+    for arriving in (first, changed, late.unionByName(first.where(rid % 7 == 0))):
+        arriving.write.mode("append").parquet(f"{base}/deliveries")
+        stream = incremental.read_review_stream(spark, f"{base}/deliveries", first.schema)
+        keyed.start_scoring(stream, I.sentiment_tables(spark), f"{base}/scored", f"{base}/scoring").awaitTermination()
+        keyed.start_keyed(spark, f"{base}/scored", f"{base}/updates", f"{base}/state").awaitTermination()
+    return keyed.keyed_table(spark, f"{base}/updates")
+
+
 # A stored feature table with gaps: only labelled reviews are in it, one label
 # lacks its model columns, and the rows of two sources belong to no review.
 STORED_SQL = f"""partial as (
