@@ -118,8 +118,8 @@ def test_bpe(docs):
     assert bpe.encode_documents(docs.limit(0), bpe.vocabulary()).count() == 0
 
 
-def _brute_components(texts):
-    sets = {i: _shingles(t, 2) for i, t in texts.items()}
+def _brute_components(texts, width=2):
+    sets = {i: _shingles(t, width) for i, t in texts.items()}
     reach = {i: i for i in texts}
 
     def find(i):
@@ -157,7 +157,8 @@ def test_near_copies(spark, docs):
     assert all(g.kept == (g.doc_id == g.component_id) for g in got if g.doc_id is not None)
     kept = neardup.without_near_copies(df.withColumn("node", F.lit(1)))
     assert sorted(x.doc_id for x in kept.filter("doc_id is not null").collect()) == sorted(set(want.values()))
-    assert kept.columns == ["doc_id", "text", "node"] and kept.filter("doc_id is null").count() == 1
+    # The row without an id is a copy of another one, and goes like any other.
+    assert kept.columns == ["doc_id", "text", "node"] and kept.filter("doc_id is null").count() == 0
     assert neardup.linked_components(df.limit(0)).count() == 0
 
 

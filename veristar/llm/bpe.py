@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 from .common import kept_in_worker, slices
 
 CHUNK = 1 << 16
-#: Words kept with their ids in a task; the table is emptied when it is full.
-KEPT_WORDS = 400_000
+#: Words, and pieces, kept with their ids in a task: a full table becomes the older one, words met again move to the newer.
+KEPT_WORDS = 120_000
 _UNREACHED = -2
 _START = -1
 
@@ -265,6 +265,7 @@ class Encoder:
 
     def __init__(self, merges: Merges, kept: int = KEPT_WORDS):
         self.merges, self.kept, self.words, self.pieces = merges, kept, {}, {}
+        self.older_words, self.older_pieces = {}, {}
         self.transducer, self.decoder = Transducer(merges), Decoder(merges)
         marks = sorted(merges.special, key=len, reverse=True)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, marks)) + ")") if marks else None
@@ -279,16 +280,20 @@ class Encoder:
     def entry(self, piece: str) -> tuple[int, str, str]:
         known = self.pieces.get(piece)
         if known is None:
-            ids = self.piece(piece)
-            known = (len(ids), " ".join(map(str, ids)), self.decoder.run(ids))
+            known = self.older_pieces.get(piece)
+            if known is None:
+                ids = self.piece(piece)
+                known = (len(ids), " ".join(map(str, ids)), self.decoder.run(ids))
             if len(piece) <= self.LONGEST_KEPT:
                 if len(self.pieces) >= self.kept:
-                    self.pieces.clear()
+                    self.older_pieces, self.pieces = self.pieces, {}
                 self.pieces[piece] = known
         return known
 
     def word(self, word: str) -> tuple[int, str, str]:
         """Number of ids, ids and decoded text of a run without white space."""
+        if (entry := self.older_words.get(word)) is not None:
+            return self._keep(word, entry)
         if word.isascii():
             plain = word.lower()
             pieces = [plain] if plain.isalpha() else ASCII_PIECES.findall(plain)
@@ -301,16 +306,19 @@ class Encoder:
             entries = [self.entry(piece) for piece in pieces]
             entry = (sum([e[0] for e in entries]), " ".join([e[1] for e in entries if e[0]]),
                      " ".join([e[2] for e in entries if e[0]]))
+        return self._keep(word, entry)
+
+    def _keep(self, word: str, entry: tuple[int, str, str]) -> tuple[int, str, str]:
         if len(word) <= self.LONGEST_KEPT:
             if len(self.words) >= self.kept:
-                self.words.clear()
+                self.older_words, self.words = self.words, {}
             self.words[word] = entry
         return entry
 
     def encode(self, text: str) -> Iterator[list[tuple[int, str, str]]]:
         """Entries of the words of a text, a list for each chunk."""
         marked = self.marks and any(mark in text for mark in self.merges.special)
-        known, word = self.words, self.word
+        word = self.word
         for part in self.marks.split(text) if marked else [text]:
             if part in self.merges.special:
                 i = self.merges.special[part]
@@ -319,6 +327,7 @@ class Encoder:
             for chunk in chunks(part):
                 # split() also takes the separators 1C to 1F for white space, the tokenizer does not.
                 words = _SPACE.split(chunk) if _SEPARATORS.search(chunk) else chunk.split()
+                known = self.words
                 yield [entry for w in words if (entry := known.get(w) or word(w))[0]]
 
     def ids(self, text: str) -> list[int]:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veristar.session import shared_dir
+from veristar.session import remove_path, shared_dir
 
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -28,6 +28,27 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Written intermediate tables of one operator, removed when what was made of them is written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def written(self, df: DataFrame, purpose: str) -> DataFrame:
+        path = shared_dir(self.spark, purpose)
+        df.write.parquet(path)
+        found = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(found)] = (path, found)
+        return found
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Remove tables of this operator; nothing that is still to run may read them."""
+        for table in tables:
+            path, _ = self.paths.pop(id(table), (None, None))
+            if path:
+                remove_path(self.spark, path)
+
+
 def fold(doc_id: Column | str, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts`` (null ids: as the empty text)."""
     doc_id = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -1,7 +1,7 @@
 """Near-duplicate documents by an LSH forest over MinHash signatures.
 
 Sets. A-Z is lower-cased, words are runs without ASCII white space, and a document's set holds
-its distinct two-word shingles (with fewer words, its whole sequence; without words nothing, and it is
+its distinct shingles of ``width`` words (with fewer words, its whole sequence; without words nothing, and it is
 linked with nothing). Shingles are 64-bit hashes. Two documents are linked if
 100 * |A & B| >= 80 * |A | B|; components are those of the links.
 
@@ -29,9 +29,11 @@ Candidates grow with the number of documents, not of pairs:
 
 Every link is confirmed on the full sets.
 
-Defined results: null text is empty; a null id is never linked (component null, kept);
+Defined results of ``linked_components``: null text is empty; a null id is never linked (component null, kept);
 repeated ids count as one document of the class of each row; ties go to the smaller id; an empty table gives an
-empty result; other columns stay out.
+empty result; other columns stay out. ``without_near_copies`` counts every different row as a document of its own, also where ids
+repeat or are null, and keeps of each component one row: that of the smallest id (of rows that repeat an id, that of the smallest hash
+of all columns); rows equal in all columns are one row; texts without words are near copies of nothing.
 """
 
 from __future__ import annotations
@@ -44,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import kept_in_worker, slices, written
+from .common import Scratch, fresh, kept_in_worker, slices, written
 
 TREES = 16
 DEPTH = 8
@@ -52,6 +54,10 @@ SHORTEST = 3
 REGION = 512
 NEIGHBOURS = 3
 SHARED = 80
+#: Words of a shingle unless the caller says otherwise.
+WIDTH = 2
+#: Tasks that the members of one component are dealt over where they meet its label.
+LABEL_SALTS = 32
 COMMON_DOCS = 1 << 14
 COMMON = 1 << 19
 BITMAP_BITS = 1 << 23
@@ -80,7 +86,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class Hasher:
     """Texts to sets of shingle hashes and to signatures."""
 
-    def __init__(self, seed: int = 1):
+    def __init__(self, width: int = WIDTH, seed: int = 1):
+        self.width = width
         self.up, self.down = _powers()
         rng = np.random.default_rng(seed)
         n = TREES * DEPTH
@@ -122,9 +129,15 @@ class Hasher:
     def shingles(self, text: str | None) -> np.ndarray:
         """The sorted set."""
         w = self.words((text or "").encode("utf-8", "surrogatepass"))
-        if len(w) < 2:
-            return mixed(w + _U(7))
-        return np.unique(mixed(w[:-1] * _U(0xD6E8FEB86659FD93) + mixed(w[1:] + _U(1))))
+        if not len(w):
+            return w
+        n = max(1, len(w) - self.width + 1)
+        whole = mixed(w[:n] + _U(7))
+        for j in range(1, min(self.width, len(w))):
+            whole = mixed(whole * _U(0xD6E8FEB86659FD93) + mixed(w[j:j + n] + _U(j)))
+        if len(w) < self.width:  # no sequence of other length has its hash
+            whole = mixed(whole + _U(len(w)))
+        return np.unique(whole)
 
     def signature(self, shingles: np.ndarray) -> np.ndarray:
         low = np.full(len(self.a), ~_U(0))
@@ -134,10 +147,10 @@ class Hasher:
         return (low >> _U(32)).astype(np.uint32)
 
 
-def sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles, digest (of the set), signature, for each row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        h: Hasher = kept_in_worker("neardup-hasher", Hasher)
+        h: Hasher = kept_in_worker(f"neardup-hasher-{width}", lambda: Hasher(width))
         for batch in slices(batches):
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -181,25 +194,32 @@ def pivots(placed: DataFrame) -> DataFrame:
     return found
 
 
-def components(edges: DataFrame, purpose: str) -> DataFrame:
+def components(edges: DataFrame, purpose: str, scratch: Scratch) -> DataFrame:
     """node, label: the smallest node that each node of ``edges`` (a, b) reaches."""
-    both = written(edges.select(F.col("a").alias("node"), F.col("b").alias("other"))
-                   .unionByName(edges.select(F.col("b").alias("node"), F.col("a").alias("other"))).distinct(),
-                   f"{purpose}-edges")
-    labels = written(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("label")),
-                     f"{purpose}-labels")
+    both = scratch.written(edges.select(F.col("a").alias("node"), F.col("b").alias("other"))
+                           .unionByName(edges.select(F.col("b").alias("node"), F.col("a").alias("other"))).distinct(),
+                           f"{purpose}-edges")
+    labels = scratch.written(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("label")),
+                             f"{purpose}-labels")
     while True:
         near = (both.join(labels.select(F.col("node").alias("other"), F.col("label").alias("near")), "other")
                 .groupBy("node").agg(F.min("near").alias("near")))
-        step = labels.join(near, "node").select("node", F.col("label").alias("old"),
-                                                F.least("label", "near").alias("label"))
-        # A label is a node too: its own label is a shortcut.
-        ahead = step.select(F.col("node").alias("label"), F.col("label").alias("ahead"))
-        step = written(step.join(ahead, "label", "left").select(
-            "node", "old", F.coalesce(F.least("label", "ahead"), F.col("label")).alias("label")), f"{purpose}-labels")
-        labels = step.select("node", "label")
-        if step.filter("label != old").isEmpty():
-            return labels
+        step = scratch.written(labels.join(near, "node").select(
+            "node", F.col("label").alias("old"), F.least("label", "near").alias("label")), f"{purpose}-steps")
+        # A label is a node too: its own label is a shortcut. Each label looks it up once, and its members, of which one
+        # component may have any number, meet the labels that have moved on in several tasks.
+        moved = (step.select("label").distinct()
+                 .join(step.select(F.col("node").alias("label"), F.col("label").alias("ahead")), "label")
+                 .filter("ahead < label").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(LABEL_SALTS - 1)))))
+        salted = step.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(LABEL_SALTS)).cast("int"))
+        done = scratch.written(salted.join(moved, ["label", "salt"], "left").select(
+            "node", "old", F.coalesce("ahead", "label").alias("label")), f"{purpose}-labels")
+        changed = not done.filter("label != old").isEmpty()
+        scratch.drop(step, labels)
+        if not changed:
+            scratch.drop(both)
+            return done.select("node", "label")
+        labels = done
 
 
 def bitmap(ids: DataFrame) -> bytes:
@@ -214,12 +234,12 @@ def bitmap(ids: DataFrame) -> bytes:
     return bytes(out)
 
 
-def set_table(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def set_table(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int, scratch: Scratch) -> DataFrame:
     """node, shingles of at least the given documents, without a shuffle of texts."""
     bits = bitmap(nodes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        h: Hasher = kept_in_worker("neardup-hasher", Hasher)
+        h: Hasher = kept_in_worker(f"neardup-hasher-{width}", lambda: Hasher(width))
         for batch in slices(batches):
             node, at = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             text = batch.column(1)
@@ -232,7 +252,7 @@ def set_table(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) ->
     at = F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(BITMAP_BITS))
     rows = docs.filter(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"), at.cast("int").alias("at"))
-    return written(rows.mapInArrow(run, "node long, shingles binary"), "neardup-sets")
+    return scratch.written(rows.mapInArrow(run, "node long, shingles binary"), "neardup-sets")
 
 
 def similar(x: np.ndarray, y: np.ndarray, shared: int = SHARED) -> bool:
@@ -246,7 +266,7 @@ def similar(x: np.ndarray, y: np.ndarray, shared: int = SHARED) -> bool:
     return 100 * both >= shared * (len(x) + len(y) - both)
 
 
-def confirmed(pairs: DataFrame, table: DataFrame, purpose: str) -> DataFrame:
+def confirmed(pairs: DataFrame, table: DataFrame, purpose: str, scratch: Scratch) -> DataFrame:
     """a, b, linked for each candidate pair, on the full sets.
 
     Sets of ``a`` go to ``b``; pairs of one hot ``b`` are dealt over several tasks by Spark's skew join.
@@ -263,7 +283,7 @@ def confirmed(pairs: DataFrame, table: DataFrame, purpose: str) -> DataFrame:
                                              names=["a", "b", "linked"])
 
     rows = pairs.select("a", "b").distinct().join(one, "a").join(two, "b").select("a", "b", "of_a", "of_b")
-    return written(rows.mapInArrow(run, "a long, b long, linked boolean"), purpose)
+    return scratch.written(rows.mapInArrow(run, "a long, b long, linked boolean"), purpose)
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -298,11 +318,13 @@ def neighbours(placed: DataFrame, regions: DataFrame) -> DataFrame:
             .select("p.a", "p.b").filter("a is not null").distinct())
 
 
-def common_shingles(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> tuple[np.ndarray, np.ndarray]:
+def common_shingles(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, width: int,
+                    scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
     """Shingles (sorted) that more than one of about ``COMMON_DOCS`` classes has, and their counts: ``COMMON`` at most."""
     share = min(1.0, COMMON_DOCS / max(1, classes.count()))
     drawn = classes.filter(F.pmod(F.xxhash64(F.lit(3), "node"), F.lit(1 << 30)) < int(share * (1 << 30))).select("node")
-    table = set_table(docs, drawn, id_col, text_col).join(drawn, "node", "left_semi").select("shingles")
+    sampled = set_table(docs, drawn, id_col, text_col, width, scratch)
+    table = sampled.join(drawn, "node", "left_semi").select("shingles")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -312,6 +334,7 @@ def common_shingles(docs: DataFrame, classes: DataFrame, id_col: str, text_col:
 
     counts = table.mapInArrow(run, "shingle long").groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1")
     found = counts.orderBy(F.col("n").desc(), "shingle").limit(COMMON).toArrow()
+    scratch.drop(sampled)
     shingles = found.column(0).to_numpy().view(_U)
     order = np.argsort(shingles)
     return shingles[order], found.column(1).to_numpy()[order]
@@ -364,15 +387,16 @@ def allowed(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
-def prefixes(docs: DataFrame, common: np.ndarray, counts: np.ndarray, id_col: str, text_col: str) -> DataFrame:
+def prefixes(docs: DataFrame, common: np.ndarray, counts: np.ndarray, id_col: str, text_col: str, width: int) -> DataFrame:
     """node, digest, n, sketch, rare: the shingles of each set's prefix, in order."""
+    order = docs.sparkSession.sparkContext.broadcast((common, counts))  # COMMON entries at most
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        h: Hasher = kept_in_worker("neardup-hasher", Hasher)
+        h: Hasher = kept_in_worker(f"neardup-hasher-{width}", lambda: Hasher(width))
         for batch in slices(batches):
             rows = []
             for node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 s = h.shingles(text)
-                rare = rare_first(s, common, counts)[:prefix_size(len(s))]
+                rare = rare_first(s, *order.value)[:prefix_size(len(s))]
                 rows.append((node, hashlib.blake2b(s.tobytes(), digest_size=16).digest(), len(s), sketch(s),
                              rare.view(np.int64)))
             types = [pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
@@ -384,72 +408,80 @@ def prefixes(docs: DataFrame, common: np.ndarray, counts: np.ndarray, id_col: st
     return rows.mapInArrow(run, "node long, digest binary, n long, sketch binary, rare array<long>").filter("n > 0")
 
 
-def across(prefix: DataFrame, labels: DataFrame) -> DataFrame:
+def across(prefix: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
     """a, b: all pairs of different components whose prefixes and sketches allow a link (prefix: node, n, sketch, rare)."""
-    known = written(prefix.join(labels, "node", "left").select(
+    known = scratch.written(prefix.join(labels, "node", "left").select(
         "node", F.coalesce("label", "node").alias("label"), "n", "sketch", "rare"), "neardup-prefixes")
     rows = known.select("node", "label", "n", F.posexplode("rare").alias("pos", "shingle"))
     # A shingle of one component alone, most of all one of one set alone, makes no pair.
     spread = (rows.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high"))
               .filter("low < high").select("shingle"))
-    rows = written(rows.join(spread, "shingle").select("shingle", "node", "label", "n", (F.col("n") - F.col("pos")).alias("rest")),
+    rows = scratch.written(rows.join(spread, "shingle").select("shingle", "node", "label", "n", (F.col("n") - F.col("pos")).alias("rest")),
                    "neardup-postings")
     one, two = (rows.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "label", "n", "rest")])
                 for side in "ab")
     enough = (100 + SHARED) * F.least("rest_a", "rest_b") >= SHARED * (F.col("n_a") + F.col("n_b"))
     pairs = one.join(two, "shingle").filter((F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & enough)
-    pairs = written(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "neardup-pairs")
+    pairs = scratch.written(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "neardup-pairs")
+    scratch.drop(rows)
     return allowed(pairs, known.select("node", "n", "sketch"))
 
 
-def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, for each row of ``docs``."""
-    rows = written(sets(docs, id_col, text_col), "neardup-signatures")
+    scratch = Scratch(docs.sparkSession)
+    rows = scratch.written(sets(docs, id_col, text_col, width), "neardup-signatures")
     full = rows.filter("n_shingles > 0 and doc_id is not null")
-    of_class = written(full.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count("*").alias("n")),
-                       "neardup-classes")
+    of_class = scratch.written(full.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count("*").alias("n")),
+                               "neardup-classes")
     # A document can be in several classes only if its id is repeated with other texts.
     heads = full.join(of_class.select("digest", F.col("node").alias("doc_id")), ["digest", "doc_id"], "left_semi")
-    classes = written(heads.groupBy(F.col("doc_id").alias("node")).agg(F.min("signature").alias("signature")),
-                      "neardup-heads")
+    classes = scratch.written(heads.groupBy(F.col("doc_id").alias("node")).agg(F.min("signature").alias("signature")),
+                              "neardup-heads")
     placed = orders(classes)
-    regions = written(pivots(placed), "neardup-regions")
+    regions = scratch.written(pivots(placed), "neardup-regions")
     # Regions of two or more at the shortest depth hold all candidates; the rest is dropped here.
     roots = regions.filter(F.col("depth") == SHORTEST).select("tree", F.col("prefix").alias("root"))
-    placed = written(placed.withColumn("root", _prefix(SHORTEST)).join(roots, ["tree", "root"]).drop("root"),
-                     "neardup-orders")
+    placed = scratch.written(placed.withColumn("root", _prefix(SHORTEST)).join(roots, ["tree", "root"]).drop("root"),
+                             "neardup-orders")
     met = None
     for depth in range(SHORTEST, DEPTH + 1):
         of = regions.filter(F.col("depth") == depth).select("tree", F.col("prefix").alias("p"), "pivot")
         part = placed.withColumn("p", _prefix(depth)).join(of, ["tree", "p"]).select("node", "pivot", "tree")
         met = part if met is None else met.unionByName(part)
-    met = written(met.filter("node != pivot").groupBy("node", "pivot").agg(F.count("*").alias("n")), "neardup-pivots")
-    nearby = written(neighbours(placed, regions), "neardup-neighbours")
+    met = scratch.written(met.filter("node != pivot").groupBy("node", "pivot").agg(F.count("*").alias("n")),
+                          "neardup-pivots")
+    nearby = scratch.written(neighbours(placed, regions), "neardup-neighbours")
+    scratch.drop(placed, regions)
 
     # Nodes that any candidate names; their sets are read once.
     named = (met.select("node").union(met.select("pivot")).union(nearby.select("a")).union(nearby.select("b")))
-    table = set_table(docs, named.toDF("node"), id_col, text_col)
-    table = table.join(classes.select("node"), "node", "left_semi")
+    stored = set_table(docs, named.toDF("node"), id_col, text_col, width, scratch)
+    table = stored.join(classes.select("node"), "node", "left_semi")
     first = met.groupBy("node").agg(F.max_by("pivot", F.struct("n", -F.col("pivot"))).alias("pivot"))
     tried = confirmed(first.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")),
-                      table, "neardup-first")
+                      table, "neardup-first", scratch)
     edges = tried.filter("linked").select("a", "b")
-    labels = components(edges, "neardup-first")
+    labels = components(edges, "neardup-first", scratch)
 
     more = _apart(met.select(F.col("node").alias("a"), F.col("pivot").alias("b")).unionByName(nearby), labels)
-    more = written(more.select("a", "b").join(tried.select("a", "b"), ["a", "b"], "left_anti"), "neardup-more")
-    second = confirmed(more, table, "neardup-second")
+    more = scratch.written(more.select("a", "b").join(tried.select("a", "b"), ["a", "b"], "left_anti"), "neardup-more")
+    second = confirmed(more, table, "neardup-second", scratch)
+    scratch.drop(stored, met, nearby, more)
     tried = tried.unionByName(second)
     edges = tried.filter("linked").select("a", "b")
-    labels = components(edges, "neardup-second")
+    labels = components(edges, "neardup-second", scratch)
 
-    common, counts = common_shingles(docs, classes, id_col, text_col)
-    prefix = prefixes(docs, common, counts, id_col, text_col).join(of_class.select("digest", "node"), ["digest", "node"])
-    left = written(across(prefix, labels).join(tried.select("a", "b"), ["a", "b"], "left_anti"), "neardup-left")
+    common, counts = common_shingles(docs, classes, id_col, text_col, width, scratch)
+    scratch.drop(classes)
+    prefix = prefixes(docs, common, counts, id_col, text_col, width).join(
+        of_class.select("digest", "node"), ["digest", "node"])
+    left = scratch.written(across(prefix, labels, scratch).join(tried.select("a", "b"), ["a", "b"], "left_anti"), "neardup-left")
     ends = left.select(F.col("a").alias("node")).union(left.select("b"))
-    rest = set_table(docs, ends, id_col, text_col).join(ends.distinct(), "node", "left_semi")
-    third = confirmed(left, rest, "neardup-third")
-    labels = components(edges.unionByName(third.filter("linked").select("a", "b")), "neardup-third")
+    rest = set_table(docs, ends, id_col, text_col, width, scratch)
+    third = confirmed(left, rest.join(ends.distinct(), "node", "left_semi"), "neardup-third", scratch)
+    scratch.drop(rest, left)
+    labels = components(edges.unionByName(third.filter("linked").select("a", "b")), "neardup-third", scratch)
 
     # From classes back to documents: only digests of classes that hold more than one document, or are linked.
     known = of_class.join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("component_id"))
@@ -460,9 +492,43 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each component, and one row of each id; columns as in ``docs``."""
-    found = linked_components(docs, id_col, text_col)
-    kept = found.filter("kept and doc_id is not null").select(F.col("doc_id").alias("__kept")).distinct()
-    rows = docs.join(kept, F.col(id_col) == F.col("__kept"), "left_semi").dropDuplicates([id_col])
-    return rows.unionByName(docs.filter(F.col(id_col).isNull()))
+def numbered(docs: DataFrame, id_col: str, node: str) -> tuple[DataFrame, DataFrame | None]:
+    """``docs`` with a number for each different row: its id, and one beyond all ids for further rows of an id and rows without.
+
+    Also the further numbers (number, id), if there are any.
+    """
+    rows = docs.withColumn(node, F.col(id_col).cast("long"))
+    ids = rows.select(F.col(node).alias("i"))
+    repeated = written(ids.groupBy("i").agg(F.count("*").alias("n")).filter("n > 1 or i is null").select("i"), "neardup-repeated")
+    if repeated.isEmpty():
+        return rows, None
+    h1, h2 = fresh(rows, "h1", "h2")
+    present = [F.col(f"`{c}`").isNull().cast("int") for c in docs.columns]
+    values = [F.col(f"`{c}`") for c in docs.columns]
+    rows = rows.withColumns({h: F.xxhash64(F.lit(i), *present, *values) for i, h in enumerate((h1, h2))})
+    keys = rows.select(F.col(node).alias("i"), F.col(h1).alias("x"), F.col(h2).alias("y"))
+    keys = keys.join(repeated.select(F.col("i").alias("r")), F.col("i").eqNullSafe(F.col("r")), "left_semi").distinct()
+    first = keys.filter("i is not null").groupBy("i").agg(F.min(F.struct("x", "y")).alias("m")).select("i", "m.x", "m.y")
+    further = written(keys.join(first, ["i", "x", "y"], "left_anti"), "neardup-further")
+    top = ids.agg(F.coalesce(F.max("i"), F.lit(0))).first()[0]
+    # Numbers go by place in a written table, and are written at once.
+    extra = written(further.select(F.col("i").alias("ei"), F.col("x").alias("ex"), F.col("y").alias("ey"),
+                                   (F.monotonically_increasing_id() + F.lit(top + 1)).alias("extra")), "neardup-numbers")
+    same = F.col(node).eqNullSafe(F.col("ei")) & (F.col(h1) == F.col("ex")) & (F.col(h2) == F.col("ey"))
+    out = rows.join(extra, same, "left").withColumn(node, F.coalesce("extra", F.col(node)))
+    return written(out.select(*docs.columns, node), "neardup-numbered"), extra.select(F.col("extra").alias("number"), F.col("ei").alias("id"))
+
+
+def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
+    """One row of each component; columns as in ``docs``."""
+    (node,) = fresh(docs, "node_number")
+    rows, further = numbered(docs, id_col, node)
+    found = linked_components(rows, node, text_col, width)
+    if further is None:
+        kept = found.filter("kept").select("doc_id").distinct()
+    else:
+        own = F.when(F.col("number").isNull(), F.col("doc_id")).otherwise(F.col("id"))
+        best = F.min(F.struct(own.isNull().alias("none"), own.alias("own"), "doc_id"))
+        kept = found.join(further, F.col("doc_id") == F.col("number"), "left").groupBy("component_id").agg(best.alias("m")).select("m.doc_id")
+    kept = kept.select(F.col("doc_id").alias(f"{node}_kept"))
+    return rows.join(kept, F.col(node) == F.col(f"{node}_kept"), "left_semi").dropDuplicates([node]).select(*docs.columns)

@@ -19,7 +19,7 @@ The model is a table of fixed size (``BUCKETS``); nothing else reaches the drive
 number for each calibration document.
 
 Defined results: null and empty texts score as a text without any evidence; without labels of
-both classes every score is 0; labels, source, lang and id are no inputs; of several label rows of an
+both classes every score is 0; columns of any names are carried; an empty table gives an empty result; labels, source, lang and id are no inputs; of several label rows of an
 id the highest counts; repeated documents are scored each.
 """
 
@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept_in_worker, slices, written
+from .common import fresh, kept_in_worker, slices, written
 
 BUCKETS = 1 << 18
 SAMPLE_PER_CLASS = 20_000
@@ -86,6 +86,10 @@ class Model:
         odds = math.copysign(max(abs(odds) - math.sqrt(1 / max(n1 + a1, 0.5) + 1 / max(n0 + a0, 0.5)), 0.0), odds)
         return min(max(odds, -LIMIT), LIMIT) - DRIFT
 
+    def probability(self, evidence: float) -> float:
+        z = self.slope * min(max(evidence, _ENDS[0]), _ENDS[1]) + self.offset
+        return float(1 / (1 + np.exp(-min(max(z, -30.0), 30.0))))
+
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """Every maximal scoring segment (start, end, score), in one pass over the positive scores."""
@@ -125,18 +129,19 @@ def evidence(scores: np.ndarray, rate: float, log_k: float) -> tuple[float, list
 def labelled_sample(docs: DataFrame, labels: DataFrame, trained_on: Column, id_col: str, text_col: str,
                     per_class: int, seed: int) -> tuple[DataFrame, dict[int, float]]:
     """text, toxic, half of a bounded sample of labelled rows, and the share that was taken of each class."""
-    known = (labels.filter(F.col("toxic").isNotNull()).groupBy(F.col("doc_id").alias("__id"))
-             .agg(F.max("toxic").cast("int").alias("__toxic")).filter("__toxic in (0, 1)"))
-    counts = {r["__toxic"]: r.n for r in known.groupBy("__toxic").agg(F.count("*").alias("n")).collect()}
+    known = (labels.filter(F.col("toxic").isNotNull()).groupBy(F.col("doc_id").alias("label_id"))
+             .agg(F.max("toxic").cast("int").alias("toxic")).filter("toxic in (0, 1)"))
+    counts = {r["toxic"]: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     share = {c: min(1.0, per_class / n) for c, n in counts.items()}
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("__id")), F.lit(1 << 30)) / float(1 << 30)
-    part = F.when(F.col("__toxic") == 1, share.get(1, 0.0)).otherwise(share.get(0, 0.0))
+    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("label_id")), F.lit(1 << 30)) / float(1 << 30)
+    part = F.when(F.col("toxic") == 1, share.get(1, 0.0)).otherwise(share.get(0, 0.0))
     chosen = written(known.filter(draw < part), "toxic-sample")
-    # At most about 2 * per_class ids of 12 bytes: the bound of the broadcast.
+    # At most about 2 * per_class ids of 12 bytes: the bound of the broadcast. Of the documents only id and text are read.
     rows = (docs.filter(trained_on & F.col(text_col).isNotNull())
-            .join(F.broadcast(chosen), F.col(id_col) == F.col("__id")))
-    half = F.pmod(F.xxhash64(F.lit(seed + 1), F.col("__id")), F.lit(3)) == 0
-    return rows.select(F.col(text_col).alias("text"), F.col("__toxic").alias("toxic"), half.alias("held")), share
+            .select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+            .join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")))
+    half = F.pmod(F.xxhash64(F.lit(seed + 1), F.col("label_id")), F.lit(3)) == 0
+    return rows.select("text", "toxic", half.alias("held")), share
 
 
 def bucket_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -299,11 +304,12 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, f
 def score(docs: DataFrame, model: Model | None, text_col: str = "text", threshold: float = THRESHOLD,
           keep: tuple[Column, ...] = (), with_passages: bool = False) -> DataFrame:
     """Columns ``keep``, then score, predicted (and the significant passages, as word numbers with evidence)."""
-    rows = docs.select(*keep, F.col(text_col).alias("__text"))
+    (text,) = fresh(docs.select(*keep), "text")
+    rows = docs.select(*keep, F.col(text_col).alias(text))
     added = {"score": F.lit(0.0), "predicted": F.lit(0)}
     passages = "array<struct<start:int,end:int,evidence:double>>"
     if model is None:
-        return rows.drop("__text").withColumns(
+        return rows.drop(text).withColumns(
             added | ({"passages": F.array().cast(passages)} if with_passages else {}))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
     schema = ", ".join([*fields, "score double", "predicted int", *([f"passages {passages}"] if with_passages else [])])
@@ -314,8 +320,7 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text", threshol
             values, spans = [], []
             for text in batch.column(batch.num_columns - 1).to_pylist():
                 x, found = evidence(scores(text), m.rate, m.log_k)
-                z = m.slope * min(max(x, _ENDS[0]), _ENDS[1]) + m.offset
-                values.append(1 / (1 + np.exp(-min(max(z, -30.0), 30.0))))
+                values.append(m.probability(x))
                 spans.append([{"start": s, "end": e, "evidence": v} for s, e, v in found] if with_passages else None)
             columns = [*batch.columns[:-1], pa.array(values, pa.float64()),
                        pa.array([int(v >= threshold) for v in values], pa.int32())]
@@ -327,3 +332,19 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text", threshol
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return rows.mapInArrow(run, schema)
+
+
+def without_toxic(docs: DataFrame, model: Model | None, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose score stays below the threshold, with their columns; a text reaches the worker once."""
+    if model is None:
+        return docs
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = _scorer(model)
+        for batch in slices(batches):
+            clean = [model.probability(evidence(scores(text.as_py()), model.rate, model.log_k)[0]) < threshold
+                     for text in batch.column(place)]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
