@@ -4,7 +4,7 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes i
 to the shared folder and reads it back as the next stage's documents. All stages but the last return the
 columns of documents.
 
-No SQL twin: the first stages fit models. ``tests/llm/test_pipeline.py`` holds the stages against brute force.
+No SQL twin: the first stages fit models. ``tests/llm`` holds the stages against brute force.
 """
 
 from __future__ import annotations
@@ -16,19 +16,19 @@ from veristar.llm import bpe, mixing, neardup, secrets, toxicity
 from veristar.llm.common import fold, table, written
 
 TOXIC_FOLDS, TOXIC_HELD = 3, 1
+NEAR_WORDS = 5
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents whose toxicity score reaches the threshold."""
     held = fold("doc_id", TOXIC_FOLDS) == TOXIC_HELD
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held)
-    scored = toxicity.score(docs, model, keep=tuple(F.col(f"`{c}`").alias(f"d_{c}") for c in docs.columns))
-    return scored.filter("predicted = 0").select(*[F.col(f"`d_{c}`").alias(c) for c in docs.columns])
+    return toxicity.without_toxic(docs, model)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return neardup.without_near_copies(docs)
+    """One document of each group of near copies: five-word shingles, a similarity of 0.8 or more."""
+    return neardup.without_near_copies(docs, width=NEAR_WORDS)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
