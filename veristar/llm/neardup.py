@@ -21,7 +21,8 @@ Candidates grow with the number of documents, not of pairs:
 2. Documents not yet joined are compared with the other pivots of their regions and with the
    ``NEIGHBOURS`` next documents in each order (longest common prefix).
 3. An exact pass finds every link that the forest left: a prefix-filter join between components. The shingles of each
-   set are put in one order of all shingles, those that are common in a sample last. At the first shingle that two linked
+   set are put in one order of all shingles, last those that the families share: the components of all pairs tried so far, linked
+   or not. Of the ``FAMILIES`` largest, which would make pairs by the square of their size, ``OF_FAMILY`` documents each are counted. At the first shingle that two linked
    sets share, at places p and q, the rest of both holds the overlap that a link needs:
    ``(100 + SHARED) * min(n - p, m - q) >= SHARED * (n + m)``. Places that can meet this with no partner are not written, shingles
    that stay within one component are dropped, and the others are joined under that condition. The order decides
@@ -58,8 +59,9 @@ SHARED = 80
 WIDTH = 2
 #: Tasks that the members of one component are dealt over where they meet its label.
 LABEL_SALTS = 32
-COMMON_DOCS = 1 << 14
-COMMON = 1 << 19
+#: Families of like documents that the order of the shingles is made for, the largest ones, and documents read of each.
+FAMILIES, OF_FAMILY = 1 << 12, 4
+COMMON = 1 << 20
 BITMAP_BITS = 1 << 23
 
 _U = np.uint64
@@ -204,7 +206,7 @@ def components(edges: DataFrame, purpose: str, scratch: Scratch) -> DataFrame:
     while True:
         near = (both.join(labels.select(F.col("node").alias("other"), F.col("label").alias("near")), "other")
                 .groupBy("node").agg(F.min("near").alias("near")))
-        step = scratch.written(labels.join(near, "node").select(
+        step = scratch.written(labels.select("node", "label").join(near, "node").select(
             "node", F.col("label").alias("old"), F.least("label", "near").alias("label")), f"{purpose}-steps")
         # A label is a node too: its own label is a shortcut. Each label looks it up once, and its members, of which one
         # component may have any number, meet the labels that have moved on in several tasks.
@@ -218,7 +220,7 @@ def components(edges: DataFrame, purpose: str, scratch: Scratch) -> DataFrame:
         scratch.drop(step, labels)
         if not changed:
             scratch.drop(both)
-            return done.select("node", "label")
+            return done
         labels = done
 
 
@@ -318,11 +320,23 @@ def neighbours(placed: DataFrame, regions: DataFrame) -> DataFrame:
             .select("p.a", "p.b").filter("a is not null").distinct())
 
 
-def common_shingles(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, width: int,
+def of_families(tried: DataFrame, scratch: Scratch) -> DataFrame:
+    """node: ``OF_FAMILY`` documents of each of the largest families, by hash; one row of sums for each family and draw."""
+    family = components(tried.select("a", "b"), "neardup-family", scratch)
+    draw = F.xxhash64(F.lit(3), "node")
+    drawn = family.groupBy("label", F.pmod(draw, F.lit(OF_FAMILY)).alias("draw")).agg(
+        F.min_by("node", draw).alias("node"), F.count("*").alias("n"))
+    drawn = scratch.written(drawn, "neardup-drawn")
+    largest = drawn.groupBy("label").agg(F.sum("n").alias("n")).filter(f"n > {OF_FAMILY}").orderBy(
+        F.desc("n"), "label").limit(FAMILIES).select("label")
+    chosen = scratch.written(drawn.join(largest, "label").select("node"), "neardup-chosen")
+    scratch.drop(drawn, family)
+    return chosen
+
+
+def common_shingles(docs: DataFrame, drawn: DataFrame, id_col: str, text_col: str, width: int,
                     scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles (sorted) that more than one of about ``COMMON_DOCS`` classes has, and their counts: ``COMMON`` at most."""
-    share = min(1.0, COMMON_DOCS / max(1, classes.count()))
-    drawn = classes.filter(F.pmod(F.xxhash64(F.lit(3), "node"), F.lit(1 << 30)) < int(share * (1 << 30))).select("node")
+    """Shingles (sorted) that more than one of the drawn documents has, and their counts: ``COMMON`` at most."""
     sampled = set_table(docs, drawn, id_col, text_col, width, scratch)
     table = sampled.join(drawn, "node", "left_semi").select("shingles")
 
@@ -410,7 +424,7 @@ def prefixes(docs: DataFrame, common: np.ndarray, counts: np.ndarray, id_col: st
 
 def across(prefix: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
     """a, b: all pairs of different components whose prefixes and sketches allow a link (prefix: node, n, sketch, rare)."""
-    known = scratch.written(prefix.join(labels, "node", "left").select(
+    known = scratch.written(prefix.join(labels.select("node", "label"), "node", "left").select(
         "node", F.coalesce("label", "node").alias("label"), "n", "sketch", "rare"), "neardup-prefixes")
     rows = known.select("node", "label", "n", F.posexplode("rare").alias("pos", "shingle"))
     # A shingle of one component alone, most of all one of one set alone, makes no pair.
@@ -472,7 +486,7 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     edges = tried.filter("linked").select("a", "b")
     labels = components(edges, "neardup-second", scratch)
 
-    common, counts = common_shingles(docs, classes, id_col, text_col, width, scratch)
+    common, counts = common_shingles(docs, of_families(tried, scratch), id_col, text_col, width, scratch)
     scratch.drop(classes)
     prefix = prefixes(docs, common, counts, id_col, text_col, width).join(
         of_class.select("digest", "node"), ["digest", "node"])
@@ -484,7 +498,7 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     labels = components(edges.unionByName(third.filter("linked").select("a", "b")), "neardup-third", scratch)
 
     # From classes back to documents: only digests of classes that hold more than one document, or are linked.
-    known = of_class.join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("component_id"))
+    known = of_class.join(labels.select("node", "label"), "node", "left").select("digest", F.coalesce("label", "node").alias("component_id"))
     out = rows.join(known, "digest", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("n_shingles") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
