@@ -21,8 +21,8 @@ Candidates grow with the number of documents, not of pairs:
 2. Documents not yet joined are compared with the other pivots of their regions and with the
    ``NEIGHBOURS`` next documents in each order (longest common prefix).
 3. An exact pass finds every link that the forest left: a prefix-filter join between components. The shingles of each
-   set are put in one order of all shingles, last those that the families share: the components of all pairs tried so far, linked
-   or not. Of the ``FAMILIES`` largest, which would make pairs by the square of their size, ``OF_FAMILY`` documents each are counted. At the first shingle that two linked
+   set are put in one order of all shingles, last those that are common in a sample. The sample has documents of all, and ``OF_FAMILY`` of
+   each of the ``FAMILIES`` largest families, which would make pairs by the square of their size: components of all pairs tried so far, linked or not. At the first shingle that two linked
    sets share, at places p and q, the rest of both holds the overlap that a link needs:
    ``(100 + SHARED) * min(n - p, m - q) >= SHARED * (n + m)``. Places that can meet this with no partner are not written, shingles
    that stay within one component are dropped, and the others are joined under that condition. The order decides
@@ -59,8 +59,8 @@ SHARED = 80
 WIDTH = 2
 #: Tasks that the members of one component are dealt over where they meet its label.
 LABEL_SALTS = 32
-#: Families of like documents that the order of the shingles is made for, the largest ones, and documents read of each.
-FAMILIES, OF_FAMILY = 1 << 12, 4
+#: The order of the shingles is made from about so many documents of all, and from some of each of the largest families.
+COMMON_DOCS, FAMILIES, OF_FAMILY = 1 << 14, 1 << 12, 4
 COMMON = 1 << 20
 BITMAP_BITS = 1 << 23
 
@@ -486,7 +486,10 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     edges = tried.filter("linked").select("a", "b")
     labels = components(edges, "neardup-second", scratch)
 
-    common, counts = common_shingles(docs, of_families(tried, scratch), id_col, text_col, width, scratch)
+    share = min(1.0, COMMON_DOCS / max(1, classes.count()))
+    drawn = classes.filter(F.pmod(F.xxhash64(F.lit(3), "node"), F.lit(1 << 30)) < int(share * (1 << 30))).select("node")
+    drawn = drawn.unionByName(of_families(tried, scratch)).distinct()
+    common, counts = common_shingles(docs, drawn, id_col, text_col, width, scratch)
     scratch.drop(classes)
     prefix = prefixes(docs, common, counts, id_col, text_col, width).join(
         of_class.select("digest", "node"), ["digest", "node"])
