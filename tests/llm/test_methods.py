@@ -109,6 +109,56 @@ def test_viterbi_and_marginals_by_enumeration():
                 assert node[0, i, t] == pytest.approx(sum(np.exp(total(p)) for p in paths if p[i] == t) / z)
 
 
+def test_viterbi_goes_on_over_the_ends_of_blocks(monkeypatch):
+    r = np.random.default_rng(1)
+    transition = r.normal(size=(3, 3))
+    scores = r.normal(size=(9, 3))
+    field = secrets.Field({}, np.zeros((0, 3)), transition)
+    whole = field.decode(scores)
+
+    def total(path):
+        full = [2, *path, 2]
+        return sum(transition[a, b] for a, b in zip(full, full[1:])) + sum(scores[i, t] for i, t in enumerate(path))
+
+    assert total(whole) == pytest.approx(max(map(total, itertools.product(range(3), repeat=9))))
+    for size in (1, 2, 4, 8):
+        assert list(field.decode_blocks(scores[i:i + size] for i in range(0, 9, size))) == whole
+    names = {"letters=hex": 0, "letters=digits": 1}
+    field = secrets.Field(names, np.array([[5.0, 6, 0], [0, 0, 5]]), np.array([[0, 3.0, 0], [0, 3, 0], [0, -1e4, 0]]))
+    text = "12 " * 3 + "0a1b " * 6 + "77 " * 3
+    want = secrets.find_spans(text, field)
+    monkeypatch.setattr(secrets, "BLOCK_TOKENS", 5)
+    assert secrets.find_spans(text, field) == want and want[1] == [(9, 38, "crf")]
+
+
+def test_words_that_the_field_tags():
+    def tagged(text):
+        return [text[s:e] for run in secrets.odd_runs(text) for s, e in run]
+
+    assert tagged("in pw QzXkLmPqRsTuVwYzAbCdEfGhIjKlMnOp here") == ["QzXkLmPqRsTuVwYzAbCdEfGhIjKlMnOp"]
+    assert tagged("pw: hunterhunter") == ["hunterhunter"] and tagged("pw='hunter'") == ["hunter"]
+    assert tagged("x " + "a" * 20 + " " + "b" * 19) == ["a" * 20]
+    assert tagged("Plain words, ALSO these. And é") == []
+    assert tagged("a1" + "z" * 50_000) == ["a1" + "z" * 50_000]
+
+
+def test_field_finds_a_secret_of_letters():
+    r = np.random.default_rng(2)
+
+    def key():
+        return "".join(chr(c + (65 if u else 97)) for c, u in zip(r.integers(0, 26, 24), r.integers(0, 2, 24)))
+
+    chains = []
+    for i in range(80):
+        text = f"some words then password: {key()} and note: this McDonald {i} went to room 12_{i}"
+        spans = secrets.base_spans(text)
+        chains += [(secrets.run_features(text, run), secrets.tags_of(run, spans)) for run in secrets.odd_runs(text)]
+    field, secret = secrets.train(chains), key()
+    text = f"the pw: {secret} and note: that McDonald 7 went"
+    base, spans = secrets.find_spans(text, field)
+    assert base == [] and [text[s:e] for s, e, _ in spans] == [secret]
+
+
 def test_field_learns_base_tokens():
     texts = [f"some words then key {i:040x} and more words of text" for i in range(60)]
     texts += [f"call {1000000 + i} or room 12_{i} now" for i in range(60)]
