@@ -1,6 +1,7 @@
 """The operators' own parts against brute force, without Spark."""
 
 import gzip
+import hashlib
 import itertools
 import random
 import re
@@ -39,11 +40,22 @@ def test_bpe_equals_library(encoder, library):
         assert bpe.Decoder(encoder.merges).run(want) == library.decode(want, skip_special_tokens=False)
 
 
-def test_bpe_transducer_equals_short_search_and_keeps_little(encoder):
+def _merged(merges, word):
+    """Merges in the order of their ranks, the leftmost first."""
+    symbols = [*word[:-1], word[-1] + merges.end]
+    while len(symbols) > 1:
+        rank, at = min((merges.ranks.get(pair, 1 << 60), i) for i, pair in enumerate(zip(symbols, symbols[1:])))
+        if rank == 1 << 60:
+            break
+        symbols[at:at + 2] = [symbols[at] + symbols[at + 1]]
+    return [merges.ids[s] for s in symbols]
+
+
+def test_bpe_transducer_equals_merges_and_keeps_little(encoder):
     t = encoder.transducer
-    for _ in range(300):
-        word = "".join(rng.choice("aeinthrso") for _ in range(rng.randrange(1, 32)))
-        assert [*t.feed(word), *t.finish()] == t.short(word)
+    for _ in range(600):
+        word = "".join(rng.choice("aeinthrso") for _ in range(rng.randrange(1, 80)))
+        assert [*t.feed(word), *t.finish()] == _merged(encoder.merges, word)
     most = 0
     for i, _ in enumerate(t.feed("".join(rng.choice("aeinth") for _ in range(5000)))):
         most = max(most, len(t.states))
@@ -51,6 +63,35 @@ def test_bpe_transducer_equals_short_search_and_keeps_little(encoder):
     assert most < 8 * encoder.merges.lookahead
 
 
+def test_bpe_every_piece_goes_through_the_transducer(encoder, library, monkeypatch):
+    fresh = bpe.Encoder(encoder.merges)
+    calls = []
+    advance = bpe.Transducer._advance
+    monkeypatch.setattr(bpe.Transducer, "_advance", lambda self, *a: (calls.extend(a[0]), advance(self, *a))[1])
+    fed = []
+    feed = bpe.Decoder.feed
+    monkeypatch.setattr(bpe.Decoder, "feed", lambda self, ids: (fed.extend(ids), feed(self, ids))[1])
+    text = "Some words, some 12 WORDS and é"
+    n, ids_sha, text_sha, ids = bpe._digest(fresh, text, True)
+    want = library.encode(text, add_special_tokens=False).ids
+    assert ids == fed == want and n == len(want)
+    # Pieces met again come from the table.
+    assert len(calls) == len("somewords,12andé".encode())
+    assert ids_sha == hashlib.sha256(" ".join(map(str, want)).encode()).hexdigest()
+    assert text_sha == hashlib.sha256(library.decode(want, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_bpe_long_runs_in_lots(encoder, library, monkeypatch):
+    monkeypatch.setattr(bpe, "CHUNK", 50)
+    monkeypatch.setattr(bpe.chunks, "__defaults__", (50,))
+    for text in ("ab" * 400, "1a!" * 300, "é" * 200 + " x " + "word9" * 100, "x" * 101, ("y" * 120 + " ") * 3, "Σ" * 150):
+        want = library.encode(text, add_special_tokens=False).ids
+        found = list(encoder.encode(text))
+        assert [i for entries in found for ids, _ in entries for i in ids] == want
+        assert max(len(ids) for entries in found for ids, _ in entries) <= 50 or " " in text
+        assert bpe._digest(encoder, text, True)[3] == want
+
+
 def test_bpe_decoder_by_pieces(encoder):
     ids = encoder.ids("some words, and more")
     d = bpe.Decoder(encoder.merges)

@@ -8,19 +8,20 @@ encoding of the whole goes through one of the last ``lookahead`` boundaries, whe
 ``lookahead`` is the longest token of the merge list. The transducer keeps a state for each
 of these boundaries; tokens on which all of them agree are stable and are emitted. The
 last symbol of a word carries the word end, so one symbol is held back. Memory is
-bounded by the lookahead, not by the word. A word that ends within the lookahead has
-nothing to emit before its end: its one path of fitting tokens is then looked for longest
-token first, without states for all boundaries. Words seen before come from a table
-of bounded size.
+bounded by the lookahead, not by the word. Every piece of a text goes through the transducer;
+pieces and words seen before come from tables of bounded size.
 
 A text is normalised (NFC, white space to one space, lower case letter by letter) and
 split in chunks that end where neither can reach across, so no copy of a very long text
-is made. Special tokens are found in the raw text, as the library does.
+is made; only a run without white space longer than a chunk is normalised as one, and its pieces and
+ids are then made and hashed in lots. Special tokens are found in the raw text, as the library does.
 
 Decoding. The file names no decoder, so the library joins the tokens' strings with a
-space. The state machine does so token by token, with a carry of at most one piece.
+space. The state machine takes the ids of a document in order and does so token by token; its
+state is whether text has begun.
 
-Defined results: a null text is empty and has no ids; other columns stay out.
+Defined results: a null text is empty and has no ids; repeated rows are encoded each; an empty table gives
+an empty result; other columns stay out.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import pyarrow as pa
 import regex
@@ -73,12 +75,12 @@ class Merges:
         self.symbols = {token: self._symbols(token) for token in self.ids}
         made = {a + b for a, b in pairs}
         self.lookahead = max([1, *(len(self.symbols[t]) for t in made if t in self.symbols)])
-        # The longest token that begins with three given letters.
+        # The longest token that ends with three given symbols.
         self.reach: dict[str, int] = {}
         for symbols in self.symbols.values():
-            head = "".join(symbols[:3])[:3]
             if len(symbols) >= 3:
-                self.reach[head] = max(self.reach.get(head, 3), len(symbols))
+                last = "".join(symbols[-3:])
+                self.reach[last] = max(self.reach.get(last, 3), len(symbols))
         # How each token is made (its first rule is the one that works), and when.
         self.parts: dict[str, tuple[str, str]] = {}
         self.made: dict[str, int] = {}
@@ -145,34 +147,37 @@ class Transducer:
 
     def reset(self) -> None:
         self.held: str | None = None
-        self.tail: list[str] = []  # the last symbols, at most `lookahead`
+        self.tail = ""  # the last letters, at most `lookahead`
         # For each of the last boundaries: the last token and the boundary it starts at.
         self.states: list[tuple[str | None, int]] = [(None, _START)]
         self.first = 0  # boundary of states[0]
         self.sent = 0  # boundary up to which tokens are emitted
 
-    def _advance(self, symbol: str) -> None:
-        m, n = self.merges, self.first + len(self.states)
-        self.tail.append(symbol)
-        if len(self.tail) > m.lookahead:
-            del self.tail[0]
-        token, state = "", (None, _UNREACHED)
-        for back in range(1, min(len(self.tail), n) + 1):
-            token = self.tail[-back] + token
-            start = n - back
-            if start < self.first:
-                break
-            left, reached = self.states[start - self.first]
-            if reached != _UNREACHED and token in m.ids and m.alone(token) and (left is None or m.beside(left, token)):
-                state = (token, start)
-                break
-        self.states.append(state)
+    def _advance(self, letters: str, end: str = "") -> None:
+        """States behind the boundaries after these letters; ``end`` goes with a last single letter."""
+        m, states, tail = self.merges, self.states, self.tail
+        ids, reach, fits, whole = m.ids, m.reach, m._beside, m._alone
+        n = self.first + len(states)
+        for letter in letters:
+            tail += letter
+            for back in range(min(len(states), reach.get(tail[-3:] + end, 2)), 0, -1):
+                left, reached = states[-back]
+                if reached != _UNREACHED and (token := tail[-back:] + end) in ids:
+                    if left is not None and not (m.beside(left, token) if (f := fits.get((left, token))) is None else f):
+                        continue
+                    if m.alone(token) if (w := whole.get(token)) is None else w:
+                        states.append((token, n - back))
+                        break
+            else:
+                states.append((None, _UNREACHED))
+            n += 1
+        self.tail = tail[-m.lookahead:]
 
-    def _emit(self, final: bool) -> Iterator[int]:
-        """Tokens on which every live boundary agrees (all, if final)."""
+    def _emit(self) -> Iterator[int]:
+        """Tokens on which every live boundary agrees."""
         newest = self.first + len(self.states) - 1
-        ends = [newest] if final else [b for b in range(max(self.sent, newest - self.merges.lookahead + 1), newest + 1)
-                                       if self.states[b - self.first][1] != _UNREACHED]
+        ends = [b for b in range(max(self.sent, newest - self.merges.lookahead + 1), newest + 1)
+                if self.states[b - self.first][1] != _UNREACHED]
         while len({*ends}) > 1:  # to the common ancestor: the latest goes a token back
             latest = max(ends)
             ends = [self.states[latest - self.first][1] if b == latest else b for b in ends]
@@ -188,46 +193,29 @@ class Transducer:
             del self.states[: self.sent - self.first]
             self.first = self.sent
 
-    def feed(self, symbols: Iterable[str]) -> Iterator[int]:
-        since = 0
-        for symbol in symbols:
-            if self.held is not None:
-                self._advance(self.held)
-                since += 1
-                if since == self.merges.lookahead:
-                    since = 0
-                    yield from self._emit(False)
-            self.held = symbol
+    def feed(self, letters: str) -> Iterator[int]:
+        """More letters of the word; the last one is held back."""
+        letters, size = (self.held or "") + letters, self.merges.lookahead
+        for start in range(0, len(letters) - 1, size):
+            part = letters[start:min(start + size, len(letters) - 1)]
+            self._advance(part)
+            if len(part) == size:
+                yield from self._emit()
+        self.held = letters[-1:] or None
 
     def finish(self) -> list[int]:
         """The end of the word: the held symbol takes the word end."""
         if self.held is None:
             return []
-        self._advance(self.held + self.merges.end)
-        out = list(self._emit(True))
+        self._advance(self.held, self.merges.end)
+        out, at = [], self.first + len(self.states) - 1
+        while at > self.sent:
+            token, at = self.states[at - self.first]
+            out.append(self.merges.ids[token])
+        out.reverse()
         self.reset()
         return out
 
-    def short(self, letters: str) -> list[int]:
-        """A whole word of at most `lookahead` symbols."""
-        m, n = self.merges, len(letters)
-        ids, beside, alone = m.ids, m.beside, m.alone
-        path: list[tuple[int, str]] = []  # end and token
-        start, left, upto, reach = 0, None, n, m.reach
-        while start < n:
-            upto = min(upto, start + reach.get(letters[start:start + 3], 3))
-            for end in range(upto, start, -1):
-                token = letters[start:end] + m.end if end == n else letters[start:end]
-                if token in ids and (left is None or beside(left, token)) and alone(token):
-                    path.append((end, token))
-                    start, left, upto = end, token, n
-                    break
-            else:  # no token fits behind the last one: a shorter one in its place
-                end, _ = path.pop()
-                upto = end - 1
-                start, left = path[-1] if path else (0, None)
-        return [ids[token] for _, token in path]
-
 
 #: Words of the tokenizer file, without its apostrophe cases in the middle: fixed values.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -258,6 +246,15 @@ def chunks(text: str, size: int = CHUNK) -> Iterator[str]:
     yield text[start:]
 
 
+#: Ids, and the same as text.
+Entry = tuple[tuple[int, ...], str]
+
+
+def _entry(ids: Iterable[int]) -> Entry:
+    ids = tuple(ids)
+    return ids, " ".join(map(str, ids))
+
+
 class Encoder:
     """Texts to ids, with a bounded table of words seen before."""
 
@@ -266,32 +263,29 @@ class Encoder:
     def __init__(self, merges: Merges, kept: int = KEPT_WORDS):
         self.merges, self.kept, self.words, self.pieces = merges, kept, {}, {}
         self.older_words, self.older_pieces = {}, {}
-        self.transducer, self.decoder = Transducer(merges), Decoder(merges)
+        self.transducer, self.letters = Transducer(merges), merges.letters
         marks = sorted(merges.special, key=len, reverse=True)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, marks)) + ")") if marks else None
 
-    def piece(self, piece: str) -> list[int]:
+    def piece(self, piece: str) -> Iterator[int]:
         """Ids of a piece that the split has made."""
-        letters = "".join([self.merges.letters[b] for b in piece.encode("utf-8", "surrogatepass")])
-        if len(letters) <= self.merges.lookahead:
-            return self.transducer.short(letters)
-        return [*self.transducer.feed(letters), *self.transducer.finish()]
+        yield from self.transducer.feed("".join(map(self.letters.__getitem__, piece.encode("utf-8", "surrogatepass"))))
+        yield from self.transducer.finish()
 
-    def entry(self, piece: str) -> tuple[int, str, str]:
+    def entry(self, piece: str) -> Entry:
         known = self.pieces.get(piece)
         if known is None:
             known = self.older_pieces.get(piece)
             if known is None:
-                ids = self.piece(piece)
-                known = (len(ids), " ".join(map(str, ids)), self.decoder.run(ids))
+                known = _entry(self.piece(piece))
             if len(piece) <= self.LONGEST_KEPT:
                 if len(self.pieces) >= self.kept:
                     self.older_pieces, self.pieces = self.pieces, {}
                 self.pieces[piece] = known
         return known
 
-    def word(self, word: str) -> tuple[int, str, str]:
-        """Number of ids, ids and decoded text of a run without white space."""
+    def word(self, word: str) -> Entry:
+        """Ids of a run without white space."""
         if (entry := self.older_words.get(word)) is not None:
             return self._keep(word, entry)
         if word.isascii():
@@ -303,35 +297,44 @@ class Encoder:
         if len(pieces) == 1:
             entry = self.entry(pieces[0])
         else:
-            entries = [self.entry(piece) for piece in pieces]
-            entry = (sum([e[0] for e in entries]), " ".join([e[1] for e in entries if e[0]]),
-                     " ".join([e[2] for e in entries if e[0]]))
+            entry = _entry(i for piece in pieces for i in self.entry(piece)[0])
         return self._keep(word, entry)
 
-    def _keep(self, word: str, entry: tuple[int, str, str]) -> tuple[int, str, str]:
+    def long_word(self, word: str) -> Iterator[list[Entry]]:
+        """The same for a very long run, a lot of ids after the other."""
+        ids = (i for m in PIECES.finditer(normalise(word))
+               for i in (self.entry(m[0])[0] if len(m[0]) <= CHUNK else self.piece(m[0])))
+        while lot := tuple(islice(ids, CHUNK)):
+            yield [_entry(lot)]
+
+    def _keep(self, word: str, entry: Entry) -> Entry:
         if len(word) <= self.LONGEST_KEPT:
             if len(self.words) >= self.kept:
                 self.older_words, self.words = self.words, {}
             self.words[word] = entry
         return entry
 
-    def encode(self, text: str) -> Iterator[list[tuple[int, str, str]]]:
-        """Entries of the words of a text, a list for each chunk."""
+    def encode(self, text: str) -> Iterator[list[Entry]]:
+        """Ids of the words of a text, a list for each chunk."""
         marked = self.marks and any(mark in text for mark in self.merges.special)
         word = self.word
         for part in self.marks.split(text) if marked else [text]:
             if part in self.merges.special:
                 i = self.merges.special[part]
-                yield [(1, str(i), self.merges.strings[i])]
+                yield [((i,), str(i))]
                 continue
             for chunk in chunks(part):
                 # split() also takes the separators 1C to 1F for white space, the tokenizer does not.
                 words = _SPACE.split(chunk) if _SEPARATORS.search(chunk) else chunk.split()
+                if len(words) <= 2 and len(chunk) > 2 * CHUNK:
+                    for w in words:
+                        yield from self.long_word(w)
+                    continue
                 known = self.words
                 yield [entry for w in words if (entry := known.get(w) or word(w))[0]]
 
     def ids(self, text: str) -> list[int]:
-        return [int(i) for entries in self.encode(text) for _, ids, _ in entries for i in ids.split(" ")]
+        return [i for entries in self.encode(text) for ids, _ in entries for i in ids]
 
 
 class Decoder:
@@ -349,22 +352,23 @@ class Decoder:
 
     def run(self, ids: Iterable[int]) -> str:
         """The text of ids that stand alone."""
-        return " ".join([self.strings[i] for i in ids if i in self.strings])
+        return " ".join([s for s in map(self.strings.get, ids) if s is not None])
 
 
 def _digest(encoder: Encoder, text: str, with_ids: bool) -> tuple:
     """Number of ids and the digests of ids and decoded text, a chunk of the text at a time."""
     n, ids_hash, text_hash, all_ids, lead = 0, hashlib.sha256(), hashlib.sha256(), [], ""
+    decoder = Decoder(encoder.merges)
     for entries in encoder.encode(text):
         if not entries:
             continue
-        counts, ids, texts = zip(*entries)
-        n += sum(counts)
-        ids_hash.update((lead + " ".join(ids)).encode())
-        text_hash.update((lead + " ".join(texts)).encode())
+        ids = [i for entry in entries for i in entry[0]]
+        n += len(ids)
+        ids_hash.update((lead + " ".join([entry[1] for entry in entries])).encode())
+        text_hash.update(decoder.feed(ids).encode())
         lead = " "
         if with_ids:
-            all_ids += [int(i) for part in ids for i in part.split(" ")]
+            all_ids += ids
     return (n, ids_hash.hexdigest(), text_hash.hexdigest(), *([all_ids] if with_ids else []))
 
 
