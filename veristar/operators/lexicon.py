@@ -86,9 +86,11 @@ def _emphasis(text: Column) -> Column:
 
 
 def sentiment_scores(reviews: DataFrame, tables: SentimentTables, carry: dict[str, Column] | None = None,
-                     text_col: str = "review_text", id_col: str = "review_id") -> DataFrame:
+                     text_col: str = "review_text", id_col: str = "review_id", tokens: Column | None = None) -> DataFrame:
     """Add up both scores per review; ``carry`` columns travel along unchanged.
 
+    ``tokens`` takes the place of the text's own tokens, for example with phrases as one token.
+
     Carried columns are repeated per known token: carry narrow values, never texts.
     Sums go by a key of the row's own, so rows that repeat an id are scored each.
 
@@ -102,7 +104,8 @@ def sentiment_scores(reviews: DataFrame, tables: SentimentTables, carry: dict[st
         row = f"_{row}"
     per_review = (
         reviews.select(F.monotonically_increasing_id().alias(row), F.col(id_col), *[c.alias(n) for n, c in carry.items()],
-                       _emphasis(text).alias("emphasis"), sentiment_tokens(text).alias("toks"))
+                       _emphasis(text).alias("emphasis"),
+                       (sentiment_tokens(text) if tokens is None else tokens).alias("toks"))
         .withColumns({"n_toks": F.size("toks"), "n_caps": F.size(F.filter("toks", is_upper)),
                       "keys": F.transform("toks", F.lower)})
         .withColumns({"contrast_at": F.array_position("keys", tables.contrast) - 1,

@@ -19,6 +19,12 @@ LEXICON = {
     "hehely": 2.8, "from": -1.4, "den": 0.3, "für": 1.6, "été": 2.2, "in": -0.9, "an": 0.2, "thon": -2.9,
 }
 BOOSTERS = {"is": 0.293, "to": 0.293, "en": 0.293, "und": 0.293, "that": -0.293, "for": -0.293, "die": -0.293}
+# Entries of two words and more: overlapping ones, one inside another, of repeated words, and one that is a booster.
+PHRASES = {
+    "the the": 1.2, "the the the": -2.2, "of the": 0.7, "the of the": -1.6, "de la": 2.3, "la de": -1.9, "the and attion": 2.9,
+    "attion to": -2.7, "orre orre": 0.6, "hehely hehely hehely": -1.3, "der der": 1.9, "in the": -0.4,
+}
+PHRASE_BOOSTERS = {"is the": 0.293, "und und": -0.293}
 NEGATIONS = ["it", "nicht", "pas", "un", "by", "not"]
 CONTRAST = "be"
 HEAD = {
@@ -87,6 +93,12 @@ def sentiment_tables(spark: SparkSession) -> SentimentTables:
     return _TABLES[application]
 
 
+def phrase_tables(spark: SparkSession) -> SentimentTables:
+    """The same tables with phrases."""
+    return SentimentTables(P.lexicon_table(spark, LEXICON | PHRASES), P.booster_table(spark, BOOSTERS | PHRASE_BOOSTERS),
+                           P.token_table(spark, NEGATIONS), contrast=CONTRAST)
+
+
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature table of all reviews."""
     return extract_features(reviews(spark, sf_dir), sentiment_tables(spark))

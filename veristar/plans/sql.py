@@ -69,9 +69,19 @@ style as (
   from syllabled)"""
 
 
-def sentiment(source: str, text_col: str = "review_text") -> str:
-    lexicon = values(I.LEXICON.items(), "token, valence")
-    boosters = values(I.BOOSTERS.items(), "token, scalar")
+def split_tokens(source: str, text_col: str = "review_text") -> str:
+    return f"""split as (
+  select review_id, {text_col} as txt, list_transform(
+    list_filter(string_split_regex({text_col}, '[{SPACE}]+'), lambda x: x <> ''),
+    lambda x: case when length(trim(x, '{PUNCT}')) <= 2 then x else trim(x, '{PUNCT}') end) as toks
+  from {source})"""
+
+
+def sentiment(source: str, text_col: str = "review_text", split: str | None = None, lexicon: dict | None = None,
+              boosters: dict | None = None) -> str:
+    """CTEs up to ``sentiment``; ``split`` takes the place of the tokens, the two tables that of the usual ones."""
+    lexicon = values((lexicon or I.LEXICON).items(), "token, valence")
+    boosters = values((boosters or I.BOOSTERS).items(), "token, scalar")
     negations = values([(t,) for t in I.NEGATIONS], "token")
     head = values([(t, *w) for t, w in I.HEAD.items()], "token, w_neg, w_neu, w_pos")
 
@@ -88,11 +98,7 @@ def sentiment(source: str, text_col: str = "review_text") -> str:
     steps = "".join(step(k, d, f"v{k - 1}") for k, d in enumerate(P.DAMPING, 1)).rstrip(",")
     side_joins = "\n".join(
         f"      left join mods m{k} on m{k}.token = lower(p{k})" for k in (1, 2, 3))
-    return f"""split as (
-  select review_id, {text_col} as txt, list_transform(
-    list_filter(string_split_regex({text_col}, '[{SPACE}]+'), lambda x: x <> ''),
-    lambda x: case when length(trim(x, '{PUNCT}')) <= 2 then x else trim(x, '{PUNCT}') end) as toks
-  from {source}),
+    return f"""{split or split_tokens(source, text_col)},
 measured as (
   select *, len(toks) as n_toks,
     len(list_filter(toks, lambda x: x = upper(x) and x <> lower(x))) as n_caps,

@@ -10,6 +10,7 @@ from ..operators import feature_table as FT
 from ..operators import keys as K
 from ..operators import lexicon as L
 from ..operators import model_sentiment as M
+from ..operators import phrases as PH
 from ..operators.features import FEATURE_COLS, MODEL_COLS, STABLE_COLS, extract_features, unprocessed_reviews
 from ..session import shared_dir
 from ..sources import params as P
@@ -90,6 +91,36 @@ def lexicon_sentiment(spark, sf):
     return L.lexicon_sentiment(_texts(spark, sf), I.sentiment_tables(spark))
 
 
+# Phrases by table: where each can stand, the longest of a place, and for each the first that begins behind its end; a walk
+# from a text's first one along these takes those that count.
+PHRASE_SPLIT = f"""{S.split_tokens('stored').replace('split as', 'plain as', 1)},
+words as (select review_id, unnest(toks) as t, generate_subscripts(toks, 1) as pos from plain),
+phrase as (select string_split(p, ' ') as ws from {S.values([(p,) for p in (*I.PHRASES, *I.PHRASE_BOOSTERS)], 'p')}),
+begun as (
+  select review_id, pos, max(len(ws)) as n from words join phrase on lower(t) = ws[1] join plain using (review_id)
+  where list_transform(toks[pos:pos + len(ws) - 1], lambda x: lower(x)) = ws group by review_id, pos),
+linked as (
+  select b.review_id, b.pos, b.n, nx.pos as next_pos from begun b asof left join begun nx
+  on nx.review_id = b.review_id and nx.pos >= b.pos + b.n),
+walk as (
+  select review_id, pos, n, next_pos from (select *, row_number() over (partition by review_id order by pos) as k from linked) where k = 1
+  union all select l.review_id, l.pos, l.n, l.next_pos from walk w join linked l on l.review_id = w.review_id and l.pos = w.next_pos),
+taken as (select review_id, pos, n, unnest(range(pos, pos + n)) as inside from walk),
+units as (
+  select w.review_id, coalesce(k.pos, w.pos) as place, string_agg(t, ' ' order by w.pos) as t
+  from words w left join taken k on k.review_id = w.review_id and k.inside = w.pos group by 1, 2),
+joined as (select review_id, list(t order by place) as toks from units group by review_id),
+n_walk as (select review_id, cast(count(*) as int) as n_phrases from walk group by review_id),
+split as (select review_id, txt, coalesce(joined.toks, []) as toks from plain left join joined using (review_id))"""
+
+
+@query("phrase_sentiment", f"with recursive {S.RAW},\n{S.STORED},\n" + S.sentiment(
+    "stored", split=PHRASE_SPLIT, lexicon=I.LEXICON | I.PHRASES, boosters=I.BOOSTERS | I.PHRASE_BOOSTERS)
+    + "\nselect review_id, sentiment_score, coalesce(n_phrases, 0) as n_phrases from sentiment left join n_walk using (review_id)")
+def phrase_sentiment(spark, sf):
+    return PH.phrase_sentiment(_texts(spark, sf), I.phrase_tables(spark))
+
+
 @query("head_sentiment", SENTIMENT + "select review_id, model_sentiment, model_neg, model_neu, model_pos from sentiment")
 def head_sentiment(spark, sf):
     return L.sentiment_scores(_texts(spark, sf), I.sentiment_tables(spark)).drop("sentiment_score")
