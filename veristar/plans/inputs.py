@@ -38,6 +38,12 @@ POS_WORDS = {
     "best": "ADJ", "thatin": "ADJ", "orre": "ADJ", "rewh": "ADJ",
     "tion": "NOUN", "la": "NOUN", "ing": "NOUN", "hehely": "NOUN", "ea": "NOUN",
 }
+# Hyphenation patterns for the invented words, and words with breaks of their own.
+PATTERNS = [
+    "a1n", "1na", "1ti", "ti2o", "1o2n", "e1r", "er2i", "1th", "2nd.", ".in1", ".an3e", "n3on", "4st.", "at1t", "r1r", "he1h", "e2l",
+    "hel3y", "a2t", "1de", "de2s", "t3a", "ha3n", "o4r4a", "i1n", "in2g.", "re1", "u1n2d", "a3b", "1c", "3be", "é1t", "w2h",
+]
+BROKEN_WORDS = ["o-rantion", "re-wh", "thatin"]
 # (feature, weight, mean, std) and (term, weight, idf).
 NUMBER_WEIGHTS = [
     ("punctuation_freq", 0.31, 2.6, 1.9), ("vocab_diversity", -0.44, 0.68, 0.14),

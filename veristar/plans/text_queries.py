@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import sentiment as N
 from ..functions import text as T
 from ..operators import feature_table as FT
+from ..operators import hyphenation as HY
 from ..operators import keys as K
 from ..operators import lexicon as L
 from ..operators import model_sentiment as M
@@ -48,6 +49,30 @@ def readability(spark, sf):
     return _texts(spark, sf).select("review_id", T.flesch_reading_ease(F.col("review_text")).alias("readability_score"))
 
 
+# Each pattern at each place of each distinct word, without the substrings of the DataFrame form.
+@query("pattern_readability", STYLE.rstrip() + f""",
+pat as (select p, regexp_replace(p, '[0-9]', '', 'g') as letters from {S.values([(p,) for p in I.PATTERNS], 'p')}),
+lev as (
+  select p, letters, i, coalesce(try_cast(regexp_extract(regexp_extract(p, '^(?:[0-9]?[^0-9]){{' || i || '}}([0-9]?)', 0), '([0-9])$', 1) as int), 0) as level
+  from (select p, letters, unnest(range(0, length(letters) + 1)) as i from pat)),
+vocabulary as (select distinct unnest(w) as word from style),
+standing as (
+  select word, pat.p, at_ from (select word, '.' || word || '.' as d, unnest(range(1, length(word) + 3)) as at_ from vocabulary) join pat
+  on substr(d, at_, length(letters)) = letters),
+gap as (select word, at_ + i - 2 as before, max(level) as level from standing join lev using (p) group by 1, 2),
+breaks as (select word, count(*) as n from gap where level % 2 = 1 and before between 2 and length(word) - 2 group by word),
+given as (select replace(b, '-', '') as word, length(b) - length(replace(b, '-', '')) as n from {S.values([(b,) for b in I.BROKEN_WORDS], 'b')}),
+syll as (select word, 1 + coalesce(given.n, breaks.n, 0) as n from vocabulary left join breaks using (word) left join given using (word)),
+counts as (select review_id, cast(sum(n) as bigint) as n_syllables from (select review_id, unnest(w) as word from style) join syll using (word) group by review_id)
+select review_id, cast(n_words as int) as n_words, coalesce(n_syllables, 0) as n_syllables,
+  case when n_words = 0 or n_sent = 0 then 0.0 else
+    round(cast(206.835 as double) - cast(1.015 as double) * (cast(n_words as double) / n_sent)
+          - cast(84.6 as double) * (cast(coalesce(n_syllables, 0) as double) / n_words), 4) end as readability_score
+from style left join counts using (review_id)""")
+def pattern_readability(spark, sf):
+    return HY.pattern_readability(_texts(spark, sf), P.column_table(spark, "pattern", I.PATTERNS), P.column_table(spark, "word", I.BROKEN_WORDS))
+
+
 @query("fk_grade", STYLE + "select review_id, fk_grade from style")
 def fk_grade(spark, sf):
     return _texts(spark, sf).select("review_id", T.flesch_kincaid_grade(F.col("review_text")).alias("fk_grade"))

@@ -61,8 +61,12 @@ def booster_table(spark: SparkSession, scalars: dict[str, float]) -> DataFrame:
     })
 
 
+def column_table(spark: SparkSession, name: str, entries) -> DataFrame:
+    return local_table(spark, {name: (pa.string(), list(entries))})
+
+
 def token_table(spark: SparkSession, tokens) -> DataFrame:
-    return local_table(spark, {"token": (pa.string(), list(tokens))})
+    return column_table(spark, "token", tokens)
 
 
 def sample_lexicon(spark: SparkSession) -> DataFrame:
