@@ -38,6 +38,20 @@ POS_WORDS = {
     "best": "ADJ", "thatin": "ADJ", "orre": "ADJ", "rewh": "ADJ",
     "tion": "NOUN", "la": "NOUN", "ing": "NOUN", "hehely": "NOUN", "ea": "NOUN",
 }
+# Tag model in thousandths: words of several tags, an entry for unlisted words, and equal weights on purpose.
+EMISSIONS = [
+    ("is", "VERB", -900), ("is", "OTHER", -2300), ("was", "VERB", -700), ("are", "VERB", -800), ("the", "OTHER", -100), ("of", "OTHER", -200),
+    ("best", "ADJ", -900), ("best", "NOUN", -1400), ("best", "VERB", -2100), ("thatin", "ADJ", -1200), ("thatin", "NOUN", -1200),
+    ("orre", "ADJ", -1500), ("orre", "VERB", -1000), ("rewh", "VERB", -1600), ("rewh", "NOUN", -1100), ("tion", "NOUN", -500), ("la", "NOUN", -1500),
+    ("la", "OTHER", -600), ("de", "OTHER", -300), ("der", "OTHER", -400), ("ing", "NOUN", -1700), ("ing", "VERB", -1300), ("hehely", "ADJ", -600),
+    ("to", "OTHER", -500), ("to", "VERB", -2600), ("in", "OTHER", -700), ("a", "OTHER", -200), ("ist", "VERB", -900), ("est", "VERB", -900),
+    (None, "NOUN", -2000), (None, "ADJ", -2400), (None, "VERB", -2200), (None, "OTHER", -3000),
+]
+TRANSITIONS = [
+    (None, "OTHER", -600), (None, "NOUN", -1300), (None, "ADJ", -2000), (None, "VERB", -2500), ("OTHER", "NOUN", -700), ("OTHER", "ADJ", -1400),
+    ("OTHER", "VERB", -1900), ("OTHER", "OTHER", -1600), ("ADJ", "NOUN", -400), ("ADJ", "ADJ", -1900), ("ADJ", "OTHER", -2300), ("NOUN", "VERB", -900),
+    ("NOUN", "OTHER", -1000), ("NOUN", "NOUN", -1800), ("VERB", "OTHER", -800), ("VERB", "ADJ", -1700), ("VERB", "NOUN", -1700), ("VERB", "VERB", -2700),
+]
 # Hyphenation patterns for the invented words, and words with breaks of their own.
 PATTERNS = [
     "a1n", "1na", "1ti", "ti2o", "1o2n", "e1r", "er2i", "1th", "2nd.", ".in1", ".an3e", "n3on", "4st.", "at1t", "r1r", "he1h", "e2l",

@@ -12,6 +12,7 @@ from ..operators import keys as K
 from ..operators import lexicon as L
 from ..operators import model_sentiment as M
 from ..operators import phrases as PH
+from ..operators import tagging as TG
 from ..operators.features import FEATURE_COLS, MODEL_COLS, STABLE_COLS, extract_features, unprocessed_reviews
 from ..session import shared_dir
 from ..sources import params as P
@@ -103,6 +104,43 @@ def pos_density(spark, sf):
     return M.pos_density(_texts(spark, sf), words)
 
 
+def _tag_sql() -> str:
+    tags = sorted({t for _, t, _ in I.EMISSIONS})
+    weights = {(a, t): w for a, t, w in I.TRANSITIONS}
+    listed: dict = {}
+    for token, tag, weight in I.EMISSIONS:
+        listed.setdefault(token, dict.fromkeys(tags, TG.FLOOR))[tag] = weight
+
+    def cells(emit: dict, first: bool) -> str:
+        return "[" + ", ".join(
+            f"{{'score': {emit[t] + (weights.get((None, t), TG.FLOOR) if first else 0)}::bigint, 'place': {-i}, "
+            f"'v': {int(t == TG.VERB)}, 'a': {int(t == TG.ADJECTIVE)}, 'n': {int(t == TG.NOUN)}}}" for i, t in enumerate(tags)) + "]"
+
+    rows = ", ".join(f"({S.text(k)}, {cells(e, True)}, {cells(e, False)})" for k, e in listed.items() if k is not None)
+    moves = "[" + ", ".join("[" + ", ".join(str(weights.get((p, t), TG.FLOOR)) for p in tags) + "]" for t in tags) + "]"
+    best = (f"list_max(list_transform(acc, lambda a, p: {{'score': a.score + ({moves})[t][p], 'place': 1 - p, 'v': a.v, 'a': a.a, 'n': a.n}}))")
+    return f"""with {S.RAW},
+emission as (select * from (values {rows}) as v(token, opening, inner_)),
+piece as (select review_id, s, ws from (
+  select review_id, unnest(ps) as p, generate_subscripts(ps, 1) as s from (select review_id, string_split_regex(text_, '[.!?]+') as ps from raw)),
+  lateral (select regexp_extract_all(lower(p), '{S.WORD}') as ws)),
+word as (select review_id, s, unnest(ws) as token, generate_subscripts(ws, 1) as k from piece),
+met as (select review_id, s, list(case when k = 1 then coalesce(opening, {cells(listed[None], True)}) else coalesce(inner_, {cells(listed[None], False)}) end
+  order by k) as es from word left join emission using (token) group by review_id, s),
+path as (select review_id, list_max(list_reduce(es, lambda acc, x: list_transform(list_transform(x, lambda e, t: {{'e': e, 'b': {best}}}),
+  lambda y: {{'score': y.e.score + y.b.score, 'place': y.e.place, 'v': y.e.v + y.b.v, 'a': y.e.a + y.b.a, 'n': y.e.n + y.b.n}}))) as b from met),
+counts as (select review_id, cast(sum(b.v) as bigint) as n_verbs, cast(sum(b.a) as bigint) as n_adjectives, cast(sum(b.n) as bigint) as n_nouns from path group by review_id),
+every as (select review_id, coalesce(n_verbs, 0) as n_verbs, coalesce(n_adjectives, 0) as n_adjectives, coalesce(n_nouns, 0) as n_nouns
+  from raw left join counts using (review_id))
+select *, case when n_nouns = 0 then 0.0 else round(cast(n_verbs + n_adjectives as double) / n_nouns, 4) end as pos_density from every"""
+
+
+@query("pos_density_tagged", _tag_sql())
+def pos_density_tagged(spark, sf):
+    model = TG.tag_model(P.weight_table(spark, "token", I.EMISSIONS), P.weight_table(spark, "prev_tag", I.TRANSITIONS))
+    return TG.pos_density_tagged(_texts(spark, sf), model)
+
+
 @query("rating_scale", f"with {S.RAW}\nselect review_id, rating, {S.SCALED} as scaled_rating from raw")
 def rating_scale(spark, sf):
     return I.reviews(spark, sf).select("review_id", "rating", N.rating_to_scale(F.col("rating")).alias("scaled_rating"))

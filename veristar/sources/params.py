@@ -69,6 +69,13 @@ def token_table(spark: SparkSession, tokens) -> DataFrame:
     return column_table(spark, "token", tokens)
 
 
+def weight_table(spark: SparkSession, first: str, rows: list[tuple]) -> DataFrame:
+    """Whole-number weights of a tag model: ``(first, tag, weight)``."""
+    columns = list(zip(*rows)) if rows else [[], [], []]
+    kinds = (pa.string(), pa.string(), pa.int64())
+    return local_table(spark, {n: (k, list(c)) for n, k, c in zip((first, "tag", "weight"), kinds, columns)})
+
+
 def sample_lexicon(spark: SparkSession) -> DataFrame:
     return lexicon_table(spark, SAMPLE_LEXICON)
 
