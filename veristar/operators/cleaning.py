@@ -72,8 +72,35 @@ def clean_funnel(raw: DataFrame, text_col: str = "text_", id_col: str = "review_
         F.sum("copies").alias("raw"), F.count(F.lit(1)).alias("distinct_text"),
         F.sum((bits >= 2).cast("long")).alias("complete"), F.sum((bits == 3).cast("long")).alias("clean"),
     )
-    steps = ["raw", "distinct_text", "complete", "clean"]
+    return funnel_rows(counts)
+
+
+FUNNEL = ("raw", "distinct_text", "complete", "clean")
+FUNNEL_SCHEMA = ", ".join(f"{step} long" for step in FUNNEL)
+
+
+def funnel_rows(counts: DataFrame) -> DataFrame:
+    """One row of counts -> a row for each step."""
     return counts.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("step_no"), F.lit(s).alias("step"), F.coalesce(F.col(s), F.lit(0)).alias("n_rows"))
-        for i, s in enumerate(steps, 1)
+        for i, s in enumerate(FUNNEL, 1)
     ])).alias("r")).select("r.*")
+
+
+def marked_firsts(raw: DataFrame, text_col: str = "text_", id_col: str = "review_id") -> DataFrame:
+    """The first copy of each text in one scan: ``row``, ``copies``, and whether it is ``complete`` and ``clean``.
+
+    Rows are reduced by the text's digest on the map side. Values go through the shuffle only with rows that
+    cleaning would keep; of others, two marks. Rows that share id and text: the smallest by all values, so
+    no column may be a map.
+    """
+    tidy = {text_col: T.squeeze_space(F.col(text_col)), "label": F.upper(T.strip_space(F.col("label")))}
+    rating = F.col("rating")
+    complete = (F.col(text_col).isNotNull() & rating.isNotNull() & ~F.coalesce(F.isnan(rating.try_cast("double")), F.lit(False))
+                & F.col("label").isNotNull())
+    marked = raw.select(text_digest(text_col).alias("digest"), F.col(id_col).alias("id"), complete.alias("complete"),
+                        (complete & F.coalesce(tidy["label"].isin(*KNOWN_LABELS), F.lit(False))).alias("clean"),
+                        F.struct(*[tidy.get(c, F.col(f"`{c}`")).alias(c) for c in raw.columns]).alias("row"))
+    carried = F.struct("id", "complete", "clean", F.when(F.col("clean"), F.col("row")).alias("row"))
+    firsts = marked.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"), F.min(carried).alias("first"))
+    return firsts.select("copies", "first.complete", "first.clean", "first.row")

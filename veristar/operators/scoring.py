@@ -12,6 +12,7 @@ from .features import FEATURE_COLS, extract_features
 from .lexicon import SentimentTables
 from .rowterms import binary_order, free_name, number_array, with_counts
 from .terms import ALL_TERMS, tokens
+from .verdict_counts import scan_counts, summary_of
 
 RESULT_COLS = [
     "deceptive_probability_pct", "classification", "risk_factors", "lexicon_sentiment", "model_sentiment",
@@ -165,11 +166,7 @@ def filter_class(scanned: DataFrame, view: str = "all") -> DataFrame:
 
 
 def scan_summary(scanned: DataFrame) -> DataFrame:
-    hit = F.col("classification") == V.SHORT_NAMES[0]
-    total, found = F.count(F.lit(1)), F.count_if(hit)
-    return scanned.agg(total.alias("total"), found.alias("deceptive"), (total - found).alias("genuine"),
-                       F.when(total == 0, F.lit(0.0)).otherwise(
-                           F.round(found * 100.0 / F.nullif(total, F.lit(0)), 1)).alias("deceptive_pct"))
+    return summary_of(scanned.agg(*[c.alias(n) for n, c in scan_counts().items()]))
 
 
 def analyze(reviews: DataFrame, tables: SentimentTables, coefficients: DataFrame,

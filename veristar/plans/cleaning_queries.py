@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from ..operators import cleaning as C
 from ..session import shared_dir
 from ..sources import columns, readers, schemas, writers
+from ..sources.file_order import FILE_ORDER, read_in_order
 from . import inputs as I
 from . import sql as S
-from .registry import query
+from .registry import ORACLES, query
 
 RAW = f"with {S.RAW}\n"
 CLEAN = f"with {S.RAW},\n{S.CLEAN}\n"
@@ -34,6 +35,39 @@ def clean_funnel(spark, sf):
     return C.clean_funnel(I.raw_reviews(spark, sf))
 
 
+@query("clean_funnel_written", ORACLES["clean_funnel"])
+def clean_funnel_written(spark, sf):
+    """The same rows, counted by the job that writes the cleaned reviews."""
+    return writers.write_clean(I.raw_reviews(spark, sf), shared_dir(spark, "cleaned"))
+
+
+@query("clean_written", ORACLES["clean_reviews"])
+def clean_written(spark, sf):
+    """The cleaned reviews of that job."""
+    path = shared_dir(spark, "cleaned")
+    writers.write_clean(I.raw_reviews(spark, sf), path)
+    return spark.read.parquet(path).withColumnRenamed("text_", "review_text")
+
+
+# Files are written in the order of ids and hold no id: the first row of a text in file order is that of its smallest id.
+@query("dedupe_file_order", RAW + """select category, rating, label, text_ from (
+  select *, row_number() over (partition by text_ order by review_id) as n from raw) where n = 1""")
+def dedupe_file_order(spark, sf):
+    return C.dedupe_first(_in_file_order(spark, sf), id_col=FILE_ORDER).select("category", "rating", "label", "text_")
+
+
+@query("head_file_order", RAW + "select category, rating, label, text_ from raw order by review_id limit 200")
+def head_file_order(spark, sf):
+    return columns.head_rows(_in_file_order(spark, sf), FILE_ORDER, 200).select("category", "rating", "label", "text_")
+
+
+def _in_file_order(spark, sf):
+    path = shared_dir(spark, "files")
+    raw = I.raw_reviews(spark, sf).repartitionByRange(8, "review_id").sortWithinPartitions("review_id").drop("review_id")
+    writers.write_csv(raw, path)
+    return read_in_order(spark, path, raw.schema)
+
+
 @query("normalize_columns", RAW + "select category, rating, label, text_ as review_text from raw")
 def normalize_columns(spark, sf):
     return columns.normalize_columns(I.raw_reviews(spark, sf))

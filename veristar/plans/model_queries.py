@@ -17,7 +17,7 @@ from ..session import materialize, shared_dir
 from ..sources import columns, readers, writers
 from . import inputs as I
 from . import sql as S
-from .registry import query
+from .registry import ORACLES, query
 
 TARGET = f"case when upper(regexp_replace(label, '^[{S.SPACE}]+|[{S.SPACE}]+$', '', 'g')) in ('CG', '1', 'FAKE') then 1 else 0 end"
 TERMS = f"with {S.RAW},\n{S.STORED},\n{S.term_ctes('stored', I.STOP_WORDS)}"
@@ -138,6 +138,12 @@ def scan_summary(spark, sf):
     return SC.scan_summary(_scan(spark, sf))
 
 
+@query("scan_summary_written", ORACLES["scan_summary"])
+def scan_summary_written(spark, sf):
+    """The same numbers, counted by the job that writes the scan's rows."""
+    return writers.write_scan(_scan(spark, sf), shared_dir(spark, "scan"))
+
+
 def _key(token: str) -> str:
     return f"lower(regexp_replace({token}, '[^\\p{{L}}\\p{{N}}_]', '', 'g'))"
 

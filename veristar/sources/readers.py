@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as t
@@ -19,21 +21,23 @@ def present(value: Column) -> Column:
     return F.when(~value.isin(NULL_SPELLINGS), value)
 
 
-def read_csv(spark: SparkSession, path, schema: t.StructType | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path, schema: t.StructType | None = None,
+             extra: Callable[[DataFrame], Column] | None = None) -> DataFrame:
     """CSV with a header; quoted fields may hold line breaks and doubled quotes.
 
     Columns are matched by name. All are read as text first, so the null
     spellings apply to every type; a value that does not parse becomes missing.
-    Without a schema all columns stay text.
+    Without a schema all columns stay text. ``extra`` gives one more column of the scan, such as the place of a row.
     """
     raw = spark.read.options(header=True, multiLine=True, escape='"', quote='"', enforceSchema=False).csv(path)
+    more = [extra(raw)] if extra else []
     if schema is None:
-        return raw.select([present(F.col(f"`{c}`")).alias(c) for c in raw.columns])
+        return raw.select([present(F.col(f"`{c}`")).alias(c) for c in raw.columns] + more)
     kinds = {f.name: f.dataType for f in schema.fields}
     return raw.select([
         present(F.col(f"`{c}`")).try_cast(kinds[c]).alias(c) if c in kinds else present(F.col(f"`{c}`")).alias(c)
         for c in raw.columns
-    ])
+    ] + more)
 
 
 def read_raw_file(spark: SparkSession, path) -> DataFrame:

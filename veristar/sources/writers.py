@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import cleaning
 from ..operators.evaluation import METRICS
 from ..operators.keys import append_ids
+from ..operators.verdict_counts import scan_counts, summary_of
 from .columns import normalize_columns
 from .readers import first_existing, path_exists, read_raw_file
 from .schemas import RAW_REVIEWS, SYSTEM_LOGS, empty_table, with_default_time
@@ -31,6 +33,34 @@ def append_table(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def write_counted(df: DataFrame, path: str, counts: dict[str, Column]) -> dict:
+    """Write ``df`` and return aggregates of it, observed by the one job that writes.
+
+    The rows are counted in the tasks that write them, and only finished tasks report, so a task that is run again counts once.
+    """
+    seen = Observation()
+    df.observe(seen, *[c.alias(n) for n, c in counts.items()]).write.parquet(path)
+    return seen.get
+
+
+def write_clean(raw: DataFrame, path: str, text_col: str = "text_", id_col: str = "review_id") -> DataFrame:
+    """Write the cleaned reviews and return the funnel, from one scan of ``raw``."""
+    firsts = cleaning.marked_firsts(raw, text_col, id_col)
+    n = F.count(F.lit(1))
+    seen = Observation()
+    # The marks are counted in front of the last filter, in the task that writes behind it.
+    firsts.observe(seen, F.coalesce(F.sum("copies"), F.lit(0)).alias("raw"), n.alias("distinct_text"),
+                   F.count_if("complete").alias("complete"), F.count_if("clean").alias("clean")) \
+        .where("clean").select("row.*").write.parquet(path)
+    return cleaning.funnel_rows(raw.sparkSession.createDataFrame([seen.get], cleaning.FUNNEL_SCHEMA))
+
+
+def write_scan(scanned: DataFrame, path: str) -> DataFrame:
+    """Write a scan's rows and return its summary, counted by the job that writes."""
+    seen = write_counted(scanned, path, scan_counts())
+    return summary_of(scanned.sparkSession.createDataFrame([seen], "total long, deceptive long"))
+
+
 def ensure_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     """Create an empty table of the declared schema unless the path holds one."""
     if not path_exists(spark, path):
