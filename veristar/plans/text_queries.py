@@ -15,12 +15,14 @@ from ..operators import phrases as PH
 from ..operators import tagging as TG
 from ..operators.features import FEATURE_COLS, MODEL_COLS, STABLE_COLS, extract_features, unprocessed_reviews
 from ..session import shared_dir
+from ..operators.training import training_set
+from ..sources import bucketed
 from ..sources import params as P
 from ..sources.readers import read_table
 from ..streaming import incremental, keyed
 from . import inputs as I
 from . import sql as S
-from .registry import query
+from .registry import ORACLES, query
 
 STYLE = f"with {S.RAW},\n{S.STORED},\n{S.style('stored')}\n"
 COLS = ", ".join(FEATURE_COLS)
@@ -311,6 +313,35 @@ def upsert(spark, sf):
     return spark.read.parquet(path)
 
 
+BUCKETS = 8
+
+
+def _bucketed(df, purpose):
+    return bucketed.write_bucketed(df, bucketed.fresh_table(purpose), BUCKETS)
+
+
+@query("unprocessed_bucketed", ORACLES["unprocessed_reviews"])
+def unprocessed_bucketed(spark, sf):
+    """The retry of stored reviews, both tables in the same buckets."""
+    reviews, stored = _bucketed(I.reviews(spark, sf), "reviews"), _bucketed(_partial(spark, sf), "features")
+    return unprocessed_reviews(reviews, stored).select("review_id", "rating", "review_text")
+
+
+@query("training_bucketed", f"""with {S.RAW}, {STORED_SQL}
+select p.review_id, {", ".join(f"p.{c}" for c in STABLE_COLS)}, {", ".join(f"coalesce(p.{c}, 0.0) as {c}" for c in MODEL_COLS)},
+  coalesce(r.text_, '') as review_text, r.label, case when upper(trim(r.label)) = 'CG' then 1 else 0 end as target
+from partial p join raw r on p.review_id = r.review_id""")
+def training_bucketed(spark, sf):
+    return training_set(_bucketed(_partial(spark, sf), "features"), _bucketed(I.reviews(spark, sf), "reviews"))
+
+
+@query("upsert_bucketed", ORACLES["upsert_features"])
+def upsert_bucketed(spark, sf):
+    """The upsert as a third table of the same buckets."""
+    stored, fresh = _bucketed(_partial(spark, sf), "features"), _bucketed(I.features(spark, sf), "features")
+    return bucketed.upsert_bucketed(stored, fresh, bucketed.fresh_table("features"), BUCKETS)
+
+
 @query("resolve_deltas", S.ALL_FEATURES.rstrip() + f""", {STORED_SQL}
 select coalesce(p.review_id, f.review_id) as review_id,
   {", ".join(f"case when p.review_id is not null then p.{c} else f.{c} end as {c}" for c in STABLE_COLS)},
