@@ -21,12 +21,12 @@ Candidates grow with the number of documents, not of pairs:
 2. Documents not yet joined are compared with the other pivots of their regions and with the
    ``NEIGHBOURS`` next documents in each order (longest common prefix).
 3. An exact pass finds every link that the forest left: a prefix-filter join between components. The shingles of each
-   set are put in one order of all shingles, last those that are common in a sample. The sample has documents of all, and ``OF_FAMILY`` of
-   each of the ``FAMILIES`` largest families, which would make pairs by the square of their size: components of all pairs tried so far, linked or not. At the first shingle that two linked
+   set are put in one order of all shingles, those of few documents first: a table of ``PLACES`` counts over all documents,
+   of fixed size (shingles of one place are counted together). At the first shingle that two linked
    sets share, at places p and q, the rest of both holds the overlap that a link needs:
    ``(100 + SHARED) * min(n - p, m - q) >= SHARED * (n + m)``. Places that can meet this with no partner are not written, shingles
-   that stay within one component are dropped, and the others are joined under that condition. The order decides
-   only how many pairs are tried, not which links are found.
+   that stay within one component are dropped, and the others are joined under that condition and that of a sketch of each set,
+   whose bits cannot differ more than the sets. The order decides only how many pairs are tried, not which links are found.
 
 Every link is confirmed on the full sets.
 
@@ -59,9 +59,10 @@ SHARED = 80
 WIDTH = 2
 #: Tasks that the members of one component are dealt over where they meet its label.
 LABEL_SALTS = 32
-#: The order of the shingles is made from about so many documents of all, and from some of each of the largest families.
-COMMON_DOCS, FAMILIES, OF_FAMILY = 1 << 14, 1 << 12, 4
-COMMON = 1 << 20
+#: Places of the table that counts the documents of each shingle (a power of two), and of one of its blocks.
+PLACES, BLOCK = 1 << 23, 1 << 12
+#: 64-bit words of the sketch that goes with each posting.
+SHORT = 4
 BITMAP_BITS = 1 << 23
 
 _U = np.uint64
@@ -320,38 +321,47 @@ def neighbours(placed: DataFrame, regions: DataFrame) -> DataFrame:
             .select("p.a", "p.b").filter("a is not null").distinct())
 
 
-def of_families(tried: DataFrame, scratch: Scratch) -> DataFrame:
-    """node: ``OF_FAMILY`` documents of each of the largest families, by hash; one row of sums for each family and draw."""
-    family = components(tried.select("a", "b"), "neardup-family", scratch)
-    draw = F.xxhash64(F.lit(3), "node")
-    drawn = family.groupBy("label", F.pmod(draw, F.lit(OF_FAMILY)).alias("draw")).agg(
-        F.min_by("node", draw).alias("node"), F.count("*").alias("n"))
-    drawn = scratch.written(drawn, "neardup-drawn")
-    largest = drawn.groupBy("label").agg(F.sum("n").alias("n")).filter(f"n > {OF_FAMILY}").orderBy(
-        F.desc("n"), "label").limit(FAMILIES).select("label")
-    chosen = scratch.written(drawn.join(largest, "label").select("node"), "neardup-chosen")
-    scratch.drop(drawn, family)
-    return chosen
+def places(shingles: np.ndarray) -> np.ndarray:
+    """Where the table of counts counts each shingle."""
+    return (shingles >> _U(65 - PLACES.bit_length())).astype(np.int64)
 
 
-def common_shingles(docs: DataFrame, drawn: DataFrame, id_col: str, text_col: str, width: int,
-                    scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles (sorted) that more than one of the drawn documents has, and their counts: ``COMMON`` at most."""
-    sampled = set_table(docs, drawn, id_col, text_col, width, scratch)
-    table = sampled.join(drawn, "node", "left_semi").select("shingles")
+def document_counts(docs: DataFrame, text_col: str, width: int) -> np.ndarray:
+    """For each place, how many documents have a shingle there (at most 65,535), over all documents.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    A task counts in ``PLACES`` bytes (at most 255 a place); the tables of all tasks are summed block by block.
+    """
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        h: Hasher = kept_in_worker(f"neardup-hasher-{width}", lambda: Hasher(width))
+        table = np.zeros(PLACES, np.uint8)
         for batch in slices(batches):
-            for i in range(batch.num_rows):
-                values = np.frombuffer(batch.column(0)[i].as_buffer(), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(values)], names=["shingle"])
+            for text in batch.column(0):
+                at = places(h.shingles(text.as_py()))
+                table[at] += table[at] < 255
+        for block, part in enumerate(table.reshape(-1, BLOCK)):
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([part.tobytes()])],
+                                                 names=["block", "counts"])
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if block not in sums:
+                    sums[block] = np.zeros(BLOCK, np.uint32)
+                sums[block] += np.frombuffer(counts.as_buffer(), np.uint8)
+        for block, counts in sums.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block], pa.int32()), pa.array([np.minimum(counts, 65535).astype(np.uint16).tobytes()])],
+                names=["block", "counts"])
 
-    counts = table.mapInArrow(run, "shingle long").groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1")
-    found = counts.orderBy(F.col("n").desc(), "shingle").limit(COMMON).toArrow()
-    scratch.drop(sampled)
-    shingles = found.column(0).to_numpy().view(_U)
-    order = np.argsort(shingles)
-    return shingles[order], found.column(1).to_numpy()[order]
+    schema = "block int, counts binary"
+    found = (docs.select(F.col(text_col).alias("text")).mapInArrow(count, schema)
+             .repartition("block").mapInArrow(total, schema).toArrow())
+    table = np.zeros((PLACES // BLOCK, BLOCK), np.uint16)
+    for block, counts in zip(found.column(0).to_pylist(), found.column(1)):
+        table[block] = np.frombuffer(counts.as_buffer(), np.uint16)
+    return table.reshape(-1)
 
 
 def rare_first(shingles: np.ndarray, common: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -376,6 +386,14 @@ def sketch(shingles: np.ndarray) -> bytes:
     return np.packbits(flips.astype(np.uint8)).tobytes()
 
 
+def folded(bitmap: bytes, words: int = SHORT) -> np.ndarray:
+    """A sketch folded to ``words`` 64-bit words."""
+    x = np.frombuffer(bitmap, np.int64)
+    while len(x) > words:
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    return x
+
+
 def may_link(n: int, x: np.ndarray, m: int, y: np.ndarray, shared: int = SHARED) -> bool:
     """Whether sketches of sets of ``n`` and ``m`` allow a link: sets differ in at least as many shingles as sketches in bits."""
     while len(x) > len(y):  # a smaller sketch is the larger one folded
@@ -401,41 +419,48 @@ def allowed(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
-def prefixes(docs: DataFrame, common: np.ndarray, counts: np.ndarray, id_col: str, text_col: str, width: int) -> DataFrame:
-    """node, digest, n, sketch, rare: the shingles of each set's prefix, in order."""
-    order = docs.sparkSession.sparkContext.broadcast((common, counts))  # COMMON entries at most
+def prefixes(docs: DataFrame, counts: np.ndarray, id_col: str, text_col: str, width: int) -> DataFrame:
+    """node, digest, n, sketch, short (the sketch folded), rare: the shingles of each set's prefix, in order."""
+    order = docs.sparkSession.sparkContext.broadcast(counts)  # 2 * PLACES bytes
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h: Hasher = kept_in_worker(f"neardup-hasher-{width}", lambda: Hasher(width))
         for batch in slices(batches):
             rows = []
             for node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 s = h.shingles(text)
-                rare = rare_first(s, *order.value)[:prefix_size(len(s))]
-                rows.append((node, hashlib.blake2b(s.tobytes(), digest_size=16).digest(), len(s), sketch(s),
+                rare = rare_first(s, s, order.value[places(s)])[:prefix_size(len(s))]
+                bits = sketch(s)
+                rows.append((node, hashlib.blake2b(s.tobytes(), digest_size=16).digest(), len(s), bits, folded(bits),
                              rare.view(np.int64)))
-            types = [pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+            types = [pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
-                                             names=["node", "digest", "n", "sketch", "rare"])
+                                             names=["node", "digest", "n", "sketch", "short", "rare"])
 
     rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("node"),
                                                          F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "node long, digest binary, n long, sketch binary, rare array<long>").filter("n > 0")
+    return rows.mapInArrow(run, "node long, digest binary, n long, sketch binary, short array<long>, rare array<long>").filter("n > 0")
 
 
 def across(prefix: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
-    """a, b: all pairs of different components whose prefixes and sketches allow a link (prefix: node, n, sketch, rare)."""
+    """a, b: all pairs of different components whose prefixes and sketches allow a link (prefix: node, n, sketch, short, rare)."""
     known = scratch.written(prefix.join(labels.select("node", "label"), "node", "left").select(
-        "node", F.coalesce("label", "node").alias("label"), "n", "sketch", "rare"), "neardup-prefixes")
-    rows = known.select("node", "label", "n", F.posexplode("rare").alias("pos", "shingle"))
+        "node", F.coalesce("label", "node").alias("label"), "n", "sketch", "short", "rare"), "neardup-prefixes")
+    words = [f"s{i}" for i in range(SHORT)]
+    rows = known.select("node", "label", "n", *[F.get("short", F.lit(i)).alias(w) for i, w in enumerate(words)],
+                        F.posexplode("rare").alias("pos", "shingle"))
     # A shingle of one component alone, most of all one of one set alone, makes no pair.
     spread = (rows.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high"))
               .filter("low < high").select("shingle"))
-    rows = scratch.written(rows.join(spread, "shingle").select("shingle", "node", "label", "n", (F.col("n") - F.col("pos")).alias("rest")),
-                   "neardup-postings")
-    one, two = (rows.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "label", "n", "rest")])
+    rows = scratch.written(rows.join(spread, "shingle").select("shingle", "node", "label", "n", *words, (F.col("n") - F.col("pos")).alias("rest")),
+                           "neardup-postings")
+    one, two = (rows.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "label", "n", "rest", *words)])
                 for side in "ab")
     enough = (100 + SHARED) * F.least("rest_a", "rest_b") >= SHARED * (F.col("n_a") + F.col("n_b"))
-    pairs = one.join(two, "shingle").filter((F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & enough)
+    # The join itself refuses pairs whose sketches differ in more bits than linked sets can in shingles.
+    differ = sum((F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in words), F.lit(0))
+    close = differ <= F.expr(f"n_a + n_b - 2 * (({SHARED} * (n_a + n_b) + {99 + SHARED}) div {100 + SHARED})")
+    pairs = one.join(two, "shingle").filter(
+        (F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & enough & close)
     pairs = scratch.written(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "neardup-pairs")
     scratch.drop(rows)
     return allowed(pairs, known.select("node", "n", "sketch"))
@@ -486,12 +511,8 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     edges = tried.filter("linked").select("a", "b")
     labels = components(edges, "neardup-second", scratch)
 
-    share = min(1.0, COMMON_DOCS / max(1, classes.count()))
-    drawn = classes.filter(F.pmod(F.xxhash64(F.lit(3), "node"), F.lit(1 << 30)) < int(share * (1 << 30))).select("node")
-    drawn = drawn.unionByName(of_families(tried, scratch)).distinct()
-    common, counts = common_shingles(docs, drawn, id_col, text_col, width, scratch)
     scratch.drop(classes)
-    prefix = prefixes(docs, common, counts, id_col, text_col, width).join(
+    prefix = prefixes(docs, document_counts(docs, text_col, width), id_col, text_col, width).join(
         of_class.select("digest", "node"), ["digest", "node"])
     left = scratch.written(across(prefix, labels, scratch).join(tried.select("a", "b"), ["a", "b"], "left_anti"), "neardup-left")
     ends = left.select(F.col("a").alias("node")).union(left.select("b"))
