@@ -91,6 +91,18 @@ def test_a_forest_scores_rows_that_repeat_an_id(spark, tmp_path):
     assert Counter((r["review_id"], r["rating"]) for r in scanned) == Counter((r[0], r[2]) for r in reviews.collect())
 
 
+def test_models_are_compared_in_a_session_that_has_observed_a_write(spark, tmp_path):
+    from pyspark.sql import Observation
+
+    # Once rows are observed, Spark's session holds an object that cannot be sent to tasks.
+    seen = Observation("seen")
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(str(tmp_path / "seen"))
+    assert seen.get["n"] == 3
+    prepared = TR.prepare(_data(spark).withColumn("review_id", F.monotonically_increasing_id()), [], max_terms=20)
+    models = TR.estimators(prepared.n_train, forest_trees=5, forest_depth=3, max_iter=20)
+    assert TR.compare(prepared, models).report.count() == len(models)
+
+
 def test_the_text_score_is_linear_in_the_text(spark):
     rng = random.Random(9)
     words = [f"t{i}" for i in range(3000)]

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.verdict import target_of
-from ..session import local_table
+from ..session import local_table, shared_dir
 from . import evaluation as E
 from .features import FEATURE_COLS, MODEL_COLS
 from .keys import stratified_split
@@ -146,13 +146,26 @@ class Comparison:
 REPORT_FIELDS = ["position", "model", *E.METRICS, "confusion_matrix"]
 
 
+def without_summary(spark: SparkSession, model):
+    """The fitted model as it is read back from a file, without the summary of its training.
+
+    The summary holds the session. A session that has observed the rows of a write can no longer be serialised, and
+    then no model with a summary can be sent to the tasks that score with it.
+    """
+    if not model.hasSummary:
+        return model
+    path = shared_dir(spark, "model")
+    model.write().save(path)
+    return type(model).load(path)
+
+
 def compare(prepared: Prepared, models: dict) -> Comparison:
     """Fit each estimator on the same vectors, evaluate on the test part, choose the best AUC."""
     spark = prepared.train.sparkSession
     fitted, rows = {}, []
     prepared.train.persist()
     for position, (name, estimator) in enumerate(models.items()):
-        fitted[name] = estimator.fit(prepared.train)
+        fitted[name] = without_summary(spark, estimator.fit(prepared.train))
         scored = predict(fitted[name], prepared.test).persist()
         counts = E.classification_metrics(E.confusion_counts(scored)).first().asDict()
         auc = E.roc_auc(scored).first()["roc_auc"]
