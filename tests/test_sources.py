@@ -237,3 +237,20 @@ def test_first_delivery_keeps_stable_columns_and_latest_sets_model_columns(spark
         stable, model = alone(*first[1:3]), alone(*last[1:3])
         assert [got[key][c] for c in STABLE_COLS] == [stable[c] for c in STABLE_COLS]
         assert [got[key][c] for c in MODEL_COLS] == [model[c] for c in MODEL_COLS]
+
+
+def test_the_stream_of_a_table_of_one_file_and_of_several(spark, tmp_path):
+    from veristar.plans.catalog import QUERIES
+
+    docs = spark.createDataFrame([(i, f"The best text {i}. No doubt!" if i else None) for i in range(40)], "doc_id long, text string")
+    found = []
+    for name, files in (("several", 3), ("one", 1)):
+        path = tmp_path / name / "documents.parquet"
+        docs.repartition(files).write.parquet(str(path))
+        if files == 1:
+            file = next(path.glob("part-*.parquet")).read_bytes()
+            path = tmp_path / "file" / "documents.parquet"
+            path.parent.mkdir()
+            path.write_bytes(file)
+        found.append(sorted(map(tuple, QUERIES["stream_features"](spark, str(path.parent)).collect())))
+    assert found[0] == found[1] and [r[0] for r in found[0]] == list(range(40))

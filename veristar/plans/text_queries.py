@@ -234,7 +234,8 @@ def stream_features(spark, sf):
     """The document file as a stream; ratings as in the batch queries."""
     schema = spark.read.parquet(f"{sf}/documents.parquet").schema
     base = shared_dir(spark, "stream")
-    docs = incremental.read_review_stream(spark, sf, schema, "documents.parquet")
+    # A pattern, since a stream takes the table's path itself only where the table is a folder of files, not one file.
+    docs = incremental.read_review_stream(spark, f"{sf}/documents.parque[t]", schema)
     rating = F.when(F.col("doc_id") % 17 != 0, (F.col("doc_id") % 5 + 1).cast("double"))
     arriving = docs.select(F.col("doc_id").alias("review_id"), F.col("text").alias("review_text"), rating.alias("rating"))
     # The table has a row per document and no arrival time: any order will do.
