@@ -312,3 +312,38 @@ def test_hashed_sets_equal_word_sets():
     assert (h.shingles("A b c") == h.shingles("a  B\nc")).all()
     long = "word " * 100_000 + "x" * 600_000 + " end"
     assert len(h.shingles(long)) == 3
+
+
+def _random_field(r):
+    names = {f"letters={k}": i for i, k in enumerate(("alpha", "digits", "hex", "key", "other", "upper"))}
+    names |= {f"before:word={w}": i + 6 for i, w in enumerate(("pass", "the", "und"))} | {"sign==": 9, "after=edge": 10}
+    transition = r.normal(size=(3, 3)) * 2
+    transition[2, 1] = -1e4
+    return secrets.Field(names, r.normal(size=(11, 3)) * 2 + [0, 0, 1.5], transition)
+
+
+def test_every_token_of_a_text_is_scored(monkeypatch):
+    # A field that takes the word behind "pass" for a secret finds it where it is a plain word behind a blank.
+    names = {"before:word=pass": 0}
+    field = secrets.Field(names, np.array([[9.0, 0, 0]]), np.array([[0, 0, 0.0], [0, 0, 0], [-1, -1e4, 2]]))
+    assert secrets.find_spans("the pass swordfish is new", field)[1] == [(9, 18, "crf")]
+    r = np.random.default_rng(4)
+    words = ["the", "pass", "und", "x=", "12", "0af3", "QX12", "k-y.z", "swordfish.", "(", "é", "=", " \n"]
+    for size in (1 << 20, 7):  # whole, and in lots
+        monkeypatch.setattr(secrets, "LOT_CHARS", size)
+        for _ in range(150):
+            field = _random_field(r)
+            text = " ".join(r.choice(words, r.integers(0, 40)))
+            run = [m.span() for m in secrets.TOKEN.finditer(text)]
+            if not run:
+                continue
+            scores = field.scores(secrets.run_features(text, run), secrets.file_features(text, []))
+
+            def total(tags):
+                full = [2, *tags, 2]
+                return sum(field.transition[a, b] for a, b in zip(full, full[1:])) + sum(scores[i, t] for i, t in enumerate(tags))
+
+            found = secrets.find_spans(text, field)[1]
+            tags = [next((int(s != a) for a, b, _ in found if a <= s < b), 2) for s, _ in run]
+            # Paths may tie, so scores are compared.
+            assert total(tags) == pytest.approx(total(field.decode(scores)))

@@ -6,14 +6,12 @@ Its features are the token's shape, length and letters, the words and signs next
 and those of the whole text ("file"): its length, share of digits and whether a base
 span is in it. It is trained in numpy on the driver, on token windows of a bounded,
 documented sample: at most about ``SAMPLE_DOCS`` documents with base spans and as many others
-with tokens in question, ``WINDOWS_PER_DOC`` windows each. The base spans are its labels.
+with digits, ``WINDOWS_PER_DOC`` windows of ``WINDOW`` neighbouring tokens each. The base spans are its labels.
 
-Decoding is by Viterbi. The tag of a plain word is fixed to outside, in training and in decoding,
-so the chain of a whole text falls into the runs of other tokens between them, and the best
-path is that of its runs. A plain word has letters alone, fewer than ``PLAIN_BELOW`` and none of A to Z behind
-one of a to z; longer words, words of mixed case and words behind a sign such as ``pw:`` are tagged like all
-others. A run of any length is decoded as a whole: scores are made in blocks, and the best scores and back
-pointers go on from one block to the next.
+Every token of a text is scored, plain words too, and the best path is that of the whole text's chain, by Viterbi. A token whose
+score for outside is ahead by more than its neighbours' transitions can make up for is outside on every best path (``sure``), so the chain falls
+into the runs between such tokens and only these are walked. A run of any length is decoded as a whole: scores are made
+in lots of a text, and the best scores and back pointers go on from one lot to the next.
 
 Defined results: a null text is empty and has no spans; positions count code points, ends are
 exclusive; spans are ordered by start, then kind; repeated rows are scanned each; without
@@ -35,13 +33,18 @@ from .common import slices
 
 SAMPLE_DOCS = 1000
 WINDOWS_PER_DOC = 6
+WINDOW = 12
 EPOCHS = 50
 KINDS = ("assign", "access", "hex", "crf")
 TAGS = ("begin", "inside", "outside")
 _OUT = 2
-#: Words of letters alone from this length on are tagged, whatever their case.
+#: Words of letters alone from this length on are no plain words, whatever their case.
 PLAIN_BELOW = 20
 BLOCK_TOKENS = 4096
+#: Characters of a text that are tokenised at once, at least.
+LOT_CHARS = 1 << 20
+#: Scores that a worker keeps for words that it has met.
+KNOWN_WORDS, KNOWN_CHARS = 200_000, 8_000_000
 
 #: The base patterns: fixed values.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -60,6 +63,7 @@ _ODD = re.compile(_ODD_SIGNS)
 #: The same, and long words of letters.
 _ODD_LONG = re.compile(rf"{_ODD_SIGNS}|[^\W\d_](?<![^\W\d_].)[^\W\d_]{{{PLAIN_BELOW - 1}}}")
 _CLOSE = re.compile(rf"[{_PARTS}]")
+_CUT = re.compile(rf"({TOKEN.pattern})")
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -116,7 +120,7 @@ def file_features(text: str, found: list) -> list[str]:
 
 
 def odd_runs(text: str) -> list[list[tuple[int, int]]]:
-    """Runs of neighbouring tokens that are not plain words (start, end)."""
+    """Runs of neighbouring tokens that are not plain words (start, end); training takes windows that hold them first."""
     runs: list[list[tuple[int, int]]] = []
     done = -1
     long = any(len(word) >= PLAIN_BELOW for word in text.split())
@@ -140,6 +144,19 @@ def odd_runs(text: str) -> list[list[tuple[int, int]]]:
     return runs
 
 
+class _Signs(dict):
+    """The sign of each gap between tokens; long gaps are not kept."""
+
+    def __missing__(self, gap: str) -> str:
+        sign = _sign(gap)
+        if len(gap) < 4 and len(self) < KNOWN_WORDS:
+            self[gap] = sign
+        return sign
+
+
+_SIGNS = _Signs()
+
+
 def _has_token(text: str, start: int, end: int) -> bool:
     return TOKEN.search(text, start, end) is not None
 
@@ -150,9 +167,22 @@ def _before(text: str, at: int) -> tuple[str | None, str]:
     last = None
     for last in TOKEN.finditer(text, low, at):
         pass
-    gap = text[last.end() if last else low:at]
-    sign = next((c for c in reversed(gap) if c in "=:"), next((c for c in reversed(gap) if not c.isspace()), " "))
-    return (last[0] if last else None), sign
+    return (last[0] if last else None), _sign(text[last.end() if last else low:at])
+
+
+def _sign(gap: str) -> str:
+    """What stands between two tokens: the sign of an assignment, else the last sign, else a blank."""
+    return next((c for c in reversed(gap) if c in "=:"), next((c for c in reversed(gap) if not c.isspace()), " "))
+
+
+def lots(text: str) -> Iterator[tuple[int, list[str]]]:
+    """(offset, parts): gaps and tokens in turn, a gap first and last. A lot ends behind a character that no token holds."""
+    start = 0
+    while start < len(text):
+        cut = _CLOSE.search(text, start + LOT_CHARS)
+        end = cut.end() if cut else len(text)
+        yield start, _CUT.split(text[start:end] if start or end < len(text) else text)
+        start = end
 
 
 def run_features(text: str, run: list[tuple[int, int]]) -> list[list[str]]:
@@ -167,11 +197,79 @@ def run_features(text: str, run: list[tuple[int, int]]) -> list[list[str]]:
     return out
 
 
+class Scored(dict):
+    """The place of each key's scores in a table that grows as keys are met."""
+
+    def __init__(self, score, width: int):
+        super().__init__()
+        self.score, self.table, self.chars = score, np.zeros((1024, width)), 0
+
+    def __missing__(self, key: str) -> int:
+        at = len(self)
+        if at == len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        self.table[at] = self.score(key)
+        self[key] = at
+        self.chars += len(key)
+        return at
+
+    def rows(self, keys: list[str]) -> np.ndarray:
+        at = list(map(self.__getitem__, keys))
+        return self.table[at]
+
+
+#: Characters that the features of a token's form do not tell apart: digits, a to f, g to z, A to Z.
+_FORM = str.maketrans({c: k for k, cs in zip("0agA", ("0123456789", "abcdef", "ghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+                       for c in cs})
+
+
 class Field:
     """Weights of features for each tag, and of neighbouring tags."""
 
     def __init__(self, names: dict[str, int], emission: np.ndarray, transition: np.ndarray):
         self.names, self.emission, self.transition = names, emission, transition
+        t = transition
+        tags = range(3)
+        # The most that neighbours can gain from a token that is not outside, where its follower is not inside, and where it is.
+        self.gain = max(t[a, x] + t[x, b] - t[a, _OUT] - t[_OUT, b] for a in tags for x in (0, 1) for b in (0, _OUT))
+        self.gain_inside = max(t[a, x] + t[x, 1] + t[1, c] - t[a, _OUT] - t[_OUT, 0] - t[0, c]
+                               for a in tags for x in (0, 1) for c in tags)
+        # Words that side features name, and what each adds to the token behind it and to the one in front of it.
+        named = sorted({f.partition(":word=")[2] for f in names if f.startswith(("before:word=", "after:word="))})
+        self.word_at = {w: i for i, w in enumerate(named, 1)}
+        self.word_scores = np.array([np.zeros(6)] + [self._sides(f":word={w}") for w in named])
+        self._known: list[Scored] = []
+
+    def _sides(self, ending: str) -> np.ndarray:
+        return np.r_[self._sum([f"before{ending}"]), self._sum([f"after{ending}"])]
+
+    def known(self) -> list[Scored]:
+        """Scores by form: a token's own (key: a sign, then the form), and those that it adds to its neighbours."""
+        if not self._known or any(len(k) > KNOWN_WORDS or k.chars > KNOWN_CHARS for k in self._known):
+            self._known = [Scored(lambda k: self._sum(own_features(k[1:], k[0])), 3),
+                           Scored(lambda k: self._sides(f":letters={_letters(k)}"), 6)]
+        return self._known
+
+    def token_scores(self, tokens: list[str], signs: list[str], before: str | None, after: str | None, file: np.ndarray) -> np.ndarray:
+        """Scores of neighbouring tokens, those at the ends of which have ``before`` and ``after`` next to them."""
+        own, side = self.known()
+        forms = [t.translate(_FORM) for t in tokens]
+        find = self.word_at.get
+        words = [find(t.lower(), 0) for t in tokens]
+        scores = own.rows(list(map(str.__add__, signs, forms))) + file
+        gives = side.rows(forms) + self.word_scores[words]
+        scores[1:] += gives[:-1, :3]
+        scores[:-1] += gives[1:, 3:]
+        scores[0] += self._sum(side_features("before", before))
+        scores[-1] += self._sum(side_features("after", after))
+        return scores
+
+    def sure(self, scores: np.ndarray) -> np.ndarray:
+        """Tokens that are outside on every best path; the last one is not settled, as its follower is not known."""
+        lead = scores[:, _OUT] - scores[:, :_OUT].max(axis=1)
+        settled = np.zeros(len(scores), dtype=bool)
+        settled[:-1] = lead[:-1] > np.maximum(self.gain, self.gain_inside + scores[1:, 1] - scores[1:, 0]) + 1e-9
+        return settled
 
     def scores(self, features: list[list[str]], file: list[str]) -> np.ndarray:
         common = self._sum(file)
@@ -292,6 +390,12 @@ def tags_of(run: list[tuple[int, int]], spans: list[tuple[int, int, str]]) -> li
     return tags
 
 
+def windows(text: str, size: int = WINDOW) -> list[list[tuple[int, int]]]:
+    """All tokens of a text (start, end), in windows of neighbours."""
+    spans = [m.span() for m in TOKEN.finditer(text)]
+    return [spans[i:i + size] for i in range(0, len(spans), size)]
+
+
 def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_class: int = SAMPLE_DOCS,
            per_doc: int = WINDOWS_PER_DOC, seed: int = 5) -> list[tuple[list[list[str]], list[int]]]:
     """Chains of a bounded sample of documents, on the driver."""
@@ -309,11 +413,12 @@ def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_
             for t in batch.column(0).to_pylist():
                 spans = base_spans(t)
                 file = file_features(t, spans)
-                runs = odd_runs(t)
-                # Runs with secrets first; the others from all over the text.
-                runs.sort(key=lambda r: (all(x == _OUT for x in tags_of(r, spans)), (r[0][0] * 7919) % 10007))
+                odd = np.array([s for run in odd_runs(t) for s, _ in run])
+                runs = windows(t)
+                # Windows with secrets first, then those with other words than plain ones; each kind from all over the text.
+                runs.sort(key=lambda r: (all(x == _OUT for x in tags_of(r, spans)),
+                                         bool(np.searchsorted(odd, r[0][0]) == np.searchsorted(odd, r[-1][1])), (r[0][0] * 7919) % 10007))
                 for run in runs[:per_doc]:
-                    run = run[:32]
                     features.append([row + file for row in run_features(t, run)])
                     tags.append(tags_of(run, spans))
             yield pa.RecordBatch.from_arrays(
@@ -330,22 +435,59 @@ def find_spans(text: str, field: Field | None) -> tuple[list[tuple[int, int, str
     base = base_spans(text)
     if field is None:
         return base, base
-    file, added = file_features(text, base), []
-    for run in odd_runs(text):
-        tags = field.decode_blocks(field.scores(run_features(text, run[i:i + BLOCK_TOKENS]), file)
-                                   for i in range(0, len(run), BLOCK_TOKENS))
-        spans: list[list[int]] = []
-        for (s, e), tag in zip(run, tags):
-            if tag == 0:
-                spans.append([s, e])
-            elif tag == 1 and spans:
-                spans[-1][1] = e
+    added: list[tuple[int, int, str]] = []
+    for spans in secret_runs(text, field, field._sum(file_features(text, base))):
         added += [(s, e, "crf") for s, e in spans]
     if base and added:
         added = _apart(added, base)
     return base, sorted(base + added, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
+def secret_runs(text: str, field: Field, file: np.ndarray) -> Iterator[list[list[int]]]:
+    """Spans of the best path over all tokens, run by run of tokens that are not surely outside."""
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # scores, starts and ends of a run that goes on
+
+    def ended() -> list[list[int]]:
+        tags, spans, at = field.decode_blocks(scores for scores, _, _ in held), [], 0
+        if any(t != _OUT for t in tags):
+            for _, starts, ends in held:
+                for s, e, tag in zip(starts.tolist(), ends.tolist(), tags[at:at + len(starts)]):
+                    if tag == 0:
+                        spans.append([s, e])
+                    elif tag == 1 and spans:
+                        spans[-1][1] = e
+                at += len(starts)
+        held.clear()
+        return spans
+
+    before, gap = None, ""
+    for offset, parts in lots(text):
+        tokens = parts[1::2]
+        parts[0], into = gap + parts[0], len(gap)
+        gap = parts[-1]
+        if not tokens:
+            continue
+        offset -= into
+        until = offset + sum(map(len, parts))
+        after = TOKEN.search(text, until, min(len(text), until + 64))
+        scores = field.token_scores(tokens, [_SIGNS[g] for g in parts[0:-1:2]], before, after[0] if after else None, file)
+        before = tokens[-1]
+        settled = field.sure(scores)
+        places = np.flatnonzero(~settled)
+        if held and settled[0]:
+            yield ended()
+        stops = offset + np.cumsum(list(map(len, parts)))
+        starts, ends = stops[0:-1:2], stops[1::2]
+        for run in np.split(places, np.flatnonzero(np.diff(places) > 1) + 1):
+            if held and run[0]:
+                yield ended()
+            for i in range(run[0], run[-1] + 1, BLOCK_TOKENS):
+                part = slice(i, min(i + BLOCK_TOKENS, run[-1] + 1))
+                held.append((scores[part], starts[part], ends[part]))
+    if held:
+        yield ended()
+
+
 def _apart(added: list[tuple[int, int, str]], base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Spans that touch none of the base spans (both in order of their start)."""
     reach, kept, i = -1, [], 0
