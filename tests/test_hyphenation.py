@@ -67,3 +67,16 @@ def test_readability_of_odd_texts(spark, patterns):
         [(1, *one), (1, *one), (1, 1, 1), (2, 0, 0), (3, 0, 0), (0, *one), (4, 0, 0), (5, 20000, 20000 * per)])
     assert {r["readability_score"] for r in got if r["n_words"] == 0} == {0.0}
     assert HY.pattern_readability(df.limit(0), P.column_table(spark, "pattern", patterns)).count() == 0
+
+
+def test_tokens_of_frequent_words_are_not_shuffled(spark, monkeypatch):
+    rows = [(i, " ".join(["the", "hyphenation", f"table{i % 7}", "the"] * (i % 4))) for i in range(60)] + [(1, None), (3, "the table")]
+    df = spark.createDataFrame(rows, "review_id int, review_text string")
+    patterns = P.column_table(spark, "pattern", EXAMPLE)
+    whole = HY.pattern_readability(df, patterns)
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_row1" in plan and not re.search(r"hashpartitioning\([^)]*word", plan)
+    want = sorted(map(repr, whole.collect()))
+    for bound in (0, 1, 3):  # the others, or all, by a join
+        monkeypatch.setattr(HY, "BROADCAST_ROWS", bound)
+        assert sorted(map(repr, HY.pattern_readability(df, patterns).collect())) == want

@@ -5,9 +5,9 @@ on both sides as its border, the highest level of all patterns that fit there co
 break. A word has one syllable more than it has breaks. The patterns are found by a join of the words' substrings on
 the patterns' letters, so the work on them grows with the distinct words, not with the texts.
 
-The texts are read twice: for the distinct words, and for the count of each word in each text (added up before the shuffle). A word of
-all texts is one narrow row a text on its side of the join, which Spark splits where a word is hot. The text itself is
-never shuffled, only numbers by the row's key.
+The texts are read for the distinct words and their counts, and again for the sum of each text. Frequent words, as many as may be broadcast, are
+looked up where the text is read; only the tokens of the others are counted by text and word and shuffled to their
+join. The text itself is never shuffled, only numbers by the row's key.
 
 Results: a missing or empty text has no words and no syllables; rows that repeat an id, or id and text, have a
 result row each; an empty pattern table gives one syllable a word; a pattern that repeats or an upper-case one does no harm; exceptions go before patterns.
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..session import materialize
-from .lookup import small
+from .lookup import BROADCAST_ROWS, small
 
 # Letters that stay together at a word's start and end: no break nearer to its border.
 LEFT_MARGIN, RIGHT_MARGIN = 2, 2
@@ -62,6 +62,28 @@ def word_syllables(words: DataFrame, patterns: DataFrame, exceptions: DataFrame
     return out.select("word", (F.col("n") + 1).cast("long").alias("n_syllables"))
 
 
+def _bits(count: str) -> Column:
+    return F.length(F.bin(count))
+
+
+def counted_syllables(tokens: DataFrame, patterns: DataFrame, exceptions: DataFrame | None = None) -> DataFrame:
+    """``word``, ``times`` and ``n_syllables`` of each distinct word."""
+    counted = materialize(tokens.groupBy("word").agg(F.count(F.lit(1)).alias("times")), "words")
+    return word_syllables(counted.select("word"), patterns, exceptions).join(counted, "word")
+
+
+def frequent_from(words: DataFrame, max_rows: int | None = None) -> int:
+    """How many binary digits a word's ``times`` has at least, so that no more than ``max_rows`` words do; 1 where all fit."""
+    sizes = words.groupBy(_bits("times").alias("bits")).agg(F.count(F.lit(1)).alias("n")).collect()  # at most 63 rows
+    left, bits = BROADCAST_ROWS if max_rows is None else max_rows, 64
+    for size in sorted(sizes, key=lambda r: -r["bits"]):
+        left -= size["n"]
+        if left < 0:
+            return bits
+        bits = size["bits"]
+    return 1
+
+
 def _key(id_col: str, text_col: str) -> dict[str, Column]:
     """Two hashes of id and text; rows that share both have the same result."""
     parts = [F.col(id_col), F.col(text_col)]
@@ -77,11 +99,18 @@ def pattern_readability(reviews: DataFrame, patterns: DataFrame, exceptions: Dat
                             T.words(text).alias("ws"), T.sentence_count(text).alias("n_sentences"))
     rows = narrow.select(id_col, "_row1", "_row2", F.size("ws").alias("n_words"), "n_sentences")
     tokens = narrow.select("_row1", "_row2", F.explode("ws").alias("word"))
-    # Written once, so that the join below knows its size.
-    words = materialize(word_syllables(tokens.select("word").distinct(), patterns, exceptions), "syllables")
-    per_row = tokens.groupBy("_row1", "_row2", "word").agg(F.count(F.lit(1)).alias("times"))
+    # Written once, so that the joins below know its size.
+    words = materialize(counted_syllables(tokens, patterns, exceptions), "syllables")
+    bits = frequent_from(words)
+    frequent, rare = words.where(_bits("times") >= bits), words.where(_bits("times") < bits)
+    # Frequent words meet the tokens where they are, and only sums by row are shuffled; the others come by a join.
+    sums = tokens.join(F.broadcast(frequent), "word").groupBy("_row1", "_row2").agg(F.sum("n_syllables").alias("s"))
+    if bits > 1:
+        far = tokens.join(F.broadcast(frequent.select("word")), "word", "left_anti")
+        per_row = far.groupBy("_row1", "_row2", "word").agg(F.count(F.lit(1)).alias("n"))
+        sums = sums.unionByName(per_row.join(rare, "word").groupBy("_row1", "_row2").agg(
+            F.sum(F.col("n") * F.col("n_syllables")).alias("s"))).groupBy("_row1", "_row2").agg(F.sum("s").alias("s"))
     counts = rows.groupBy("_row1", "_row2").agg(F.count(F.lit(1)).alias("copies"))
-    sums = per_row.join(words, "word").groupBy("_row1", "_row2").agg(F.sum(F.col("times") * F.col("n_syllables")).alias("s"))
     # Rows that are copies of each other were counted together.
     each = sums.join(counts, ["_row1", "_row2"]).select("_row1", "_row2", F.expr("s div copies").alias("n_syllables"))
     out = rows.join(each, ["_row1", "_row2"], "left").withColumn("n_syllables", F.coalesce("n_syllables", F.lit(0).cast("long")))
