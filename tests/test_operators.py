@@ -376,3 +376,13 @@ def test_head_takes_every_token_and_every_rated_review(spark):
     assert len(bias) == 3 and bias[0] > bias[1] and bias[2] > bias[1]
     none = df.where("rating is null")
     assert M.fit_head(df.where("rating = 5"))[1][0] <= 0.0 and none.count() == 4
+
+
+def test_terms_are_counted_behind_the_exchange_of_texts(spark):
+    rows = [(1, "alpha beta alpha"), (1, "alpha"), (2, None), (None, "beta"), (None, "beta beta")]
+    df = spark.createDataFrame(rows, "review_id int, review_text string")
+    counted = TM.term_counts(df, [])
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "hashpartitioning" in line and "term" in line]
+    assert sorted(((r[0] or 0, r[1], r[2]) for r in counted.collect())) == [
+        (0, "beta", 3), (0, "beta beta", 1), (1, "alpha", 3), (1, "alpha beta", 1), (1, "beta", 1), (1, "beta alpha", 1)]

@@ -54,9 +54,14 @@ def term_rows(reviews: DataFrame, stop_words: list[str], lookup: DataFrame | Non
 
 
 def term_counts(reviews: DataFrame, stop_words: list[str], **names) -> DataFrame:
-    """``id, term, tf``."""
-    rows = term_rows(reviews, stop_words, **names)
-    return rows.groupBy(names.get("id_col", "review_id"), "term").agg(F.count(F.lit(1)).alias("tf"))
+    """``id, term, tf``.
+
+    Texts are dealt out by id and cut into terms behind that, so the terms, many times the text, are counted where they arise.
+    """
+    id_col, text_col = names.get("id_col", "review_id"), names.get("text_col", "review_text")
+    dealt = reviews.select(id_col, *names.get("keep", ()), text_col).repartition(id_col)
+    rows = term_rows(dealt, stop_words, **names)
+    return rows.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 @dataclass(frozen=True)
