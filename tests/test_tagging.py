@@ -65,3 +65,12 @@ def test_long_sentence_empty_table_and_models(spark):
     with pytest.raises(ValueError, match="tags"):
         _model(spark, [], [])
     assert _model(spark, [], [(None, "NOUN", 0)]).tags == ["NOUN"]
+
+
+def test_words_are_not_shuffled(spark):
+    model = _model(spark, [("a", "NOUN", 0)], [(None, "NOUN", 0)])
+    df = spark.createDataFrame([(1, "a. a b! c"), (1, "a. a b! c"), (2, "a"), (None, None)], "review_id int, review_text string")
+    counted = TG.tag_counts(df, model, ["NOUN"])
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "hashpartitioning" in line and "_s#" in line]
+    assert sorted((r[0] or 0, r[1][0]) for r in counted.collect()) == [(0, 0), (1, 4), (1, 4), (2, 1)]

@@ -9,7 +9,8 @@ A pair that is not listed weighs ``floor``; of a pair that is listed twice the l
 whose last tag, then whose last but one, and so on, comes first in the order of tags is taken.
 
 Word and sentence boundaries are those of the text statistics. A sentence's words meet the emission table by a join and are
-put together again in order, one narrow row a sentence and map task: no more than a sentence is ever in one group. The
+put together again in order: no more than a sentence is ever in one group. Texts are dealt out by their row's key before
+they are cut, so the words and their weights, many times the text, are never shuffled. The
 fold keeps a score and the counts of the best path for each tag, so its memory does not grow with the sentence.
 
 Missing and empty texts have no words and count zero of each tag; rows that repeat an id are counted each; an empty
@@ -91,7 +92,7 @@ def tag_counts(reviews: DataFrame, model: TagModel, counted: list[str], text_col
     parts = [F.col(id_col), F.col(text_col)]
     present = [p.isNull().cast("int") for p in parts]
     keys = {f"_row{i}": F.xxhash64(F.lit(i), *present, *parts) for i in (1, 2)}
-    keyed = reviews.select(F.col(id_col).alias(id_col), *[c.alias(k) for k, c in keys.items()], text.alias("_text"))
+    keyed = reviews.select(F.col(id_col).alias(id_col), *[c.alias(k) for k, c in keys.items()], text.alias("_text")).repartition(*keys)
     sentences = keyed.select("_row1", "_row2", F.posexplode(F.split("_text", f"[{T.SENTENCE_MARKS}]+")).alias("_s", "_piece"))
     words = sentences.select("_row1", "_row2", "_s", F.posexplode(T.words(F.col("_piece"))).alias("_w", "token"))
     met = words.join(model.emissions, "token", "left").withColumn("emit", F.coalesce("emit", F.expr(model.unknown)))
