@@ -120,3 +120,17 @@ def test_the_text_score_is_linear_in_the_text(spark):
         seconds[n] = min(best)
         df.unpersist()
     assert seconds[20_000] < 15 * seconds[2_000], seconds
+
+
+def test_terms_of_a_vocabulary_are_those_of_all_terms(spark):
+    from veristar.operators import terms as TM
+
+    rng = random.Random(11)
+    words = ["toks", "a'b", "x", "y", "zz", "q"]
+    rows = [(i, [rng.choice(words) for _ in range(rng.randint(0, 9))]) for i in range(80)]
+    df = spark.createDataFrame(rows, "id int, `the toks` array<string>")
+    for vocabulary in (["toks", "x y", "y y", "a'b toks", "x"], ["zz"], ["toks x"], ["a b c"], []):
+        got = df.select(F.expr(TM.known_terms(vocabulary, "`the toks`")).alias("t")).collect()
+        every = df.select(F.expr(TM.ALL_TERMS.replace("toks", "`the toks`")).alias("t")).collect()
+        assert [sorted(r["t"]) for r in got] == [sorted(x for x in r["t"] if x in vocabulary) for r in every]
+    assert TM.known_terms([str(i) for i in range(TM.IN_ROW_TOKENS + 1)]) == TM.ALL_TERMS

@@ -76,7 +76,8 @@ def char_count(text: Column, char: str) -> Column:
 
 def punctuation_frequency(text: Column) -> Column:
     """Punctuation marks per 100 characters."""
-    hits, total = F.regexp_count(text, F.lit(PUNCTUATION_MARK)), F.length(text)
+    # What is left without the long runs of other characters: no string is made for a mark.
+    hits, total = F.length(F.regexp_replace(text, r"[^\p{Punct}]+", "")), F.length(text)
     return F.when(total == 0, F.lit(0.0)).otherwise(F.round(hits / total * 100, 4))
 
 

@@ -45,9 +45,15 @@ def one_of(tokens: list[str]) -> Callable[[str], str]:
     return lambda token: f"{token} in ({listed})"
 
 
-def token_test(lookup: DataFrame, col: str, max_tokens: int = IN_ROW_TOKENS) -> Callable[[str], str] | None:
-    """``one_of`` for the tokens of a lookup; ``None`` where it is larger than the bound."""
+def tokens_of(lookup: DataFrame, col: str, max_tokens: int = IN_ROW_TOKENS) -> list[str] | None:
+    """The tokens of a lookup; ``None`` where it is larger than the bound."""
     rows = lookup.select(col).limit(max_tokens + 1).toArrow()
     if rows.num_rows > max_tokens:
         return None
-    return one_of([t for t in rows.column(0).to_pylist() if t is not None])
+    return [t for t in rows.column(0).to_pylist() if t is not None]
+
+
+def token_test(lookup: DataFrame, col: str, max_tokens: int = IN_ROW_TOKENS) -> Callable[[str], str] | None:
+    """``one_of`` for the tokens of a lookup; ``None`` where it is larger than the bound."""
+    tokens = tokens_of(lookup, col, max_tokens)
+    return None if tokens is None else one_of(tokens)

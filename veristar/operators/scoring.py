@@ -11,7 +11,7 @@ from .attribution import explain_words
 from .features import FEATURE_COLS, extract_features
 from .lexicon import SentimentTables
 from .rowterms import binary_order, free_name, number_array, with_counts
-from .terms import ALL_TERMS, tokens
+from .terms import known_terms, tokens
 from .verdict_counts import scan_counts, summary_of
 
 RESULT_COLS = [
@@ -35,7 +35,7 @@ def with_text_score(reviews: DataFrame, coefficients: DataFrame, stop_words: lis
     toks, known = free_name(reviews, "toks"), free_name(reviews, "known")
     # Terms are named after the token column they are made of.
     arrays = reviews.withColumn(toks, tokens(T.text_or_empty(F.col("review_text")), stop_words))
-    counted = with_counts(arrays, F.expr(ALL_TERMS.replace("toks", f"`{toks}`")), terms, known)
+    counted = with_counts(arrays, F.expr(known_terms(terms, f"`{toks}`")), terms, known)
     tf = f"transform(`{known}`.values, c -> ln(c) + 1)"
     z = f"aggregate(zip_with(`{known}`.indices, {tf}, (i, f) -> f * get({push}, i)), 0D, (x, y) -> x + y)"
     norm = f"aggregate(zip_with(`{known}`.indices, {tf}, (i, f) -> f * f * get({square}, i)), 0D, (x, y) -> x + y)"

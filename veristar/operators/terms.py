@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..session import local_table
-from .lookup import one_of, token_test
+from .lookup import IN_ROW_TOKENS, one_of, tokens_of
 
 # Vocabulary size and shortest token of the text features.
 MAX_TERMS = 2000
@@ -39,10 +39,30 @@ def token_arrays(reviews: DataFrame, stop_words: list[str], text_col: str = "rev
     return reviews.select(id_col, *keep, tokens(text, stop_words).alias("toks"))
 
 
-def known_only(terms: str, lookup: DataFrame | None, col: str) -> str:
-    """Thin out a term array to the terms of a small lookup, inside the row."""
-    test = token_test(lookup, col) if lookup is not None else None
-    return f"filter({terms}, x -> {test('x')})" if test else terms
+def known_only(lookup: DataFrame | None, col: str) -> str:
+    """The term array of a row, thinned out to the terms of a small lookup inside the row."""
+    found = tokens_of(lookup, col) if lookup is not None else None
+    return ALL_TERMS if found is None else known_terms(found)
+
+
+def known_terms(vocabulary: list[str], toks: str = "toks") -> str:
+    """SQL array of the terms of a row that are in ``vocabulary``, each as often as it occurs, single words first.
+
+    Two neighbours are joined only where a bigram of the vocabulary begins with the one and ends with the other.
+    Beyond the bound of a test in the row these are all terms, and what counts them leaves out the others.
+    """
+    if len(vocabulary) > IN_ROW_TOKENS:
+        return ALL_TERMS.replace("toks", toks)
+    pairs = sorted(t for t in vocabulary if t.count(" ") == 1)
+    first, second = (one_of(sorted({p.split(" ")[k] for p in pairs})) for k in (0, 1))
+    single = one_of(sorted(t for t in vocabulary if " " not in t))
+    words = f"filter({toks}, x -> {single('x')})"
+    if not pairs:
+        return words
+    neighbours, pair = _NEIGHBOURS.replace("toks", toks), _PAIR.replace("toks", toks)
+    both = f"{first(f'get({toks}, i)')} and {second(f'get({toks}, i + 1)')}"
+    joined = f"transform(filter({neighbours}, i -> {both}), i -> {pair})"
+    return f"concat({words}, filter({joined}, x -> {one_of(pairs)('x')}))"
 
 
 def term_rows(reviews: DataFrame, stop_words: list[str], lookup: DataFrame | None = None, col: str = "term",
@@ -50,7 +70,7 @@ def term_rows(reviews: DataFrame, stop_words: list[str], lookup: DataFrame | Non
     """One row per unigram and bigram occurrence; with ``lookup``, of its terms."""
     id_col = names.get("id_col", "review_id")
     arrays = token_arrays(reviews, stop_words, **names)
-    return arrays.select(id_col, F.explode(F.expr(known_only(ALL_TERMS, lookup, col))).alias("term"))
+    return arrays.select(id_col, F.explode(F.expr(known_only(lookup, col))).alias("term"))
 
 
 def term_counts(reviews: DataFrame, stop_words: list[str], **names) -> DataFrame:
@@ -118,11 +138,11 @@ def fit_vocabulary(reviews: DataFrame, stop_words: list[str], max_terms: int = M
     }
     base = local_table(spark, columns)
     arrays = token_arrays(reviews, stop_words, **names)
-    present = F.expr(f"array_distinct({known_only(ALL_TERMS, base, 'term')})")
+    present = F.expr(f"array_distinct({known_terms(list(columns['term'][1]))})")
     # The count of all reviews rides along as the count of a null term.
     found = arrays.select(F.explode(F.concat(present, F.array(F.lit(None).cast("string")))).alias("term")) \
         .groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    if token_test(base, "term") is None:
+    if len(chosen) > IN_ROW_TOKENS:
         wanted = base.select("term").unionByName(spark.range(1).select(F.lit(None).cast("string").alias("term")))
         found = found.join(wanted, found["term"].eqNullSafe(wanted["term"]), "left_semi")
     counts = {r["term"]: r["df"] for r in found.collect()}

@@ -21,7 +21,7 @@ from .keys import stratified_split
 from .rowterms import number_array, with_counts
 from .scaling import fit_scaler
 from .sgd import SGDLogLoss
-from .terms import ALL_TERMS, MAX_TERMS, Vocabulary, fit_vocabulary, tokens
+from .terms import MAX_TERMS, Vocabulary, fit_vocabulary, known_terms, tokens
 from .vectors import materialize_vectors
 
 # Hyper-parameters of the compared models.
@@ -91,7 +91,8 @@ def vectorize(data: DataFrame, scaler: DataFrame, vocabulary: Vocabulary, max_te
     width = len(numbers)
     toks = tokens(F.coalesce("review_text", F.lit("")), vocabulary.stop_words)
     rows = data.withColumn("toks", toks)
-    rows = with_counts(rows, F.expr(ALL_TERMS), [r["term"] for r in terms], "_known")
+    names = [r["term"] for r in terms]
+    rows = with_counts(rows, F.expr(known_terms(names)), names, "_known")
     idf = number_array([r["idf"] for r in terms])
     weights = f"zip_with(_known.indices, _known.values, (i, n) -> (ln(n) + 1) * get({idf}, i))"
     length = "sqrt(aggregate(_weights, 0D, (x, w) -> x + w * w))"

@@ -297,7 +297,7 @@ def coef_ranking(spark, sf):
 def term_odds(reviews, vocabulary):
     """``idx, kind, feature, weight``: log-odds of each term of the vocabulary."""
     labelled = reviews.withColumn("target", V.target_of(F.col("label")))
-    present = F.expr(f"array_distinct({TM.known_only(TM.ALL_TERMS, vocabulary.table, 'term')})")
+    present = F.expr(f"array_distinct({TM.known_only(vocabulary.table, 'term')})")
     found = (
         TM.token_arrays(labelled, I.STOP_WORDS, keep=("target",)).select("target", F.explode(present).alias("term"))
         .join(F.broadcast(vocabulary.table.select("term", "idx")), "term").groupBy("term", "idx")
