@@ -124,3 +124,30 @@ def test_scoring_keeps_every_delivery(spark, tmp_path):
     table = {r["review_id"]: r for r in K.keyed_table(spark, str(tmp_path / "updates")).collect()}
     assert set(table) == {1, 2} and table[1]["sentiment_score"] > 0 and table[2]["rating_sentiment_gap"] is None
     assert set(table[1].asDict()) == {"review_id", *FEATURE_COLS}
+
+
+def test_reviews_of_a_bucket_share_a_state_and_expire_each(spark, tmp_path):
+    base = str(tmp_path)
+    options = {"delay": "10 minutes", "ttl": timedelta(minutes=30), "buckets": 1}
+    first = [(i, i % 7, float(i)) for i in range(1, 60)]
+    later = [(2, 100, 2.5), (60, 101, None)]
+    _write(spark, f"{base}/scored", first)
+    _run(spark, base, **options)
+    state = spark.read.format("statestore").load(f"{base}/state").collect()
+    assert len(state) == 1  # one value for all reviews, so one call of Python
+    assert _table(spark, base) == _want(first)
+    for part in (later, [(61, 102, 1.0)]):
+        _write(spark, f"{base}/scored", part)
+        _run(spark, base, **options)
+    (row,) = spark.read.format("statestore").load(f"{base}/state").collect()
+    held = next(v for v in _binaries(row.asDict(recursive=True)))
+    assert set(K._unpacked(held)) == {2, 60, 61}  # the others are gone
+    assert _table(spark, base) == {i: (v, -v) for i, _, v in first} | {2: (2.0, -2.5), 60: (None, None), 61: (1.0, -1.0)}
+
+
+def _binaries(value):
+    if isinstance(value, (bytes, bytearray)):
+        yield bytes(value)
+    elif isinstance(value, dict):
+        for v in value.values():
+            yield from _binaries(v)

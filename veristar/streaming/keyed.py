@@ -2,8 +2,10 @@
 
 Two streams in a row. The first scores every delivery of a review and appends its features. The second keeps, for each review, the
 features that the upsert rule leaves (the first delivery's stable columns, the latest one's model columns, by delivery time), and
-emits a row only when a delivery changes it: copies and late deliveries that change nothing write nothing. State is 11 numbers for a review
-and is dropped once the watermark is ``ttl`` past its last delivery.
+emits a row only when a delivery changes it: copies and late deliveries that change nothing write nothing. State is 12 numbers for a review
+and is dropped once the watermark is ``ttl`` past its last delivery. The reviews of one hash bucket share a state value, so that a
+micro-batch calls Python once for each bucket that it touches, not for each review; more reviews want more ``buckets``. The number of
+buckets belongs to the checkpoint, like that of shuffle partitions.
 
 Each emitted row says which deliveries it stands for, so a reader needs no state: over all emitted rows the earliest first delivery
 gives the stable columns and the latest one the model columns. A review that comes back after its state is gone, a replayed
@@ -19,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from datetime import timedelta
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +38,11 @@ DELIVERY = t.StructType([t.StructField("review_id", t.LongType()), t.StructField
 #: An emitted row: times in microseconds of the deliveries that its columns come from.
 KEYED = t.StructType([t.StructField("review_id", t.LongType()), t.StructField("first_at", t.LongType()),
                       t.StructField("last_at", t.LongType()), *_NUMBERS])
-STATE = t.StructType(KEYED.fields[1:])
+#: Rows of ``KEYED`` of a bucket's reviews, as ``_HELD`` lays them out.
+STATE = t.StructType([t.StructField("held", t.BinaryType())])
+_HELD = np.dtype([*[(f.name, "<i8") for f in KEYED.fields[:3]], *[(c, "<f8") for c in FEATURE_COLS]])
+#: Buckets of reviews: fixed value.
+BUCKETS = 4096
 
 
 def start_scoring(deliveries: DataFrame, tables: SentimentTables, scored: str, checkpoint: str,
@@ -72,32 +79,54 @@ def merge(held: tuple | None, rows: Iterable[tuple]) -> tuple:
     return first[0], last[0], *first[1], *last[1]
 
 
-def keyed_features(deliveries: DataFrame, delay: str = "1 day", ttl: timedelta = timedelta(days=7)) -> DataFrame:
-    """The stream of changed rows (``KEYED``) from a stream of scored deliveries."""
+def _unpacked(held: bytes) -> dict[int, tuple]:
+    """State of each review of a bucket; a missing number is held as NaN."""
+    return {row[0]: tuple(None if v != v else v for v in row[1:]) for row in np.frombuffer(held, _HELD).tolist()}
+
+
+def _packed(held: dict[int, tuple]) -> bytes:
+    return np.array([(i, *[np.nan if v is None else v for v in row]) for i, row in held.items()], _HELD).tobytes()
+
+
+def keyed_features(deliveries: DataFrame, delay: str = "1 day", ttl: timedelta = timedelta(days=7),
+                   buckets: int = BUCKETS) -> DataFrame:
+    """The stream of changed rows (``KEYED``) from a stream of scored deliveries; rows without a review_id take no part."""
     keep_ms = int(ttl.total_seconds() * 1000)
 
     def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        held = tuple(None if pd.isna(v) else v for v in state.get) if state.exists else None
-        found = held
-        for frame in frames:
+        held = _unpacked(state.get[0]) if state.exists else {}
+        now, arrived = state.getCurrentWatermarkMs(), {}
+        for frame in () if state.hasTimedOut else frames:
             at = frame["delivered_at"].astype("datetime64[us]").astype("int64").tolist()
-            values = [[None if pd.isna(v) else float(v) for v in frame[c]] for c in FEATURE_COLS]
-            if at:
-                found = merge(found, zip(at, *values))
-        state.setTimeoutTimestamp(max(found[1] // 1000, state.getCurrentWatermarkMs()) + keep_ms)
-        if found != held:
-            state.update(found)
-            yield pd.DataFrame([(key[0], *found)], columns=KEYED.names)
+            values = (frame[c].astype("float64").tolist() for c in FEATURE_COLS)
+            for i, *row in zip(frame["review_id"].tolist(), at, *values):
+                arrived.setdefault(i, []).append([None if v != v else v for v in row])
+        # A review that arrives again is held until then, whatever the watermark.
+        kept = {i: row for i, row in held.items() if i in arrived or row[1] // 1000 + keep_ms >= now}
+        changed = []
+        for i, rows in arrived.items():
+            found = merge(kept.get(i), rows)
+            if found != kept.get(i):
+                kept[i] = found
+                changed.append((i, *found))
+        if kept:
+            if changed or len(kept) < len(held):
+                state.update((_packed(kept),))
+            # When the first review goes.
+            state.setTimeoutTimestamp(max(min(row[1] for row in kept.values()) // 1000 + keep_ms, now + 1))
+        elif state.exists:
+            state.remove()
+        if changed:
+            yield pd.DataFrame(changed, columns=KEYED.names)
 
-    timed = deliveries.select(*DELIVERY.names).withWatermark("delivered_at", delay)
-    return timed.groupBy("review_id").applyInPandasWithState(update, KEYED, STATE, "update", GroupStateTimeout.EventTimeTimeout)
+    bucket = F.pmod(F.xxhash64("review_id"), F.lit(buckets)).alias("bucket")
+    known = deliveries.where("review_id is not null").select(bucket, *DELIVERY.names).withWatermark("delivered_at", delay)
+    return known.groupBy("bucket").applyInPandasWithState(update, KEYED, STATE, "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def start_keyed(spark: SparkSession, scored: str, updates: str, checkpoint: str, delay: str = "1 day",
-                ttl: timedelta = timedelta(days=7), files_per_batch: int = 1000, trigger: dict | None = None) -> StreamingQuery:
+                ttl: timedelta = timedelta(days=7), files_per_batch: int = 1000, trigger: dict | None = None,
+                buckets: int = BUCKETS) -> StreamingQuery:
     """Keep the state of all scored deliveries below ``scored``; changed rows go below ``updates``, a folder for each micro-batch."""
     stream = (spark.readStream.schema(DELIVERY).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
               .option("maxFilesPerTrigger", files_per_batch).parquet(scored))
@@ -105,7 +134,7 @@ def start_keyed(spark: SparkSession, scored: str, updates: str, checkpoint: str,
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{updates}/batch_id={batch_id}")
 
-    return (keyed_features(stream, delay, ttl).writeStream.outputMode("update").foreachBatch(write_batch)
+    return (keyed_features(stream, delay, ttl, buckets).writeStream.outputMode("update").foreachBatch(write_batch)
             .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
 
 
