@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from veristar.llm import bpe, chat, kdtree, neardup, secrets, toxicity, warc
@@ -347,3 +348,29 @@ def test_every_token_of_a_text_is_scored(monkeypatch):
             tags = [next((int(s != a) for a, b, _ in found if a <= s < b), 2) for s, _ in run]
             # Paths may tie, so scores are compared.
             assert total(tags) == pytest.approx(total(field.decode(scores)))
+
+
+def test_secrets_sample_as_numbers_trains_the_field_of_the_lists():
+    rng = random.Random(3)
+    chains = []
+    for _ in range(60):
+        size = rng.randint(1, 4)
+        tags = [rng.choice([0, 2, 2]) for _ in range(size)]
+        chains.append(([[f"f{rng.randint(0, 6)}" for _ in range(rng.randint(1, 3))] for _ in range(size)], tags))
+    chains += chains[:3]
+    features = pa.array([f for f, _ in chains], pa.list_(pa.list_(pa.string())))
+    numbers = secrets.Chains.of(features, pa.array([t for _, t in chains], pa.list_(pa.int32())))
+    want = secrets.Chains.listed(sorted(chains))
+    assert numbers.features == want.features
+    for name in ("places", "per_token", "tags", "lengths"):
+        assert getattr(numbers, name).tolist() == getattr(want, name).tolist(), name
+    a, b = secrets.train(numbers), secrets.train(sorted(chains))
+    assert a.names == b.names and (a.emission == b.emission).all() and (a.transition == b.transition).all()
+    empty = secrets.Chains.of(features[:0], pa.array([], pa.list_(pa.int32())))
+    assert secrets.train(empty) is None
+
+
+def test_secrets_forms_of_all_tokens_at_once():
+    tokens = ["aZ9", "Σïx-7", "G_é\U0001f600Q", "0fFg"]
+    assert secrets.forms(tokens) == ["aA0", "Σïg-0", "A_é\U0001f600A", "0aAg"]
+    assert secrets.base_spans("password is hunter2hunter2") == []

@@ -23,9 +23,12 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,7 +71,8 @@ _CUT = re.compile(rf"({TOKEN.pattern})")
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind), leftmost and not overlapping within a kind."""
-    found = [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    signed = ":" in text or "=" in text  # as every assignment is
+    found = [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= 8] if signed else []
     found += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text) if len(m[0]) >= 16]
     # A run of 32 or more is always matched as a whole, as it is from its first character on.
     found += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
@@ -219,8 +223,12 @@ class Scored(dict):
 
 
 #: Characters that the features of a token's form do not tell apart: digits, a to f, g to z, A to Z.
-_FORM = str.maketrans({c: k for k, cs in zip("0agA", ("0123456789", "abcdef", "ghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
-                       for c in cs})
+_FORM = bytes.maketrans(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0" * 10 + b"a" * 6 + b"g" * 20 + b"A" * 26)
+
+
+def forms(tokens: list[str]) -> list[str]:
+    """The forms of tokens, which hold no white space; all go through the table at once."""
+    return "\n".join(tokens).encode("utf-8", "surrogatepass").translate(_FORM).decode("utf-8", "surrogatepass").split("\n")
 
 
 class Field:
@@ -253,11 +261,10 @@ class Field:
     def token_scores(self, tokens: list[str], signs: list[str], before: str | None, after: str | None, file: np.ndarray) -> np.ndarray:
         """Scores of neighbouring tokens, those at the ends of which have ``before`` and ``after`` next to them."""
         own, side = self.known()
-        forms = [t.translate(_FORM) for t in tokens]
-        find = self.word_at.get
-        words = [find(t.lower(), 0) for t in tokens]
-        scores = own.rows(list(map(str.__add__, signs, forms))) + file
-        gives = side.rows(forms) + self.word_scores[words]
+        form = forms(tokens)
+        words = list(map(self.word_at.get, "\n".join(tokens).lower().split("\n"), repeat(0)))
+        scores = own.rows(list(map(str.__add__, signs, form))) + file
+        gives = side.rows(form) + self.word_scores[words]
         scores[1:] += gives[:-1, :3]
         scores[:-1] += gives[1:, 3:]
         scores[0] += self._sum(side_features("before", before))
@@ -310,34 +317,94 @@ class Field:
 _FORBIDDEN = -1e4
 
 
-def train(chains: list[tuple[list[list[str]], list[int]]], epochs: int = EPOCHS, rate: float = 0.5,
+@dataclass(frozen=True)
+class Chains:
+    """Chains of a sample as numbers: the driver holds a feature's name once, not for each token that has it."""
+
+    features: list[str]  # all names, in order
+    places: np.ndarray  # of the features of all tokens, token by token
+    per_token: np.ndarray  # how many features a token has
+    tags: np.ndarray  # of all tokens
+    lengths: np.ndarray  # tokens of each chain
+
+    @classmethod
+    def of(cls, features: pa.Array, tags: pa.Array) -> Chains:
+        """``features``: a list of tokens, each a list of names, for each chain; in the order of these lists, then of the tags."""
+        rows = features.flatten()
+        coded = rows.flatten().dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        ordered = sorted(range(len(names)), key=names.__getitem__)
+        rank = np.empty(len(names), dtype=np.int32)
+        rank[ordered] = np.arange(len(names), dtype=np.int32)
+        places = rank[coded.indices.to_numpy()] if names else np.zeros(0, np.int32)
+        per_token, lengths = (pc.list_value_length(a).to_numpy(zero_copy_only=False).astype(np.int64) for a in (rows, features))
+        flat = tags.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+        # Big-endian ranks from 1 on, zero behind each token and each chain: byte order is the order of the lists of names.
+        marked = np.insert(places + 1, np.cumsum(per_token), 0).astype(">i4")
+        token_ends = np.cumsum(per_token + 1)
+        chain_ends = np.cumsum(lengths)
+        stops = [0, *(token_ends[chain_ends - 1] if len(lengths) else [])]
+        keys = [marked[a:b].tobytes() + b"\0\0\0\0" + flat[e - n:e].astype(">i4").tobytes()
+                for a, b, e, n in zip(stops, stops[1:], chain_ends, lengths)]
+        return cls([names[i] for i in ordered], places, per_token, flat, lengths)._taken(
+            sorted(range(len(keys)), key=keys.__getitem__))
+
+    @classmethod
+    def listed(cls, chains: list[tuple[list[list[str]], list[int]]]) -> Chains:
+        """Chains given as lists, in their order."""
+        names = sorted({f for features, _ in chains for row in features for f in row})
+        place = {f: i for i, f in enumerate(names)}
+        rows = [row for features, _ in chains for row in features]
+        return cls(names, np.array([place[f] for row in rows for f in row], dtype=np.int32),
+                   np.array([len(row) for row in rows], dtype=np.int64),
+                   np.array([t for _, tags in chains for t in tags], dtype=np.int32),
+                   np.array([len(tags) for _, tags in chains], dtype=np.int64))
+
+    def _taken(self, order: list[int] | np.ndarray) -> Chains:
+        """The chains in another order."""
+        tokens = _runs(self.lengths, np.asarray(order, dtype=np.int64))
+        return Chains(self.features, self.places[_runs(self.per_token, tokens)], self.per_token[tokens], self.tags[tokens],
+                      self.lengths[order])
+
+    def by_length(self) -> Chains:
+        return self._taken(np.argsort(self.lengths, kind="stable"))
+
+
+def _runs(sizes: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Places of the elements of consecutive runs, the runs in the given order."""
+    starts, taken = np.cumsum(sizes) - sizes, sizes[order]
+    return np.repeat(starts[order] - (np.cumsum(taken) - taken), taken) + np.arange(taken.sum())
+
+
+def train(chains: Chains | list[tuple[list[list[str]], list[int]]], epochs: int = EPOCHS, rate: float = 0.5,
           penalty: float = 0.1) -> Field | None:
     """chains: features (file features among them) and tags of each run."""
-    if not any(t != _OUT for _, tags in chains for t in tags):
+    if not isinstance(chains, Chains):
+        chains = Chains.listed(chains)
+    if not (chains.tags != _OUT).any():
         return None
-    counts: dict[str, int] = {}
-    for features, _ in chains:
-        for row in features:
-            for f in row:
-                counts[f] = counts.get(f, 0) + 1
-    names = {f: i for i, f in enumerate(sorted(f for f, n in counts.items() if n >= 3))}
-    chains = sorted(chains, key=lambda c: len(c[1]))
-    tokens = [[names[f] for f in row if f in names] for features, _ in chains for row in features]
-    flat = np.array([i for row in tokens for i in row], dtype=int)
-    of = np.repeat(np.arange(len(tokens)), [len(row) for row in tokens])
-    gold = np.zeros((len(tokens), 3))
-    gold[np.arange(len(tokens)), [t for _, tags in chains for t in tags]] = 1
+    chains = chains.by_length()
+    often = np.bincount(chains.places, minlength=len(chains.features)) >= 3
+    names = {f: i for i, f in enumerate(f for f, kept in zip(chains.features, often) if kept)}
+    kept = often[chains.places]
+    n_tokens, tags, lengths = len(chains.tags), chains.tags, chains.lengths
+    flat = (np.cumsum(often) - 1)[chains.places[kept]]
+    of = np.repeat(np.arange(n_tokens), chains.per_token)[kept]
+    gold = np.zeros((n_tokens, 3))
+    gold[np.arange(n_tokens), tags] = 1
     pairs = np.zeros((3, 3))
-    for _, tags in chains:
-        for a, b in zip([_OUT, *tags], [*tags, _OUT]):
-            pairs[a, b] += 1
-    lengths = np.array([len(tags) for _, tags in chains])
+    ends = np.cumsum(lengths)
+    first = np.zeros(n_tokens, dtype=bool)
+    first[ends[lengths > 0] - lengths[lengths > 0]] = True
+    np.add.at(pairs, (np.where(first, _OUT, np.roll(tags, 1)), tags), 1)
+    np.add.at(pairs, (tags[ends[lengths > 0] - 1], _OUT), 1)
+    pairs[_OUT, _OUT] += (lengths == 0).sum()
     emission, transition = np.zeros((len(names), 3)), np.zeros((3, 3))
     fixed = np.zeros((3, 3))
     fixed[_OUT, 1] = _FORBIDDEN
     squares_e, squares_t = np.full_like(emission, 1e-6), np.full_like(transition, 1e-6)
     for _ in range(epochs):
-        scores = np.stack([np.bincount(of, emission[flat, k], len(tokens)) for k in range(3)], axis=1)
+        scores = np.stack([np.bincount(of, emission[flat, k], n_tokens) for k in range(3)], axis=1)
         node, edge, start = np.empty_like(scores), np.zeros((3, 3)), 0
         for n in np.unique(lengths):  # chains of one length go together
             size = int((lengths == n).sum()) * n
@@ -397,7 +464,7 @@ def windows(text: str, size: int = WINDOW) -> list[list[tuple[int, int]]]:
 
 
 def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_class: int = SAMPLE_DOCS,
-           per_doc: int = WINDOWS_PER_DOC, seed: int = 5) -> list[tuple[list[list[str]], list[int]]]:
+           per_doc: int = WINDOWS_PER_DOC, seed: int = 5) -> Chains:
     """Chains of a bounded sample of documents, on the driver."""
     text = F.col(text_col)
     has = text.rlike(r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]|AKIA[A-Z0-9]{12}|[0-9a-f]{32}")
@@ -426,8 +493,15 @@ def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_
                 names=["features", "tags"])
 
     chosen = docs.filter(text.isNotNull() & odd & (draw < share)).select(text)
-    rows = chosen.mapInArrow(chains, "features array<array<string>>, tags array<int>").collect()
-    return sorted(([list(f) for f in r.features], list(r.tags)) for r in rows)
+    rows = chosen.mapInArrow(chains, "features array<array<string>>, tags array<int>").toArrow().combine_chunks()
+    found = Chains.of(*(_whole(rows.column(c)) for c in ("features", "tags")))
+    del rows
+    pa.default_memory_pool().release_unused()
+    return found
+
+
+def _whole(column: pa.ChunkedArray) -> pa.Array:
+    return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
 
 
 def find_spans(text: str, field: Field | None) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
