@@ -6,6 +6,7 @@ import gc
 import sys
 import types
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +29,21 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Spark's setting by which the shuffle files of a query go when it ends; else they stay until the driver collects its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries that run in here leave no shuffle files; nothing later may be cached by them."""
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 class Scratch:
     """Written intermediate tables of one operator, removed when what was made of them is written."""
 
@@ -36,7 +52,8 @@ class Scratch:
 
     def written(self, df: DataFrame, purpose: str) -> DataFrame:
         path = shared_dir(self.spark, purpose)
-        df.write.parquet(path)
+        with shuffles_dropped(self.spark):
+            df.write.parquet(path)
         found = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(found)] = (path, found)
         return found

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, fresh, kept_in_worker, slices, written
+from .common import Scratch, fresh, kept_in_worker, shuffles_dropped, slices, written
 
 TREES = 16
 DEPTH = 8
@@ -209,14 +209,11 @@ def components(edges: DataFrame, purpose: str, scratch: Scratch) -> DataFrame:
                 .groupBy("node").agg(F.min("near").alias("near")))
         step = scratch.written(labels.select("node", "label").join(near, "node").select(
             "node", F.col("label").alias("old"), F.least("label", "near").alias("label")), f"{purpose}-steps")
-        # A label is a node too: its own label is a shortcut. Each label looks it up once, and its members, of which one
-        # component may have any number, meet the labels that have moved on in several tasks.
+        # A label is a node too: its own label is a shortcut. Each label looks it up once.
         moved = (step.select("label").distinct()
                  .join(step.select(F.col("node").alias("label"), F.col("label").alias("ahead")), "label")
-                 .filter("ahead < label").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(LABEL_SALTS - 1)))))
-        salted = step.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(LABEL_SALTS)).cast("int"))
-        done = scratch.written(salted.join(moved, ["label", "salt"], "left").select(
-            "node", "old", F.coalesce("ahead", "label").alias("label")), f"{purpose}-labels")
+                 .filter("ahead < label"))
+        done = scratch.written(_moved_on(step, moved), f"{purpose}-labels")
         changed = not done.filter("label != old").isEmpty()
         scratch.drop(step, labels)
         if not changed:
@@ -225,6 +222,31 @@ def components(edges: DataFrame, purpose: str, scratch: Scratch) -> DataFrame:
         labels = done
 
 
+def _moved_on(labels: DataFrame, moved: DataFrame) -> DataFrame:
+    """``labels`` with ``ahead`` in place of each label that ``moved`` (label, ahead) has.
+
+    The members of a label, of which one component may have any number, meet it in several tasks.
+    """
+    ahead = moved.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(LABEL_SALTS - 1))))
+    salted = labels.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(LABEL_SALTS)).cast("int"))
+    return salted.join(ahead, ["label", "salt"], "left").withColumn("label", F.coalesce("ahead", "label")).select(*labels.columns)
+
+
+def extended(labels: DataFrame, edges: DataFrame, purpose: str, scratch: Scratch) -> DataFrame:
+    """node, label: ``labels`` after further edges (a, b). Only the components that these edges name are walked, a node for each."""
+    labels = labels.select("node", "label")
+    ends = edges.select("a", "b")
+    for side in "ab":
+        of = labels.select(F.col("node").alias(side), F.col("label").alias("of"))
+        ends = ends.join(of, side, "left").withColumn(side, F.coalesce("of", side)).drop("of")
+    ends = scratch.written(ends.filter("a != b").distinct(), f"{purpose}-ends")
+    met = components(ends, purpose, scratch).select("node", "label")
+    scratch.drop(ends)
+    known = _moved_on(labels, met.select(F.col("node").alias("label"), F.col("label").alias("ahead")))
+    found = scratch.written(known.unionByName(met.join(labels, "node", "left_anti")), f"{purpose}-labels")
+    return found
+
+
 def bitmap(ids: DataFrame) -> bytes:
     """A filter of fixed size (1 MB): the hashed ids that may be needed."""
     at = F.pmod(F.xxhash64("node"), F.lit(BITMAP_BITS)) + 1
@@ -356,8 +378,9 @@ def document_counts(docs: DataFrame, text_col: str, width: int) -> np.ndarray:
                 names=["block", "counts"])
 
     schema = "block int, counts binary"
-    found = (docs.select(F.col(text_col).alias("text")).mapInArrow(count, schema)
-             .repartition("block").mapInArrow(total, schema).toArrow())
+    with shuffles_dropped(docs.sparkSession):
+        found = (docs.select(F.col(text_col).alias("text")).mapInArrow(count, schema)
+                 .repartition("block").mapInArrow(total, schema).toArrow())
     table = np.zeros((PLACES // BLOCK, BLOCK), np.uint16)
     for block, counts in zip(found.column(0).to_pylist(), found.column(1)):
         table[block] = np.frombuffer(counts.as_buffer(), np.uint16)
@@ -441,10 +464,9 @@ def prefixes(docs: DataFrame, counts: np.ndarray, id_col: str, text_col: str, wi
     return rows.mapInArrow(run, "node long, digest binary, n long, sketch binary, short array<long>, rare array<long>").filter("n > 0")
 
 
-def across(prefix: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
-    """a, b: all pairs of different components whose prefixes and sketches allow a link (prefix: node, n, sketch, short, rare)."""
-    known = scratch.written(prefix.join(labels.select("node", "label"), "node", "left").select(
-        "node", F.coalesce("label", "node").alias("label"), "n", "sketch", "short", "rare"), "neardup-prefixes")
+def across(prefix: DataFrame, scratch: Scratch) -> DataFrame:
+    """a, b: all pairs of different components whose prefixes and sketches allow a link (prefix: node, label, n, sketch, short, rare)."""
+    known = scratch.written(prefix.select("node", "label", "n", "sketch", "short", "rare"), "neardup-prefixes")
     words = [f"s{i}" for i in range(SHORT)]
     rows = known.select("node", "label", "n", *[F.get("short", F.lit(i)).alias(w) for i, w in enumerate(words)],
                         F.posexplode("rare").alias("pos", "shingle"))
@@ -500,26 +522,26 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     first = met.groupBy("node").agg(F.max_by("pivot", F.struct("n", -F.col("pivot"))).alias("pivot"))
     tried = confirmed(first.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")),
                       table, "neardup-first", scratch)
-    edges = tried.filter("linked").select("a", "b")
-    labels = components(edges, "neardup-first", scratch)
+    labels = components(tried.filter("linked").select("a", "b"), "neardup-first", scratch)
 
     more = _apart(met.select(F.col("node").alias("a"), F.col("pivot").alias("b")).unionByName(nearby), labels)
     more = scratch.written(more.select("a", "b").join(tried.select("a", "b"), ["a", "b"], "left_anti"), "neardup-more")
     second = confirmed(more, table, "neardup-second", scratch)
     scratch.drop(stored, met, nearby, more)
     tried = tried.unionByName(second)
-    edges = tried.filter("linked").select("a", "b")
-    labels = components(edges, "neardup-second", scratch)
+    labels = extended(labels, second.filter("linked"), "neardup-second", scratch)
 
     scratch.drop(classes)
-    prefix = prefixes(docs, document_counts(docs, text_col, width), id_col, text_col, width).join(
-        of_class.select("digest", "node"), ["digest", "node"])
-    left = scratch.written(across(prefix, labels, scratch).join(tried.select("a", "b"), ["a", "b"], "left_anti"), "neardup-left")
+    # Labels meet the classes first, so prefixes are dealt out once.
+    heads = of_class.select("digest", "node").join(labels.select("node", "label"), "node", "left").select(
+        "digest", "node", F.coalesce("label", "node").alias("label"))
+    prefix = prefixes(docs, document_counts(docs, text_col, width), id_col, text_col, width).join(heads, ["digest", "node"])
+    left = scratch.written(across(prefix, scratch).join(tried.select("a", "b"), ["a", "b"], "left_anti"), "neardup-left")
     ends = left.select(F.col("a").alias("node")).union(left.select("b"))
     rest = set_table(docs, ends, id_col, text_col, width, scratch)
     third = confirmed(left, rest.join(ends.distinct(), "node", "left_semi"), "neardup-third", scratch)
     scratch.drop(rest, left)
-    labels = components(edges.unionByName(third.filter("linked").select("a", "b")), "neardup-third", scratch)
+    labels = extended(labels, third.filter("linked"), "neardup-third", scratch)
 
     # From classes back to documents: only digests of classes that hold more than one document, or are linked.
     known = of_class.join(labels.select("node", "label"), "node", "left").select("digest", F.coalesce("label", "node").alias("component_id"))
