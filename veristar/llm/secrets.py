@@ -330,13 +330,17 @@ class Chains:
     @classmethod
     def of(cls, features: pa.Array, tags: pa.Array) -> Chains:
         """``features``: a list of tokens, each a list of names, for each chain; in the order of these lists, then of the tags."""
+        coded = features.flatten().flatten().dictionary_encode()
+        return cls.coded(features, coded.indices.to_numpy(), coded.dictionary.to_pylist(), tags)
+
+    @classmethod
+    def coded(cls, features: pa.Array, at: np.ndarray, names: list[str], tags: pa.Array) -> Chains:
+        """The same, where ``features`` gives the lists' lengths and ``at`` the place in ``names`` of each feature."""
         rows = features.flatten()
-        coded = rows.flatten().dictionary_encode()
-        names = coded.dictionary.to_pylist()
         ordered = sorted(range(len(names)), key=names.__getitem__)
         rank = np.empty(len(names), dtype=np.int32)
         rank[ordered] = np.arange(len(names), dtype=np.int32)
-        places = rank[coded.indices.to_numpy()] if names else np.zeros(0, np.int32)
+        places = rank[at] if names else np.zeros(0, np.int32)
         per_token, lengths = (pc.list_value_length(a).to_numpy(zero_copy_only=False).astype(np.int64) for a in (rows, features))
         flat = tags.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
         # Big-endian ranks from 1 on, zero behind each token and each chain: byte order is the order of the lists of names.
@@ -476,6 +480,8 @@ def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_
 
     def chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
+            # Features go to the driver as numbers; their names come once, with the batch's first chain.
+            names: dict[str, int] = {}
             features, tags = [], []
             for t in batch.column(0).to_pylist():
                 spans = base_spans(t)
@@ -486,20 +492,39 @@ def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_
                 runs.sort(key=lambda r: (all(x == _OUT for x in tags_of(r, spans)),
                                          bool(np.searchsorted(odd, r[0][0]) == np.searchsorted(odd, r[-1][1])), (r[0][0] * 7919) % 10007))
                 for run in runs[:per_doc]:
-                    features.append([row + file for row in run_features(t, run)])
+                    features.append([[names.setdefault(f, len(names)) for f in row + file] for row in run_features(t, run)])
                     tags.append(tags_of(run, spans))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(features, pa.list_(pa.list_(pa.string()))), pa.array(tags, pa.list_(pa.int32()))],
-                names=["features", "tags"])
-
-    chosen = docs.filter(text.isNotNull() & odd & (draw < share)).select(text)
-    rows = chosen.mapInArrow(chains, "features array<array<string>>, tags array<int>").toArrow().combine_chunks()
-    found = Chains.of(*(_whole(rows.column(c)) for c in ("features", "tags")))
+                [pa.array(features, pa.list_(pa.list_(pa.int32()))), pa.array(tags, pa.list_(pa.int32())),
+                 pa.array([[*names], *[None] * (len(features) - 1)][:len(features)], pa.list_(pa.string()))],
+                names=["features", "tags", "names"])
+
+    # Few rows are drawn: the patterns look at these alone.
+    most = max(per_class / max(1, counts.get(has_base, 0)) for has_base in (True, False))
+    chosen = docs.filter(text.isNotNull() & (draw < most) & odd & (draw < share)).select(text)
+    rows = chosen.mapInArrow(chains, "features array<array<int>>, tags array<int>, names array<string>").toArrow()
+    features, tags, names = (_whole(rows.column(c)) for c in ("features", "tags", "names"))
     del rows
+    found = _named(features, tags, names)
+    del features, tags, names
     pa.default_memory_pool().release_unused()
     return found
 
 
+def _named(features: pa.Array, tags: pa.Array, names: pa.Array) -> Chains:
+    """Chains whose features are places in the last ``names`` that came, of their own row or one before it."""
+    at = features.flatten().flatten().to_numpy(zero_copy_only=False)
+    ends = np.concatenate([[0], np.cumsum(pc.list_value_length(features.flatten()).to_numpy(zero_copy_only=False))])
+    tokens = np.concatenate([[0], np.cumsum(pc.list_value_length(features).to_numpy(zero_copy_only=False))])
+    firsts = np.flatnonzero(pc.is_valid(names).to_numpy(zero_copy_only=False))
+    places: dict[str, int] = {}
+    found = np.zeros(len(at), np.int32)
+    for first, after in zip(firsts, [*firsts[1:], len(features)]):
+        part = slice(ends[tokens[first]], ends[tokens[after]])
+        found[part] = np.array([places.setdefault(f, len(places)) for f in names[first].as_py()], np.int32)[at[part]]
+    return Chains.coded(features, found, [*places], tags)
+
+
 def _whole(column: pa.ChunkedArray) -> pa.Array:
     return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
 
