@@ -8,7 +8,8 @@ encoding of the whole goes through one of the last ``lookahead`` boundaries, whe
 ``lookahead`` is the longest token of the merge list. The transducer keeps a state for each
 of these boundaries; tokens on which all of them agree are stable and are emitted. The
 last symbol of a word carries the word end, so one symbol is held back. Memory is
-bounded by the lookahead, not by the word. Every piece of a text goes through the transducer;
+bounded by the lookahead, not by the word. The states behind the first letters of a word are kept for the
+next word that begins so. Every piece of a text goes through the transducer;
 pieces and words seen before come from tables of bounded size.
 
 A text is normalised (NFC, white space to one space, lower case letter by letter) and
@@ -42,7 +43,7 @@ from .common import kept_in_worker, slices
 
 CHUNK = 1 << 16
 #: Words, and pieces, kept with their ids in a task: a full table becomes the older one, words met again move to the newer.
-KEPT_WORDS = 120_000
+KEPT_WORDS = 200_000
 _UNREACHED = -2
 _START = -1
 
@@ -75,12 +76,13 @@ class Merges:
         self.symbols = {token: self._symbols(token) for token in self.ids}
         made = {a + b for a, b in pairs}
         self.lookahead = max([1, *(len(self.symbols[t]) for t in made if t in self.symbols)])
-        # The longest token that ends with three given symbols.
-        self.reach: dict[str, int] = {}
+        self.tokens = {i: s for s, i in self.ids.items()}
+        # How long the tokens are that end with three given symbols, the longest first.
+        lengths: dict[str, set[int]] = {}
         for symbols in self.symbols.values():
             if len(symbols) >= 3:
-                last = "".join(symbols[-3:])
-                self.reach[last] = max(self.reach.get(last, 3), len(symbols))
+                lengths.setdefault("".join(symbols[-3:]), {1, 2}).add(len(symbols))
+        self.lengths = {last: tuple(sorted(found, reverse=True)) for last, found in lengths.items()}
         # How each token is made (its first rule is the one that works), and when.
         self.parts: dict[str, tuple[str, str]] = {}
         self.made: dict[str, int] = {}
@@ -88,7 +90,8 @@ class Merges:
             if a + b not in self.parts:
                 self.parts[a + b], self.made[a + b] = (a, b), rank
         self._alone: dict[str, bool] = {}
-        self._beside: dict[tuple[str, str], bool] = {}
+        self._whole: dict[int, bool] = {}
+        self._beside: dict[tuple[int, int], bool] = {}
 
     def _symbols(self, token: str) -> list[str]:
         if self.end and token.endswith(self.end) and token != self.end:
@@ -115,57 +118,68 @@ class Merges:
         latest merge first; a rule for the two pieces must not come before the merge that
         took one of them away (of equal rules the one further left comes first).
         """
-        if (known := self._beside.get((left, right))) is not None:
-            return known
         made, never = self.made, 1 << 60
-        x, y, known = left, right, True
+        x, y = left, right
         x_goes = y_goes = never
         while True:
             rank = self.ranks.get((x, y))
             if rank is not None and rank < x_goes and rank <= y_goes:
-                known = False
-                break
+                return False
             x_made, y_made = made.get(x, -1), made.get(y, -1)
             if x_made < 0 and y_made < 0:
-                break
+                return True
             if x_made > y_made:
                 x, x_goes = self.parts[x][1], x_made
             else:
                 y, y_goes = self.parts[y][0], y_made
+
+    def whole(self, token: int) -> bool:
+        """``alone`` of an id, kept."""
+        known = self._whole[token] = self.alone(self.tokens[token])
+        return known
+
+    def fits(self, left: int, right: int) -> bool:
+        """``beside`` of two ids, kept in a table of bounded size."""
         if len(self._beside) >= 1 << 19:
             self._beside.clear()
-        self._beside[left, right] = known
+        known = self._beside[left, right] = self.beside(self.tokens[left], self.tokens[right])
         return known
 
 
 class Transducer:
     """Symbols of one word in, stable token ids out."""
 
+    #: The states behind so many first letters of a word are kept, for so many beginnings.
+    BEGINNING, BEGINNINGS = 5, 1 << 16
+
     def __init__(self, merges: Merges):
         self.merges = merges
+        self.begun: dict[str, tuple] = {}
         self.reset()
 
     def reset(self) -> None:
         self.held: str | None = None
         self.tail = ""  # the last letters, at most `lookahead`
-        # For each of the last boundaries: the last token and the boundary it starts at.
-        self.states: list[tuple[str | None, int]] = [(None, _START)]
+        # For each of the last boundaries: the id of the last token and the boundary it starts at.
+        self.states: list[tuple[int | None, int]] = [(None, _START)]
         self.first = 0  # boundary of states[0]
         self.sent = 0  # boundary up to which tokens are emitted
 
     def _advance(self, letters: str, end: str = "") -> None:
         """States behind the boundaries after these letters; ``end`` goes with a last single letter."""
         m, states, tail = self.merges, self.states, self.tail
-        ids, reach, fits, whole = m.ids, m.reach, m._beside, m._alone
+        ids, lengths, fits, whole = m.ids, m.lengths, m._beside, m._whole
         n = self.first + len(states)
         for letter in letters:
             tail += letter
-            for back in range(min(len(states), reach.get(tail[-3:] + end, 2)), 0, -1):
+            for back in lengths.get(tail[-3:] + end, (2, 1)):
+                if back > len(states) or (token := ids.get(tail[-back:] + end)) is None:
+                    continue
                 left, reached = states[-back]
-                if reached != _UNREACHED and (token := tail[-back:] + end) in ids:
-                    if left is not None and not (m.beside(left, token) if (f := fits.get((left, token))) is None else f):
+                if reached != _UNREACHED:
+                    if left is not None and not (m.fits(left, token) if (f := fits.get((left, token))) is None else f):
                         continue
-                    if m.alone(token) if (w := whole.get(token)) is None else w:
+                    if m.whole(token) if (w := whole.get(token)) is None else w:
                         states.append((token, n - back))
                         break
             else:
@@ -173,6 +187,23 @@ class Transducer:
             n += 1
         self.tail = tail[-m.lookahead:]
 
+    def word(self, letters: str) -> list[int]:
+        """A word at once. One that the lookahead covers begins with the states that its first letters had before."""
+        if not self.BEGINNING < len(letters) <= self.merges.lookahead:
+            return [*self.feed(letters), *self.finish()]
+        start = letters[:self.BEGINNING]
+        known = self.begun.get(start)
+        if known is None:
+            self._advance(start)
+            if len(self.begun) >= self.BEGINNINGS:
+                self.begun.clear()
+            self.begun[start] = tuple(self.states)
+        else:
+            self.states, self.tail = [*known], start
+        self._advance(letters[self.BEGINNING:-1])
+        self.held = letters[-1]
+        return self.finish()
+
     def _emit(self) -> Iterator[int]:
         """Tokens on which every live boundary agrees."""
         newest = self.first + len(self.states) - 1
@@ -184,7 +215,7 @@ class Transducer:
         path, at = [], ends[0]
         while at > self.sent:
             token, start = self.states[at - self.first]
-            path.append(self.merges.ids[token])
+            path.append(token)
             at = start
         self.sent = max(self.sent, ends[0])
         yield from reversed(path)
@@ -211,7 +242,7 @@ class Transducer:
         out, at = [], self.first + len(self.states) - 1
         while at > self.sent:
             token, at = self.states[at - self.first]
-            out.append(self.merges.ids[token])
+            out.append(token)
         out.reverse()
         self.reset()
         return out
@@ -267,9 +298,13 @@ class Encoder:
         marks = sorted(merges.special, key=len, reverse=True)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, marks)) + ")") if marks else None
 
+    def symbols(self, piece: str) -> str:
+        """The letters of a piece's bytes."""
+        return "".join(map(self.letters.__getitem__, piece.encode("utf-8", "surrogatepass")))
+
     def piece(self, piece: str) -> Iterator[int]:
         """Ids of a piece that the split has made."""
-        yield from self.transducer.feed("".join(map(self.letters.__getitem__, piece.encode("utf-8", "surrogatepass"))))
+        yield from self.transducer.feed(self.symbols(piece))
         yield from self.transducer.finish()
 
     def entry(self, piece: str) -> Entry:
@@ -277,7 +312,7 @@ class Encoder:
         if known is None:
             known = self.older_pieces.get(piece)
             if known is None:
-                known = _entry(self.piece(piece))
+                known = _entry(self.transducer.word(self.symbols(piece)))
             if len(piece) <= self.LONGEST_KEPT:
                 if len(self.pieces) >= self.kept:
                     self.older_pieces, self.pieces = self.pieces, {}
@@ -352,7 +387,11 @@ class Decoder:
 
     def run(self, ids: Iterable[int]) -> str:
         """The text of ids that stand alone."""
-        return " ".join([s for s in map(self.strings.get, ids) if s is not None])
+        ids = ids if isinstance(ids, list | tuple) else [*ids]
+        try:
+            return " ".join(map(self.strings.__getitem__, ids))
+        except KeyError:
+            return " ".join([s for s in map(self.strings.get, ids) if s is not None])
 
 
 def _digest(encoder: Encoder, text: str, with_ids: bool) -> tuple:
