@@ -24,9 +24,9 @@ Candidates grow with the number of documents, not of pairs:
    set are put in one order of all shingles, those of few documents first: a table of ``PLACES`` counts over all documents,
    of fixed size (shingles of one place are counted together). At the first shingle that two linked
    sets share, at places p and q, the rest of both holds the overlap that a link needs:
-   ``(100 + SHARED) * min(n - p, m - q) >= SHARED * (n + m)``. Places that can meet this with no partner are not written, shingles
-   that stay within one component are dropped, and the others are joined under that condition and that of a sketch of each set,
-   whose bits cannot differ more than the sets. The order decides only how many pairs are tried, not which links are found.
+   ``(100 + SHARED) * min(n - p, m - q) >= SHARED * (n + m)``. Places that can meet this with no partner are not written. Shingles
+   that stay within one component are dropped, and postings that no other one of their shingle can be linked with, by places, sizes and, of two,
+   sketches; the others are joined under that condition and that of a sketch of each set, whose bits cannot differ more than the sets. The order decides only how many pairs are tried, not which links are found.
 
 Every link is confirmed on the full sets.
 
@@ -40,6 +40,7 @@ of all columns); rows equal in all columns are one row; texts without words are
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -64,6 +65,8 @@ PLACES, BLOCK = 1 << 23, 1 << 12
 #: 64-bit words of the sketch that goes with each posting.
 SHORT = 4
 BITMAP_BITS = 1 << 23
+#: Sizes of sets are told apart by this factor when a shingle's postings are looked at together.
+BAND = 1.02
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -151,21 +154,31 @@ class Hasher:
 
 
 def sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
-    """doc_id, n_shingles, digest (of the set), signature, for each row."""
+    """doc_id, n_shingles, digest (of the set), signature, for each row; beside them, for each task, rows of block and counts only.
+
+    The texts are cut once for both. A task counts in ``PLACES`` bytes for how many of its texts a shingle stands at each place (at most 255).
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h: Hasher = kept_in_worker(f"neardup-hasher-{width}", lambda: Hasher(width))
+        types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.binary()]
+        names = ["doc_id", "n_shingles", "digest", "signature", "block", "counts"]
+        table = np.zeros(PLACES, np.uint8)
         for batch in slices(batches):
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 s = h.shingles(text)
+                at = places(s)
+                table[at] += table[at] < 255
                 rows.append((doc_id, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(),
-                             h.signature(s).astype(">u4").tobytes() if len(s) else None))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64(), pa.int64(), pa.binary(), pa.binary()])],
-                names=["doc_id", "n_shingles", "digest", "signature"])
+                             h.signature(s).astype(">u4").tobytes() if len(s) else None, None, None))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+        for block, part in enumerate(table.reshape(-1, BLOCK)):
+            if part.any():
+                row = (None, None, None, None, block, zlib.compress(part.tobytes(), 1))
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, n_shingles long, digest binary, signature binary")
+        run, "doc_id long, n_shingles long, digest binary, signature binary, block int, counts binary")
 
 
 def orders(classes: DataFrame) -> DataFrame:
@@ -349,37 +362,27 @@ def places(shingles: np.ndarray) -> np.ndarray:
 
 
 def document_counts(docs: DataFrame, text_col: str, width: int) -> np.ndarray:
-    """For each place, how many documents have a shingle there (at most 65,535), over all documents.
+    """For each place, how many documents have a shingle there (at most 65,535), over all documents."""
+    return summed_counts(sets(docs.select(F.lit(None).alias("id"), F.col(text_col).alias("text")), "id", "text", width))
 
-    A task counts in ``PLACES`` bytes (at most 255 a place); the tables of all tasks are summed block by block.
-    """
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        h: Hasher = kept_in_worker(f"neardup-hasher-{width}", lambda: Hasher(width))
-        table = np.zeros(PLACES, np.uint8)
-        for batch in slices(batches):
-            for text in batch.column(0):
-                at = places(h.shingles(text.as_py()))
-                table[at] += table[at] < 255
-        for block, part in enumerate(table.reshape(-1, BLOCK)):
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([part.tobytes()])],
-                                                 names=["block", "counts"])
 
+def summed_counts(found: DataFrame) -> np.ndarray:
+    """``document_counts`` of what ``sets`` gives: the tables of its tasks are summed block by block."""
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if block not in sums:
                     sums[block] = np.zeros(BLOCK, np.uint32)
-                sums[block] += np.frombuffer(counts.as_buffer(), np.uint8)
+                sums[block] += np.frombuffer(zlib.decompress(counts.as_buffer()), np.uint8)
         for block, counts in sums.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block], pa.int32()), pa.array([np.minimum(counts, 65535).astype(np.uint16).tobytes()])],
                 names=["block", "counts"])
 
     schema = "block int, counts binary"
-    with shuffles_dropped(docs.sparkSession):
-        found = (docs.select(F.col(text_col).alias("text")).mapInArrow(count, schema)
+    with shuffles_dropped(found.sparkSession):
+        found = (found.filter("block is not null").select("block", "counts")
                  .repartition("block").mapInArrow(total, schema).toArrow())
     table = np.zeros((PLACES // BLOCK, BLOCK), np.uint16)
     for block, counts in zip(found.column(0).to_pylist(), found.column(1)):
@@ -464,23 +467,57 @@ def prefixes(docs: DataFrame, counts: np.ndarray, id_col: str, text_col: str, wi
     return rows.mapInArrow(run, "node long, digest binary, n long, sketch binary, short array<long>, rare array<long>").filter("n > 0")
 
 
+def with_partner(rows: DataFrame, words: list[str]) -> DataFrame:
+    """The postings that another one of their shingle may be linked with (rows: shingle, node, label, n, rest, words of the sketch).
+
+    What is known of a shingle's postings together decides, so no pair is made: a shingle of one component
+    alone makes none. Of two postings, places, sizes and sketches (their exclusive or) are compared in full. Of more, a
+    posting stays if one of another size that its place allows may be there: sizes are marked as bands in 64 bits, one band
+    a factor of ``BAND``, sizes further apart share a bit.
+    """
+    def band(size: str) -> str:
+        return f"cast(floor(ln({size}) / ln({BAND}D)) as int)"
+
+    of = Window.partitionBy("shingle")
+    rows = rows.withColumn("bit", F.expr(f"shiftleft(1L, pmod({band('n')}, 64))"))
+    rows = rows.withColumns({
+        "k": F.count("*").over(of), "low": F.min("label").over(of), "high": F.max("label").over(of),
+        "all_n": F.sum("n").over(of), "least": F.min("rest").over(of),
+        "bits": F.bit_or("bit").over(of), "odd": F.bit_xor("bit").over(of),
+        **{f"x_{w}": F.bit_xor(w).over(of) for w in words}})
+    differ = " + ".join(f"bit_count(x_{w})" for w in words)
+    two = f"{100 + SHARED} * least >= {SHARED} * all_n and {differ} <= {_bits_apart('all_n')}"
+    # Sizes of partners: SHARED percent of n at least, and what the place leaves at most.
+    most = f"({100 + SHARED}D * rest / {SHARED} - n)"
+    # A band more on either side, for rounding.
+    first, last = f"({band(f'{SHARED / 100}D * n')} - 1)", f"({band(f'greatest({most}, 1D)')} + 1)"
+    run = f"(shiftleft(1L, least({last} - {first} + 1, 63)) - 1)"
+    start = f"pmod({first}, 64)"
+    wanted = f"(shiftleft({run}, {start}) | if({start} = 0, 0L, shiftrightunsigned({run}, 64 - {start})))"
+    # The own band counts if it holds another: an even number, or three, which leaves at most k - 2 bands.
+    others = "(bits & ~if((odd & bit) = 0 or bit_count(bits) <= k - 2, 0L, bit))"
+    many = f"{last} >= {first} and ({others} & {wanted}) != 0"
+    return rows.filter("k > 1 and low < high").filter(f"if(k = 2, {two}, {many})")
+
+
+def _bits_apart(both: str) -> str:
+    """SQL: in how many shingles two linked sets of so many together may differ."""
+    return f"({both} - 2 * (({SHARED} * ({both}) + {99 + SHARED}) div {100 + SHARED}))"
+
+
 def across(prefix: DataFrame, scratch: Scratch) -> DataFrame:
     """a, b: all pairs of different components whose prefixes and sketches allow a link (prefix: node, label, n, sketch, short, rare)."""
     known = scratch.written(prefix.select("node", "label", "n", "sketch", "short", "rare"), "neardup-prefixes")
     words = [f"s{i}" for i in range(SHORT)]
     rows = known.select("node", "label", "n", *[F.get("short", F.lit(i)).alias(w) for i, w in enumerate(words)],
-                        F.posexplode("rare").alias("pos", "shingle"))
-    # A shingle of one component alone, most of all one of one set alone, makes no pair.
-    spread = (rows.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-              .filter("low < high").select("shingle"))
-    rows = scratch.written(rows.join(spread, "shingle").select("shingle", "node", "label", "n", *words, (F.col("n") - F.col("pos")).alias("rest")),
-                           "neardup-postings")
+                        F.posexplode("rare").alias("pos", "shingle")).withColumn("rest", F.col("n") - F.col("pos")).drop("pos")
+    rows = scratch.written(with_partner(rows, words).select("shingle", "node", "label", "n", *words, "rest"), "neardup-postings")
     one, two = (rows.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "label", "n", "rest", *words)])
                 for side in "ab")
     enough = (100 + SHARED) * F.least("rest_a", "rest_b") >= SHARED * (F.col("n_a") + F.col("n_b"))
     # The join itself refuses pairs whose sketches differ in more bits than linked sets can in shingles.
     differ = sum((F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in words), F.lit(0))
-    close = differ <= F.expr(f"n_a + n_b - 2 * (({SHARED} * (n_a + n_b) + {99 + SHARED}) div {100 + SHARED})")
+    close = differ <= F.expr(_bits_apart("n_a + n_b"))
     pairs = one.join(two, "shingle").filter(
         (F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & enough & close)
     pairs = scratch.written(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "neardup-pairs")
@@ -491,7 +528,8 @@ def across(prefix: DataFrame, scratch: Scratch) -> DataFrame:
 def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, for each row of ``docs``."""
     scratch = Scratch(docs.sparkSession)
-    rows = scratch.written(sets(docs, id_col, text_col, width), "neardup-signatures")
+    found = scratch.written(sets(docs, id_col, text_col, width), "neardup-signatures")
+    rows = found.filter("block is null").select("doc_id", "n_shingles", "digest", "signature")
     full = rows.filter("n_shingles > 0 and doc_id is not null")
     of_class = scratch.written(full.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count("*").alias("n")),
                                "neardup-classes")
@@ -535,7 +573,7 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     # Labels meet the classes first, so prefixes are dealt out once.
     heads = of_class.select("digest", "node").join(labels.select("node", "label"), "node", "left").select(
         "digest", "node", F.coalesce("label", "node").alias("label"))
-    prefix = prefixes(docs, document_counts(docs, text_col, width), id_col, text_col, width).join(heads, ["digest", "node"])
+    prefix = prefixes(docs, summed_counts(found), id_col, text_col, width).join(heads, ["digest", "node"])
     left = scratch.written(across(prefix, scratch).join(tried.select("a", "b"), ["a", "b"], "left_anti"), "neardup-left")
     ends = left.select(F.col("a").alias("node")).union(left.select("b"))
     rest = set_table(docs, ends, id_col, text_col, width, scratch)
