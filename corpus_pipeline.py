@@ -17,6 +17,8 @@ from veristar.llm.common import fold, table, written
 
 TOXIC_FOLDS, TOXIC_HELD = 3, 1
 NEAR_WORDS = 5
+#: Words that a worker of the last stage keeps: few, as the executors' memory has grown in the stages before.
+KEPT_WORDS = 100_000
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +48,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row of the mix, decoded for a check: doc_id, n_tokens, ids_sha256, decoded_sha256, ids."""
-    return bpe.encode_documents(docs, bpe.vocabulary(), with_ids=True)
+    return bpe.encode_documents(docs, bpe.vocabulary(), with_ids=True, kept=KEPT_WORDS)
 
 
 STAGES = [

@@ -32,7 +32,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import pyarrow as pa
 import regex
@@ -42,8 +42,8 @@ from pyspark.sql import functions as F
 from .common import kept_in_worker, slices
 
 CHUNK = 1 << 16
-#: Words, and pieces, kept with their ids in a task: a full table becomes the older one, words met again move to the newer.
-KEPT_WORDS = 200_000
+#: Words and pieces kept with their ids in a task: a full table becomes the older one, words met again move to the newer.
+KEPT_WORDS = 500_000
 _UNREACHED = -2
 _START = -1
 
@@ -140,7 +140,7 @@ class Merges:
 
     def fits(self, left: int, right: int) -> bool:
         """``beside`` of two ids, kept in a table of bounded size."""
-        if len(self._beside) >= 1 << 19:
+        if len(self._beside) >= 1 << 18:
             self._beside.clear()
         known = self._beside[left, right] = self.beside(self.tokens[left], self.tokens[right])
         return known
@@ -308,15 +308,14 @@ class Encoder:
         yield from self.transducer.finish()
 
     def entry(self, piece: str) -> Entry:
-        known = self.pieces.get(piece)
+        """Ids of a piece. An ASCII piece is also the word that it spells and stands in the words' table, once."""
+        plain = piece.isascii()
+        known = (self.words if plain else self.pieces).get(piece)
         if known is None:
-            known = self.older_pieces.get(piece)
+            known = (self.older_words if plain else self.older_pieces).get(piece)
             if known is None:
                 known = _entry(self.transducer.word(self.symbols(piece)))
-            if len(piece) <= self.LONGEST_KEPT:
-                if len(self.pieces) >= self.kept:
-                    self.older_pieces, self.pieces = self.pieces, {}
-                self.pieces[piece] = known
+            self._keep(piece, known, plain)
         return known
 
     def word(self, word: str) -> Entry:
@@ -326,6 +325,8 @@ class Encoder:
         if word.isascii():
             plain = word.lower()
             pieces = [plain] if plain.isalpha() else ASCII_PIECES.findall(plain)
+            if len(pieces) == 1 and plain == word:
+                return self.entry(word)
         else:
             plain = normalise(word)
             pieces = [plain] if plain.isalpha() else PIECES.findall(plain)
@@ -342,11 +343,16 @@ class Encoder:
         while lot := tuple(islice(ids, CHUNK)):
             yield [_entry(lot)]
 
-    def _keep(self, word: str, entry: Entry) -> Entry:
+    def _keep(self, word: str, entry: Entry, as_word: bool = True) -> Entry:
         if len(word) <= self.LONGEST_KEPT:
-            if len(self.words) >= self.kept:
-                self.older_words, self.words = self.words, {}
-            self.words[word] = entry
+            if as_word:
+                if len(self.words) >= self.kept:
+                    self.older_words, self.words = self.words, {}
+                self.words[word] = entry
+            else:
+                if len(self.pieces) >= self.kept // 2:
+                    self.older_pieces, self.pieces = self.pieces, {}
+                self.pieces[word] = entry
         return entry
 
     def encode(self, text: str) -> Iterator[list[Entry]]:
@@ -401,7 +407,7 @@ def _digest(encoder: Encoder, text: str, with_ids: bool) -> tuple:
     for entries in encoder.encode(text):
         if not entries:
             continue
-        ids = [i for entry in entries for i in entry[0]]
+        ids = [*chain.from_iterable([entry[0] for entry in entries])]
         n += len(ids)
         ids_hash.update((lead + " ".join([entry[1] for entry in entries])).encode())
         text_hash.update(decoder.feed(ids).encode())
@@ -412,9 +418,10 @@ def _digest(encoder: Encoder, text: str, with_ids: bool) -> tuple:
 
 
 def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
-                     with_ids: bool = False) -> DataFrame:
+                     with_ids: bool = False, kept: int = KEPT_WORDS) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids), a row for each row of ``docs``.
 
+    ``kept``: how many words a worker's table holds; fewer take less memory and more time.
     ``vocabulary``: the tokenizer file's content. It goes to the workers once, as a broadcast
     of a fixed size (1.7 MB). A worker keeps its tables for its next tasks.
     """
@@ -425,7 +432,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
     key = hashlib.sha256(vocabulary.encode()).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = kept_in_worker(f"bpe-{key}", lambda: Encoder(Merges(shared.value)))
+        encoder = kept_in_worker(f"bpe-{key}-{kept}", lambda: Encoder(Merges(shared.value), kept))
         for batch in slices(batches, 64):
             rows = [(doc_id, *_digest(encoder, text or "", with_ids))
                     for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
