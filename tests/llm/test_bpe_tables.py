@@ -23,10 +23,10 @@ def test_tables_stay_bounded_and_ids_the_same():
 def test_the_pipeline_keeps_fewer_words(spark, monkeypatch):
     import corpus_pipeline
 
-    seen = {}
+    seen, encode = {}, bpe.encode_documents
     monkeypatch.setattr(corpus_pipeline.bpe, "encode_documents", lambda docs, vocabulary, **k: seen.update(k))
     corpus_pipeline.encode(spark, None, "")
     assert seen["with_ids"] and seen["kept"] < bpe.KEPT_WORDS
     docs = spark.createDataFrame([(1, "one two three one")], "doc_id long, text string")
-    few, many = (bpe.encode_documents(docs, bpe.vocabulary(), with_ids=True, kept=k).collect() for k in (1, 1000))
+    few, many = (encode(docs, bpe.vocabulary(), with_ids=True, kept=k).collect() for k in (1, 1000))
     assert few == many
