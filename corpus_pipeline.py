@@ -18,7 +18,7 @@ from veristar.llm.common import fold, table, written
 TOXIC_FOLDS, TOXIC_HELD = 3, 1
 NEAR_WORDS = 5
 #: Words that a worker of the last stage keeps: few, as the executors' memory has grown in the stages before.
-KEPT_WORDS = 100_000
+KEPT_WORDS = 60_000
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
