@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import cached_property
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,9 +17,19 @@ from pyspark.sql.types import StringType
 
 from ..functions import text as T
 from ..functions.sentiment import model_sentiment_columns
+from ..session import materialize
 from ..sources import params as P
 from .lookup import small, token_test
 
+if TYPE_CHECKING:
+    from .model_sentiment import PlaceWeights
+
+WEIGHTS = ("w_neg", "w_neu", "w_pos")
+# Sums over a review's tokens by a head that knows its weights by place.
+PLACE_SUMS = ("place_neg", "place_neu", "place_pos")
+# Most tokens have no punctuation at their ends; to look is cheaper than to trim.
+_EDGE_MARK = rf"^{T.PUNCTUATION_MARK}|{T.PUNCTUATION_MARK}\z"
+
 
 @dataclass
 class SentimentTables:
@@ -30,17 +41,20 @@ class SentimentTables:
     head: DataFrame | None = None  # token, w_neg, w_neu, w_pos
     bias: tuple[float, float, float] = (0.0, 0.0, 0.0)
     contrast: str = P.CONTRAST_WORD
+    # A head by place (``model_sentiment.PlaceWeights``) whose table is ``head``, and the reviews, as a condition,
+    # all of whose tokens are in that table, such as those of the fit. Tokens of other reviews are looked up there.
+    places: PlaceWeights | None = None
+    covered: Column | None = None
 
     @cached_property
     def facts(self) -> DataFrame:
         """One row per known token: valence (boosters carry none) and head weights."""
         nothing = F.lit(None).cast("double")
-        weights = ("w_neg", "w_neu", "w_pos")
         parts = self.lexicon.join(self.boosters.select("token"), "token", "left_anti").select(
-            "token", "valence", *[nothing.alias(w) for w in weights])
-        if self.head is not None:
-            parts = parts.unionByName(self.head.select("token", nothing.alias("valence"), *weights))
-        merged = parts.groupBy(F.col("token").alias("hit")).agg(*[F.max(c).alias(c) for c in ("valence", *weights)])
+            "token", "valence", *[nothing.alias(w) for w in WEIGHTS])
+        if self.head is not None and self.places is None:
+            parts = parts.unionByName(self.head.select("token", nothing.alias("valence"), *WEIGHTS))
+        merged = parts.groupBy(F.col("token").alias("hit")).agg(*[F.max(c).alias(c) for c in ("valence", *WEIGHTS)])
         return small(merged)
 
     @cached_property
@@ -68,9 +82,11 @@ def is_upper(token: Column) -> Column:
 
 def sentiment_tokens(text: Column) -> Column:
     """Tokens without edge punctuation; very short ones, such as emoticons, stay whole."""
-    raw = T.spaced_tokens(text)
-    cores = F.transform(raw, lambda t: F.btrim(t, F.lit(T.PUNCTUATION)))
-    return F.zip_with(raw, cores, lambda t, core: F.when(F.length(core) <= 2, t).otherwise(core))
+    def core_or_token(token: Column) -> Column:
+        core = F.btrim(token, F.lit(T.PUNCTUATION))
+        return F.when(token.rlike(_EDGE_MARK) & (F.length(core) > 2), core).otherwise(token)
+
+    return F.transform(T.spaced_tokens(text), core_or_token)
 
 
 def _emphasis(text: Column) -> Column:
@@ -102,40 +118,66 @@ def sentiment_scores(reviews: DataFrame, tables: SentimentTables, carry: dict[st
     row = "_row"
     while row.lower() in {c.lower() for c in (id_col, *carry)}:
         row = f"_{row}"
+    toks = (sentiment_tokens(text) if tokens is None else tokens).alias("toks")
+    kept = [F.monotonically_increasing_id().alias(row), F.col(id_col), *[c.alias(n) for n, c in carry.items()],
+            _emphasis(text).alias("emphasis"), toks]
+    if tables.places is None:
+        return _shares(_sums(reviews.select(*kept), tables, row, id_col, list(carry)), tables, id_col, list(carry))
+    covered = F.lit(False) if tables.covered is None else F.coalesce(tables.covered, F.lit(False))
+    sums = _sums(reviews.where(covered).select(*kept), tables, row, id_col, list(carry))
+    # Written once, as two branches meet by the row's key.
+    others = materialize(reviews.where(~covered).select(*kept), "others")
+    found = others.select(row, F.explode(F.transform("toks", F.lower)).alias("token"))
+    strange = found.join(tables.head.select("token"), "token", "left_anti").groupBy(row).agg(
+        F.collect_list("token").alias("token"))
+    less = [F.col(c).alias(f"less_{c}") for c in PLACE_SUMS]
+    looked_up = _sums(others, tables, row, id_col, list(carry)).join(
+        tables.places.sums(strange, "token").select(row, *less), row, "left")
+    # A token that the table lacks adds nothing.
+    known = looked_up.withColumns({w: F.col(w) - F.coalesce(F.col(f"less_{c}"), F.lit(0.0)) for w, c in zip(WEIGHTS, PLACE_SUMS)})
+    return _shares(sums.unionByName(known.select(*sums.columns)), tables, id_col, list(carry))
+
+
+def _sums(split: DataFrame, tables: SentimentTables, row: str, id_col: str, carry: list[str]) -> DataFrame:
+    """One row per review: what the lexicon and the head add up to over its tokens."""
     per_review = (
-        reviews.select(F.monotonically_increasing_id().alias(row), F.col(id_col), *[c.alias(n) for n, c in carry.items()],
-                       _emphasis(text).alias("emphasis"),
-                       (sentiment_tokens(text) if tokens is None else tokens).alias("toks"))
-        .withColumns({"n_toks": F.size("toks"), "n_caps": F.size(F.filter("toks", is_upper)),
-                      "keys": F.transform("toks", F.lower)})
+        split.withColumns({"n_toks": F.size("toks"), "n_caps": F.size(F.filter("toks", is_upper)),
+                           "keys": F.transform("toks", F.lower)})
         .withColumns({"contrast_at": F.array_position("keys", tables.contrast) - 1,
                       "mixed_case": (F.col("n_caps") > 0) & (F.col("n_caps") < F.col("n_toks"))})
     )
+    by_place = list(PLACE_SUMS) if tables.places else []
+    if by_place:
+        per_review = tables.places.sums(per_review, "keys")
     places = "case when n_toks > 0 then sequence(0, n_toks - 1) else cast(array() as array<int>) end"
     if tables.known:
         places = f"filter({places}, i -> {tables.known('get(keys, i)')})"
     # A review without any known word keeps one row, with an empty token.
+    fixed = [row, id_col, *carry, *by_place, "emphasis", "n_toks", "contrast_at", "mixed_case"]
     rows = per_review.select(
-        row, id_col, *carry, "emphasis", "n_toks", "contrast_at", "mixed_case",
+        *fixed,
         F.explode_outer(F.expr(
             f"transform({places}, i -> struct(i as pos, get(toks, i) as t, "
             "get(toks, i - 1) as p1, get(toks, i - 2) as p2, get(toks, i - 3) as p3))")).alias("tok"),
-    ).select(row, id_col, *carry, "emphasis", "n_toks", "contrast_at", "mixed_case", "tok.*")
+    ).select(*fixed, "tok.*")
     hits = rows.join(tables.facts, F.lower(F.col("t")) == F.col("hit"), "left")
-    kept = list(carry)
     hits = _with_valence(hits, tables)
 
-    weights = [F.sum(w).alias(w) for w in ("w_neg", "w_neu", "w_pos")]
+    weights = [F.any_value(c).alias(w) for w, c in zip(WEIGHTS, by_place)] or [F.sum(w).alias(w) for w in WEIGHTS]
     # Strings go with the key: in an aggregation buffer they would force a sort.
-    strings = [f.name for f in per_review.schema if f.name in kept and isinstance(f.dataType, StringType)]
-    numbers = [c for c in kept if c not in strings]
-    sums = hits.groupBy(row, id_col, *strings).agg(
+    strings = [f.name for f in per_review.schema if f.name in carry and isinstance(f.dataType, StringType)]
+    numbers = [c for c in carry if c not in strings]
+    return hits.groupBy(row, id_col, *strings).agg(
         *[F.any_value(c).alias(c) for c in (*numbers, "emphasis", "n_toks")],
         F.sum("v").alias("s"), *weights,
     )
+
+
+def _shares(sums: DataFrame, tables: SentimentTables, id_col: str, kept: list[str]) -> DataFrame:
+    """Both scores from a review's sums."""
     logits = {
         z: f"{float(b)}D + coalesce({w}, 0.0D) / greatest(n_toks, 1) as {z}"
-        for z, b, w in zip(("z_neg", "z_neu", "z_pos"), tables.bias, ("w_neg", "w_neu", "w_pos"))
+        for z, b, w in zip(("z_neg", "z_neu", "z_pos"), tables.bias, WEIGHTS)
     }
     totals = sums.selectExpr(
         id_col, *kept, "n_toks = 0 as blank",

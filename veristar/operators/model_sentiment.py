@@ -8,9 +8,10 @@ three logits per text, softmax, ``compound = positive - negative``.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -18,13 +19,42 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.sentiment import model_sentiment_columns
-from ..session import materialize
-from .lexicon import sentiment_tokens
+from ..session import materialize, path_bytes, remove_path, shared_dir
+from .lexicon import PLACE_SUMS, sentiment_tokens
 from .lookup import small
+from .rowterms import free_name
 
 CLASSES = ("w_neg", "w_neu", "w_pos")
 # Places of the hashed tokens; the fitted head has three numbers for each.
 HEAD_WIDTH = 1 << 16
+# In each step of the fit every partition writes a gradient. Partitions of hashed reviews hold so many times a
+# gradient's bytes at least, so that all steps together write less than the input; up to five are summed without a shuffle.
+PART_OVER_GRADIENT = 48
+UNSHUFFLED_PARTS = 5
+
+
+@dataclass(frozen=True)
+class PlaceWeights:
+    """The fitted weights by place: sums over a row's tokens without a look into the table of tokens."""
+
+    width: int
+    model: LogisticRegressionModel
+    bias: tuple[float, float, float]
+
+    def sums(self, df: DataFrame, tokens: str) -> DataFrame:
+        """Add ``PLACE_SUMS``: the weights of the array's tokens, each as often as it occurs."""
+        counts, margin = free_name(df, "_counts"), free_name(df, "_margin")
+        hashed = HashingTF(numFeatures=self.width, inputCol=tokens, outputCol=counts).transform(df)
+        head = self.model.copy().setFeaturesCol(counts).setRawPredictionCol(margin).setProbabilityCol("").setPredictionCol("")
+        margins = head.transform(hashed).withColumn(margin, vector_to_array(margin))
+        return margins.withColumns({c: F.coalesce(F.get(margin, F.lit(k)) - b, F.lit(0.0))
+                                    for k, (c, b) in enumerate(zip(PLACE_SUMS, self.bias))}).drop(counts, margin)
+
+
+class FittedHead(tuple):
+    """The pair of the head's table and its biases; ``places`` holds the same weights by place."""
+
+    places: PlaceWeights
 
 
 def weak_label(rating: Column) -> Column:
@@ -33,20 +63,29 @@ def weak_label(rating: Column) -> Column:
 
 
 def fit_head(reviews: DataFrame, width: int = HEAD_WIDTH, reg: float = 1e-3,
-             max_iter: int = 50) -> tuple[DataFrame, tuple[float, float, float]]:
+             max_iter: int = 50) -> FittedHead:
     """Fit token weights and biases on all rated reviews.
 
     The inputs are token shares per review, hashed into ``width`` places within the row, so the score of
     a review is a plain sum over its tokens. Every token of the rated reviews gets the weights of its place;
-    a review without tokens is an empty vector.
+    a review without tokens is an empty vector. The hashed reviews are written once for the fit.
     """
+    spark = reviews.sparkSession
     rated = reviews.where(F.col("rating").isNotNull()).select(
         weak_label(F.col("rating")).alias("target"),
         F.transform(sentiment_tokens(T.text_or_empty(F.col("review_text"))), F.lower).alias("toks"))
     hashed = HashingTF(numFeatures=width, inputCol="toks", outputCol="counts")
     shares = Normalizer(p=1.0, inputCol="counts", outputCol="features")
-    model = LogisticRegression(featuresCol="features", labelCol="target", family="multinomial", regParam=reg,
-                               maxIter=max_iter, standardization=False).fit(shares.transform(hashed.transform(rated)))
+    head = LogisticRegression(featuresCol="features", labelCol="target", family="multinomial", regParam=reg,
+                              maxIter=max_iter, standardization=False)
+    path = shared_dir(spark, "features")
+    try:
+        hashed.transform(rated).select("target", "counts").write.parquet(path)
+        parts = path_bytes(spark, path) // (PART_OVER_GRADIENT * 8 * len(CLASSES) * width)
+        counted = spark.read.parquet(path).coalesce(max(UNSHUFFLED_PARTS, parts))
+        model = head.fit(shares.transform(counted))
+    finally:
+        remove_path(spark, path)
     bias = [float(b) for b in model.interceptVector.toArray()]
     bias += [0.0] * (len(CLASSES) - len(bias))
     # A token alone is a vector of its one place: its margins less the biases are its weights.
@@ -56,7 +95,9 @@ def fit_head(reviews: DataFrame, width: int = HEAD_WIDTH, reg: float = 1e-3,
         "token", vector_to_array("rawPrediction").alias("margin"))
     weights = [F.coalesce(F.get("margin", F.lit(k)) - b, F.lit(0.0)).alias(c)
                for k, (c, b) in enumerate(zip(CLASSES, bias))]
-    return materialize(margins.select("token", *weights), "head"), tuple(bias)
+    fitted = FittedHead((materialize(margins.select("token", *weights), "head"), tuple(bias)))
+    fitted.places = PlaceWeights(width, model, tuple(bias))
+    return fitted
 
 
 def score_with(reviews: DataFrame, load_model: Callable[[], Callable[[list[str]], "pd.DataFrame"]],

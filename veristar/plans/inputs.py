@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cleaning import clean_reviews
 from ..operators.features import extract_features
 from ..operators.lexicon import SentimentTables
+from ..operators.lookup import small
 from ..sources import params as P
 from ..sources.readers import read_table
 
@@ -79,14 +80,17 @@ STOP_WORDS = [
 ]
 
 
+def _rating() -> Column:
+    return F.when(F.col("doc_id") % 17 != 0, (F.col("doc_id") % 5 + 1).cast("double"))
+
+
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and labels as a raw review file with gaps and untidy labels."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", ["doc_id", "text", "source"])
     labels = read_table(spark, sf_dir, "labels", columns=["doc_id", "quality"])
-    rating = F.when(F.col("doc_id") % 17 != 0, (F.col("doc_id") % 5 + 1).cast("double"))
     label = F.when(F.col("quality") == 0, F.lit(" cg ")).when(F.col("quality") == 1, F.lit("or"))
     return docs.join(labels, "doc_id", "left").select(
-        F.col("doc_id").alias("review_id"), F.col("source").alias("category"), rating.alias("rating"),
+        F.col("doc_id").alias("review_id"), F.col("source").alias("category"), _rating().alias("rating"),
         label.alias("label"), F.col("text").alias("text_"))
 
 
@@ -95,6 +99,20 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_reviews(spark, sf_dir).withColumnRenamed("text_", "review_text")
 
 
+def rated_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``reviews`` without category and label.
+
+    A label only decides how often its review comes, so the texts meet the ids that are labelled
+    more than once instead of being shuffled to all labels.
+    """
+    docs = read_table(spark, sf_dir, "documents", "doc_id", ["doc_id", "text"])
+    labels = read_table(spark, sf_dir, "labels", columns=["doc_id"])
+    repeated = labels.groupBy("doc_id").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    each = F.explode(F.expr("sequence(1L, coalesce(times, 1L))"))
+    return docs.join(small(repeated), "doc_id", "left").select("doc_id", "text", each.alias("time")).select(
+        F.col("doc_id").alias("review_id"), _rating().alias("rating"), F.col("text").alias("review_text"))
+
+
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_reviews(raw_reviews(spark, sf_dir)).withColumnRenamed("text_", "review_text")
 

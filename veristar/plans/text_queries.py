@@ -223,9 +223,10 @@ def extract(spark, sf):
 @query("model_sentiment")
 def model_sentiment(spark, sf):
     """Fit the head on the rated reviews, then score all of them."""
-    reviews = I.reviews(spark, sf)
-    head, bias = M.fit_head(reviews)
-    tables = L.SentimentTables(P.sample_lexicon(spark), P.default_boosters(spark), P.default_negations(spark), head, bias)
+    reviews = I.rated_texts(spark, sf)
+    fitted = M.fit_head(reviews)
+    tables = L.SentimentTables(P.sample_lexicon(spark), P.default_boosters(spark), P.default_negations(spark), *fitted,
+                               places=fitted.places, covered=F.col("rating").isNotNull())
     return L.sentiment_scores(reviews, tables).select("review_id", "model_sentiment", "model_neg", "model_neu", "model_pos")
 
 

@@ -53,6 +53,12 @@ def remove_path(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a written intermediate table."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(hadoop).getLength()
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Give a *scan* enough tasks for the text work that follows.
 
