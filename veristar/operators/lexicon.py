@@ -27,8 +27,6 @@ if TYPE_CHECKING:
 WEIGHTS = ("w_neg", "w_neu", "w_pos")
 # Sums over a review's tokens by a head that knows its weights by place.
 PLACE_SUMS = ("place_neg", "place_neu", "place_pos")
-# Most tokens have no punctuation at their ends; to look is cheaper than to trim.
-_EDGE_MARK = rf"^{T.PUNCTUATION_MARK}|{T.PUNCTUATION_MARK}\z"
 
 
 @dataclass
@@ -80,13 +78,24 @@ def is_upper(token: Column) -> Column:
     return (token == F.upper(token)) & (token != F.lower(token))
 
 
+def _core(token: Column) -> Column:
+    return F.btrim(token, F.lit(T.PUNCTUATION))
+
+
+def _core_or_whole(token: Column, core: Column) -> Column:
+    return F.when(F.length(core) <= 2, token).otherwise(core)
+
+
 def sentiment_tokens(text: Column) -> Column:
     """Tokens without edge punctuation; very short ones, such as emoticons, stay whole."""
-    def core_or_token(token: Column) -> Column:
-        core = F.btrim(token, F.lit(T.PUNCTUATION))
-        return F.when(token.rlike(_EDGE_MARK) & (F.length(core) > 2), core).otherwise(token)
+    # Pairs, so that the text is split once.
+    pairs = F.transform(T.spaced_tokens(text), lambda t: F.struct(t.alias("whole"), _core(t).alias("core")))
+    return F.transform(pairs, lambda pair: _core_or_whole(pair["whole"], pair["core"]))
+
 
-    return F.transform(T.spaced_tokens(text), core_or_token)
+def sentiment_token(raw: Column) -> Column:
+    """The same for one token of ``spaced_tokens``."""
+    return _core_or_whole(raw, _core(raw))
 
 
 def _emphasis(text: Column) -> Column:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions.sentiment import model_sentiment_columns
 from ..session import materialize, path_bytes, remove_path, shared_dir
-from .lexicon import PLACE_SUMS, sentiment_tokens
+from .lexicon import PLACE_SUMS, sentiment_token, sentiment_tokens
 from .lookup import small
 from .rowterms import free_name
 
@@ -72,15 +72,15 @@ def fit_head(reviews: DataFrame, width: int = HEAD_WIDTH, reg: float = 1e-3,
     """
     spark = reviews.sparkSession
     rated = reviews.where(F.col("rating").isNotNull()).select(
-        weak_label(F.col("rating")).alias("target"),
-        F.transform(sentiment_tokens(T.text_or_empty(F.col("review_text"))), F.lower).alias("toks"))
+        weak_label(F.col("rating")).alias("target"), T.text_or_empty(F.col("review_text")).alias("text"))
+    split = rated.withColumn("toks", F.transform(sentiment_tokens(F.col("text")), F.lower))
     hashed = HashingTF(numFeatures=width, inputCol="toks", outputCol="counts")
     shares = Normalizer(p=1.0, inputCol="counts", outputCol="features")
     head = LogisticRegression(featuresCol="features", labelCol="target", family="multinomial", regParam=reg,
                               maxIter=max_iter, standardization=False)
     path = shared_dir(spark, "features")
     try:
-        hashed.transform(rated).select("target", "counts").write.parquet(path)
+        hashed.transform(split).select("target", "counts").write.parquet(path)
         parts = path_bytes(spark, path) // (PART_OVER_GRADIENT * 8 * len(CLASSES) * width)
         counted = spark.read.parquet(path).coalesce(max(UNSHUFFLED_PARTS, parts))
         model = head.fit(shares.transform(counted))
@@ -89,7 +89,9 @@ def fit_head(reviews: DataFrame, width: int = HEAD_WIDTH, reg: float = 1e-3,
     bias = [float(b) for b in model.interceptVector.toArray()]
     bias += [0.0] * (len(CLASSES) - len(bias))
     # A token alone is a vector of its one place: its margins less the biases are its weights.
-    tokens = rated.select(F.explode("toks").alias("token")).distinct()
+    # Repeats go before the tokens are trimmed, as that costs more than to split the text.
+    raw = rated.select(F.explode(T.spaced_tokens(F.col("text"))).alias("token")).distinct()
+    tokens = raw.select(F.lower(sentiment_token(F.col("token"))).alias("token")).distinct()
     margins = model.transform(hashed.transform(tokens.withColumn("toks", F.array("token")))
                               .withColumnRenamed("counts", "features")).select(
         "token", vector_to_array("rawPrediction").alias("margin"))
