@@ -59,7 +59,7 @@ def test_fit_sums_few_partitions(spark, monkeypatch):
     monkeypatch.setattr(M.LogisticRegression, "fit", watched)
     df = _reviews(spark).unionByName(spark.createDataFrame([(i, f"word{i} great", float(i % 5 + 1)) for i in range(200)], SCHEMA))
     M.fit_head(df.repartition(40), max_iter=2)
-    assert seen[0] <= M.UNSHUFFLED_PARTS
+    assert seen[0] <= M.FEW_PARTS
 
 
 def test_texts_come_as_often_as_their_labels(spark, tmp_path):

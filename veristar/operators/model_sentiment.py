@@ -27,10 +27,10 @@ from .rowterms import free_name
 CLASSES = ("w_neg", "w_neu", "w_pos")
 # Places of the hashed tokens; the fitted head has three numbers for each.
 HEAD_WIDTH = 1 << 16
-# In each step of the fit every partition writes a gradient. Partitions of hashed reviews hold so many times a
-# gradient's bytes at least, so that all steps together write less than the input; up to five are summed without a shuffle.
+# In each step of the fit every partition writes a gradient. Beyond the first few, a partition of hashed reviews
+# holds so many times a gradient's bytes, so that what the steps write does not grow with the number of splits.
 PART_OVER_GRADIENT = 48
-UNSHUFFLED_PARTS = 5
+FEW_PARTS = 5
 
 
 @dataclass(frozen=True)
@@ -82,7 +82,7 @@ def fit_head(reviews: DataFrame, width: int = HEAD_WIDTH, reg: float = 1e-3,
     try:
         hashed.transform(split).select("target", "counts").write.parquet(path)
         parts = path_bytes(spark, path) // (PART_OVER_GRADIENT * 8 * len(CLASSES) * width)
-        counted = spark.read.parquet(path).coalesce(max(UNSHUFFLED_PARTS, parts))
+        counted = spark.read.parquet(path).coalesce(max(FEW_PARTS, parts))
         model = head.fit(shares.transform(counted))
     finally:
         remove_path(spark, path)
